@@ -24,7 +24,19 @@ from tidemark.operators.merge import (
 from tidemark.operators.quality import key_gate, split_rejects
 from tidemark.operators.shape import with_partition_date, with_provenance, wrap_payload
 from tidemark.operators.views import stage_window, union_layers, unified_view, with_identity
-from tidemark.plans.jobs import merge_source
+from tidemark.functions.paths import relative_name
+from tidemark.operators.deadletter import (
+    SOURCE_BATCH, SOURCE_STREAM, fanout_dead_letters, file_dead_letters, row_dead_letters,
+    union_dead_letters,
+)
+from tidemark.operators.route import TAG_DEAD, TAG_OBJECT, extract_object_path, route_by_folder
+from tidemark.plans.jobs import (
+    PipelineConfig, daily_reprocess, decode_listing, hourly_merge, merge_source, shape_folder,
+)
+from tidemark.session import work_dir
+from tidemark.sources.objects import filter_listing, list_objects, lookback_cutoff
+from tidemark.specs import default_registry
+from tidemark.streaming.ingest import stream_ingest
 from tidemark.session import apply_session_conf
 from tidemark.specs import LAST_UPDATED, NOTIFICATION_EVENTS as PAY, ORDER_EVENTS as OE
 
@@ -196,6 +208,201 @@ def q_wrap_payload(spark, sf):
     return out
 
 
+# -- object fixtures: events written as .json.gz, read back --------------------
+FAR_PAST = "2000-01-01T00:00:00Z"
+EXEC_DATE = "2024-01-30T12:00:00Z"
+
+
+def _objects(spark, sf, name, layouts=None, default=fx.GOOD_NDJSON, folder="Order_Events"):
+    root = work_dir(spark, name)
+    fx.write_event_objects(_events(spark, sf), root, layouts, default, folder)
+    return root
+
+
+def _decoded(spark, root, folder="Order_Events"):
+    objs = list_objects(spark, root, folder, FAR_PAST)
+    return decode_listing(objs, root)
+
+
+def _typed_from_objects(spark, root):
+    dec = _decoded(spark, root)
+    rows, _bad = shape_folder(dec, OE, fx.NOW)
+    return rows
+
+
+def _decode_query(layout):
+    def q(spark, sf):
+        root = _objects(spark, sf, f"decode-{layout}", default=layout)
+        return fx.as_ntz(_typed_from_objects(spark, root).select(*OE.business_columns))
+    return q
+
+
+def _bad_files(spark, sf):
+    root = _objects(spark, sf, "decode-bad", layouts=fx.BAD_FILE_LAYOUT)
+    return root, _decoded(spark, root).withColumn("name", relative_name("path", root))
+
+
+def q_decode_bad_files(spark, sf):
+    _, dec = _bad_files(spark, sf)
+    return dec.groupBy("name").agg(
+        F.count("record_json").alias("n_records"),
+        F.max(F.substring_index("error", ":", 1)).alias("error_kind"),
+    )
+
+
+def q_file_dead_letters(spark, sf):
+    _, dec = _bad_files(spark, sf)
+    errors = dec.filter(F.col("error").isNotNull()).select(
+        F.lit(OE.stage_table).alias("table"), F.col("name").alias("source_file"), "error")
+    dl = file_dead_letters(errors, SOURCE_BATCH, fx.NOW)
+    return fx.as_ntz(dl.select(
+        "subscription_name", "publish_time", "attributes",
+        F.get_json_object("data", "$.source_file").alias("source_file"),
+        F.substring_index(F.get_json_object("data", "$.error"), ":", 1).alias("error_kind")))
+
+
+def _row_dead_letters(spark, sf):
+    _, bad = split_rejects(_raw_dates(_events(spark, sf)), OE)
+    return row_dead_letters(bad, OE.stage_table, ["order_ref", "order_date", "ship_date"],
+                            SOURCE_STREAM, fx.NOW)
+
+
+def q_row_dead_letters(spark, sf):
+    return fx.as_ntz(_row_dead_letters(spark, sf))
+
+
+def q_fanout_dead_letters(spark, sf):
+    root = _objects(spark, sf, "fanout")
+    dec = _decoded(spark, root)
+    files = dec.filter(F.col("error").isNull()).select(
+        relative_name("path", root).alias("source_file"))
+    return fx.as_ntz(fanout_dead_letters(files, OE.stage_table, "stage append failed",
+                                         SOURCE_BATCH, fx.NOW))
+
+
+def _notifications(ev: DataFrame) -> DataFrame:
+    folder = F.when(F.col("event_type") == "signup", F.lit("Other")).otherwise(F.lit("Order_Events"))
+    suffix = F.when(F.col("value") < 10, F.lit(".csv")).otherwise(F.lit(".json.gz"))
+    name = F.concat(folder, F.lit("/"), F.col("event_type"), F.lit("/"),
+                    F.col("event_id").cast("string"), suffix)
+    bucket = F.when(F.col("value") >= 480, F.lit(None)).when(F.col("value") >= 470, F.lit("")) \
+        .otherwise(F.lit("lake-bucket"))
+    event = F.when(F.col("event_type") == "error", F.lit("OBJECT_DELETE")) \
+        .otherwise(F.lit("OBJECT_FINALIZE"))
+    attrs = F.map_filter(
+        F.create_map(F.lit("eventType"), event, F.lit("objectId"), name,
+                     F.lit("bucketId"), bucket),
+        lambda k, v: v.isNotNull())
+    return ev.select(F.col("event_id").cast("string").alias("message_id"),
+                     F.col("ts").cast("timestamp").alias("publish_time"),
+                     attrs.alias("attributes"), F.lit(None).cast("string").alias("data"))
+
+
+def q_extract_object_path(spark, sf):
+    ext = extract_object_path(_notifications(_events(spark, sf)))
+    return ext.select("message_id", "tag", "bucket", "name", "source_file", "table", "error")
+
+
+def q_route_by_folder(spark, sf):
+    ext = extract_object_path(_notifications(_events(spark, sf)))
+    objs = ext.filter(F.col("tag") == TAG_OBJECT)
+    routed = route_by_folder(objs, default_registry())
+    return routed.select("message_id", "name", "folder", "tag", "table", "error")
+
+
+def q_union_dead_letters(spark, sf):
+    ext = extract_object_path(_notifications(_events(spark, sf)))
+    msgs = file_dead_letters(ext.filter(F.col("tag") == TAG_DEAD)
+                             .select("table", "source_file", "error"), SOURCE_STREAM, fx.NOW)
+    rows = _row_dead_letters(spark, sf)
+    dl = union_dead_letters(msgs, rows)
+    return dl.select(
+        "attributes",
+        F.coalesce(F.get_json_object("data", "$.source_file"),
+                   F.get_json_object("data", "$.row.order_ref")).alias("ref"),
+        F.get_json_object("data", "$.error").alias("error"))
+
+
+def q_list_objects_cutoff(spark, sf):
+    ev = _events(spark, sf)
+    listing = _notifications(ev).select(
+        F.col("attributes")["objectId"].alias("name"),
+        F.col("publish_time").alias("modificationTime"))
+    return fx.as_ntz(filter_listing(listing, OE.folder, lookback_cutoff(EXEC_DATE)))
+
+
+def _lake(spark, name):
+    base = work_dir(spark, name)
+    return PipelineConfig(lake_root=f"{base}/lake", objects_root=f"{base}/objects",
+                          registry=default_registry())
+
+
+def q_append_stage(spark, sf):
+    cfg = _lake(spark, "append")
+    _, stage = fx.explicit_layers(_events(spark, sf))
+    store = cfg.stage(OE)
+    store.append(stage, "b1")
+    store.append(stage, "b1")  # replayed batch: replaces, never duplicates
+    return fx.as_ntz(store.read(spark, fx.AS_OF))
+
+
+def q_expire_partitions(spark, sf):
+    cfg = _lake(spark, "expire")
+    _, stage = fx.explicit_layers(_events(spark, sf))
+    store = cfg.stage(OE)
+    store.append(stage, "b1")
+    store.expire(spark, fx.AS_OF)
+    return fx.as_ntz(store.read(spark, as_of=None))
+
+
+def _seed_lake(spark, sf, name):
+    cfg = _lake(spark, name)
+    ev = _events(spark, sf)
+    gold, stage = fx.explicit_layers(ev)
+    cfg.gold(OE).commit(spark, gold)
+    cfg.stage(OE).append(stage, "seed")
+    pgold, pstage = fx.payload_layers(ev)
+    cfg.gold(PAY).commit(spark, pgold)
+    cfg.stage(PAY).append(pstage, "seed")
+    return cfg
+
+
+def q_hourly_merge(spark, sf):
+    cfg = _seed_lake(spark, sf, "hourly")
+    hourly_merge(spark, cfg, fx.AS_OF, fx.NOW)
+    return fx.as_ntz(cfg.gold(OE).read(spark))
+
+
+def q_hourly_merge_payload(spark, sf):
+    cfg = _seed_lake(spark, sf, "hourly-payload")
+    hourly_merge(spark, cfg, fx.AS_OF, fx.NOW)
+    return fx.as_ntz(cfg.gold(PAY).read(spark))
+
+
+def _daily_output(cfg, spark):
+    g = cfg.gold(OE).read(spark)
+    return fx.as_ntz(g.select(*OE.business_columns, "ingestion_timestamp"))
+
+
+def q_daily_reprocess(spark, sf):
+    cfg = _lake(spark, "daily")
+    fx.write_event_objects(_events(spark, sf), cfg.objects_root)
+    gold, _ = fx.explicit_layers(_events(spark, sf))
+    cfg.gold(OE).commit(spark, gold)
+    daily_reprocess(spark, cfg, EXEC_DATE, now=fx.NOW, as_of=fx.AS_OF)
+    return _daily_output(cfg, spark)
+
+
+def q_stream_ingest(spark, sf):
+    cfg = _lake(spark, "stream")
+    fx.write_event_objects(_events(spark, sf), cfg.objects_root)
+    ckpt = f"{cfg.lake_root}/_checkpoints/ingest"
+    q = stream_ingest(spark, cfg, ckpt, available_now=True,
+                      now_fn=lambda: fx.NOW.replace(tzinfo=dt.timezone.utc))
+    q.awaitTermination()
+    return fx.as_ntz(cfg.stage(OE).read(spark).select(*OE.business_columns))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_by_key_events": q_latest_by_key_events,
     "latest_by_key_lineitem": q_latest_by_key_lineitem,
@@ -216,6 +423,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "canonical_json": q_canonical_json,
     "json_value": q_json_value,
     "wrap_payload": q_wrap_payload,
+    "decode_ndjson": _decode_query(fx.GOOD_NDJSON),
+    "decode_json_array": _decode_query(fx.GOOD_ARRAY),
+    "decode_bad_files": q_decode_bad_files,
+    "file_dead_letters": q_file_dead_letters,
+    "row_dead_letters": q_row_dead_letters,
+    "fanout_dead_letters": q_fanout_dead_letters,
+    "union_dead_letters": q_union_dead_letters,
+    "extract_object_path": q_extract_object_path,
+    "route_by_folder": q_route_by_folder,
+    "list_objects_cutoff": q_list_objects_cutoff,
+    "append_stage": q_append_stage,
+    "expire_partitions": q_expire_partitions,
+    "hourly_merge": q_hourly_merge,
+    "hourly_merge_payload": q_hourly_merge_payload,
+    "daily_reprocess": q_daily_reprocess,
+    "stream_ingest": q_stream_ingest,
 }
 
 
@@ -466,6 +689,108 @@ SELECT 'events/' || event_type || '/' || CAST(event_id AS VARCHAR) || '.json.gz'
        CAST({_RECORD_JSON} AS VARCHAR) AS payload,
        CAST(ts AS DATE) AS _partition_date
 FROM events"""
+    obj_name = "'Order_Events/' || event_type || '/u' || CAST(user_id AS VARCHAR) || '.json.gz'"
+    q["decode_ndjson"] = f"WITH {_EV_ROWS}\nSELECT {_BIZ_COLS} FROM ev_rows"
+    q["decode_json_array"] = q["decode_ndjson"]
+    q["stream_ingest"] = q["decode_ndjson"]
+    q["decode_bad_files"] = f"""
+SELECT {obj_name} AS name,
+       CASE WHEN event_type IN ('click', 'view') THEN count(*) ELSE 0 END AS n_records,
+       CASE event_type WHEN 'error' THEN 'json' WHEN 'signup' THEN 'gzip'
+                       WHEN 'purchase' THEN 'json' END AS error_kind
+FROM events GROUP BY event_type, user_id"""
+    q["file_dead_letters"] = f"""
+SELECT 'deadletter' AS subscription_name, TIMESTAMP '2024-01-31 12:00:00' AS publish_time,
+       '{{"source":"Airflow Daily Reprocessing","table":"STG_Order_Events"}}' AS attributes,
+       {obj_name} AS source_file,
+       CASE event_type WHEN 'signup' THEN 'gzip' ELSE 'json' END AS error_kind
+FROM events WHERE event_type IN ('error', 'signup', 'purchase')
+GROUP BY event_type, user_id"""
+    q["row_dead_letters"] = f"""WITH {_RAW_DATES},
+dl AS (
+  SELECT '{{"source":"Dataflow Streaming","table":"STG_Order_Events"}}' AS attributes,
+         CAST(json_object('row', json_object('order_ref', r.order_ref, 'order_date', r.order_date,
+                                             'ship_date', r.ship_date),
+                          'error', c.err) AS VARCHAR) AS data
+  FROM raw r JOIN checked c ON r.order_ref = c.order_ref
+  WHERE c.err <> ''
+)
+SELECT 'deadletter' AS subscription_name, sha256(attributes || chr(1) || data) AS message_id,
+       TIMESTAMP '2024-01-31 12:00:00' AS publish_time, attributes, data
+FROM dl"""
+    q["fanout_dead_letters"] = f"""WITH dl AS (
+  SELECT DISTINCT '{{"source":"Airflow Daily Reprocessing","table":"STG_Order_Events"}}' AS attributes,
+         CAST(json_object('source_file', {obj_name}, 'error', 'stage append failed') AS VARCHAR) AS data
+  FROM events
+)
+SELECT 'deadletter' AS subscription_name, sha256(attributes || chr(1) || data) AS message_id,
+       TIMESTAMP '2024-01-31 12:00:00' AS publish_time, attributes, data
+FROM dl"""
+    notif = """notif AS (
+  SELECT CAST(event_id AS VARCHAR) AS message_id, ts AS publish_time,
+         CASE WHEN event_type = 'error' THEN 'OBJECT_DELETE' ELSE 'OBJECT_FINALIZE' END AS event_name,
+         CASE WHEN event_type = 'signup' THEN 'Other' ELSE 'Order_Events' END || '/' || event_type
+           || '/' || CAST(event_id AS VARCHAR)
+           || CASE WHEN value < 10 THEN '.csv' ELSE '.json.gz' END AS name,
+         CASE WHEN value >= 480 THEN NULL WHEN value >= 470 THEN '' ELSE 'lake-bucket' END AS bucket
+  FROM events
+),
+notif_attrs AS (
+  SELECT *, CAST(CASE WHEN bucket IS NULL
+                      THEN json_object('eventType', event_name, 'objectId', name)
+                      ELSE json_object('eventType', event_name, 'objectId', name, 'bucketId', bucket)
+                 END AS VARCHAR) AS attrs_json
+  FROM notif
+),
+extracted AS (
+  SELECT message_id, name, bucket,
+         CASE WHEN coalesce(bucket, '') = '' THEN 'dead_letter' ELSE 'gcs_path' END AS tag,
+         CASE WHEN coalesce(bucket, '') = '' THEN 'unknown'
+              ELSE 'gs://' || bucket || '/' || name END AS source_file,
+         'unknown' AS "table",
+         CASE WHEN coalesce(bucket, '') = ''
+              THEN 'PubSub parse failure: Missing bucketId; attrs=' || attrs_json END AS error
+  FROM notif_attrs
+  WHERE event_name = 'OBJECT_FINALIZE' AND name LIKE '%.json.gz'
+)"""
+    q["extract_object_path"] = f"""WITH {notif}
+SELECT message_id, tag, bucket, name, source_file, "table", error FROM extracted"""
+    q["route_by_folder"] = f"""WITH {notif},
+reg AS (
+  SELECT * FROM (VALUES ('Order_Events', 'STG_Order_Events'),
+                        ('Notification_Events', 'STG_Notification_Events')) AS t(folder, stage_table)
+)
+SELECT e.message_id, e.name, split_part(e.name, '/', 1) AS folder,
+       CASE WHEN r.stage_table IS NULL THEN 'dead_letter' ELSE r.folder END AS tag,
+       coalesce(r.stage_table, 'unknown') AS "table",
+       CASE WHEN r.stage_table IS NULL
+            THEN 'Unrecognised folder: ' || split_part(e.name, '/', 1) END AS error
+FROM extracted e LEFT JOIN reg r ON split_part(e.name, '/', 1) = r.folder
+WHERE e.tag = 'gcs_path'"""
+    q["union_dead_letters"] = f"""WITH {notif}, {_RAW_DATES}
+SELECT '{{"source":"Dataflow Streaming","table":"unknown"}}' AS attributes,
+       source_file AS ref, error
+FROM extracted WHERE tag = 'dead_letter'
+UNION ALL
+SELECT '{{"source":"Dataflow Streaming","table":"STG_Order_Events"}}' AS attributes,
+       order_ref AS ref, err AS error
+FROM checked WHERE err <> ''"""
+    q["list_objects_cutoff"] = f"""WITH {notif}
+SELECT name, publish_time AS modificationTime FROM notif
+WHERE name LIKE 'Order_Events/%' AND name LIKE '%.json.gz'
+  AND publish_time >= TIMESTAMP '2024-01-28 12:00:00'"""
+    q["append_stage"] = f"""WITH {_LAYERS}
+SELECT {_ROW_COLS}, p_date FROM stage WHERE p_date > DATE '2024-01-23'"""
+    q["expire_partitions"] = q["append_stage"]
+    q["hourly_merge"] = _merge_sql(1)
+    q["hourly_merge_payload"] = q["merge_insert_only"]
+    daily_order = ", ".join(
+        [f"{obj_name.replace('event_type', 'category').replace('CAST(user_id AS VARCHAR)', 'record_id')} DESC"]
+        + [f"{c} DESC NULLS LAST" for c in tie_breakers(OE)[1:]])
+    q["daily_reprocess"] = f"""WITH {_EV_ROWS}
+SELECT {_BIZ_COLS}, TIMESTAMP '2024-01-31 12:00:00' AS ingestion_timestamp FROM (
+  SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY {daily_order}) AS _rn
+  FROM ev_rows) WHERE _rn = 1"""
     return q
 
 

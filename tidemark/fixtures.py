@@ -139,3 +139,100 @@ def as_ntz(df: DataFrame) -> DataFrame:
         else:
             out.append(F.col(f.name))
     return df.select(*out)
+
+
+# ---------------------------------------------------------------------------
+# Object fixtures: events written as gzip JSON objects
+# ---------------------------------------------------------------------------
+GOOD_NDJSON = "ndjson"
+GOOD_ARRAY = "array"
+BAD_LINE = "bad_line"          # NDJSON + a line that is not JSON
+NOT_GZIP = "not_gzip"          # plain bytes, no gzip framing
+TRAILING_TEXT = "trailing"     # array followed by text
+BAD_FILE_LAYOUT = {
+    "click": GOOD_NDJSON,
+    "view": GOOD_ARRAY,
+    "error": BAD_LINE,
+    "signup": NOT_GZIP,
+    "purchase": TRAILING_TEXT,
+}
+
+
+def object_name_col(folder: str | Column = "Order_Events") -> Column:
+    f = F.lit(folder) if isinstance(folder, str) else folder
+    return F.concat(f, F.lit("/"), F.col("event_type"), F.lit("/u"),
+                    F.col("user_id").cast("string"), F.lit(".json.gz"))
+
+
+def _object_writer(root: str, layouts: dict[str, str], default: str):
+    def write(batches):
+        import gzip as _gzip
+
+        import pandas as pd
+        from pyarrow import fs as pafs
+
+        filesystem, base = pafs.FileSystem.from_uri(root) if "://" in root \
+            else (pafs.LocalFileSystem(), root)
+        state = {"name": None, "sink": None, "gz": None, "n": 0, "layout": None}
+        written = []
+
+        def close():
+            if state["gz"] is None:
+                return
+            layout = state["layout"]
+            tail = {GOOD_ARRAY: b"]", TRAILING_TEXT: b"] trash", BAD_LINE: b"\n{oops\n"}
+            state["gz"].write(tail.get(layout, b""))
+            state["gz"].close()
+            state["sink"].close()
+            written.append((state["name"], state["n"]))
+            state.update(name=None, sink=None, gz=None, n=0)
+
+        def open_(name, event_type):
+            layout = layouts.get(event_type, default)
+            path = f"{base}/{name}"
+            filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
+            sink = filesystem.open_output_stream(path, compression=None)
+            gz = sink if layout == NOT_GZIP else _gzip.GzipFile(fileobj=sink, mode="wb", mtime=0)
+            if layout in (GOOD_ARRAY, TRAILING_TEXT):
+                gz.write(b"[")
+            state.update(name=name, sink=sink, gz=gz, n=0, layout=layout)
+
+        for pdf in batches:
+            for name, et, rec in zip(pdf["name"], pdf["event_type"], pdf["record_json"]):
+                if name != state["name"]:
+                    close()
+                    open_(name, et)
+                sep = b"," if state["layout"] in (GOOD_ARRAY, TRAILING_TEXT) else b"\n"
+                if state["n"]:
+                    state["gz"].write(sep)
+                state["gz"].write(rec.encode("utf-8"))
+                state["n"] += 1
+        close()
+        yield pd.DataFrame(written, columns=["name", "n_records"])
+
+    return write
+
+
+def write_event_objects(events: DataFrame, root: str, layouts: dict[str, str] | None = None,
+                        default: str = GOOD_NDJSON, folder: str | Column = "Order_Events",
+                        files_per_task: int = 64) -> DataFrame:
+    """Write every event as one record of a gzip JSON object
+    ``<folder>/<event_type>/u<user_id>.json.gz`` under ``root``.
+
+    Objects are written by the tasks (through ``pyarrow.fs``), streaming the
+    records of one object after another; no object is collected in memory.
+    Returns the written objects ``(name, n_records)`` (already executed)."""
+    layouts = layouts or {}
+    recs = events.select(
+        object_name_col(folder).alias("name"), "event_type", "event_id",
+        F.to_json(F.struct(*record_text_columns())).alias("record_json"),
+    )
+    n_files = max(1, recs.select("name").distinct().count() // files_per_task)
+    written = (
+        recs.repartition(n_files, "name")
+        .sortWithinPartitions("name", "event_id")
+        .mapInPandas(_object_writer(root, layouts, default), "name string, n_records long")
+    )
+    manifest = f"{root.rstrip('/')}/_manifest"
+    written.write.mode("overwrite").parquet(manifest)  # runs the writers once
+    return events.sparkSession.read.parquet(manifest)

@@ -146,7 +146,7 @@ def _open_path(path: str) -> bytes:
         filesystem, p = pafs.FileSystem.from_uri(path)
     except (pa.ArrowInvalid, ValueError):
         filesystem, p = pafs.LocalFileSystem(), path.removeprefix("file:")
-    with filesystem.open_input_stream(p) as f:
+    with filesystem.open_input_stream(p, compression=None) as f:
         return f.read()
 
 
