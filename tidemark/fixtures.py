@@ -214,8 +214,8 @@ def _object_writer(root: str, layouts: dict[str, str], default: str):
 
 
 def write_event_objects(events: DataFrame, root: str, layouts: dict[str, str] | None = None,
-                        default: str = GOOD_NDJSON, folder: str | Column = "Order_Events",
-                        files_per_task: int = 64) -> DataFrame:
+                        default: str = GOOD_NDJSON, folder: str | Column = "Order_Events"
+                        ) -> DataFrame:
     """Write every event as one record of a gzip JSON object
     ``<folder>/<event_type>/u<user_id>.json.gz`` under ``root``.
 
@@ -227,9 +227,8 @@ def write_event_objects(events: DataFrame, root: str, layouts: dict[str, str] |
         object_name_col(folder).alias("name"), "event_type", "event_id",
         F.to_json(F.struct(*record_text_columns())).alias("record_json"),
     )
-    n_files = max(1, recs.select("name").distinct().count() // files_per_task)
     written = (
-        recs.repartition(n_files, "name")
+        recs.repartition("name")
         .sortWithinPartitions("name", "event_id")
         .mapInPandas(_object_writer(root, layouts, default), "name string, n_records long")
     )

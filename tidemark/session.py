@@ -36,6 +36,10 @@ def build_session(master: str | None = None, app: str = "tidemark",
     return spark
 
 
+_LISTING_PARALLELISM = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+_SPARK_DEFAULT_LISTING_PARALLELISM = "10000"
+
+
 def apply_session_conf(spark: SparkSession) -> None:
     """Runtime SQL settings every operator relies on (UTC clock, AQE)."""
     for k, v in SESSION_CONF.items():
@@ -43,6 +47,13 @@ def apply_session_conf(spark: SparkSession) -> None:
             spark.conf.set(k, v)
         except Exception:  # static conf on a shared session: keep cluster value
             pass
+    # A micro-batch of N new objects is listed by a job of up to N tasks
+    # (Spark's default cap is 10000); keep it proportional to the cores
+    # unless the operator has chosen a value.
+    if spark.conf.get(_LISTING_PARALLELISM, _SPARK_DEFAULT_LISTING_PARALLELISM) == \
+            _SPARK_DEFAULT_LISTING_PARALLELISM:
+        cores = spark.sparkContext.defaultParallelism
+        spark.conf.set(_LISTING_PARALLELISM, str(min(10000, max(8, 4 * cores))))
 
 
 def checkpoint_root(spark: SparkSession) -> str:
