@@ -81,6 +81,16 @@ def q_unified_view_explicit(spark, sf):
     return fx.as_ntz(unified_view(OE, gold, stage, fx.AS_OF))
 
 
+def q_unified_view_explicit_broadcast(spark, sf):
+    gold, stage = fx.explicit_layers(_events(spark, sf))
+    return fx.as_ntz(unified_view(OE, gold, stage, fx.AS_OF, strategy="broadcast"))
+
+
+def q_unified_view_payload_broadcast(spark, sf):
+    gold, stage = fx.payload_layers(_events(spark, sf))
+    return fx.as_ntz(unified_view(PAY, gold, stage, fx.AS_OF, strategy="broadcast"))
+
+
 def q_unified_view_payload(spark, sf):
     gold, stage = fx.payload_layers(_events(spark, sf))
     return fx.as_ntz(unified_view(PAY, gold, stage, fx.AS_OF))
@@ -403,6 +413,36 @@ def q_stream_ingest(spark, sf):
     return fx.as_ntz(cfg.stage(OE).read(spark).select(*OE.business_columns))
 
 
+def _scheme_and_bucket(root: str) -> tuple[str, str]:
+    if "://" in root:
+        scheme, rest = root.split("://", 1)
+        return scheme, rest.rstrip("/")
+    return "file", root.removeprefix("file:").rstrip("/")
+
+
+def q_stream_ingest_notifications(spark, sf):
+    cfg = _lake(spark, "stream-notif")
+    written = fx.write_event_objects(_events(spark, sf), cfg.objects_root)
+    scheme, bucket = _scheme_and_bucket(cfg.objects_root)
+    # one finalize notification per object, plus one for an object that
+    # was never written (read error -> dead letter, no rows)
+    names = written.select("name").unionByName(written.select(
+        F.regexp_replace("name", r"\.json\.gz$", ".missing.json.gz").alias("name")))
+    notif = names.select(
+        F.col("name").alias("message_id"),
+        F.lit(fx.NOW).cast("timestamp").alias("publish_time"),
+        F.create_map(F.lit("eventType"), F.lit("OBJECT_FINALIZE"), F.lit("objectId"), F.col("name"),
+                     F.lit("bucketId"), F.lit(bucket)).alias("attributes"),
+        F.lit(None).cast("string").alias("data"))
+    notif_dir = f"{cfg.lake_root}/_notifications"
+    notif.write.mode("overwrite").json(notif_dir)
+    q = stream_ingest(spark, cfg, f"{cfg.lake_root}/_checkpoints/notif", source="notifications",
+                      notifications_path=notif_dir, scheme=scheme, available_now=True,
+                      now_fn=lambda: fx.NOW.replace(tzinfo=dt.timezone.utc))
+    q.awaitTermination()
+    return fx.as_ntz(cfg.stage(OE).read(spark).select(*OE.business_columns))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_by_key_events": q_latest_by_key_events,
     "latest_by_key_lineitem": q_latest_by_key_lineitem,
@@ -411,6 +451,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "union_layers": q_union_layers,
     "unified_view_explicit": q_unified_view_explicit,
     "unified_view_payload": q_unified_view_payload,
+    "unified_view_explicit_broadcast": q_unified_view_explicit_broadcast,
+    "unified_view_payload_broadcast": q_unified_view_payload_broadcast,
     "merge_upsert_1d": _merge_upsert(1, "shuffle"),
     "merge_upsert_2d": _merge_upsert(2, "broadcast"),
     "merge_actions": q_merge_actions,
@@ -439,6 +481,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hourly_merge_payload": q_hourly_merge_payload,
     "daily_reprocess": q_daily_reprocess,
     "stream_ingest": q_stream_ingest,
+    "stream_ingest_notifications": q_stream_ingest_notifications,
 }
 
 
@@ -634,6 +677,8 @@ SELECT payload, source_file, ingestion_timestamp FROM (
   SELECT *, row_number() OVER (PARTITION BY payload ORDER BY ingestion_timestamp DESC NULLS LAST,
                                source_file DESC NULLS LAST, payload DESC NULLS LAST) AS _rn
   FROM combined) WHERE _rn = 1"""
+    q["unified_view_explicit_broadcast"] = q["unified_view_explicit"]
+    q["unified_view_payload_broadcast"] = q["unified_view_payload"]
     q["merge_upsert_1d"] = _merge_sql(1)
     q["merge_upsert_2d"] = _merge_sql(2)
     q["merge_idempotent"] = _merge_sql(1)
@@ -693,6 +738,7 @@ FROM events"""
     q["decode_ndjson"] = f"WITH {_EV_ROWS}\nSELECT {_BIZ_COLS} FROM ev_rows"
     q["decode_json_array"] = q["decode_ndjson"]
     q["stream_ingest"] = q["decode_ndjson"]
+    q["stream_ingest_notifications"] = q["decode_ndjson"]
     q["decode_bad_files"] = f"""
 SELECT {obj_name} AS name,
        CASE WHEN event_type IN ('click', 'view') THEN count(*) ELSE 0 END AS n_records,

@@ -227,8 +227,10 @@ def write_event_objects(events: DataFrame, root: str, layouts: dict[str, str] |
         object_name_col(folder).alias("name"), "event_type", "event_id",
         F.to_json(F.struct(*record_text_columns())).alias("record_json"),
     )
+    # explicit count: AQE must not coalesce the writers into one task
+    n = 2 * events.sparkSession.sparkContext.defaultParallelism
     written = (
-        recs.repartition("name")
+        recs.repartition(n, "name")
         .sortWithinPartitions("name", "event_id")
         .mapInPandas(_object_writer(root, layouts, default), "name string, n_records long")
     )

@@ -139,13 +139,30 @@ def _decode_content_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
         yield out.batch()
 
 
+_FS_CACHE: dict = {}
+
+
 def _open_path(path: str) -> bytes:
+    """Read one object by URI; one filesystem client per scheme/authority
+    and Python worker."""
     from pyarrow import fs as pafs
 
-    try:
-        filesystem, p = pafs.FileSystem.from_uri(path)
-    except (pa.ArrowInvalid, ValueError):
-        filesystem, p = pafs.LocalFileSystem(), path.removeprefix("file:")
+    if "://" in path:
+        scheme, rest = path.split("://", 1)
+        authority = rest.split("/", 1)[0]
+    else:
+        scheme, authority = "file", ""
+    key = (scheme, authority)
+    if key not in _FS_CACHE:
+        try:
+            _FS_CACHE[key] = pafs.FileSystem.from_uri(path)[0]
+        except (pa.ArrowInvalid, ValueError):
+            _FS_CACHE[key] = pafs.LocalFileSystem()
+    filesystem = _FS_CACHE[key]
+    if isinstance(filesystem, pafs.LocalFileSystem):
+        p = path.split("://", 1)[1] if "://" in path else path.removeprefix("file:")
+    else:
+        p = pafs.FileSystem.from_uri(path)[1] if "://" in path else path
     with filesystem.open_input_stream(p, compression=None) as f:
         return f.read()
 
@@ -207,13 +224,19 @@ def decode_objects(files: DataFrame) -> DataFrame:
     return src.mapInArrow(_decode_content_batches, DECODED_SCHEMA)
 
 
-def decode_paths(paths: DataFrame, path_col: str = "path", folder_col: str = "folder") -> DataFrame:
+def decode_paths(paths: DataFrame, path_col: str = "path", folder_col: str = "folder",
+                 num_partitions: int | None = None) -> DataFrame:
     """Same as ``decode_objects`` for bare object URIs (notification
     source): each task opens its objects itself through ``pyarrow.fs``; a
     missing object is an error row, not a failed job. ``folder`` is carried
-    through."""
+    through.
+
+    Message batches often arrive in few partitions while the cost is in the
+    object reads, so the (small) path rows are spread round-robin over
+    ``num_partitions`` tasks (default: the cluster's parallelism) first."""
+    n = num_partitions or paths.sparkSession.sparkContext.defaultParallelism
     src = paths.select(
         F.col(path_col).cast("string").alias("path"),
         F.col(folder_col).cast("string").alias("folder"),
-    )
+    ).repartition(max(1, int(n)))
     return src.mapInArrow(_decode_path_batches, PATH_DECODED_SCHEMA)

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.jsonfn import canonical_json
-from tidemark.operators.dedup import latest_for_spec
+from tidemark.operators.dedup import latest_for_spec, tie_breakers
+from tidemark.operators.merge import DEFAULT_BROADCAST_BYTES, choose_strategy
 from tidemark.specs import EXPLICIT, FolderSpec
 
 
@@ -43,15 +44,55 @@ def with_identity(df: DataFrame, spec: FolderSpec) -> DataFrame:
 
 
 def unified_view(spec: FolderSpec, gold: DataFrame, stage: DataFrame, as_of,
-                 days: int | None = None) -> DataFrame:
+                 days: int | None = None, strategy: str = "window",
+                 broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Freshest row per key over gold ∪ recent stage.
 
     Explicit: the 12 business columns (V1). Payload: payload, source_file,
     ingestion_timestamp (V2), identity = canonical payload text.
+
+    ``strategy``:
+
+    * ``window``    row_number over the union (exact SQL definition; gold is
+      exchanged on the key at every read).
+    * ``broadcast`` the deduplicated stage window is broadcast and gold is
+      streamed through a map-side join, so gold is never shuffled. Requires
+      gold to be unique per key (which the merge maintains).
+    * ``auto``      ``broadcast`` when the deduplicated window fits
+      ``broadcast_bytes`` (exact row count, one action), else ``window``.
     """
     days = spec.view_days if days is None else days
     recent = stage_window(stage, as_of, days, spec.partition_col)
+    out = spec.business_columns if spec.schema_type == EXPLICIT else spec.row_columns
+    if strategy in ("auto", "broadcast"):
+        src = latest_for_spec(with_identity(recent.select(*spec.row_columns), spec), spec)
+        if strategy == "auto":
+            strategy = {"broadcast": "broadcast", "shuffle": "window"}[
+                choose_strategy(src, "auto", broadcast_bytes)]
+        if strategy == "broadcast":
+            g = with_identity(gold.select(*spec.row_columns), spec)
+            return _latest_broadcast(g, src, spec).select(*out)
+    if strategy != "window":
+        raise ValueError(f"unknown view strategy {strategy!r}")
     combined = with_identity(union_layers(gold, recent, spec.row_columns), spec)
     latest = latest_for_spec(combined, spec)
-    out = spec.business_columns if spec.schema_type == EXPLICIT else spec.row_columns
     return latest.select(*out)
+
+
+def _latest_broadcast(gold: DataFrame, src: DataFrame, spec: FolderSpec) -> DataFrame:
+    """Per key, the first of (gold row, deduplicated stage row) under
+    ``order_col DESC NULLS LAST, tie-breakers DESC NULLS LAST``.
+
+    Spark orders structs field by field with NULL lowest, so
+    ``struct(S order) > struct(T order)`` is exactly "S sorts first"."""
+    ident = spec.identity_col
+    cols = spec.row_columns + ([] if ident in spec.row_columns else [ident])
+    order = [spec.order_col] + tie_breakers(spec)
+    t, s = gold.select(*cols).alias("T"), src.select(*cols).alias("S")
+    s_first = F.col(f"S.{ident}").isNotNull() & (
+        F.struct(*[F.col(f"S.{c}") for c in order]) > F.struct(*[F.col(f"T.{c}") for c in order]))
+    gold_side = t.join(F.broadcast(s), F.col(f"T.{ident}") == F.col(f"S.{ident}"), "left_outer") \
+        .select(*[F.when(s_first, F.col(f"S.{c}")).otherwise(F.col(f"T.{c}")).alias(c) for c in cols])
+    matched = gold.select(ident).join(F.broadcast(src.select(ident)), ident, "left_semi")
+    fresh = src.select(*cols).join(F.broadcast(matched), ident, "left_anti")
+    return gold_side.unionByName(fresh)

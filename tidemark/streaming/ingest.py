@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.deadletter import SOURCE_STREAM, file_dead_letters
 from tidemark.operators.decode import decode_paths
-from tidemark.operators.route import TAG_DEAD, TAG_OBJECT, extract_object_path
+from tidemark.operators.route import TAG_DEAD, TAG_OBJECT, extract_object_path, split_by_tag
 from tidemark.plans.jobs import (
     PipelineConfig, decode_listing, ingest_decoded, persist, unknown_folder_dead_letters,
 )
@@ -60,10 +60,11 @@ def notification_batch_writer(spark: SparkSession, cfg: PipelineConfig, scheme:
         naive = now.astimezone(dt.timezone.utc).replace(tzinfo=None)
         ext = persist(extract_object_path(batch, scheme))
         try:
+            parts = split_by_tag(ext, [TAG_DEAD, TAG_OBJECT])
             bad_msgs = file_dead_letters(
-                ext.filter(F.col("tag") == TAG_DEAD).select("table", "source_file", "error"),
+                parts[TAG_DEAD].select("table", "source_file", "error"),
                 SOURCE_STREAM, naive, cfg.subscription)
-            objs = (ext.filter(F.col("tag") == TAG_OBJECT)
+            objs = (parts[TAG_OBJECT]
                     .select(F.col("source_file").alias("path"), "name")
                     .withColumn("folder", folder_of("name")))
             known, unknown_dl = unknown_folder_dead_letters(objs, cfg, SOURCE_STREAM, now)
