@@ -18,6 +18,8 @@ _ISO = (
     r"(Z|[+-]\d{2}(?::?\d{2})?)?)?$"
 )
 _DATE = r"^\d{4}-\d{1,2}-\d{1,2}$"
+# Common shape Spark's own cast reads exactly as intended: one regex, then cast.
+_PLAIN = r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}:\d{2}(?:\.\d+)?(?:Z|[+-]\d{2}:\d{2})?)?$"
 
 
 def _g(s: Column, i: int) -> Column:
@@ -55,7 +57,8 @@ def safe_timestamp(col: Column | str) -> Column:
         F.when(frac == "", F.lit("")).otherwise(F.concat(F.lit("."), frac)),
         off_norm,
     )
-    return F.when(s.rlike(_ISO), canon.try_cast("timestamp"))
+    return (F.when(s.rlike(_PLAIN), s.try_cast("timestamp"))
+            .when(s.rlike(_ISO), canon.try_cast("timestamp")))
 
 
 def safe_date(col: Column | str) -> Column:

@@ -26,24 +26,19 @@ def key_gate(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
 def with_type_errors(raw: DataFrame, spec: FolderSpec) -> DataFrame:
     """Add typed values for the DATE columns and an ``error`` text listing
     every value the table would refuse (non-empty text that is not a date).
-    """
-    checks = []
-    typed = {}
+    All built-in expressions (``concat_ws`` skips the NULLs), so the check
+    stays inside whole-stage codegen."""
+    msgs = []
+    out = raw
     for c, t in spec.typed_columns:
         if t != "DATE":
             continue  # TIMESTAMP columns are already typed (malformed → NULL)
-        typed[c] = safe_date(F.col(c))
-        bad = ~is_blank(c) & typed[c].isNull()
-        checks.append(
-            F.when(bad, F.concat(F.lit(f"invalid DATE for {c}: '"), F.col(c), F.lit("'")))
-        )
-    errs = F.filter(F.array(*checks), lambda x: x.isNotNull()) if checks else F.array()
-    out = raw.withColumn("_errs", errs)
-    for c, expr in typed.items():
-        out = out.withColumn(f"_typed_{c}", expr)
-    return out.withColumn(
-        ERROR, F.when(F.size("_errs") > 0, F.array_join("_errs", "; "))
-    ).drop("_errs")
+        typed = safe_date(F.col(c))
+        out = out.withColumn(f"_typed_{c}", typed)
+        bad = ~is_blank(c) & F.col(f"_typed_{c}").isNull()
+        msgs.append(F.when(bad, F.concat(F.lit(f"invalid DATE for {c}: '"), F.col(c), F.lit("'"))))
+    err = F.nullif(F.concat_ws("; ", *msgs), F.lit("")) if msgs else F.lit(None).cast("string")
+    return out.withColumn(ERROR, err)
 
 
 def split_rejects(raw: DataFrame, spec: FolderSpec) -> tuple[DataFrame, DataFrame]:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.jsonfn import canonical_json, json_field_is_string, json_field_text
+from tidemark.functions.jsonfn import canonical_json
 from tidemark.functions.timestamps import safe_timestamp
 from tidemark.specs import (
     INGESTION_TS, PAYLOAD_PARTITION, SOURCE_FILE, STAGE_PARTITION, FolderSpec,
@@ -27,28 +27,33 @@ def with_partition_date(df: DataFrame, col: str = INGESTION_TS,
     return df.withColumn(name, F.to_date(F.col(col)))
 
 
-def _text(v: Column, name: str) -> Column:
-    """JSON null, absent and '' → NULL; other scalars keep their text."""
-    return F.nullif(json_field_text(v, name), F.lit(""))
+def record_struct_schema(spec: FolderSpec) -> str:
+    """DDL for one ``from_json`` pass: text for STRING/DATE columns,
+    VARIANT for TIMESTAMP columns (their JSON type decides: only a JSON
+    string is parsed, a number is NULL)."""
+    return "struct<" + ",".join(
+        f"`{c}`:{'variant' if t == 'TIMESTAMP' else 'string'}" for c, t in spec.columns) + ">"
 
 
 def project_explicit(records: DataFrame, spec: FolderSpec,
                      record_col: str = "record_json") -> DataFrame:
     """One JSON record → the folder's business columns.
 
-    STRING and DATE columns stay text (DATE is typed by ``split_rejects``);
-    TIMESTAMP columns go through ``safe_timestamp`` and only when the JSON
-    value is a string (a JSON number is NULL). Extra keys are dropped,
-    absent keys are NULL. Other columns of ``records`` are carried."""
-    v = F.parse_json(F.col(record_col))
+    One ``from_json`` pass. STRING and DATE columns stay text (DATE is
+    typed by ``split_rejects``); R1: JSON null, absent and '' → NULL, other
+    scalars keep their JSON text (``5``, ``true``, ``{"k":1}``). TIMESTAMP
+    columns go through ``safe_timestamp`` only when the JSON value is a
+    string. Extra keys are dropped. Other columns of ``records`` are
+    carried."""
+    rec = F.from_json(F.col(record_col), record_struct_schema(spec))
     cols = []
     for c, t in spec.columns:
+        f = rec.getField(c)
         if t == "TIMESTAMP":
-            cols.append(
-                F.when(json_field_is_string(v, c), safe_timestamp(json_field_text(v, c))).alias(c)
-            )
+            is_str = F.schema_of_variant(f) == F.lit("STRING")
+            cols.append(F.when(is_str, safe_timestamp(f.try_cast("string"))).alias(c))
         else:
-            cols.append(_text(v, c).alias(c))
+            cols.append(F.nullif(f, F.lit("")).alias(c))
     carry = [c for c in records.columns if c != record_col and c not in spec.business_columns]
     return records.select(*carry, *cols)
 
