@@ -78,3 +78,13 @@ def test_failed_stage_write_fans_out_dead_letters(spark, tmp):
     dl = read_dead_letters(spark, cfg.dead_letters)
     assert dl.filter('attributes LIKE \'%"table":"STG_Order_Events"%\'').count() == written.count()
     assert cfg.gold(OE).current_version(spark) is None  # no merge after a failed append
+
+
+def test_batch_clock_is_fixed_per_batch(spark, tmp):
+    from tidemark.streaming.ingest import batch_clock
+
+    t1 = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    t2 = dt.datetime(2024, 1, 2, tzinfo=dt.timezone.utc)
+    assert batch_clock(spark, tmp, 7, lambda: t1) == t1
+    assert batch_clock(spark, tmp, 7, lambda: t2) == t1  # replay: first clock wins
+    assert batch_clock(spark, tmp, 8, lambda: t2) == t2

@@ -23,6 +23,7 @@ from tidemark.plans.jobs import (
     PipelineConfig, decode_listing, ingest_decoded, persist, unknown_folder_dead_letters,
 )
 from tidemark.functions.paths import folder_of
+from tidemark.plans.storage import read_text, write_text
 from tidemark.sources.notifications import read_notifications
 from tidemark.sources.objects import stream_objects
 
@@ -33,12 +34,32 @@ def _clock() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 
 
+def batch_clock(spark: SparkSession, checkpoint_location: str | None, batch_id: int,
+                now_fn: Callable[[], dt.datetime]) -> dt.datetime:
+    """``now`` of a micro-batch, fixed at its first attempt.
+
+    Kept next to the stream checkpoint, so a replay after a failure stamps
+    the same ``ingestion_timestamp`` and lands in the same ``p_date`` /
+    ``ingest_batch`` partitions, which the dynamic overwrite then replaces:
+    the stage gets each micro-batch exactly once."""
+    if not checkpoint_location:
+        return now_fn()
+    path = f"{checkpoint_location.rstrip('/')}/tidemark_clock/{batch_id}"
+    saved = read_text(spark, path)
+    if saved:
+        return dt.datetime.fromisoformat(saved.strip())
+    now = now_fn().astimezone(dt.timezone.utc)
+    write_text(spark, path, now.isoformat())
+    return now
+
+
 def object_batch_writer(spark: SparkSession, cfg: PipelineConfig,
-                        now_fn: Callable[[], dt.datetime] = _clock):
+                        now_fn: Callable[[], dt.datetime] = _clock,
+                        checkpoint_location: str | None = None):
     """foreachBatch body for the direct object stream."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        now = now_fn()
+        now = batch_clock(spark, checkpoint_location, batch_id, now_fn)
         known, unknown_dl = unknown_folder_dead_letters(batch, cfg, SOURCE_STREAM, now)
         decoded = persist(decode_listing(known, cfg.objects_root))
         try:
@@ -51,12 +72,13 @@ def object_batch_writer(spark: SparkSession, cfg: PipelineConfig,
 
 
 def notification_batch_writer(spark: SparkSession, cfg: PipelineConfig, scheme: str = "gs",
-                              now_fn: Callable[[], dt.datetime] = _clock):
+                              now_fn: Callable[[], dt.datetime] = _clock,
+                              checkpoint_location: str | None = None):
     """foreachBatch body for the notification stream (S1): filter, route,
     then each task opens its objects by URI."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        now = now_fn()
+        now = batch_clock(spark, checkpoint_location, batch_id, now_fn)
         naive = now.astimezone(dt.timezone.utc).replace(tzinfo=None)
         ext = persist(extract_object_path(batch, scheme))
         try:
@@ -91,12 +113,12 @@ def stream_ingest(spark: SparkSession, cfg: PipelineConfig, checkpoint_location:
     finalize notifications under ``notifications_path`` (S1)."""
     if source == "objects":
         stream = stream_objects(spark, cfg.objects_root, max_files_per_trigger)
-        body = object_batch_writer(spark, cfg, now_fn)
+        body = object_batch_writer(spark, cfg, now_fn, checkpoint_location)
     elif source == "notifications":
         if not notifications_path:
             raise ValueError("notifications_path is required for source='notifications'")
         stream = read_notifications(spark, notifications_path, max_files_per_trigger)
-        body = notification_batch_writer(spark, cfg, scheme, now_fn)
+        body = notification_batch_writer(spark, cfg, scheme, now_fn, checkpoint_location)
     else:
         raise ValueError(f"unknown source {source!r}")
     w = stream.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint_location)
