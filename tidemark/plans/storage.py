@@ -5,9 +5,12 @@ Stage: Parquet partitioned by ``p_date`` (payload: ``_partition_date``) and
 ``daily-<date>``), and writes with dynamic partition overwrite, so a replay
 of the same batch replaces its own files instead of adding duplicates.
 
-Gold: immutable versions ``v=<n>/`` plus a ``_CURRENT`` pointer written
-last; a failed merge leaves the current version untouched. Rows can change
-``p_date`` on update, so gold is never rewritten partition-by-partition.
+Gold: immutable versions ``v=<n>/``; a version becomes current when its
+commit marker ``_commits/<n>`` is created, after all its files are written
+(one atomic file create; readers take the highest marker, so there is no
+moment without a current version). A failed merge leaves the current version
+untouched. Rows can change ``p_date`` on update, so gold is never rewritten
+partition-by-partition.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from tidemark.specs import INGEST_BATCH, FolderSpec
 
 log = logging.getLogger(__name__)
 
-POINTER = "_CURRENT"
+COMMITS = "_commits"
 
 
 # -- Hadoop FileSystem helpers (driver-side metadata only) --------------------
@@ -64,6 +67,21 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         raise OSError(f"could not publish {path}")
 
 
+def create_marker(spark: SparkSession, path: str, text: str = "") -> None:
+    """Create a new small file; fails if it already exists."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, False)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(p) if s.isFile()]
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     fs, p = _fs(spark, path)
     if not fs.exists(p):
@@ -91,11 +109,19 @@ class StageStore:
         s = self.spec.stage_schema()
         return T.StructType(s.fields + [T.StructField(INGEST_BATCH, T.StringType(), True)])
 
-    def append(self, rows: DataFrame, batch_id: str, max_records_per_file: int = 1_000_000) -> None:
+    def append(self, rows: DataFrame, batch_id: str, max_records_per_file: int = 1_000_000,
+               rebalance: bool = True) -> None:
         """K2: append rows (row columns + partition column) as batch
-        ``batch_id``. No repartition: each task writes its own files per
-        date, so one busy day is never funnelled into one task."""
+        ``batch_id``.
+
+        Never repartitioned by date (one busy day is not funnelled into one
+        task). With ``rebalance`` (default) a ``REBALANCE`` hint lets AQE cut
+        oversized input partitions (all records of one huge object arrive in
+        one decode task) and merge tiny ones (thousands of small objects)
+        into files of ``advisoryPartitionSizeInBytes``."""
         cols = self.spec.row_columns + [self.spec.partition_col]
+        if rebalance:
+            rows = rows.hint("rebalance")
         (rows.select(*cols)
          .withColumn(INGEST_BATCH, F.lit(str(batch_id)))
          .write.mode("overwrite")
@@ -148,8 +174,11 @@ class GoldStore:
         self.spec = spec
 
     def current_version(self, spark: SparkSession) -> int | None:
-        txt = read_text(spark, f"{self.path}/{POINTER}")
-        return int(txt.strip()) if txt and txt.strip() else None
+        versions = [int(n) for n in list_files(spark, f"{self.path}/{COMMITS}") if n.isdigit()]
+        return max(versions) if versions else None
+
+    def _publish(self, spark: SparkSession, version: int) -> None:
+        create_marker(spark, f"{self.path}/{COMMITS}/{version:020d}", str(version))
 
     def version_path(self, v: int) -> str:
         return f"{self.path}/v={v}"
@@ -171,7 +200,7 @@ class GoldStore:
         if self.spec.key:
             out = out.sortWithinPartitions(self.spec.key)
         out.write.mode("overwrite").parquet(self.version_path(nxt))
-        write_text(spark, f"{self.path}/{POINTER}", str(nxt))
+        self._publish(spark, nxt)
         return nxt
 
     def append(self, spark: SparkSession, rows: DataFrame) -> int:
@@ -190,6 +219,7 @@ class GoldStore:
         gone = []
         for name in list_dirs(spark, self.path):
             if name.startswith("v=") and name[2:].isdigit() and int(name[2:]) <= cur - keep:
+                delete_path(spark, f"{self.path}/{COMMITS}/{int(name[2:]):020d}")
                 delete_path(spark, f"{self.path}/{name}")
                 gone.append(name)
         return gone
@@ -206,7 +236,7 @@ def create_tables(spark: SparkSession, lake_root: str, registry) -> DataFrame:
         fs.mkdirs(p)
         if g.current_version(spark) is None:
             spark.createDataFrame([], spec.gold_schema()).write.mode("overwrite").parquet(g.version_path(0))
-            write_text(spark, f"{g.path}/{POINTER}", "0")
+            g._publish(spark, 0)
         rows.append((spec.stage_table, "stage", st.path, len(st.schema().fields) - 1))
         rows.append((spec.gold_table, "gold", g.path, len(spec.gold_schema().fields)))
     return spark.createDataFrame(rows, "table string, kind string, location string, n_columns int")
