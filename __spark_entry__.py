@@ -19,7 +19,7 @@ from tidemark.functions.jsonfn import canonical_json, json_value
 from tidemark.functions.timestamps import safe_timestamp
 from tidemark.operators.dedup import latest_by_key, latest_for_spec, tie_breakers
 from tidemark.operators.merge import (
-    ACTION, merge_actions, merge_insert_only, merge_plan, merge_upsert,
+    ACTION, checked_merge_plan, merge_actions, merge_insert_only, merge_plan, merge_upsert,
 )
 from tidemark.operators.quality import key_gate, split_rejects
 from tidemark.operators.shape import with_partition_date, with_provenance, wrap_payload
@@ -119,7 +119,7 @@ def q_merge_idempotent(spark, sf):
     gold, stage = fx.explicit_layers(_events(spark, sf))
     src = _merge_source(stage, OE.hourly_days)
     once = merge_plan(gold, src, OE.key, OE.order_col, OE.row_columns, "shuffle").drop(ACTION)
-    twice = merge_plan(once, src, OE.key, OE.order_col, OE.row_columns, "broadcast").drop(ACTION)
+    twice = checked_merge_plan(once, src, OE.key, OE.order_col, OE.row_columns, "auto").drop(ACTION)
     return fx.as_ntz(twice)
 
 
@@ -128,7 +128,7 @@ def q_merge_insert_only(spark, sf):
     src = merge_source(stage, PAY, fx.AS_OF, PAY.hourly_days)
     gold_i = with_identity(gold, PAY)
     fresh = merge_insert_only(gold_i, src, "_identity", PAY.row_columns, fx.NOW, LAST_UPDATED,
-                              strategy="broadcast")
+                              strategy="auto")
     return fx.as_ntz(gold.unionByName(fresh))
 
 
@@ -454,7 +454,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unified_view_explicit_broadcast": q_unified_view_explicit_broadcast,
     "unified_view_payload_broadcast": q_unified_view_payload_broadcast,
     "merge_upsert_1d": _merge_upsert(1, "shuffle"),
-    "merge_upsert_2d": _merge_upsert(2, "broadcast"),
+    "merge_upsert_2d": _merge_upsert(2, "auto"),
     "merge_actions": q_merge_actions,
     "merge_idempotent": q_merge_idempotent,
     "merge_insert_only": q_merge_insert_only,

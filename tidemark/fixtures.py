@@ -34,7 +34,18 @@ NOW = dt.datetime(2024, 1, 31, 12, 0, 0)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One of the driver's tables, spread over the cores when its scan has
+    fewer splits than the cluster's parallelism.
+
+    The test tables are single-row-group files, which Spark reads in one
+    task; the fixtures then run JSON, regex and formatting expressions per
+    row, so a round-robin spread pays for itself. On large inputs the scan
+    already has enough splits and nothing is added."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
 
 
 def _ts(col: str = "ts") -> Column:

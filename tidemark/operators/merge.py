@@ -43,25 +43,52 @@ def estimate_row_bytes(schema: T.StructType) -> int:
     return 16 + sum(_TYPE_BYTES.get(type(f.dataType), 64) for f in schema.fields)
 
 
+def measure_bytes(source: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of ``source`` in one aggregation: fixed-width columns
+    by type, string columns by their actual UTF-8 length."""
+    strings = [f.name for f in source.schema.fields if isinstance(f.dataType, T.StringType)]
+    fixed = 16 + sum(_TYPE_BYTES.get(type(f.dataType), 64)
+                     for f in source.schema.fields if f.name not in strings)
+    text = sum((F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c in strings), F.lit(0))
+    row = source.agg(F.count(F.lit(1)).alias("n"), F.sum(text).alias("b")).first()
+    n = int(row["n"] or 0)
+    return n, n * fixed + int(row["b"] or 0)
+
+
 def choose_strategy(source: DataFrame, strategy: str = "auto",
                     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
                     source_rows: int | None = None) -> str:
-    """``auto`` → ``broadcast`` only when rows × row-size of the source is
-    under the limit. The row count is exact (an action on the already
-    materialised source), never a guess from file sizes."""
-    if strategy != "auto":
+    """Every broadcast is size-checked: ``auto`` and ``broadcast`` both give
+    ``broadcast`` only when rows × row width of the source is under the
+    limit, ``shuffle`` otherwise. Rows and string bytes are measured (one
+    aggregation over the source, which callers materialise first), never
+    guessed from file sizes."""
+    if strategy == "shuffle":
         return strategy
-    n = source.count() if source_rows is None else source_rows
-    size = n * estimate_row_bytes(source.schema)
+    if strategy not in ("auto", "broadcast"):
+        raise ValueError(f"unknown merge strategy {strategy!r}")
+    if source_rows is None:
+        n, size = measure_bytes(source)
+    else:
+        n, size = source_rows, source_rows * estimate_row_bytes(source.schema)
     chosen = "broadcast" if size <= broadcast_bytes else "shuffle"
     log.info("merge source %d rows ≈ %d bytes → %s", n, size, chosen)
     return chosen
 
 
+def checked_merge_plan(gold: DataFrame, source: DataFrame, key: str, order_col: str,
+                       columns: list[str], strategy: str = "auto",
+                       broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``merge_plan`` with the strategy passed through the size check."""
+    chosen = choose_strategy(source, strategy, broadcast_bytes)
+    return merge_plan(gold, source, key, order_col, columns, chosen)
+
+
 def merge_plan(gold: DataFrame, source: DataFrame, key: str, order_col: str,
                columns: list[str], strategy: str = "shuffle") -> DataFrame:
     """Next gold rows plus ``_action`` (insert / update / matched_not_newer /
-    gold_only).
+    gold_only). Low-level: ``strategy`` is taken as given; use
+    ``checked_merge_plan`` / ``merge_upsert`` for a size-checked choice.
 
     Rules (conditional upsert): matched and ``S.order > T.order`` → the
     source row replaces every column; matched otherwise (older, equal or a

@@ -57,7 +57,8 @@ def unified_view(spec: FolderSpec, gold: DataFrame, stage: DataFrame, as_of,
       exchanged on the key at every read).
     * ``broadcast`` the deduplicated stage window is broadcast and gold is
       streamed through a map-side join, so gold is never shuffled. Requires
-      gold to be unique per key (which the merge maintains).
+      gold to be unique per key (which the merge maintains). Size-checked
+      like ``auto``.
     * ``auto``      ``broadcast`` when the deduplicated window fits
       ``broadcast_bytes`` (exact row count, one action), else ``window``.
     """
@@ -66,9 +67,8 @@ def unified_view(spec: FolderSpec, gold: DataFrame, stage: DataFrame, as_of,
     out = spec.business_columns if spec.schema_type == EXPLICIT else spec.row_columns
     if strategy in ("auto", "broadcast"):
         src = latest_for_spec(with_identity(recent.select(*spec.row_columns), spec), spec)
-        if strategy == "auto":
-            strategy = {"broadcast": "broadcast", "shuffle": "window"}[
-                choose_strategy(src, "auto", broadcast_bytes)]
+        strategy = {"broadcast": "broadcast", "shuffle": "window"}[
+            choose_strategy(src, "auto", broadcast_bytes)]
         if strategy == "broadcast":
             g = with_identity(gold.select(*spec.row_columns), spec)
             return _latest_broadcast(g, src, spec).select(*out)

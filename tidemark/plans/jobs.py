@@ -19,7 +19,7 @@ from tidemark.operators.deadletter import (
 )
 from tidemark.operators.dedup import latest_for_spec
 from tidemark.operators.merge import (
-    DEFAULT_BROADCAST_BYTES, choose_strategy, merge_insert_only, merge_plan, ACTION,
+    DEFAULT_BROADCAST_BYTES, measure_bytes, merge_insert_only, merge_plan, ACTION,
 )
 from tidemark.operators.quality import key_gate, split_rejects
 from tidemark.operators.route import TAG_DEAD, UNKNOWN, registry_frame
@@ -150,20 +150,22 @@ def merge_folder(spark: SparkSession, cfg: PipelineConfig, spec: FolderSpec, as_
     stage = cfg.stage(spec).read(spark, as_of)
     gold_store = cfg.gold(spec)
     gold = gold_store.read(spark)
-    src = merge_source(stage, spec, as_of, days)
+    # the deduplicated window is small and read several times: materialise
+    # it once in the shared checkpoint folder (also cuts its lineage)
+    src = merge_source(stage, spec, as_of, days).checkpoint(eager=True)
     if spec.schema_type == EXPLICIT:
         ok, missing = key_gate(src, spec.key)
         write_dead_letters(
             row_dead_letters(missing, spec.gold_table, spec.row_columns, source_name, now_ts,
                              cfg.subscription), cfg.dead_letters)
-        ok = ok.checkpoint(eager=True)  # small, used 2-3 times; lineage cut
-        n = ok.count()
-        strategy = choose_strategy(ok, cfg.merge_strategy, cfg.broadcast_bytes, source_rows=n)
+        n, size = measure_bytes(ok)
+        strategy = ("shuffle" if cfg.merge_strategy == "shuffle"
+                    else "broadcast" if size <= cfg.broadcast_bytes else "shuffle")
         plan = merge_plan(gold, ok, spec.key, spec.order_col, spec.row_columns, strategy)
         version = gold_store.commit(spark, plan.drop(ACTION))
-        return {"folder": spec.folder, "source_rows": n, "strategy": strategy, "version": version}
+        return {"folder": spec.folder, "source_rows": n, "source_bytes": size,
+                "strategy": strategy, "version": version}
     ident = "_identity"
-    src = src.checkpoint(eager=True)
     n = src.count()
     gold_i = gold.withColumn(ident, F.col("payload"))
     fresh = merge_insert_only(gold_i, src, ident, spec.row_columns, now_ts, LAST_UPDATED,
