@@ -78,7 +78,7 @@ def q_union_layers(spark, sf):
 
 def q_unified_view_explicit(spark, sf):
     gold, stage = fx.explicit_layers(_events(spark, sf))
-    return fx.as_ntz(unified_view(OE, gold, stage, fx.AS_OF))
+    return fx.as_ntz(unified_view(OE, gold, stage, fx.AS_OF, strategy="window"))
 
 
 def q_unified_view_explicit_broadcast(spark, sf):
@@ -93,7 +93,7 @@ def q_unified_view_payload_broadcast(spark, sf):
 
 def q_unified_view_payload(spark, sf):
     gold, stage = fx.payload_layers(_events(spark, sf))
-    return fx.as_ntz(unified_view(PAY, gold, stage, fx.AS_OF))
+    return fx.as_ntz(unified_view(PAY, gold, stage, fx.AS_OF, strategy="window"))
 
 
 def _merge_source(stage, days):

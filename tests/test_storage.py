@@ -50,3 +50,17 @@ def test_create_tables(spark, tmp):
     rows = {(r["table"], r["kind"]) for r in t.collect()}
     assert ("STG_Order_Events", "stage") in rows and ("Order_Events", "gold") in rows
     assert GoldStore(f"{tmp}/gold/Order_Events", OE).current_version(spark) == 0
+
+
+def test_catalog_gold_uses_row_level_merge(spark, tmp):
+    """The catalog path issues Spark's MERGE; plain Parquet refuses it,
+    which proves the call reaches the table format."""
+    from tidemark.plans.storage import CatalogGoldStore
+
+    spark.sql("DROP TABLE IF EXISTS tidemark_gold_probe")
+    spark.createDataFrame([], OE.gold_schema()).write.format("parquet") \
+        .option("path", f"{tmp}/probe").saveAsTable("tidemark_gold_probe")
+    gold, _ = fx.explicit_layers(fx.table(spark, SF, "events"))
+    with pytest.raises(Exception, match="MERGE"):
+        CatalogGoldStore("tidemark_gold_probe", OE).upsert(gold)
+    spark.sql("DROP TABLE IF EXISTS tidemark_gold_probe")

@@ -44,7 +44,7 @@ def with_identity(df: DataFrame, spec: FolderSpec) -> DataFrame:
 
 
 def unified_view(spec: FolderSpec, gold: DataFrame, stage: DataFrame, as_of,
-                 days: int | None = None, strategy: str = "window",
+                 days: int | None = None, strategy: str = "auto",
                  broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Freshest row per key over gold ∪ recent stage.
 

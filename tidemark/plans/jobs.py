@@ -27,7 +27,7 @@ from tidemark.operators.shape import (
     project_explicit, stage_rows, with_partition_date, with_provenance, wrap_payload,
 )
 from tidemark.operators.views import stage_window, with_identity
-from tidemark.plans.storage import GoldStore, StageStore
+from tidemark.plans.storage import CatalogGoldStore, GoldStore, StageStore
 from tidemark.sources.objects import list_objects, lookback_cutoff, parse_execution_date
 from tidemark.specs import EXPLICIT, INGESTION_TS, LAST_UPDATED, FolderSpec, Registry, default_registry
 
@@ -45,6 +45,8 @@ class PipelineConfig:
     subscription: str = "deadletter"
     merge_strategy: str = "auto"
     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES
+    # folder → catalog table with row-level MERGE (see CatalogGoldStore)
+    catalog_gold: dict = field(default_factory=dict)
 
     def stage(self, spec: FolderSpec) -> StageStore:
         return StageStore(f"{self.lake_root}/stage/{spec.stage_table}", spec)
@@ -153,6 +155,8 @@ def merge_folder(spark: SparkSession, cfg: PipelineConfig, spec: FolderSpec, as_
     # the deduplicated window is small and read several times: materialise
     # it once in the shared checkpoint folder (also cuts its lineage)
     src = merge_source(stage, spec, as_of, days).checkpoint(eager=True)
+    if spec.folder in cfg.catalog_gold:
+        return _merge_catalog(spark, cfg, spec, src, now_ts, source_name)
     if spec.schema_type == EXPLICIT:
         ok, missing = key_gate(src, spec.key)
         write_dead_letters(
@@ -174,6 +178,20 @@ def merge_folder(spark: SparkSession, cfg: PipelineConfig, spec: FolderSpec, as_
     return {"folder": spec.folder, "source_rows": n, "version": version}
 
 
+def _merge_catalog(spark, cfg: PipelineConfig, spec: FolderSpec, src: DataFrame, now_ts,
+                   source_name: str) -> dict:
+    store = CatalogGoldStore(cfg.catalog_gold[spec.folder], spec)
+    if spec.schema_type == EXPLICIT:
+        ok, missing = key_gate(src, spec.key)
+        write_dead_letters(
+            row_dead_letters(missing, spec.gold_table, spec.row_columns, source_name, now_ts,
+                             cfg.subscription), cfg.dead_letters)
+        store.upsert(ok)
+    else:
+        store.insert_only(src, now_ts, LAST_UPDATED)
+    return {"folder": spec.folder, "table": store.table, "strategy": "catalog_merge"}
+
+
 def hourly_merge(spark: SparkSession, cfg: PipelineConfig, as_of=None, now=None) -> list[dict]:
     """L3: every folder with its hourly lookback."""
     as_of = as_of or dt.datetime.now(dt.timezone.utc).date()

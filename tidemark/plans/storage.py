@@ -240,3 +240,41 @@ def create_tables(spark: SparkSession, lake_root: str, registry) -> DataFrame:
         rows.append((spec.stage_table, "stage", st.path, len(st.schema().fields) - 1))
         rows.append((spec.gold_table, "gold", g.path, len(spec.gold_schema().fields)))
     return spark.createDataFrame(rows, "table string, kind string, location string, n_columns int")
+
+
+class CatalogGoldStore:
+    """Gold as a catalog table whose format supports row-level MERGE
+    (Iceberg, Delta, … configured on the cluster).
+
+    The merge is then Spark's own ``DataFrame.mergeInto``: the table format
+    rewrites only the files holding matched keys, instead of the snapshot
+    store's copy-on-write of the whole table. Same rules: update all columns
+    when ``S.order > T.order``, insert unmatched keys; insert-only for
+    payload tables. Plain Parquet tables refuse MERGE (Spark raises
+    ``UNSUPPORTED_FEATURE.TABLE_OPERATION``); use ``GoldStore`` there."""
+
+    def __init__(self, table: str, spec: FolderSpec):
+        self.table = table
+        self.spec = spec
+        self.alias = table.split(".")[-1].strip("`")
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.table(self.table)
+
+    def upsert(self, source: DataFrame) -> None:
+        key, order = self.spec.key, self.spec.order_col
+        t = self.alias
+        (source.select(*self.spec.row_columns).alias("S")
+         .mergeInto(self.table, F.expr(f"{t}.`{key}` = S.`{key}`"))
+         .whenMatched(F.expr(f"S.`{order}` > {t}.`{order}`")).updateAll()
+         .whenNotMatched().insertAll()
+         .merge())
+
+    def insert_only(self, source: DataFrame, now, last_updated: str) -> None:
+        t = self.alias
+        ident = (f"to_json(parse_json({t}.payload)) = to_json(parse_json(S.payload))")
+        (source.select(*self.spec.row_columns)
+         .withColumn(last_updated, F.lit(now).cast("timestamp")).alias("S")
+         .mergeInto(self.table, F.expr(ident))
+         .whenNotMatched().insertAll()
+         .merge())
