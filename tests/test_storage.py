@@ -64,3 +64,16 @@ def test_catalog_gold_uses_row_level_merge(spark, tmp):
     with pytest.raises(Exception, match="MERGE"):
         CatalogGoldStore("tidemark_gold_probe", OE).upsert(gold)
     spark.sql("DROP TABLE IF EXISTS tidemark_gold_probe")
+
+
+def test_append_stage_stream_and_read_layer(spark, tmp):
+    from tidemark.sources.layers import read_layer
+    from tidemark.streaming.ingest import append_stage_stream
+
+    _, stage = fx.explicit_layers(fx.table(spark, SF, "events"))
+    src = f"{tmp}/rows"
+    stage.write.parquet(src)
+    rows = spark.readStream.schema(stage.schema).parquet(src)
+    q = append_stage_stream(rows, StageStore(f"{tmp}/stage", OE), f"{tmp}/ck", available_now=True)
+    q.awaitTermination()
+    assert read_layer(spark, f"{tmp}/stage", OE).count() == stage.count()

@@ -1,7 +1,10 @@
 """Plans: storage layout and end-to-end batch jobs."""
 
 from tidemark.plans.jobs import PipelineConfig, daily_reprocess, hourly_merge, merge_folder
-from tidemark.plans.storage import GoldStore, StageStore, create_tables
+from tidemark.plans.storage import (
+    CatalogGoldStore, GoldStore, StageStore, append_stage, create_tables, expire_partitions,
+)
 
 __all__ = ["PipelineConfig", "daily_reprocess", "hourly_merge", "merge_folder",
-           "GoldStore", "StageStore", "create_tables"]
+           "CatalogGoldStore", "GoldStore", "StageStore", "append_stage", "create_tables",
+           "expire_partitions"]

@@ -278,3 +278,14 @@ class CatalogGoldStore:
          .mergeInto(self.table, F.expr(ident))
          .whenNotMatched().insertAll()
          .merge())
+
+
+def append_stage(rows: DataFrame, spec: FolderSpec, path: str, batch_id: str) -> None:
+    """K2: batch append of stage rows (an empty input writes nothing)."""
+    StageStore(path, spec).append(rows, batch_id)
+
+
+def expire_partitions(spark: SparkSession, path: str, spec: FolderSpec, as_of,
+                      days: int | None = None) -> list[str]:
+    """Drop stage partitions older than the retention."""
+    return StageStore(path, spec).expire(spark, as_of, days)

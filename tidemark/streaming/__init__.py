@@ -1,5 +1,5 @@
 """Structured Streaming ingest."""
 
-from tidemark.streaming.ingest import stream_ingest
+from tidemark.streaming.ingest import append_stage_stream, stream_ingest
 
-__all__ = ["stream_ingest"]
+__all__ = ["append_stage_stream", "stream_ingest"]

@@ -129,3 +129,17 @@ def stream_ingest(spark: SparkSession, cfg: PipelineConfig, checkpoint_location:
     elif trigger:
         w = w.trigger(processingTime=trigger)
     return w.start()
+
+
+def append_stage_stream(rows: DataFrame, store, checkpoint_location: str,
+                        trigger: str | None = DEFAULT_TRIGGER, available_now: bool = False
+                        ) -> StreamingQuery:
+    """K1 building block: a streaming DataFrame of shaped stage rows
+    (row columns + partition column) appended every ``trigger`` as stage
+    batch ``stream-<id>`` (replay-safe, see module doc)."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        store.append(batch, f"stream-{batch_id}")
+
+    w = rows.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint_location)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
+    return w.start()
