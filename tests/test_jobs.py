@@ -88,3 +88,13 @@ def test_batch_clock_is_fixed_per_batch(spark, tmp):
     assert batch_clock(spark, tmp, 7, lambda: t1) == t1
     assert batch_clock(spark, tmp, 7, lambda: t2) == t1  # replay: first clock wins
     assert batch_clock(spark, tmp, 8, lambda: t2) == t2
+
+
+def test_empty_window_merge_writes_nothing(spark, tmp):
+    from tidemark.plans.jobs import hourly_merge
+
+    cfg = cfg_for(tmp)
+    gold, _ = fx.explicit_layers(fx.table(spark, SF, "events"))
+    cfg.gold(OE).commit(spark, gold)
+    out = {m["folder"]: m for m in hourly_merge(spark, cfg, fx.AS_OF, NOW)}
+    assert out["Order_Events"]["strategy"] == "none" and out["Order_Events"]["version"] == 1

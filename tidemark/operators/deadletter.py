@@ -73,9 +73,13 @@ def union_dead_letters(*dfs: DataFrame) -> DataFrame:
 
 def write_dead_letters(df: DataFrame, path: str) -> bool:
     """Append to the dead-letter table (partitioned by publish date).
-    A failure is logged, never raised, so it cannot mask the original one."""
+    A failure is logged, never raised, so it cannot mask the original one.
+
+    Dead letters are the union of several sparse branches (hundreds of
+    mostly empty partitions); ``REBALANCE`` lets AQE pack them into files
+    of a sensible size instead of one small file per input partition."""
     try:
-        (df.withColumn(DEAD_LETTER_PARTITION, F.to_date("publish_time"))
+        (df.hint("rebalance").withColumn(DEAD_LETTER_PARTITION, F.to_date("publish_time"))
            .write.mode("append").partitionBy(DEAD_LETTER_PARTITION).parquet(path))
         return True
     except Exception as exc:  # noqa: BLE001 - by contract

@@ -163,6 +163,9 @@ def merge_folder(spark: SparkSession, cfg: PipelineConfig, spec: FolderSpec, as_
             row_dead_letters(missing, spec.gold_table, spec.row_columns, source_name, now_ts,
                              cfg.subscription), cfg.dead_letters)
         n, size = measure_bytes(ok)
+        if n == 0:  # nothing to promote: keep the current version, write nothing
+            return {"folder": spec.folder, "source_rows": 0, "strategy": "none",
+                    "version": gold_store.current_version(spark)}
         strategy = ("shuffle" if cfg.merge_strategy == "shuffle"
                     else "broadcast" if size <= cfg.broadcast_bytes else "shuffle")
         plan = merge_plan(gold, ok, spec.key, spec.order_col, spec.row_columns, strategy)
@@ -171,7 +174,9 @@ def merge_folder(spark: SparkSession, cfg: PipelineConfig, spec: FolderSpec, as_
                 "strategy": strategy, "version": version}
     ident = "_identity"
     n = src.count()
-    gold_i = gold.withColumn(ident, F.col("payload"))
+    if n == 0:
+        return {"folder": spec.folder, "source_rows": 0, "version": gold_store.current_version(spark)}
+    gold_i = with_identity(gold, spec)  # TO_JSON_STRING(T.payload) = … identity
     fresh = merge_insert_only(gold_i, src, ident, spec.row_columns, now_ts, LAST_UPDATED,
                               cfg.merge_strategy, cfg.broadcast_bytes)
     version = gold_store.append(spark, fresh)
