@@ -403,6 +403,14 @@ def q_daily_reprocess(spark, sf):
     return _daily_output(cfg, spark)
 
 
+def q_daily_reprocess_payload(spark, sf):
+    cfg = _lake(spark, "daily-payload")
+    fx.write_event_objects(_events(spark, sf), cfg.objects_root, folder=PAY.folder)
+    daily_reprocess(spark, cfg, EXEC_DATE, now=fx.NOW, as_of=fx.AS_OF)
+    g = cfg.gold(PAY).read(spark)
+    return fx.as_ntz(g.select("payload", "ingestion_timestamp", LAST_UPDATED))
+
+
 def q_stream_ingest(spark, sf):
     cfg = _lake(spark, "stream")
     fx.write_event_objects(_events(spark, sf), cfg.objects_root)
@@ -480,6 +488,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hourly_merge": q_hourly_merge,
     "hourly_merge_payload": q_hourly_merge_payload,
     "daily_reprocess": q_daily_reprocess,
+    "daily_reprocess_payload": q_daily_reprocess_payload,
     "stream_ingest": q_stream_ingest,
     "stream_ingest_notifications": q_stream_ingest_notifications,
 }
@@ -837,6 +846,11 @@ SELECT {_ROW_COLS}, p_date FROM stage WHERE p_date > DATE '2024-01-23'"""
 SELECT {_BIZ_COLS}, TIMESTAMP '2024-01-31 12:00:00' AS ingestion_timestamp FROM (
   SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY {daily_order}) AS _rn
   FROM ev_rows) WHERE _rn = 1"""
+    q["daily_reprocess_payload"] = f"""
+SELECT CAST({_RECORD_JSON} AS VARCHAR) AS payload,
+       TIMESTAMP '2024-01-31 12:00:00' AS ingestion_timestamp,
+       TIMESTAMP '2024-01-31 12:00:00' AS _last_updated
+FROM events"""
     return q
 
 

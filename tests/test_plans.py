@@ -38,3 +38,34 @@ def test_no_python_in_merge_plan(spark):
     df = E.queries()["merge_upsert_1d"](spark, SF)
     text = plan_text(df)
     assert "Python" not in text and "ArrowEval" not in text
+
+
+def _shuffle_records(df):
+    """Rows written by each shuffle of the executed (adaptive) plan."""
+    final = df._jdf.queryExecution().executedPlan().finalPhysicalPlan()
+    out = []
+
+    def walk(node):
+        if "ShuffleQueryStage" in node.nodeName():
+            out.append(node.plan().metrics().get("shuffleRecordsWritten").get().value())
+        it = node.children().iterator()
+        while it.hasNext():
+            walk(it.next())
+
+    walk(final)
+    return out
+
+
+def test_hot_key_is_cut_before_the_shuffle(spark):
+    """One key holds 60% of the rows; each map task forwards one row for it."""
+    from pyspark.sql import functions as F
+
+    ev = fx.table(spark, "/root/testdata/sf0.01", "events")
+    hot = ev.withColumn("k", F.when(F.col("event_type").isin("click", "view", "error"),
+                                    F.lit(-1)).otherwise(F.col("user_id")))
+    maps = hot.rdd.getNumPartitions()
+    keys = hot.select("k").distinct().count()
+    df = latest_by_key(hot, "k", "ts", ["event_id"])
+    assert df.count() == keys
+    written = _shuffle_records(df)
+    assert written and max(written) <= maps * keys < hot.filter("k = -1").count()
