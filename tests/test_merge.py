@@ -100,3 +100,58 @@ def test_merge_properties(spark, gold, stage):
     for k, t in before.items():                                      # never goes back in time
         if t is not None:
             assert after[k] is not None and after[k] >= t
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(data=st.data())
+def test_merging_slices_in_order_equals_merging_once(spark, data):
+    n_g = data.draw(st.integers(0, 5))
+    n_s = data.draw(st.integers(1, 10))
+    hours_all = data.draw(st.lists(st.integers(0, 500), min_size=n_g + n_s, max_size=n_g + n_s,
+                                   unique=True))
+    gkeys = data.draw(st.lists(st.sampled_from(list("abcdefgh")), min_size=n_g, max_size=n_g,
+                               unique=True))
+    skeys = data.draw(st.lists(st.sampled_from(list("abcdefgh")), min_size=n_s, max_size=n_s))
+    cut = data.draw(st.integers(0, n_s))
+    gold = [(k, "g", h) for k, h in zip(gkeys, hours_all[:n_g])]
+    stage = [(k, f"s{i}", h) for i, (k, h) in enumerate(zip(skeys, hours_all[n_g:]))]
+
+    def df(rows):
+        return spark.createDataFrame([(k, v, ts(h)) for k, v, h in rows], SCHEMA)
+
+    def merge(g, s):
+        src = latest_by_key(s, "record_id", "ingestion_timestamp", ["status"])
+        return merge_plan(g, src, "record_id", "ingestion_timestamp", COLS, "shuffle").drop(ACTION)
+
+    once = merge(df(gold), df(stage))
+    sliced = merge(merge(df(gold), df(stage[:cut])), df(stage[cut:]))
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, sliced.collect()))
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(data=st.data())
+def test_view_equals_merge_on_unique_times(spark, data):
+    from tidemark.operators.views import unified_view
+    from tidemark.specs import FolderSpec
+
+    spec = FolderSpec(folder="F", stage_table="S", gold_table="G", key="record_id",
+                      columns=(("record_id", "STRING"), ("status", "STRING")), view_days=1)
+    n_g = data.draw(st.integers(0, 5))
+    n_s = data.draw(st.integers(0, 8))
+    hours_all = data.draw(st.lists(st.integers(0, 40), min_size=n_g + n_s, max_size=n_g + n_s,
+                                   unique=True))
+    gkeys = data.draw(st.lists(st.sampled_from(list("abcdef")), min_size=n_g, max_size=n_g,
+                               unique=True))
+    skeys = data.draw(st.lists(st.sampled_from(list("abcdef")), min_size=n_s, max_size=n_s))
+    schema = "record_id string, status string, source_file string, ingestion_timestamp timestamp"
+    g = spark.createDataFrame([(k, "g", "f", ts(h)) for k, h in zip(gkeys, hours_all[:n_g])], schema)
+    s = spark.createDataFrame([(k, f"s{i}", "f", ts(h), ts(h).date())
+                               for i, (k, h) in enumerate(zip(skeys, hours_all[n_g:]))],
+                              schema + ", p_date date")
+    as_of = T0.date()  # window of 1 day before T0: every stage row (no upper bound)
+    view = unified_view(spec, g, s, as_of, strategy="window")
+    src = latest_by_key(s, "record_id", "ingestion_timestamp", ["source_file", "status"])
+    merged = merge_plan(g, src, "record_id", "ingestion_timestamp", spec.row_columns, "shuffle")
+    a = sorted(map(tuple, view.collect()))
+    b = sorted(map(tuple, merged.select(*spec.business_columns).collect()))
+    assert a == b
