@@ -98,3 +98,26 @@ def test_empty_window_merge_writes_nothing(spark, tmp):
     cfg.gold(OE).commit(spark, gold)
     out = {m["folder"]: m for m in hourly_merge(spark, cfg, fx.AS_OF, NOW)}
     assert out["Order_Events"]["strategy"] == "none" and out["Order_Events"]["version"] == 1
+
+
+def test_notification_stream_payload_partition_is_never_null(spark, tmp):
+    from pyspark.sql import functions as F
+
+    from tidemark.specs import NOTIFICATION_EVENTS as PAY
+
+    cfg = cfg_for(tmp)
+    ev = fx.table(spark, SF, "events").filter("event_type = 'view'")
+    written = fx.write_event_objects(ev, cfg.objects_root, folder=PAY.folder)
+    root = cfg.objects_root.removeprefix("file:")
+    notif = written.select(
+        F.col("name").alias("message_id"), F.lit(None).cast("timestamp").alias("publish_time"),
+        F.create_map(F.lit("eventType"), F.lit("OBJECT_FINALIZE"), F.lit("objectId"), F.col("name"),
+                     F.lit("bucketId"), F.lit(root)).alias("attributes"),
+        F.lit(None).cast("string").alias("data"))
+    notif.write.json(f"{tmp}/notif")
+    stream_ingest(spark, cfg, f"{tmp}/ck", source="notifications", notifications_path=f"{tmp}/notif",
+                  scheme="file", available_now=True, now_fn=lambda: NOW).awaitTermination()
+    stage = cfg.stage(PAY).read(spark)
+    assert stage.count() == ev.count()
+    assert stage.filter("_partition_date IS NULL").count() == 0
+    assert stage.select("_partition_date").distinct().collect()[0][0] == NOW.date()

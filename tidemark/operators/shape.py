@@ -61,11 +61,16 @@ def project_explicit(records: DataFrame, spec: FolderSpec,
 def wrap_payload(records: DataFrame, record_col: str = "record_json",
                  date_col: str | None = "modificationTime") -> DataFrame:
     """Whole record as canonical JSON ``payload``; payload stage is
-    partitioned by the object's update date (``date_col``), else by the
-    ingestion date."""
+    partitioned by the object's update date (``date_col``), falling back to
+    the ingestion date where the update time is unknown (objects opened by
+    URI from a notification), so the partition is never NULL."""
     out = records.withColumn("payload", canonical_json(record_col))
-    src = date_col if date_col and date_col in records.columns else INGESTION_TS
-    return out.withColumn(PAYLOAD_PARTITION, F.to_date(F.col(src)))
+    ingest = F.col(INGESTION_TS) if INGESTION_TS in records.columns else F.lit(None)
+    if date_col and date_col in records.columns:
+        day = F.coalesce(F.to_date(F.col(date_col)), F.to_date(ingest))
+    else:
+        day = F.to_date(ingest)
+    return out.withColumn(PAYLOAD_PARTITION, day)
 
 
 def stage_rows(shaped: DataFrame, spec: FolderSpec) -> DataFrame:

@@ -7,15 +7,21 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-SESSION_CONF = {
+# Required for the semantics (DATE(ts) and "now" are UTC, as in the source).
+REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Many small .json.gz objects: pack several into one read task.
-    "spark.sql.files.openCostInBytes": str(1 << 20),
 }
+# Preferred settings: applied only where the session still has Spark's own
+# default, so a cluster operator's choice is never overridden.
+PREFERRED_CONF = {
+    "spark.sql.adaptive.enabled": ("true", "true"),
+    "spark.sql.adaptive.coalescePartitions.enabled": ("true", "true"),
+    "spark.sql.adaptive.skewJoin.enabled": ("true", "true"),
+    "spark.sql.execution.arrow.pyspark.enabled": ("false", "true"),
+    # Many small .json.gz objects: pack more of them into one read task.
+    "spark.sql.files.openCostInBytes": ("4194304", str(1 << 20)),
+}
+SESSION_CONF = {**REQUIRED_CONF, **{k: v for k, (_, v) in PREFERRED_CONF.items()}}
 
 
 def build_session(master: str | None = None, app: str = "tidemark",
@@ -41,10 +47,14 @@ _SPARK_DEFAULT_LISTING_PARALLELISM = "10000"
 
 
 def apply_session_conf(spark: SparkSession) -> None:
-    """Runtime SQL settings every operator relies on (UTC clock, AQE)."""
-    for k, v in SESSION_CONF.items():
+    """Runtime SQL settings the operators rely on (UTC clock; AQE and file
+    packing where the operator has not chosen otherwise)."""
+    for k, v in REQUIRED_CONF.items():
+        spark.conf.set(k, v)
+    for k, (spark_default, v) in PREFERRED_CONF.items():
         try:
-            spark.conf.set(k, v)
+            if spark.conf.get(k, spark_default) == spark_default:
+                spark.conf.set(k, v)
         except Exception:  # static conf on a shared session: keep cluster value
             pass
     # A micro-batch of N new objects is listed by a job of up to N tasks
