@@ -224,8 +224,8 @@ EXEC_DATE = "2024-01-30T12:00:00Z"
 
 
 def _objects(spark, sf, name, layouts=None, default=fx.GOOD_NDJSON, folder="Order_Events"):
-    root = work_dir(spark, name)
-    fx.write_event_objects(_events(spark, sf), root, layouts, default, folder)
+    """Read-only .json.gz objects derived from ``events`` (shared per process)."""
+    root, _ = fx.event_objects(_events(spark, sf), sf, layouts, default, folder)
     return root
 
 
@@ -341,9 +341,9 @@ def q_list_objects_cutoff(spark, sf):
     return fx.as_ntz(filter_listing(listing, OE.folder, lookback_cutoff(EXEC_DATE)))
 
 
-def _lake(spark, name):
+def _lake(spark, name, objects_root=None):
     base = work_dir(spark, name)
-    return PipelineConfig(lake_root=f"{base}/lake", objects_root=f"{base}/objects",
+    return PipelineConfig(lake_root=f"{base}/lake", objects_root=objects_root or f"{base}/objects",
                           registry=default_registry())
 
 
@@ -395,8 +395,7 @@ def _daily_output(cfg, spark):
 
 
 def q_daily_reprocess(spark, sf):
-    cfg = _lake(spark, "daily")
-    fx.write_event_objects(_events(spark, sf), cfg.objects_root)
+    cfg = _lake(spark, "daily", _objects(spark, sf, "objects"))
     gold, _ = fx.explicit_layers(_events(spark, sf))
     cfg.gold(OE).commit(spark, gold)
     daily_reprocess(spark, cfg, EXEC_DATE, now=fx.NOW, as_of=fx.AS_OF)
@@ -404,16 +403,14 @@ def q_daily_reprocess(spark, sf):
 
 
 def q_daily_reprocess_payload(spark, sf):
-    cfg = _lake(spark, "daily-payload")
-    fx.write_event_objects(_events(spark, sf), cfg.objects_root, folder=PAY.folder)
+    cfg = _lake(spark, "daily-payload", _objects(spark, sf, "objects", folder=PAY.folder))
     daily_reprocess(spark, cfg, EXEC_DATE, now=fx.NOW, as_of=fx.AS_OF)
     g = cfg.gold(PAY).read(spark)
     return fx.as_ntz(g.select("payload", "ingestion_timestamp", LAST_UPDATED))
 
 
 def q_stream_ingest(spark, sf):
-    cfg = _lake(spark, "stream")
-    fx.write_event_objects(_events(spark, sf), cfg.objects_root)
+    cfg = _lake(spark, "stream", _objects(spark, sf, "objects"))
     ckpt = f"{cfg.lake_root}/_checkpoints/ingest"
     q = stream_ingest(spark, cfg, ckpt, available_now=True,
                       now_fn=lambda: fx.NOW.replace(tzinfo=dt.timezone.utc))
@@ -429,8 +426,8 @@ def _scheme_and_bucket(root: str) -> tuple[str, str]:
 
 
 def q_stream_ingest_notifications(spark, sf):
-    cfg = _lake(spark, "stream-notif")
-    written = fx.write_event_objects(_events(spark, sf), cfg.objects_root)
+    root, written = fx.event_objects(_events(spark, sf), sf)
+    cfg = _lake(spark, "stream-notif", root)
     scheme, bucket = _scheme_and_bucket(cfg.objects_root)
     # one finalize notification per object, plus one for an object that
     # was never written (read error -> dead letter, no rows)

@@ -248,3 +248,24 @@ def write_event_objects(events: DataFrame, root: str, layouts: dict[str, str] |
     manifest = f"{root.rstrip('/')}/_manifest"
     written.write.mode("overwrite").parquet(manifest)  # runs the writers once
     return events.sparkSession.read.parquet(manifest)
+
+
+_OBJECT_SETS: dict = {}
+
+
+def event_objects(events: DataFrame, sf_dir: str, layouts: dict[str, str] | None = None,
+                  default: str = GOOD_NDJSON, folder: str = "Order_Events") -> tuple[str, DataFrame]:
+    """Write-once, read-only object fixture shared by the queries of one
+    process: ``(root, manifest)``. Written again if its folder is gone."""
+    from tidemark.plans.storage import path_exists
+    from tidemark.session import checkpoint_root, work_dir
+
+    spark = events.sparkSession
+    key = (checkpoint_root(spark), sf_dir.rstrip("/"), tuple(sorted((layouts or {}).items())),
+           default, folder)
+    root = _OBJECT_SETS.get(key)
+    if root is None or not path_exists(spark, f"{root}/_manifest"):
+        root = work_dir(spark, "objects")
+        write_event_objects(events, root, layouts, default, folder)
+        _OBJECT_SETS[key] = root
+    return root, spark.read.parquet(f"{root}/_manifest")
