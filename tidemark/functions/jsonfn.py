@@ -27,13 +27,3 @@ def json_value(col: Column | str, path: str) -> Column:
     kind = F.schema_of_variant(node)
     scalar = ~(kind.startswith("OBJECT") | kind.startswith("ARRAY") | (kind == "VOID"))
     return F.when(scalar, F.try_variant_get(v, path, "string"))
-
-
-def json_field_text(v: Column, name: str) -> Column:
-    """Text of one top-level field of a parsed record (strings unquoted,
-    numbers/booleans as literals, objects/arrays as JSON)."""
-    return F.try_variant_get(v, f"$.{name}", "string")
-
-
-def json_field_is_string(v: Column, name: str) -> Column:
-    return F.schema_of_variant(F.try_variant_get(v, f"$.{name}", "variant")) == "STRING"
