@@ -114,7 +114,7 @@ def test_notification_stream_payload_partition_is_never_null(spark, tmp):
         F.create_map(F.lit("eventType"), F.lit("OBJECT_FINALIZE"), F.lit("objectId"), F.col("name"),
                      F.lit("bucketId"), F.lit(root)).alias("attributes"),
         F.lit(None).cast("string").alias("data"))
-    notif.write.json(f"{tmp}/notif")
+    notif.unionByName(notif).write.json(f"{tmp}/notif")  # every message delivered twice
     stream_ingest(spark, cfg, f"{tmp}/ck", source="notifications", notifications_path=f"{tmp}/notif",
                   scheme="file", available_now=True, now_fn=lambda: NOW).awaitTermination()
     stage = cfg.stage(PAY).read(spark)

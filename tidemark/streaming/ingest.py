@@ -86,8 +86,10 @@ def notification_batch_writer(spark: SparkSession, cfg: PipelineConfig, scheme:
             bad_msgs = file_dead_letters(
                 parts[TAG_DEAD].select("table", "source_file", "error"),
                 SOURCE_STREAM, naive, cfg.subscription)
+            # a redelivered notification must not read its object twice
             objs = (parts[TAG_OBJECT]
                     .select(F.col("source_file").alias("path"), "name")
+                    .dropDuplicates(["path"])
                     .withColumn("folder", folder_of("name")))
             known, unknown_dl = unknown_folder_dead_letters(objs, cfg, SOURCE_STREAM, now)
             decoded = persist(decode_paths(known.withColumn("folder", folder_of("name"))))
