@@ -127,12 +127,11 @@ def merge_plan(gold: DataFrame, source: DataFrame, key: str, order_col: str,
         .otherwise(F.lit(KEEP_MATCHED))
     )
     gold_side = updated.select(*pick(action))
-    matched_keys = gold.select(key).join(
-        F.broadcast(source.select(key)), key, "left_semi"
-    )
+    # same projection of the source in all three uses: one broadcast, reused
+    s_all = source.select(*columns)
+    matched_keys = gold.select(key).join(F.broadcast(s_all), key, "left_semi")
     inserts = (
-        source.select(*columns)
-        .join(F.broadcast(matched_keys), key, "left_anti")
+        s_all.join(F.broadcast(matched_keys), key, "left_anti")
         .withColumn(ACTION, F.lit(INSERT))
     )
     return gold_side.unionByName(inserts)

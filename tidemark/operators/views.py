@@ -93,6 +93,9 @@ def _latest_broadcast(gold: DataFrame, src: DataFrame, spec: FolderSpec) -> Data
         F.struct(*[F.col(f"S.{c}") for c in order]) > F.struct(*[F.col(f"T.{c}") for c in order]))
     gold_side = t.join(F.broadcast(s), F.col(f"T.{ident}") == F.col(f"S.{ident}"), "left_outer") \
         .select(*[F.when(s_first, F.col(f"S.{c}")).otherwise(F.col(f"T.{c}")).alias(c) for c in cols])
-    matched = gold.select(ident).join(F.broadcast(src.select(ident)), ident, "left_semi")
-    fresh = src.select(*cols).join(F.broadcast(matched), ident, "left_anti")
+    # the three uses of the source share one projection, so Spark reuses its
+    # broadcast and its dedup exchange instead of computing them three times
+    s_all = src.select(*cols)
+    matched = gold.select(ident).join(F.broadcast(s_all), ident, "left_semi")
+    fresh = s_all.join(F.broadcast(matched), ident, "left_anti")
     return gold_side.unionByName(fresh)
