@@ -72,3 +72,24 @@ def test_decode_paths_missing_object(spark, local_tmp):
     rows = sorted(decode_paths(df).collect(), key=lambda r: r["path"])
     assert rows[0]["record_json"] == '{"record_id":"x"}' and rows[0]["folder"] == "Order_Events"
     assert rows[1]["record_json"] is None and rows[1]["error"].startswith("read:")
+
+
+def test_every_object_is_accounted_for(spark):
+    """|objects with records| + |dead objects| + |blank objects| = |objects|,
+    and no object is both (all-or-nothing)."""
+    from pyspark.sql import functions as F
+
+    from tidemark import fixtures as fx
+    from tidemark.plans.jobs import decode_listing
+    from tidemark.sources.objects import list_objects
+
+    ev = fx.table(spark, "/root/testdata/sf0.001", "events")
+    root, manifest = fx.event_objects(ev, "/root/testdata/sf0.001", fx.BAD_FILE_LAYOUT)
+    dec = decode_listing(list_objects(spark, root, "Order_Events", "2000-01-01"), root)
+    per = dec.groupBy("path").agg(F.count("record_json").alias("n"),
+                                  F.count("error").alias("e")).collect()
+    assert len(per) == manifest.count()
+    assert all((r["n"] == 0 and r["e"] == 1) or (r["n"] > 0 and r["e"] == 0) for r in per)
+    assert not [r for r in per if r["n"] > 0 and r["e"] > 0]
+    good = dec.filter("error IS NULL").count()
+    assert good == ev.filter("event_type IN ('click', 'view')").count()
