@@ -93,3 +93,40 @@ def test_every_object_is_accounted_for(spark):
     assert not [r for r in per if r["n"] > 0 and r["e"] > 0]
     good = dec.filter("error IS NULL").count()
     assert good == ev.filter("event_type IN ('click', 'view')").count()
+
+
+EXTRA = {
+    "lead_trail_ws": GZ(b'\n  \n  {"a":1}\n{"b":2}  \n\n'),
+    "bad_last_ws": GZ(b'{"a":1}\n{"b":2 \n\n'),
+    "crlf": GZ(b'{"a":1}\r\n{"b":2}\r\n'),
+    "unicode_seps": GZ('{"a":1} {"b":"é"}\x85{"c":3}'.encode()),
+    "late_utf8": GZ(b'{"a":1}\n' * 50 + b'{oops}\n' + b'\xff\n'),
+    "truncated": GZ(b'{"a":1}\n' * 200)[:-12],
+    "json_then_ok": GZ(b'{oops\n' + b'{"a":1}\n' * 100),
+    "scalar_line": GZ(b'{"a":1}\n5\n'),
+}
+
+
+@pytest.mark.parametrize("case", sorted(set(CASES) | set(EXTRA)))
+def test_streaming_decode_matches_whole_object(case, monkeypatch):
+    """Large objects are decoded in two streaming passes; results and error
+    kinds must equal the whole-object decode."""
+    from tidemark.operators import decode as D
+
+    data = CASES[case][0] if case in CASES else EXTRA[case]
+
+    def run():
+        try:
+            return list(D.iter_records(data)), None
+        except DecodeError as e:
+            return None, (e.kind, str(e))
+
+    whole = run()
+    monkeypatch.setattr(D, "STREAM_THRESHOLD", 0)
+    monkeypatch.setattr(D, "_CHUNK", 7)  # tiny chunks: lines and UTF-8 split across reads
+    streamed = run()
+    assert streamed[0] == whole[0]
+    if whole[1] is not None:
+        assert streamed[1][0] == whole[1][0]
+        if whole[1][0] in ("json", "not_object"):
+            assert streamed[1][1] == whole[1][1]

@@ -12,7 +12,9 @@ Memory bound per task: one decompressed object (gzip is not splittable).
 
 from __future__ import annotations
 
+import codecs
 import gzip
+import io
 import json
 import zlib
 from collections.abc import Iterator
@@ -85,6 +87,107 @@ def decode_blob(data: bytes | None) -> list[str]:
     return out
 
 
+# Objects whose compressed size is above this are decoded in two streaming
+# passes (validate, then emit) so memory stays bounded by one line and one
+# output batch instead of the whole decompressed object.
+STREAM_THRESHOLD = 64 << 20
+_CHUNK = 1 << 20
+_GZIP_ERRORS = (OSError, EOFError, zlib.error)
+
+
+def _stream_text_lines(blob: bytes) -> Iterator[str]:
+    """The lines of ``gunzip(blob).decode('utf-8').strip().splitlines()``,
+    produced incrementally. Errors have the whole-object precedence: a gzip
+    error anywhere wins over a UTF-8 error (the object would not even
+    decompress), so after a UTF-8 error the rest is still decompressed."""
+    dec = codecs.getincrementaldecoder("utf-8")()
+    buf, started, pending, utf8_err = "", False, None, None
+    try:
+        with gzip.GzipFile(fileobj=io.BytesIO(blob)) as gz:
+            while True:
+                chunk = gz.read(_CHUNK)
+                final = not chunk
+                if utf8_err is None:
+                    try:
+                        buf += dec.decode(chunk, final=final)
+                    except UnicodeDecodeError as exc:
+                        utf8_err = exc
+                if final:
+                    break
+                if utf8_err is not None:
+                    continue
+                lines = buf.splitlines(keepends=True)
+                buf = lines.pop() if lines and lines[-1].splitlines()[0] == lines[-1] else ""
+                for ln in lines:
+                    text = ln.splitlines()[0] if ln.splitlines() else ""
+                    if not text.strip():
+                        continue  # blank lines never hold a record
+                    if not started:
+                        text, started = text.lstrip(), True
+                    if pending is not None:
+                        yield pending
+                    pending = text
+    except _GZIP_ERRORS as exc:
+        raise DecodeError("gzip", str(exc)) from None
+    if utf8_err is not None:
+        raise DecodeError("utf8", str(utf8_err))
+    for ln in buf.splitlines():
+        if not ln.strip():
+            continue
+        if not started:
+            ln, started = ln.lstrip(), True
+        if pending is not None:
+            yield pending
+        pending = ln
+    if pending is not None:
+        pending = pending.rstrip()
+        if pending:
+            yield pending
+
+
+def _first_char(blob: bytes) -> str:
+    for ln in _stream_text_lines(blob):
+        return ln[:1]
+    return ""
+
+
+def _stream_ndjson(blob: bytes, emit: bool) -> Iterator[str]:
+    first_err = None
+    i = 0
+    for line in _stream_text_lines(blob):
+        if first_err is not None or not line.strip():
+            continue  # keep draining: gzip / UTF-8 errors take precedence
+        try:
+            rec = json.loads(line)
+        except (ValueError, RecursionError) as exc:
+            first_err = DecodeError("json", str(exc))
+            continue
+        if not isinstance(rec, dict):
+            first_err = DecodeError(
+                "not_object", f"record {i} is {type(rec).__name__}, expected object")
+            continue
+        if emit:
+            yield json.dumps(rec, ensure_ascii=False, separators=(",", ":"))
+        i += 1
+    if first_err is not None:
+        raise first_err
+
+
+def iter_records(blob: bytes | None) -> Iterator[str]:
+    """Records of one object, all-or-nothing: any ``DecodeError`` is raised
+    before the first record is produced. Small objects are decoded in
+    memory (``decode_blob``); large NDJSON objects in two streaming passes."""
+    if blob is None or len(blob) <= STREAM_THRESHOLD:
+        yield from decode_blob(blob)
+        return
+    if _first_char(blob) == "[":  # one JSON array: needs the whole text
+        yield from decode_blob(blob)
+        return
+    for _ in _stream_ndjson(blob, emit=False):  # pass 1: validate only
+        pass
+    yield from _stream_ndjson(blob, emit=True)   # pass 2: emit
+
+
 class _Out:
     """Column buffers flushed as Arrow batches of bounded size."""
 
@@ -111,17 +214,23 @@ class _Out:
         return pa.RecordBatch.from_arrays(arrays, schema=_OUT_ARROW)
 
 
+_END = object()
+
+
 def _decode_rows(paths, mtimes, blobs, out: _Out) -> Iterator[pa.RecordBatch]:
     for path, mtime, blob in zip(paths, mtimes, blobs):
+        records = iter_records(blob)
         try:
-            records = decode_blob(blob)
+            first = next(records, _END)  # a bad object fails here, before any row
         except DecodeError as exc:
             out.add(path, mtime, None, None, str(exc))
-        else:
-            for i, rec in enumerate(records):
-                out.add(path, mtime, i, rec, None)
+            first = _END
+        if first is not _END:
+            out.add(path, mtime, 0, first, None)
+            for i, rec in enumerate(records, start=1):
                 if len(out) >= _BATCH_ROWS:
                     yield out.batch()
+                out.add(path, mtime, i, rec, None)
         if len(out) >= _BATCH_ROWS:
             yield out.batch()
 
@@ -168,31 +277,41 @@ def _open_path(path: str) -> bytes:
 
 
 def _decode_path_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    cols = {f.name: [] for f in _PATH_OUT_FIELDS}
+
+    def add(path, ordinal, rec, err, folder):
+        cols["path"].append(path)
+        cols["modificationTime"].append(None)
+        cols["ordinal"].append(ordinal)
+        cols["record_json"].append(rec)
+        cols["error"].append(err)
+        cols["folder"].append(folder)
+
     for b in batches:
         paths = b.column("path").to_pylist()
         folders = b.column("folder").to_pylist()
-        cols = {f.name: [] for f in _PATH_OUT_FIELDS}
         for path, folder in zip(paths, folders):
             try:
-                records, error = decode_blob(_open_path(path)), None
+                records = iter_records(_open_path(path))
+                first = next(records, _END)  # a bad object fails before any row
             except DecodeError as exc:
-                records, error = [], str(exc)
+                add(path, None, None, str(exc), folder)
+                first = _END
             except Exception as exc:  # missing / unreadable object → dead letter
-                records, error = [], f"read: {exc}"
-            rows = [(i, r, None) for i, r in enumerate(records)] if error is None \
-                else [(None, None, error)]
-            for ordinal, rec, err in rows:
-                cols["path"].append(path)
-                cols["modificationTime"].append(None)
-                cols["ordinal"].append(ordinal)
-                cols["record_json"].append(rec)
-                cols["error"].append(err)
-                cols["folder"].append(folder)
+                add(path, None, None, f"read: {exc}", folder)
+                first = _END
+            if first is not _END:
+                add(path, 0, first, None, folder)
+                for i, rec in enumerate(records, start=1):
+                    if len(cols["path"]) >= _BATCH_ROWS:
+                        yield _to_batch(cols)
+                        cols = {f.name: [] for f in _PATH_OUT_FIELDS}
+                    add(path, i, rec, None, folder)
             if len(cols["path"]) >= _BATCH_ROWS:
                 yield _to_batch(cols)
                 cols = {f.name: [] for f in _PATH_OUT_FIELDS}
-        if cols["path"]:
-            yield _to_batch(cols)
+    if cols["path"]:
+        yield _to_batch(cols)
 
 
 _PATH_OUT_FIELDS = _OUT_FIELDS + [pa.field("folder", pa.string())]
