@@ -121,3 +121,17 @@ def test_notification_stream_payload_partition_is_never_null(spark, tmp):
     assert stage.count() == ev.count()
     assert stage.filter("_partition_date IS NULL").count() == 0
     assert stage.select("_partition_date").distinct().collect()[0][0] == NOW.date()
+
+
+def test_rerun_keeps_the_gold_version(spark, tmp):
+    from tidemark.plans.jobs import hourly_merge
+
+    cfg = cfg_for(tmp)
+    gold, stage = fx.explicit_layers(fx.table(spark, SF, "events"))
+    cfg.gold(OE).commit(spark, gold)
+    cfg.stage(OE).append(stage, "b1")
+    first = {m["folder"]: m for m in hourly_merge(spark, cfg, fx.AS_OF, NOW)}["Order_Events"]
+    rows = sorted(map(tuple, cfg.gold(OE).read(spark).collect()), key=repr)
+    again = {m["folder"]: m for m in hourly_merge(spark, cfg, fx.AS_OF, NOW)}["Order_Events"]
+    assert first["version"] == 2 and again["strategy"] == "unchanged" and again["version"] == 2
+    assert sorted(map(tuple, cfg.gold(OE).read(spark).collect()), key=repr) == rows

@@ -145,6 +145,19 @@ def merge_source(stage: DataFrame, spec: FolderSpec, as_of, days: int) -> DataFr
     return latest_for_spec(with_identity(recent.select(*spec.row_columns), spec), spec)
 
 
+def changed_rows(gold: DataFrame, source: DataFrame, key: str, order_col: str,
+                 source_rows: int) -> int:
+    """Source rows the upsert would write (inserts + updates), from gold's
+    key and order columns only, joined map-side to the broadcast source
+    (call only when the source passed the broadcast size check)."""
+    s = source.select(key, F.col(order_col).alias("_s_order"))
+    kept = (gold.select(key, order_col)
+            .join(F.broadcast(s), key)
+            .filter(~F.coalesce(F.col("_s_order") > F.col(order_col), F.lit(False)))
+            .count())
+    return source_rows - kept
+
+
 def merge_folder(spark: SparkSession, cfg: PipelineConfig, spec: FolderSpec, as_of,
                  days: int, now=None, source_name: str = SOURCE_BATCH) -> dict:
     """M3: promote the stage window of one folder into its gold table."""
@@ -168,6 +181,11 @@ def merge_folder(spark: SparkSession, cfg: PipelineConfig, spec: FolderSpec, as_
                     "version": gold_store.current_version(spark)}
         strategy = ("shuffle" if cfg.merge_strategy == "shuffle"
                     else "broadcast" if size <= cfg.broadcast_bytes else "shuffle")
+        if strategy == "broadcast" and changed_rows(gold, ok, spec.key, spec.order_col, n) == 0:
+            # every source row is already in gold (rerun, or no new data in
+            # the window): keep the current version instead of rewriting it
+            return {"folder": spec.folder, "source_rows": n, "source_bytes": size,
+                    "strategy": "unchanged", "version": gold_store.current_version(spark)}
         plan = merge_plan(gold, ok, spec.key, spec.order_col, spec.row_columns, strategy)
         version = gold_store.commit(spark, plan.drop(ACTION))
         return {"folder": spec.folder, "source_rows": n, "source_bytes": size,
