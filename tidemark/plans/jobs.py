@@ -28,6 +28,7 @@ from tidemark.operators.shape import (
 )
 from tidemark.operators.views import stage_window, with_identity
 from tidemark.plans.storage import CatalogGoldStore, GoldStore, StageStore
+from tidemark.session import apply_session_conf
 from tidemark.sources.objects import list_objects, lookback_cutoff, parse_execution_date
 from tidemark.specs import EXPLICIT, INGESTION_TS, LAST_UPDATED, FolderSpec, Registry, default_registry
 
@@ -161,6 +162,7 @@ def changed_rows(gold: DataFrame, source: DataFrame, key: str, order_col: str,
 def merge_folder(spark: SparkSession, cfg: PipelineConfig, spec: FolderSpec, as_of,
                  days: int, now=None, source_name: str = SOURCE_BATCH) -> dict:
     """M3: promote the stage window of one folder into its gold table."""
+    apply_session_conf(spark)  # DATE(ingestion_timestamp) is a UTC date
     now_ts = _utc_naive(now if now is not None else dt.datetime.now(dt.timezone.utc))
     stage = cfg.stage(spec).read(spark, as_of)
     gold_store = cfg.gold(spec)
@@ -228,6 +230,7 @@ def daily_reprocess(spark: SparkSession, cfg: PipelineConfig, execution_date=Non
     ``REPROCESS_DAYS``, append them to stage, then merge each folder with
     its daily lookback. ``now`` stamps ingestion (default: wall clock)."""
     exec_dt = parse_execution_date(execution_date)  # raises before any write
+    apply_session_conf(spark)
     now = now if now is not None else dt.datetime.now(dt.timezone.utc)
     as_of = as_of or dt.datetime.now(dt.timezone.utc).date()
     cutoff = lookback_cutoff(exec_dt)

@@ -24,6 +24,7 @@ from tidemark.plans.jobs import (
 )
 from tidemark.functions.paths import folder_of
 from tidemark.plans.storage import read_text, write_text
+from tidemark.session import apply_session_conf
 from tidemark.sources.notifications import read_notifications
 from tidemark.sources.objects import stream_objects
 
@@ -113,6 +114,7 @@ def stream_ingest(spark: SparkSession, cfg: PipelineConfig, checkpoint_location:
     """Start the ingest stream. ``source="objects"`` discovers new objects
     under ``cfg.objects_root`` (S2); ``source="notifications"`` follows
     finalize notifications under ``notifications_path`` (S1)."""
+    apply_session_conf(spark)  # UTC dates for p_date
     if source == "objects":
         stream = stream_objects(spark, cfg.objects_root, max_files_per_trigger)
         body = object_batch_writer(spark, cfg, now_fn, checkpoint_location)
