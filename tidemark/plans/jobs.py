@@ -48,6 +48,8 @@ class PipelineConfig:
     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES
     # folder → catalog table with row-level MERGE (see CatalogGoldStore)
     catalog_gold: dict = field(default_factory=dict)
+    # gold versions kept after a commit (readers still on an older one)
+    keep_versions: int = 3
 
     def stage(self, spec: FolderSpec) -> StageStore:
         return StageStore(f"{self.lake_root}/stage/{spec.stage_table}", spec)
@@ -190,6 +192,7 @@ def merge_folder(spark: SparkSession, cfg: PipelineConfig, spec: FolderSpec, as_
                     "strategy": "unchanged", "version": gold_store.current_version(spark)}
         plan = merge_plan(gold, ok, spec.key, spec.order_col, spec.row_columns, strategy)
         version = gold_store.commit(spark, plan.drop(ACTION))
+        gold_store.vacuum(spark, keep=cfg.keep_versions)
         return {"folder": spec.folder, "source_rows": n, "source_bytes": size,
                 "strategy": strategy, "version": version}
     ident = "_identity"
@@ -217,10 +220,16 @@ def _merge_catalog(spark, cfg: PipelineConfig, spec: FolderSpec, src: DataFrame,
     return {"folder": spec.folder, "table": store.table, "strategy": "catalog_merge"}
 
 
-def hourly_merge(spark: SparkSession, cfg: PipelineConfig, as_of=None, now=None) -> list[dict]:
-    """L3: every folder with its hourly lookback."""
+def hourly_merge(spark: SparkSession, cfg: PipelineConfig, as_of=None, now=None,
+                 expire: bool = True) -> list[dict]:
+    """L3: every folder with its hourly lookback, then stage retention (the
+    source's partition expiry: partitions 7 days old are dropped)."""
     as_of = as_of or dt.datetime.now(dt.timezone.utc).date()
-    return [merge_folder(spark, cfg, s, as_of, s.hourly_days, now) for s in cfg.registry]
+    out = [merge_folder(spark, cfg, s, as_of, s.hourly_days, now) for s in cfg.registry]
+    if expire:
+        for s, m in zip(cfg.registry, out):
+            m["expired"] = cfg.stage(s).expire(spark, as_of)
+    return out
 
 
 # -- daily reprocess ---------------------------------------------------------

@@ -32,6 +32,9 @@ def build_session(master: str | None = None, app: str = "tidemark",
         b = b.master(master)
     conf = dict(SESSION_CONF)
     conf["spark.ui.enabled"] = "false"
+    # reliable checkpoints (merge sources, decoded batches) are removed once
+    # their DataFrames are gone, so a long-running session does not pile them up
+    conf["spark.cleaner.referenceTracking.cleanCheckpoints"] = "true"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
