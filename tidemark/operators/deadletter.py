@@ -87,11 +87,14 @@ def write_dead_letters(df: DataFrame, path: str) -> bool:
         return False
 
 
-def read_dead_letters(spark, path: str) -> DataFrame:
+def read_dead_letters(spark, path: str, dedupe: bool = False) -> DataFrame:
+    """The dead-letter table; ``dedupe`` drops retried publishes (same
+    ``message_id``)."""
     from pyspark.sql import types as T
     schema = T.StructType(DEAD_LETTER_SCHEMA.fields + [
         T.StructField(DEAD_LETTER_PARTITION, T.DateType(), True)])
     try:
-        return spark.read.schema(schema).parquet(path)
+        df = spark.read.schema(schema).parquet(path)
     except Exception:
-        return spark.createDataFrame([], schema)
+        df = spark.createDataFrame([], schema)
+    return df.dropDuplicates(["message_id"]) if dedupe else df
