@@ -12,9 +12,12 @@ from tidemark.specs import DEAD_LETTER_PARTITION, DEAD_LETTER_SCHEMA
 
 log = logging.getLogger(__name__)
 
-# Origin tags of the two pipelines.
+# ---------------------------------------------------------------------------
+# The ``source`` attribute each pipeline writes on its dead
+# letters (must equal the surveyed pipeline's values).
 SOURCE_STREAM = "Dataflow Streaming"
 SOURCE_BATCH = "Airflow Daily Reprocessing"
+# ---------------------------------------------------------------------------
 DEFAULT_SUBSCRIPTION = "deadletter"
 
 

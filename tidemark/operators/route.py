@@ -8,11 +8,16 @@ from pyspark.sql import functions as F
 from tidemark.functions.paths import folder_of, has_suffix, object_uri
 from tidemark.specs import OBJECT_SUFFIX, Registry
 
-# Fixed values of the notification contract.
+# ---------------------------------------------------------------------------
+# Fixed values of the notification contract and of the dead-letter texts
+# (must equal the surveyed pipeline's outputs).
 FINALIZE_EVENT = "OBJECT_FINALIZE"
 UNKNOWN = "unknown"
 TAG_OBJECT = "gcs_path"
 TAG_DEAD = "dead_letter"
+MISSING_BUCKET_ERROR = "PubSub parse failure: Missing bucketId; attrs="
+UNKNOWN_FOLDER_ERROR = "Unrecognised folder: "
+# ---------------------------------------------------------------------------
 
 
 def extract_object_path(notifs: DataFrame, scheme: str = "gs") -> DataFrame:
@@ -38,7 +43,7 @@ def extract_object_path(notifs: DataFrame, scheme: str = "gs") -> DataFrame:
         F.lit(UNKNOWN).alias("table"),
         F.when(
             missing,
-            F.concat(F.lit("PubSub parse failure: Missing bucketId; attrs="), F.to_json(attrs)),
+            F.concat(F.lit(MISSING_BUCKET_ERROR), F.to_json(attrs)),
         ).alias("error"),
     )
 
@@ -66,7 +71,7 @@ def route_by_folder(objects: DataFrame, registry: Registry, name_col: str = "nam
         .withColumn("table", F.coalesce(F.col("stage_table"), F.lit(UNKNOWN)))
         .withColumn(
             "error",
-            F.when(unknown, F.concat(F.lit("Unrecognised folder: "), F.col("folder"))),
+            F.when(unknown, F.concat(F.lit(UNKNOWN_FOLDER_ERROR), F.col("folder"))),
         )
     )
 

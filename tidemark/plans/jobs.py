@@ -22,7 +22,7 @@ from tidemark.operators.merge import (
     DEFAULT_BROADCAST_BYTES, measure_bytes, merge_insert_only, merge_plan, ACTION,
 )
 from tidemark.operators.quality import key_gate, split_rejects
-from tidemark.operators.route import TAG_DEAD, UNKNOWN, registry_frame
+from tidemark.operators.route import TAG_DEAD, UNKNOWN, UNKNOWN_FOLDER_ERROR, registry_frame
 from tidemark.operators.shape import (
     project_explicit, stage_rows, with_partition_date, with_provenance, wrap_payload,
 )
@@ -141,7 +141,7 @@ def unknown_folder_dead_letters(objects: DataFrame, cfg: PipelineConfig, source:
     known = tagged.join(reg, "folder", "left_semi").drop("folder")
     unknown = tagged.join(reg, "folder", "left_anti").select(
         F.lit(UNKNOWN).alias("table"), F.col("path").alias("source_file"),
-        F.concat(F.lit("Unrecognised folder: "), F.col("folder")).alias("error"))
+        F.concat(F.lit(UNKNOWN_FOLDER_ERROR), F.col("folder")).alias("error"))
     return known, file_dead_letters(unknown, source, _utc_naive(now), cfg.subscription)
 
 
