@@ -130,3 +130,26 @@ def test_streaming_decode_matches_whole_object(case, monkeypatch):
         assert streamed[1][0] == whole[1][0]
         if whole[1][0] in ("json", "not_object"):
             assert streamed[1][1] == whole[1][1]
+
+
+def test_large_objects_take_the_streaming_path(spark):
+    """Routing every object to the by-URI streaming reader (threshold 0)
+    gives the same records and errors as decoding the scanned content."""
+    from pyspark.sql import functions as F
+
+    from tidemark import fixtures as fx
+    from tidemark.plans.jobs import decode_listing
+    from tidemark.sources.objects import list_objects
+
+    ev = fx.table(spark, "/root/testdata/sf0.001", "events")
+    root, _ = fx.event_objects(ev, "/root/testdata/sf0.001", fx.BAD_FILE_LAYOUT)
+    objs = list_objects(spark, root, "Order_Events", "2000-01-01")
+
+    def rows(threshold):
+        d = decode_listing(objs, root, stream_threshold=threshold)
+        return sorted(map(tuple, d.select(
+            "path", "ordinal", "record_json", "folder",
+            F.substring_index("error", ":", 1).alias("kind"),
+            F.col("modificationTime").isNotNull().alias("has_mtime")).collect()), key=repr)
+
+    assert rows(0) == rows(1 << 40)

@@ -95,15 +95,20 @@ _CHUNK = 1 << 20
 _GZIP_ERRORS = (OSError, EOFError, zlib.error)
 
 
-def _stream_text_lines(blob: bytes) -> Iterator[str]:
-    """The lines of ``gunzip(blob).decode('utf-8').strip().splitlines()``,
+def _opener(src):
+    """``bytes`` or a zero-argument callable returning a binary file object."""
+    return (lambda: io.BytesIO(src)) if isinstance(src, (bytes, bytearray)) else src
+
+
+def _stream_text_lines(src) -> Iterator[str]:
+    """The lines of ``gunzip(src).decode('utf-8').strip().splitlines()``,
     produced incrementally. Errors have the whole-object precedence: a gzip
     error anywhere wins over a UTF-8 error (the object would not even
     decompress), so after a UTF-8 error the rest is still decompressed."""
     dec = codecs.getincrementaldecoder("utf-8")()
     buf, started, pending, utf8_err = "", False, None, None
     try:
-        with gzip.GzipFile(fileobj=io.BytesIO(blob)) as gz:
+        with _opener(src)() as raw, gzip.GzipFile(fileobj=raw) as gz:
             while True:
                 chunk = gz.read(_CHUNK)
                 final = not chunk
@@ -145,16 +150,16 @@ def _stream_text_lines(blob: bytes) -> Iterator[str]:
             yield pending
 
 
-def _first_char(blob: bytes) -> str:
-    for ln in _stream_text_lines(blob):
+def _first_char(src) -> str:
+    for ln in _stream_text_lines(src):
         return ln[:1]
     return ""
 
 
-def _stream_ndjson(blob: bytes, emit: bool) -> Iterator[str]:
+def _stream_ndjson(src, emit: bool) -> Iterator[str]:
     first_err = None
     i = 0
-    for line in _stream_text_lines(blob):
+    for line in _stream_text_lines(src):
         if first_err is not None or not line.strip():
             continue  # keep draining: gzip / UTF-8 errors take precedence
         try:
@@ -180,12 +185,37 @@ def iter_records(blob: bytes | None) -> Iterator[str]:
     if blob is None or len(blob) <= STREAM_THRESHOLD:
         yield from decode_blob(blob)
         return
-    if _first_char(blob) == "[":  # one JSON array: needs the whole text
-        yield from decode_blob(blob)
+    yield from _iter_streamed(blob, lambda: blob)
+
+
+def _iter_streamed(src, read_all) -> Iterator[str]:
+    if _first_char(src) == "[":  # one JSON array: needs the whole text
+        yield from decode_blob(read_all())
         return
-    for _ in _stream_ndjson(blob, emit=False):  # pass 1: validate only
+    for _ in _stream_ndjson(src, emit=False):  # pass 1: validate only
         pass
-    yield from _stream_ndjson(blob, emit=True)   # pass 2: emit
+    yield from _stream_ndjson(src, emit=True)   # pass 2: emit
+
+
+def iter_records_path(path: str) -> Iterator[str]:
+    """``iter_records`` for an object opened by URI. Small objects are read
+    whole; an object above ``STREAM_THRESHOLD`` is never held in memory:
+    both passes stream it from the filesystem."""
+    filesystem, p = _resolve(path)
+    with filesystem.open_input_stream(p, compression=None) as f:
+        head = f.read(STREAM_THRESHOLD + 1)
+    if len(head) <= STREAM_THRESHOLD:
+        yield from decode_blob(head)
+        return
+
+    def reopen():
+        return filesystem.open_input_file(p)
+
+    def read_all():
+        with filesystem.open_input_stream(p, compression=None) as f:
+            return f.read()
+
+    yield from _iter_streamed(reopen, read_all)
 
 
 class _Out:
@@ -251,9 +281,9 @@ def _decode_content_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
 _FS_CACHE: dict = {}
 
 
-def _open_path(path: str) -> bytes:
-    """Read one object by URI; one filesystem client per scheme/authority
-    and Python worker."""
+def _resolve(path: str):
+    """(filesystem, path) for a URI; one client per scheme/authority and
+    Python worker."""
     from pyarrow import fs as pafs
 
     if "://" in path:
@@ -272,8 +302,7 @@ def _open_path(path: str) -> bytes:
         p = path.split("://", 1)[1] if "://" in path else path.removeprefix("file:")
     else:
         p = pafs.FileSystem.from_uri(path)[1] if "://" in path else path
-    with filesystem.open_input_stream(p, compression=None) as f:
-        return f.read()
+    return filesystem, p
 
 
 def _decode_path_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,18 +310,20 @@ def _decode_path_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 
     def add(path, ordinal, rec, err, folder):
         cols["path"].append(path)
-        cols["modificationTime"].append(None)
+        cols["modificationTime"].append(mtime)
         cols["ordinal"].append(ordinal)
         cols["record_json"].append(rec)
         cols["error"].append(err)
         cols["folder"].append(folder)
 
+    mtime = None
     for b in batches:
         paths = b.column("path").to_pylist()
         folders = b.column("folder").to_pylist()
-        for path, folder in zip(paths, folders):
+        mtimes = b.column("modificationTime").to_pylist()
+        for path, folder, mtime in zip(paths, folders, mtimes):
             try:
-                records = iter_records(_open_path(path))
+                records = iter_records_path(path)
                 first = next(records, _END)  # a bad object fails before any row
             except DecodeError as exc:
                 add(path, None, None, str(exc), folder)
@@ -344,7 +375,7 @@ def decode_objects(files: DataFrame) -> DataFrame:
 
 
 def decode_paths(paths: DataFrame, path_col: str = "path", folder_col: str = "folder",
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None, mtime_col: str | None = None) -> DataFrame:
     """Same as ``decode_objects`` for bare object URIs (notification
     source): each task opens its objects itself through ``pyarrow.fs``; a
     missing object is an error row, not a failed job. ``folder`` is carried
@@ -354,8 +385,10 @@ def decode_paths(paths: DataFrame, path_col: str = "path", folder_col: str = "fo
     object reads, so the (small) path rows are spread round-robin over
     ``num_partitions`` tasks (default: the cluster's parallelism) first."""
     n = num_partitions or paths.sparkSession.sparkContext.defaultParallelism
+    mtime = F.col(mtime_col) if mtime_col else F.lit(None)
     src = paths.select(
         F.col(path_col).cast("string").alias("path"),
         F.col(folder_col).cast("string").alias("folder"),
+        mtime.cast("timestamp").alias("modificationTime"),
     ).repartition(max(1, int(n)))
     return src.mapInArrow(_decode_path_batches, PATH_DECODED_SCHEMA)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.paths import folder_of, relative_name
-from tidemark.operators.decode import decode_objects
+from tidemark.operators.decode import STREAM_THRESHOLD, decode_objects, decode_paths
 from tidemark.operators.deadletter import (
     SOURCE_BATCH, SOURCE_STREAM, fanout_dead_letters, file_dead_letters,
     row_dead_letters, union_dead_letters, write_dead_letters,
@@ -126,10 +126,21 @@ def ingest_decoded(spark: SparkSession, cfg: PipelineConfig, decoded: DataFrame,
     return res
 
 
-def decode_listing(objects: DataFrame, root: str) -> DataFrame:
-    """Decode ``binaryFile`` rows and tag each record with its folder."""
-    dec = decode_objects(objects)
-    return dec.withColumn("folder", folder_of(relative_name("path", root)))
+def decode_listing(objects: DataFrame, root: str,
+                   stream_threshold: int = STREAM_THRESHOLD) -> DataFrame:
+    """Decode ``binaryFile`` rows and tag each record with its folder.
+
+    Objects up to ``stream_threshold`` bytes are decoded from the scanned
+    ``content``; larger ones (a row could not even hold an object over
+    2 GB) are opened by URI and streamed, so no single object is ever
+    materialised. ``binaryFile`` applies the ``length`` filter before reading
+    content, so the large objects' bytes are never loaded by the scan."""
+    folder = folder_of(relative_name("path", root))
+    small = decode_objects(objects.filter(F.col("length") <= stream_threshold))
+    large = objects.filter(F.col("length") > stream_threshold) \
+        .select("path", "modificationTime", folder.alias("folder"))
+    big = decode_paths(large, mtime_col="modificationTime")
+    return small.withColumn("folder", folder).unionByName(big)
 
 
 def unknown_folder_dead_letters(objects: DataFrame, cfg: PipelineConfig, source: str, now
