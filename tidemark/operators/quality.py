@@ -41,17 +41,35 @@ def with_type_errors(raw: DataFrame, spec: FolderSpec) -> DataFrame:
     return out.withColumn(ERROR, err)
 
 
-def split_rejects(raw: DataFrame, spec: FolderSpec) -> tuple[DataFrame, DataFrame]:
+def split_rejects(raw: DataFrame, spec: FolderSpec, cache: bool = False
+                  ) -> tuple[DataFrame, DataFrame]:
     """(typed rows, rejected raw rows + ``error``).
 
     ``raw`` holds the business columns as text (TIMESTAMP columns already
     typed). A row is rejected when a non-empty DATE text does not parse;
-    the raw text is kept in the reject so the dead letter shows it."""
+    the raw text is kept in the reject so the dead letter shows it.
+
+    With ``cache`` the checked rows are persisted (memory, spilling to disk)
+    so both outputs read one computation; otherwise the optimizer pushes each
+    filter below the JSON parse and repeats it. Unpersist via
+    ``good.unpersist()`` is not enough: call ``release_checked(good)``."""
     checked = with_type_errors(raw, spec)
+    if cache:
+        from pyspark import StorageLevel
+
+        checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
     typed_cols = {c for c, t in spec.typed_columns if t == "DATE"}
     keep = [c for c in raw.columns]
     good = checked.filter(F.col(ERROR).isNull()).select(
         *[F.col(f"_typed_{c}").alias(c) if c in typed_cols else F.col(c) for c in keep]
     )
     bad = checked.filter(F.col(ERROR).isNotNull()).select(*keep, ERROR)
+    good._checked = bad._checked = checked  # handle for release_checked
     return good, bad
+
+
+def release_checked(df: DataFrame) -> None:
+    """Drop the cache behind a ``split_rejects(..., cache=True)`` output."""
+    checked = getattr(df, "_checked", None)
+    if checked is not None:
+        checked.unpersist()

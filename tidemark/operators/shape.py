@@ -45,17 +45,21 @@ def project_explicit(records: DataFrame, spec: FolderSpec,
     columns go through ``safe_timestamp`` only when the JSON value is a
     string. Extra keys are dropped. Other columns of ``records`` are
     carried."""
-    rec = F.from_json(F.col(record_col), record_struct_schema(spec))
+    carry = [c for c in records.columns if c != record_col and c not in spec.business_columns]
+    # parse once per row into its own projection: Catalyst keeps an expensive
+    # expression that is used many times (every field, the timestamp guard)
+    # in a separate Project instead of inlining it into each use
+    parsed = records.select(*carry, F.from_json(F.col(record_col), record_struct_schema(spec))
+                            .alias("_rec"))
     cols = []
     for c, t in spec.columns:
-        f = rec.getField(c)
+        f = F.col("_rec").getField(c)
         if t == "TIMESTAMP":
             is_str = F.schema_of_variant(f) == F.lit("STRING")
             cols.append(F.when(is_str, safe_timestamp(f.try_cast("string"))).alias(c))
         else:
             cols.append(F.nullif(f, F.lit("")).alias(c))
-    carry = [c for c in records.columns if c != record_col and c not in spec.business_columns]
-    return records.select(*carry, *cols)
+    return parsed.select(*carry, *cols)
 
 
 def wrap_payload(records: DataFrame, record_col: str = "record_json",

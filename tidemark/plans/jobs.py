@@ -21,14 +21,14 @@ from tidemark.operators.dedup import latest_for_spec
 from tidemark.operators.merge import (
     DEFAULT_BROADCAST_BYTES, measure_bytes, merge_insert_only, merge_plan, ACTION,
 )
-from tidemark.operators.quality import key_gate, split_rejects
+from tidemark.operators.quality import key_gate, release_checked, split_rejects
 from tidemark.operators.route import TAG_DEAD, UNKNOWN, UNKNOWN_FOLDER_ERROR, registry_frame
 from tidemark.operators.shape import (
     project_explicit, stage_rows, with_partition_date, with_provenance, wrap_payload,
 )
 from tidemark.operators.views import stage_window, with_identity
 from tidemark.plans.storage import CatalogGoldStore, GoldStore, StageStore
-from tidemark.session import apply_session_conf
+from tidemark.session import apply_session_conf, materialize, release
 from tidemark.sources.objects import list_objects, lookback_cutoff, parse_execution_date
 from tidemark.specs import EXPLICIT, INGESTION_TS, LAST_UPDATED, FolderSpec, Registry, default_registry
 
@@ -83,7 +83,7 @@ def shape_folder(decoded: DataFrame, spec: FolderSpec, now) -> tuple[DataFrame,
     recs = with_provenance(recs, now, "path")
     if spec.schema_type == EXPLICIT:
         raw = project_explicit(recs.select("source_file", INGESTION_TS, "record_json"), spec)
-        good, bad = split_rejects(raw, spec)
+        good, bad = split_rejects(raw, spec, cache=True)
         return stage_rows(with_partition_date(good, INGESTION_TS, spec.partition_col), spec), bad
     shaped = wrap_payload(recs, "record_json", "modificationTime")
     return stage_rows(shaped, spec), None
@@ -105,24 +105,31 @@ def ingest_decoded(spark: SparkSession, cfg: PipelineConfig, decoded: DataFrame,
                 F.col("path").alias("source_file"), "error")
     )
     dead.append(file_dead_letters(errors, source, now_ts, cfg.subscription))
-    for spec in cfg.registry:
-        rows, bad = shape_folder(decoded, spec, now_ts)
-        store = cfg.stage(spec)
-        try:
-            store.append(rows, batch_id)
-        except Exception as exc:
-            # One dead letter per parsed file of this folder, then fail.
-            files = decoded.filter((F.col("folder") == spec.folder) & F.col("error").isNull()) \
-                .select(F.col("path").alias("source_file"))
-            write_dead_letters(
-                fanout_dead_letters(files, spec.stage_table, str(exc), source, now_ts, cfg.subscription),
-                cfg.dead_letters)
-            raise
-        if bad is not None:
-            dead.append(row_dead_letters(bad, spec.stage_table, spec.business_columns + [
-                "source_file", INGESTION_TS], source, now_ts, cfg.subscription))
-    res.dead_letters = union_dead_letters(*dead)
-    write_dead_letters(res.dead_letters, cfg.dead_letters)
+    cached = []
+    try:
+        for spec in cfg.registry:
+            rows, bad = shape_folder(decoded, spec, now_ts)
+            if bad is not None:
+                cached.append(bad)
+            try:
+                cfg.stage(spec).append(rows, batch_id)
+            except Exception as exc:
+                # One dead letter per parsed file of this folder, then fail.
+                files = decoded.filter((F.col("folder") == spec.folder)
+                                       & F.col("error").isNull()) \
+                    .select(F.col("path").alias("source_file"))
+                write_dead_letters(
+                    fanout_dead_letters(files, spec.stage_table, str(exc), source, now_ts,
+                                        cfg.subscription), cfg.dead_letters)
+                raise
+            if bad is not None:
+                dead.append(row_dead_letters(bad, spec.stage_table, spec.business_columns + [
+                    "source_file", INGESTION_TS], source, now_ts, cfg.subscription))
+        res.dead_letters = union_dead_letters(*dead)
+        write_dead_letters(res.dead_letters, cfg.dead_letters)
+    finally:
+        for c in cached:
+            release_checked(c)
     return res
 
 
@@ -186,7 +193,15 @@ def merge_folder(spark: SparkSession, cfg: PipelineConfig, spec: FolderSpec, as_
     gold = gold_store.read(spark)
     # the deduplicated window is small and read several times: materialise
     # it once in the shared checkpoint folder (also cuts its lineage)
-    src = merge_source(stage, spec, as_of, days).checkpoint(eager=True)
+    src, tmp = materialize(merge_source(stage, spec, as_of, days), f"merge-{spec.folder}")
+    try:
+        return _merge_with(spark, cfg, spec, src, gold, gold_store, now_ts, source_name)
+    finally:
+        release(spark, tmp)
+
+
+def _merge_with(spark, cfg: PipelineConfig, spec: FolderSpec, src: DataFrame, gold: DataFrame,
+                gold_store: GoldStore, now_ts, source_name: str) -> dict:
     if spec.folder in cfg.catalog_gold:
         return _merge_catalog(spark, cfg, spec, src, now_ts, source_name)
     if spec.schema_type == EXPLICIT:
@@ -264,9 +279,12 @@ def daily_reprocess(spark: SparkSession, cfg: PipelineConfig, execution_date=Non
     objects = listings[0]
     for extra in listings[1:]:
         objects = objects.unionByName(extra)
-    decoded = decode_listing(objects, cfg.objects_root).checkpoint(eager=True)
+    decoded, tmp = materialize(decode_listing(objects, cfg.objects_root), "daily-decoded")
     batch_id = f"daily-{exec_dt.strftime('%Y%m%dT%H%M%S')}"
-    res = ingest_decoded(spark, cfg, decoded, now, batch_id, SOURCE_BATCH)
+    try:
+        res = ingest_decoded(spark, cfg, decoded, now, batch_id, SOURCE_BATCH)
+    finally:
+        release(spark, tmp)
     merges = [merge_folder(spark, cfg, s, as_of, s.daily_days, now) for s in cfg.registry]
     return {"batch_id": batch_id, "merges": merges, "result": res}
 

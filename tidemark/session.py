@@ -100,3 +100,27 @@ def _looks_uuid(path: str) -> bool:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint root (never reused)."""
     return f"{checkpoint_root(spark)}/tidemark-work/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    return ``(reread DataFrame, path)``.
+
+    Cuts the lineage like a reliable checkpoint and survives executor loss,
+    but computes ``df`` exactly once (an eager ``checkpoint()`` of an uncached
+    DataFrame runs it twice: for the count and again for the files) and
+    stores it columnar. Call ``release`` when the data is no longer read."""
+    spark = df.sparkSession
+    path = work_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def release(spark: SparkSession, path: str) -> None:
+    """Drop a ``materialize``d copy (driver-side metadata delete)."""
+    from tidemark.plans.storage import delete_path
+
+    try:
+        delete_path(spark, path)
+    except Exception:  # best effort: never fail a finished job on cleanup
+        pass
