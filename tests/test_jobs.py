@@ -153,3 +153,20 @@ def test_merges_vacuum_old_versions_and_expire_stage(spark, tmp):
     assert out["version"] == 4
     assert sorted(d for d in list_dirs(spark, g.path) if d.startswith("v=")) == ["v=3", "v=4"]
     assert "p_date=2024-01-23" in out["expired"]
+
+
+def test_date_prefixed_listing_reads_only_the_lookback(spark, tmp):
+    from tidemark.sources.objects import list_objects
+
+    cfg = cfg_for(tmp)
+    ev = fx.table(spark, SF, "events")
+    for d in ("2024-01-20", "2024-01-29", "2024-01-30"):
+        part = ev.filter(f"CAST(ts AS DATE) = DATE'{d}'")
+        fx.write_event_objects(part, cfg.objects_root, folder=f"Order_Events/dt={d}")
+    objs = list_objects(spark, cfg.objects_root, "Order_Events", "2024-01-28T12:00:00Z",
+                        date_layout="dt={date}", until="2024-01-31")
+    names = {r["name"].split("/")[1] for r in objs.select("name").collect()}
+    assert names == {"dt=2024-01-29", "dt=2024-01-30"}
+    assert all(r["name"].startswith("Order_Events/") for r in objs.select("name").collect())
+    full = list_objects(spark, cfg.objects_root, "Order_Events", "2024-01-28T12:00:00Z")
+    assert full.count() > objs.count()  # the full listing also finds the old prefix

@@ -29,7 +29,8 @@ def _config(a):
 
     return PipelineConfig(lake_root=a.lake.rstrip("/"), objects_root=a.objects.rstrip("/"),
                           registry=default_registry(include_payload=not a.explicit_only),
-                          dead_letter_path=a.dead_letters, merge_strategy=a.merge_strategy)
+                          dead_letter_path=a.dead_letters, merge_strategy=a.merge_strategy,
+                          object_date_layout=getattr(a, "date_layout", None))
 
 
 def main(argv=None) -> int:
@@ -45,6 +46,9 @@ def main(argv=None) -> int:
                        help="register only the explicit (Order_Events) folder")
         if name == "daily":
             p.add_argument("--execution-date", default=os.environ.get("EXECUTION_DATE", ""))
+            p.add_argument("--date-layout", default=None,
+                           help='objects under date prefixes, e.g. "dt={date}" or '
+                                '"{yyyy}/{mm}/{dd}": list only the lookback\'s prefixes')
         if name == "hourly":
             p.add_argument("--as-of", default=None)
         if name == "stream":

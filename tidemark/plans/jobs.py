@@ -50,6 +50,9 @@ class PipelineConfig:
     catalog_gold: dict = field(default_factory=dict)
     # gold versions kept after a commit (readers still on an older one)
     keep_versions: int = 3
+    # objects written under date prefixes (e.g. "dt={date}"): the daily
+    # re-read lists only the prefixes inside the lookback (see list_objects)
+    object_date_layout: str | None = None
     # payload gold written by this library holds canonical JSON text, so the
     # text is the identity; set True for gold loaded from elsewhere (then
     # every merge re-canonicalises all gold payloads)
@@ -275,7 +278,8 @@ def daily_reprocess(spark: SparkSession, cfg: PipelineConfig, execution_date=Non
     now = now if now is not None else dt.datetime.now(dt.timezone.utc)
     as_of = as_of or dt.datetime.now(dt.timezone.utc).date()
     cutoff = lookback_cutoff(exec_dt)
-    listings = [list_objects(spark, cfg.objects_root, s.folder, cutoff) for s in cfg.registry]
+    listings = [list_objects(spark, cfg.objects_root, s.folder, cutoff, cfg.object_date_layout,
+                             until=now) for s in cfg.registry]
     objects = listings[0]
     for extra in listings[1:]:
         objects = objects.unionByName(extra)
