@@ -178,6 +178,125 @@ def _stream_ndjson(src, emit: bool) -> Iterator[str]:
         raise first_err
 
 
+_JSON_WS = " \t\n\r"
+
+
+def _stream_text(src) -> Iterator[str]:
+    """Decoded text chunks of ``gunzip(src)`` with the whole-object error
+    precedence (gzip error over UTF-8 error)."""
+    dec = codecs.getincrementaldecoder("utf-8")()
+    utf8_err = None
+    try:
+        with _opener(src)() as raw, gzip.GzipFile(fileobj=raw) as gz:
+            while True:
+                chunk = gz.read(_CHUNK)
+                final = not chunk
+                if utf8_err is None:
+                    try:
+                        text = dec.decode(chunk, final=final)
+                    except UnicodeDecodeError as exc:
+                        utf8_err = exc
+                    else:
+                        if text:
+                            yield text
+                if final:
+                    break
+    except _GZIP_ERRORS as exc:
+        raise DecodeError("gzip", str(exc)) from None
+    if utf8_err is not None:
+        raise DecodeError("utf8", str(utf8_err))
+
+
+def _stream_array(src, emit: bool) -> Iterator[str]:
+    """Elements of one top-level JSON array, parsed incrementally: same
+    records and error kinds as ``json.loads`` of the whole stripped text.
+    A malformed element is only known at the end of the object, so on error
+    the rest is still drained (gzip / UTF-8 errors take precedence)."""
+    decoder = json.JSONDecoder()
+    chunks = _stream_text(src)
+    buf, pos, eof = "", 0, False
+    err = None
+    state = "open"  # open → value → sep → (value …) → done
+    i = 0
+
+    def more():
+        nonlocal buf, pos, eof
+        try:
+            nxt = next(chunks)
+        except StopIteration:
+            eof = True
+            return False
+        buf = buf[pos:] + nxt
+        pos = 0
+        return True
+
+    while err is None:
+        if state == "open":
+            while pos >= len(buf) or buf[pos:].lstrip() == "":
+                if not more():
+                    break
+            rest = buf[pos:].lstrip()
+            pos = len(buf) - len(rest)
+            if not rest:
+                return  # blank object (only whitespace): no records
+            pos += 1  # the '[' (iter_records only comes here for arrays)
+            state = "first"
+            continue
+        while pos < len(buf) and buf[pos] in _JSON_WS:
+            pos += 1
+        if pos >= len(buf):
+            if more():
+                continue
+            err = DecodeError("json", "Expecting value or ']': unexpected end of data")
+            break
+        ch = buf[pos]
+        if state in ("first", "value"):
+            if state == "first" and ch == "]":
+                pos += 1
+                state = "done"
+                break
+            try:
+                rec, end = decoder.raw_decode(buf, pos)
+            except json.JSONDecodeError as exc:
+                if not eof and more():
+                    continue  # element not complete yet
+                err = DecodeError("json", str(exc))
+                break
+            if end >= len(buf) and not eof and more():
+                continue  # a number / literal may go on in the next chunk
+            if not isinstance(rec, dict):
+                err = DecodeError("not_object",
+                                  f"record {i} is {type(rec).__name__}, expected object")
+                break
+            if emit:
+                yield json.dumps(rec, ensure_ascii=False, separators=(",", ":"))
+            i += 1
+            pos = end
+            state = "sep"
+        elif state == "sep":
+            if ch == ",":
+                pos += 1
+                state = "value"
+            elif ch == "]":
+                pos += 1
+                state = "done"
+                break
+            else:
+                err = DecodeError("json", f"Expecting ',' delimiter: char {pos}")
+                break
+    if err is None:
+        # after ']' only whitespace may follow (the whole text was stripped)
+        tail = buf[pos:]
+        while tail.strip() == "" and more():
+            tail = buf[pos:]
+        if tail.strip():
+            err = DecodeError("json", "Extra data after the array")
+    for _ in chunks:  # drain: a later gzip / UTF-8 error takes precedence
+        pass
+    if err is not None:
+        raise err
+
+
 def iter_records(blob: bytes | None) -> Iterator[str]:
     """Records of one object, all-or-nothing: any ``DecodeError`` is raised
     before the first record is produced. Small objects are decoded in
@@ -189,12 +308,10 @@ def iter_records(blob: bytes | None) -> Iterator[str]:
 
 
 def _iter_streamed(src, read_all) -> Iterator[str]:
-    if _first_char(src) == "[":  # one JSON array: needs the whole text
-        yield from decode_blob(read_all())
-        return
-    for _ in _stream_ndjson(src, emit=False):  # pass 1: validate only
+    walk = _stream_array if _first_char(src) == "[" else _stream_ndjson
+    for _ in walk(src, emit=False):  # pass 1: validate only
         pass
-    yield from _stream_ndjson(src, emit=True)   # pass 2: emit
+    yield from walk(src, emit=True)   # pass 2: emit
 
 
 def iter_records_path(path: str) -> Iterator[str]:
