@@ -9,6 +9,7 @@ holds the independent DuckDB SQL for the same result.
 from __future__ import annotations
 
 import datetime as dt
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -496,8 +497,15 @@ def entry(spark: SparkSession) -> DataFrame:
     return QUERIES["merge_upsert_1d"](spark, SF_SMOKE)
 
 
+# The training-data operators are an optional subpackage: present or absent as
+# a whole. An error inside it is not hidden.
+_LLM = importlib.util.find_spec("tidemark.llm") is not None
+if _LLM:
+    from tidemark.llm import queries as llm_queries
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return QUERIES | (llm_queries.QUERIES if _LLM else {})
 
 
 # ---------------------------------------------------------------------------
@@ -853,4 +861,5 @@ FROM events"""
 
 def oracle_sql() -> dict[str, str]:
     sql = _sql()
-    return {k: v for k, v in sql.items() if k in QUERIES}
+    sql = {k: v for k, v in sql.items() if k in QUERIES}
+    return sql | (llm_queries.ORACLE_SQL if _LLM else {})
