@@ -3,9 +3,11 @@ with production parameters, to its whole table."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import quality
+from tidemark.llm import bpe, quality, simhash
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -16,8 +18,25 @@ def op4_quality_rules(spark, sf):
     return quality.judge(_table(spark, sf, "documents"))
 
 
+def _file(name: str) -> bytes:
+    """A public vocabulary file, read by the driver."""
+    with open(public_tokenizers.path(name), "rb") as f:
+        return f.read()
+
+
+def op7_byte_bpe(spark, sf):
+    return bpe.token_digests(_table(spark, sf, "documents"), _file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op8_simhash_near_dedup(spark, sf):
+    rows = simhash.near_duplicates(_table(spark, sf, "documents"), width=4, max_bits=4, seed=42)
+    return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op4_quality_rules": op4_quality_rules,
+    "op7_byte_bpe": op7_byte_bpe,
+    "op8_simhash_near_dedup": op8_simhash_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
