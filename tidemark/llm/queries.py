@@ -7,17 +7,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, quality, simhash
+from tidemark.llm import bpe, decontaminate, quality, simhash, suffix
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op3_suffix_array_dedup(spark, sf):
+    return suffix.removal_digests(_table(spark, sf, "documents"), length=100)
+
+
 def op4_quality_rules(spark, sf):
     return quality.judge(_table(spark, sf, "documents"))
 
 
+def op5_benchmark_decontamination(spark, sf):
+    return decontaminate.contamination(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"),
+                                       window=13, percent=5).drop("row_hash")
+
+
 def _file(name: str) -> bytes:
     """A public vocabulary file, read by the driver."""
     with open(public_tokenizers.path(name), "rb") as f:
@@ -34,7 +43,9 @@ def op8_simhash_near_dedup(spark, sf):
 
 
 QUERIES = {
+    "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op4_quality_rules": op4_quality_rules,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
 }
