@@ -7,13 +7,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, quality, simhash, suffix
+from tidemark.llm import bpe, decontaminate, quality, simhash, suffix, tokenfiles
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _file(name: str) -> bytes:
+    """A public vocabulary file, read by the driver."""
+    with open(public_tokenizers.path(name), "rb") as f:
+        return f.read()
+
+
+def op1_token_files(spark, sf):
+    return tokenfiles.token_digests(_table(spark, sf, "documents"), _file("word_bpe_49k.json"), end_id=2)
+
+
 def op3_suffix_array_dedup(spark, sf):
     return suffix.removal_digests(_table(spark, sf, "documents"), length=100)
 
@@ -27,12 +37,6 @@ def op5_benchmark_decontamination(spark, sf):
                                        window=13, percent=5).drop("row_hash")
 
 
-def _file(name: str) -> bytes:
-    """A public vocabulary file, read by the driver."""
-    with open(public_tokenizers.path(name), "rb") as f:
-        return f.read()
-
-
 def op7_byte_bpe(spark, sf):
     return bpe.token_digests(_table(spark, sf, "documents"), _file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -43,6 +47,7 @@ def op8_simhash_near_dedup(spark, sf):
 
 
 QUERIES = {
+    "op1_token_files": op1_token_files,
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
