@@ -7,7 +7,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, quality, simhash, suffix, tokenfiles
+from tidemark.llm import (
+    bpe, chat, decontaminate, htmltext, quality, sharding, simhash, suffix, tokenfiles, urlrules,
+)
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -24,6 +26,10 @@ def op1_token_files(spark, sf):
     return tokenfiles.token_digests(_table(spark, sf, "documents"), _file("word_bpe_49k.json"), end_id=2)
 
 
+def op2_html_extraction(spark, sf):
+    return htmltext.main_text(_table(spark, sf, "pages"))
+
+
 def op3_suffix_array_dedup(spark, sf):
     return suffix.removal_digests(_table(spark, sf, "documents"), length=100)
 
@@ -37,6 +43,16 @@ def op5_benchmark_decontamination(spark, sf):
                                        window=13, percent=5).drop("row_hash")
 
 
+#: A conversation that imitates the template's control strings.
+_IMITATION = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op6_chat_formatting(spark, sf):
+    more = spark.createDataFrame(_IMITATION, "conv_id long, turn long, role string, text string")
+    rows = _table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    return chat.conversation_digests(rows)
+
+
 def op7_byte_bpe(spark, sf):
     return bpe.token_digests(_table(spark, sf, "documents"), _file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -46,13 +62,70 @@ def op8_simhash_near_dedup(spark, sf):
     return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+#: (host, path, verdict), fixed by the query's contract.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op9_url_filters(spark, sf):
+    return urlrules.judge(_table(spark, sf, "pages"), urlrules.rule_table(spark, URL_RULES))
+
+
+SHARDS = [f"shard-{k:02d}" for k in range(32)]
+#: Prime, over a hundred slots for each shard.
+SLOTS = 4099
+
+
+def op10_sharding(spark, sf):
+    docs = _table(spark, sf, "documents").select("doc_id")
+    return sharding.place(docs, "doc_id", SHARDS, SLOTS)
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op2_html_extraction": op2_html_extraction,
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_chat_formatting": op6_chat_formatting,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_url_filters": op9_url_filters,
+    "op10_sharding": op10_sharding,
 }
 
 ORACLE_SQL: dict[str, str] = {}
+
+ORACLE_SQL["op9_url_filters"] = """
+WITH rules(host, path, verdict) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+after_scheme AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+split AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM after_scheme),
+best AS (
+  SELECT s.page_id, s.host, s.path, r.host || r.path AS rule, r.verdict,
+         row_number() OVER (PARTITION BY s.page_id ORDER BY length(r.host || r.path) DESC NULLS LAST) AS k
+  FROM split s LEFT JOIN rules r
+    ON (s.host = r.host OR ends_with(s.host, '.' || r.host)) AND starts_with(s.path, r.path))
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM best WHERE k = 1"""
+
+ORACLE_SQL["op10_sharding"] = f"""
+WITH RECURSIVE shards AS (
+  SELECT i::BIGINT AS i, 'shard-' || lpad(i::VARCHAR, 2, '0') AS shard FROM range({len(SHARDS)}) t(i)),
+preferences AS (
+  SELECT i, shard, ('0x' || substr(md5('offset:' || shard), 1, 15))::BIGINT % {SLOTS} AS first_slot,
+         ('0x' || substr(md5('skip:' || shard), 1, 15))::BIGINT % {SLOTS - 1} + 1 AS skip FROM shards),
+turns AS (
+  SELECT 0::BIGINT AS turn, [-1::BIGINT for j in range({SLOTS})] AS owner
+  UNION ALL
+  SELECT turn + 1, owner[1:slot] || [i] || owner[slot + 2:]
+  FROM (SELECT t.turn, t.owner, p.i,
+               ([(p.first_slot + j * p.skip) % {SLOTS} for j in range({SLOTS})
+                 if t.owner[(p.first_slot + j * p.skip) % {SLOTS} + 1] = -1])[1] AS slot
+        FROM turns t JOIN preferences p ON p.i = t.turn % {len(SHARDS)} WHERE t.turn < {SLOTS})),
+slots AS (
+  SELECT unnest(range({SLOTS})) AS slot, unnest(owner) AS i FROM turns WHERE turn = {SLOTS}),
+keys AS (
+  SELECT doc_id, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT % {SLOTS} AS slot FROM documents)
+SELECT k.doc_id, k.slot::INTEGER AS slot, s.shard FROM keys k JOIN slots l ON l.slot = k.slot JOIN shards s ON s.i = l.i"""
