@@ -16,14 +16,18 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def _file(name: str) -> bytes:
+def vocabulary_file(name: str) -> bytes:
     """A public vocabulary file, read by the driver."""
     with open(public_tokenizers.path(name), "rb") as f:
         return f.read()
 
 
+def vocabulary_pattern() -> str:
+    return public_tokenizers.PATTERN
+
+
 def op1_token_files(spark, sf):
-    return tokenfiles.token_digests(_table(spark, sf, "documents"), _file("word_bpe_49k.json"), end_id=2)
+    return tokenfiles.token_digests(_table(spark, sf, "documents"), vocabulary_file("word_bpe_49k.json"), end_id=2)
 
 
 def op2_html_extraction(spark, sf):
@@ -54,7 +58,7 @@ def op6_chat_formatting(spark, sf):
 
 
 def op7_byte_bpe(spark, sf):
-    return bpe.token_digests(_table(spark, sf, "documents"), _file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.token_digests(_table(spark, sf, "documents"), vocabulary_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 def op8_simhash_near_dedup(spark, sf):
