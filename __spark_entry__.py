@@ -501,11 +501,12 @@ def entry(spark: SparkSession) -> DataFrame:
 # a whole. An error inside it is not hidden.
 _LLM = importlib.util.find_spec("tidemark.llm") is not None
 if _LLM:
+    import corpus_pipeline
     from tidemark.llm import queries as llm_queries
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return QUERIES | (llm_queries.QUERIES if _LLM else {})
+    return QUERIES | (llm_queries.QUERIES | {"pipeline": corpus_pipeline.run} if _LLM else {})
 
 
 # ---------------------------------------------------------------------------
