@@ -237,7 +237,7 @@ def _decoded(spark, root, folder="Order_Events"):
 
 def _typed_from_objects(spark, root):
     dec = _decoded(spark, root)
-    rows, _bad = shape_folder(dec, OE, fx.NOW)
+    rows, _bad, _ = shape_folder(dec, OE, fx.NOW, cache=False)
     return rows
 
 

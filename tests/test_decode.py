@@ -118,51 +118,151 @@ EXTRA = {
 }
 
 
+def _whole_object(data):
+    """What the rules say of an object, judged on its whole text."""
+    import json
+    import zlib
+
+    try:
+        raw = gzip.decompress(data)
+    except (OSError, EOFError, zlib.error):
+        return "gzip"
+    try:
+        text = raw.decode().strip()
+    except UnicodeDecodeError:
+        return "utf8"
+    try:
+        values = json.loads(text) if text[:1] == "[" else [json.loads(x) for x in text.splitlines() if x.strip()]
+    except (ValueError, RecursionError):
+        return "json"
+    if not all(isinstance(v, dict) for v in values):
+        return "not_object"
+    out = [json.dumps(v, ensure_ascii=False, separators=(",", ":")) for v in values]
+    try:
+        "".join(out).encode()
+    except UnicodeEncodeError:
+        return "json"
+    return out
+
+
+def _decoded(data):
+    from tidemark.operators import decode as D
+
+    try:
+        return list(D.iter_records(data))
+    except DecodeError as e:
+        return e.kind
+
+
+EXTRA |= {
+    "array_mixed_errors": GZ(b"[1, {oops]"),
+    "lines_mixed_errors": GZ(b"1\n{oops"),
+    "surrogate": GZ(b'{"record_id":"\\ud800"}'),
+    "empty_gzip": GZ(b""),
+    "deep": GZ(b"[" * 2000),
+    "cr_runs": GZ(b'{"a":1}\r\r\n{"b":1}\r'),
+    "nbsp_first": GZ('\u00a0 {"a":1}\r\n\r,\x85\r'.encode()),
+}
+
+
+@pytest.mark.parametrize("hold", [0, 8 << 20])
+@pytest.mark.parametrize("piece", [1, 7, 1 << 18])
 @pytest.mark.parametrize("case", sorted(set(CASES) | set(EXTRA)))
-def test_streaming_decode_matches_whole_object(case, monkeypatch):
-    """Large objects are decoded in two streaming passes; results and error
-    kinds must equal the whole-object decode."""
+def test_decode_at_every_size(case, piece, hold, monkeypatch):
+    """Piece and holding size stand for an object's size: neither changes
+    records or kinds."""
     from tidemark.operators import decode as D
 
     data = CASES[case][0] if case in CASES else EXTRA[case]
+    monkeypatch.setattr(D, "HOLD_BYTES", hold)
+    monkeypatch.setattr(D, "_PIECE", piece)
+    assert _decoded(data) == _whole_object(data)
+
+
+def test_decode_fuzz(monkeypatch):
+    import random
+
+    from tidemark.operators import decode as D
+
+    rng = random.Random(7)
+    parts = ['{"a":1}', '{"b":"x\\n"}', "[", "]", ",", "\n", "\r\n", "\r", " ", "\u2028", "\x85", "5", "{", '"é"', "tru",
+             "\u00a0", '{"c":[1,{"d":2}]}']
+    for k in range(1500):
+        data = GZ("".join(rng.choice(parts) for _ in range(rng.randint(0, 9))).encode())
+        monkeypatch.setattr(D, "_PIECE", rng.choice([1, 2, 5, 1 << 18]))
+        assert _decoded(data) == _whole_object(data)
+
+
+def test_decode_time_and_memory_are_bounded(monkeypatch):
+    """Four times the size takes about four times as long; a one-line array
+    holds no more than the held records, a malformed one nothing."""
+    import time
+    import tracemalloc
 
-    def run():
-        try:
-            return list(D.iter_records(data)), None
-        except DecodeError as e:
-            return None, (e.kind, str(e))
-
-    whole = run()
-    monkeypatch.setattr(D, "STREAM_THRESHOLD", 0)
-    monkeypatch.setattr(D, "_CHUNK", 7)  # tiny chunks: lines and UTF-8 split across reads
-    streamed = run()
-    assert streamed[0] == whole[0]
-    if whole[1] is not None:
-        assert streamed[1] is not None and streamed[1][0] == whole[1][0]
-        # NDJSON errors keep the exact message; an incrementally parsed array
-        # reports the same kind, but positions relative to its buffer
-        if whole[1][0] in ("json", "not_object") and not case.startswith("array"):
-            assert streamed[1][1] == whole[1][1]
-
-
-def test_large_objects_take_the_streaming_path(spark):
-    """Routing every object to the by-URI streaming reader (threshold 0)
-    gives the same records and errors as decoding the scanned content."""
+    from tidemark.operators import decode as D
+
+    monkeypatch.setattr(D, "HOLD_BYTES", 0)  # both sizes are read twice
+
+    def array(n, start=b"["):
+        return GZ(start + b",".join(b'{"k":%d,"s":"%s"}' % (i, b"x" * 60) for i in range(n)) + b"]", 1)
+
+    def seconds(data):
+        best = []
+        for _ in range(3):
+            t = time.process_time()
+            _decoded(data)
+            best.append(time.process_time() - t)
+        return min(best)
+
+    assert seconds(array(160_000)) <= 6 * seconds(array(40_000))
+    one_line = GZ(b'{"a":"' + b"x" * (8 << 20) + b'"}', 1)
+    assert seconds(GZ(b'{"a":"' + b"x" * (32 << 20) + b'"}', 1)) <= 8 * max(0.02, seconds(one_line))
+    bad = array(200_000, b'[{"k":1},{"z" 5},')
+    tracemalloc.start()
+    assert _decoded(bad) == "json"
+    assert tracemalloc.get_traced_memory()[1] < 8 << 20
+    tracemalloc.stop()
+
+
+def test_object_that_changes_between_readings(monkeypatch):
+    import io
+
+    from tidemark.operators import decode as D
+
+    monkeypatch.setattr(D, "HOLD_BYTES", 0)
+    versions = [GZ(b'{"a":1}\n{"a":2}'), GZ(b'{"a":1}\n{"a":3}')]
+    rows = list(D._object_rows(lambda: D.iter_records(lambda: io.BytesIO(versions.pop(0)))))
+    assert rows[-1][2].startswith("changed:")
+    gone = [GZ(b'{"a":1}')]
+    rows = list(D._object_rows(lambda: D.iter_records(lambda: io.BytesIO(gone.pop()))))
+    assert rows[-1][2].startswith("changed:")
+
+
+def test_unknown_scheme_fails_on_the_driver():
+    from tidemark.operators.decode import openable_scheme, scheme_of
+
+    assert scheme_of("s3a://bucket/x") == "s3" and openable_scheme("/plain/path") == "file"
+    with pytest.raises(ValueError, match="oss"):
+        openable_scheme("oss://bucket/x")
+
+
+def test_listing_by_uri_and_by_content_agree(spark, monkeypatch):
+    """A store that only Spark's readers open is decoded from the content."""
     from pyspark.sql import functions as F
 
     from tidemark import fixtures as fx
-    from tidemark.plans.jobs import decode_listing
+    from tidemark.plans import jobs
     from tidemark.sources.objects import list_objects
 
     ev = fx.table(spark, "/root/testdata/sf0.001", "events")
     root, _ = fx.event_objects(ev, "/root/testdata/sf0.001", fx.BAD_FILE_LAYOUT)
     objs = list_objects(spark, root, "Order_Events", "2000-01-01")
 
-    def rows(threshold):
-        d = decode_listing(objs, root, stream_threshold=threshold)
-        return sorted(map(tuple, d.select(
-            "path", "ordinal", "record_json", "folder",
-            F.substring_index("error", ":", 1).alias("kind"),
-            F.col("modificationTime").isNotNull().alias("has_mtime")).collect()), key=repr)
+    def rows():
+        d = jobs.decode_listing(objs, root)
+        return sorted(map(tuple, d.select("path", "ordinal", "record_json", "folder", "error",
+                                          F.col("modificationTime").isNotNull().alias("t")).collect()), key=repr)
 
-    assert rows(0) == rows(1 << 40)
+    by_uri = rows()
+    monkeypatch.setattr(jobs, "OPENABLE", ())
+    assert rows() == by_uri

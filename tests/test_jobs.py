@@ -155,18 +155,47 @@ def test_merges_vacuum_old_versions_and_expire_stage(spark, tmp):
     assert "p_date=2024-01-23" in out["expired"]
 
 
-def test_date_prefixed_listing_reads_only_the_lookback(spark, tmp):
+def test_listing_finds_objects_under_any_prefix(spark, tmp):
+    """Only the update time selects: an object written (or overwritten) now
+    under an old date's prefix is read again."""
     from tidemark.sources.objects import list_objects
 
     cfg = cfg_for(tmp)
     ev = fx.table(spark, SF, "events")
-    for d in ("2024-01-20", "2024-01-29", "2024-01-30"):
+    for d in ("2024-01-20", "2024-01-30"):
         part = ev.filter(f"CAST(ts AS DATE) = DATE'{d}'")
         fx.write_event_objects(part, cfg.objects_root, folder=f"Order_Events/dt={d}")
-    objs = list_objects(spark, cfg.objects_root, "Order_Events", "2024-01-28T12:00:00Z",
-                        date_layout="dt={date}", until="2024-01-31")
-    names = {r["name"].split("/")[1] for r in objs.select("name").collect()}
-    assert names == {"dt=2024-01-29", "dt=2024-01-30"}
-    assert all(r["name"].startswith("Order_Events/") for r in objs.select("name").collect())
-    full = list_objects(spark, cfg.objects_root, "Order_Events", "2024-01-28T12:00:00Z")
-    assert full.count() > objs.count()  # the full listing also finds the old prefix
+    objs = list_objects(spark, cfg.objects_root, "Order_Events", "2024-01-28T12:00:00Z")
+    assert {r["name"].split("/")[1] for r in objs.select("name").collect()} == {"dt=2024-01-20", "dt=2024-01-30"}
+
+
+def test_stream_reads_objects_with_old_time_stamps(spark, tmp, local_tmp):
+    """Files of any age are new to a stream that hasn't read them."""
+    import gzip
+    import os
+    import time
+
+    from tidemark.sources.objects import stream_objects
+
+    root = f"{local_tmp}/objs/Order_Events"
+    os.makedirs(root)
+
+    def put(name, days):
+        with open(f"{root}/{name}.json.gz", "wb") as f:
+            f.write(gzip.compress(b'{"a":1}'))
+        t = time.time() - days * 86400
+        os.utime(f"{root}/{name}.json.gz", (t, t))
+
+    seen = []
+
+    def run():
+        q = stream_objects(spark, f"{local_tmp}/objs").select("name").writeStream.foreachBatch(
+            lambda d, _: seen.extend(r["name"] for r in d.collect())) \
+            .option("checkpointLocation", f"{local_tmp}/ck").trigger(availableNow=True).start()
+        q.awaitTermination()
+
+    put("new", 0)
+    run()
+    put("old", 30)
+    run()
+    assert sorted(seen) == ["Order_Events/new.json.gz", "Order_Events/old.json.gz"]

@@ -13,7 +13,7 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(E.QUERIES))
 def test_query_matches_oracle(spark, con, key):
     df = E.queries()[key](spark, SF)
     cols, rows = df.columns, [tuple(r) for r in df.collect()]

@@ -10,13 +10,23 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+#: String literals of a JSON text; number literals that a 38-digit decimal (or,
+#: with an exponent, a double) doesn't hold exactly.
+_STRINGS = r'"(?:[^"\\]|\\.)*+"'
+_WIDE = r"[0-9]{39}|[0-9][0-9.]{39}|[0-9][0-9.]{17,}[eE]"
+#: A text without so many digits in a row (or with a point among them) has none.
+_MAYBE_WIDE = r"[0-9][0-9.]{17}"
+
+
 def canonical_json(col: Column | str) -> Column:
     """Canonical text of a JSON document: keys sorted, no spacing,
-    numbers normalised (``2.0`` → ``2``). NULL when the text is not JSON.
-
-    Two payloads with the same canonical text are the same record.
+    numbers normalised (``2.0`` → ``2``). NULL when the text is not JSON, and
+    when a number would lose digits: two payloads with the same canonical text
+    are the same record.
     """
-    return F.to_json(F.try_parse_json(_c(col)))
+    c = _c(col)
+    lossy = c.rlike(_MAYBE_WIDE) & F.regexp_replace(c, _STRINGS, '""').rlike(_WIDE)
+    return F.when(~lossy, F.to_json(F.try_parse_json(c)))
 
 
 def json_value(col: Column | str, path: str) -> Column:

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import materialize, release
 from tidemark.specs import DEAD_LETTER_PARTITION, DEAD_LETTER_SCHEMA
 
 log = logging.getLogger(__name__)
@@ -74,20 +75,30 @@ def union_dead_letters(*dfs: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), dfs)
 
 
-def write_dead_letters(df: DataFrame, path: str) -> bool:
+def write_dead_letters(df: DataFrame, path: str, work_root: str | None = None) -> bool:
     """Append to the dead-letter table (partitioned by publish date).
-    A failure is logged, never raised, so it cannot mask the original one.
+
+    The letters are computed first, and an error in that is raised: a job must
+    not report success with its dead letters lost. Only a failure to publish
+    them is logged and not raised, so it cannot mask the original one.
+    Nothing is published when there are none.
 
     Dead letters are the union of several sparse branches (hundreds of
     mostly empty partitions); ``REBALANCE`` lets AQE pack them into files
     of a sensible size instead of one small file per input partition."""
+    spark = df.sparkSession
+    letters, tmp = materialize(df.hint("rebalance"), "dead-letters", work_root)
     try:
-        (df.hint("rebalance").withColumn(DEAD_LETTER_PARTITION, F.to_date("publish_time"))
-           .write.mode("append").partitionBy(DEAD_LETTER_PARTITION).parquet(path))
+        if not letters.limit(1).count():
+            return True
+        (letters.withColumn(DEAD_LETTER_PARTITION, F.to_date("publish_time"))
+            .write.mode("append").partitionBy(DEAD_LETTER_PARTITION).parquet(path))
         return True
     except Exception as exc:  # noqa: BLE001 - by contract
         log.error("dead-letter write to %s failed: %s", path, exc)
         return False
+    finally:
+        release(spark, tmp)
 
 
 def read_dead_letters(spark, path: str, dedupe: bool = False) -> DataFrame:

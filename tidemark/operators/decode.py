@@ -7,7 +7,11 @@ keep the last value; Catalyst's JSON readers differ on all three, so the
 syntax check runs in ``mapInArrow`` over Arrow batches. Everything after it
 (field extraction, typing, routing) is Catalyst again.
 
-Memory bound per task: one decompressed object (gzip is not splittable).
+One decoder serves every object size. It reads the object in pieces, so a
+task holds one record and the records of ``HOLD_BYTES`` at most: an object
+whose records fit is decoded once, a larger one is read a second time to emit
+them after the first reading has found it sound. Time is linear in the
+object's size, however its records and lines are laid out.
 """
 
 from __future__ import annotations
@@ -16,8 +20,9 @@ import codecs
 import gzip
 import io
 import json
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -51,288 +56,276 @@ class DecodeError(Exception):
         self.kind = kind
 
 
-def decode_blob(data: bytes | None) -> list[str]:
-    """Decode one object. Returns the records as compact JSON text.
-
-    Raises ``DecodeError`` (kind ``gzip`` / ``utf8`` / ``json`` /
-    ``not_object`` / ``read``) when the object must go to the dead letter.
-    A blank object yields no records and no error.
-    """
-    if data is None:
-        raise DecodeError("read", "object has no content")
-    try:
-        raw = gzip.decompress(data)
-    except (OSError, EOFError, zlib.error) as exc:
-        raise DecodeError("gzip", str(exc)) from None
-    try:
-        text = raw.decode("utf-8").strip()
-    except UnicodeDecodeError as exc:
-        raise DecodeError("utf8", str(exc)) from None
-    if not text:
-        return []
-    try:
-        if text.startswith("["):
-            records = json.loads(text)
-        else:
-            records = [json.loads(line) for line in text.splitlines() if line.strip()]
-    except (ValueError, RecursionError) as exc:
-        raise DecodeError("json", str(exc)) from None
-    out = []
-    for i, rec in enumerate(records):
-        if not isinstance(rec, dict):
-            raise DecodeError(
-                "not_object", f"record {i} is {type(rec).__name__}, expected object"
-            )
-        out.append(json.dumps(rec, ensure_ascii=False, separators=(",", ":")))
-    return out
-
-
-# Objects whose compressed size is above this are decoded in two streaming
-# passes (validate, then emit) so memory stays bounded by one line and one
-# output batch instead of the whole decompressed object.
-STREAM_THRESHOLD = 64 << 20
-_CHUNK = 1 << 20
+#: Bytes read from an object at a time.
+_PIECE = 1 << 18
+#: Records of this many characters are held while the rest of their object is
+#: checked; beyond it they are read again.
+HOLD_BYTES = 8 << 20
 _GZIP_ERRORS = (OSError, EOFError, zlib.error)
+_JSON_BLANK = " \t\n\r"
 
+_LONG_NUMBER = re.compile(r"[0-9][0-9.]{16}")
 
-def _opener(src):
-    """``bytes`` or a zero-argument callable returning a binary file object."""
-    return (lambda: io.BytesIO(src)) if isinstance(src, (bytes, bytearray)) else src
+Opener = Callable[[], io.IOBase]
 
 
-def _stream_text_lines(src) -> Iterator[str]:
-    """The lines of ``gunzip(src).decode('utf-8').strip().splitlines()``,
-    produced incrementally. Errors have the whole-object precedence: a gzip
-    error anywhere wins over a UTF-8 error (the object would not even
-    decompress), so after a UTF-8 error the rest is still decompressed."""
-    dec = codecs.getincrementaldecoder("utf-8")()
-    buf, started, pending, utf8_err = "", False, None, None
-    try:
-        with _opener(src)() as raw, gzip.GzipFile(fileobj=raw) as gz:
-            while True:
-                chunk = gz.read(_CHUNK)
-                final = not chunk
-                if utf8_err is None:
-                    try:
-                        buf += dec.decode(chunk, final=final)
-                    except UnicodeDecodeError as exc:
-                        utf8_err = exc
-                if final:
-                    break
-                if utf8_err is not None:
-                    continue
-                lines = buf.splitlines(keepends=True)
-                buf = lines.pop() if lines and lines[-1].splitlines()[0] == lines[-1] else ""
-                for ln in lines:
-                    text = ln.splitlines()[0] if ln.splitlines() else ""
-                    if not text.strip():
-                        continue  # blank lines never hold a record
-                    if not started:
-                        text, started = text.lstrip(), True
-                    if pending is not None:
-                        yield pending
-                    pending = text
-    except _GZIP_ERRORS as exc:
-        raise DecodeError("gzip", str(exc)) from None
-    if utf8_err is not None:
-        raise DecodeError("utf8", str(utf8_err))
-    for ln in buf.splitlines():
-        if not ln.strip():
-            continue
-        if not started:
-            ln, started = ln.lstrip(), True
-        if pending is not None:
-            yield pending
-        pending = ln
-    if pending is not None:
-        pending = pending.rstrip()
-        if pending:
-            yield pending
-
-
-def _first_char(src) -> str:
-    for ln in _stream_text_lines(src):
-        return ln[:1]
-    return ""
-
-
-def _stream_ndjson(src, emit: bool) -> Iterator[str]:
-    first_err = None
-    i = 0
-    for line in _stream_text_lines(src):
-        if first_err is not None or not line.strip():
-            continue  # keep draining: gzip / UTF-8 errors take precedence
+def _text_pieces(source: Opener) -> Iterator[str]:
+    """Decoded text of a gzip object, piece by piece. What can't be
+    decompressed counts before what isn't UTF-8, so after a UTF-8 error the
+    rest is still decompressed."""
+    utf8 = codecs.getincrementaldecoder("utf-8")()
+    broken = None
+    with source() as raw, gzip.GzipFile(fileobj=raw) as plain:
+        while True:
+            try:
+                piece = plain.read(_PIECE)
+            except _GZIP_ERRORS as exc:
+                raise DecodeError("gzip", str(exc)) from None
+            if broken is None:
+                try:
+                    text = utf8.decode(piece, final=not piece)
+                except UnicodeDecodeError as exc:
+                    broken = str(exc)
+                else:
+                    if text:
+                        yield text
+            if not piece:
+                break
+    if broken is not None:
+        raise DecodeError("utf8", broken)
+
+
+class _Problems:
+    """The problem that an object is reported with: text that isn't JSON
+    anywhere in it counts before a record that isn't an object."""
+
+    def __init__(self):
+        self.syntax: DecodeError | None = None
+        self.shape: DecodeError | None = None
+
+    def not_json(self, detail) -> None:
+        if self.syntax is None:
+            self.syntax = DecodeError("json", str(detail))
+
+    def record(self, number: int, value, raw: str) -> str | None:
+        """Compact text of a record (its own text where a number has more
+        digits than a double); None once there is a problem."""
+        if not isinstance(value, dict):
+            if self.shape is None:
+                self.shape = DecodeError("not_object", f"record {number} is {type(value).__name__}, expected object")
+        elif self.syntax is None and self.shape is None:
+            try:
+                text = json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+                text.encode()
+                return raw.strip() if _LONG_NUMBER.search(raw) else text
+            except UnicodeEncodeError:
+                self.not_json(f"record {number} holds a lone surrogate, which has no UTF-8 form")
+            except RecursionError as exc:
+                self.not_json(exc)
+        return None
+
+    def settle(self) -> None:
+        if self.syntax or self.shape:
+            raise self.syntax or self.shape
+
+
+def _lines(pieces: Iterator[str]) -> Iterator[str]:
+    """Non-blank lines (``str.splitlines``'s ends); blanks around the whole
+    text don't belong to its first and last line."""
+    kept: list[str] = []  # of the line that isn't complete yet
+    waiting = None
+    for piece in pieces:
+        if kept and kept[-1].endswith("\r"):  # its line feed may come with this piece
+            piece = kept.pop() + piece
+        parts = piece.splitlines(keepends=True)
+        for k, part in enumerate(parts, 1):
+            kept.append(part)
+            ended = part.splitlines()[0] != part
+            if not ended or part.endswith("\r") and k == len(parts):
+                continue
+            line = "".join(kept).splitlines()[0]
+            kept = []
+            if line.strip():
+                if waiting is not None:
+                    yield waiting
+                waiting = line
+    line = "".join(kept).splitlines()[0] if kept else ""
+    if line.strip():
+        if waiting is not None:
+            yield waiting
+        waiting = line
+    if waiting is not None:
+        yield waiting.rstrip()
+
+
+def _line_records(pieces: Iterator[str], problems: _Problems) -> Iterator[str]:
+    for number, line in enumerate(_lines(pieces)):
+        if problems.syntax is not None:
+            continue  # what follows may still not decompress or decode
         try:
-            rec = json.loads(line)
+            value = json.loads(line)
         except (ValueError, RecursionError) as exc:
-            first_err = DecodeError("json", str(exc))
-            continue
-        if not isinstance(rec, dict):
-            first_err = DecodeError(
-                "not_object", f"record {i} is {type(rec).__name__}, expected object")
+            problems.not_json(exc)
             continue
-        if emit:
-            yield json.dumps(rec, ensure_ascii=False, separators=(",", ":"))
-        i += 1
-    if first_err is not None:
-        raise first_err
+        text = problems.record(number, value, line)
+        if text is not None:
+            yield text
 
 
-_JSON_WS = " \t\n\r"
+class _Window:
+    """A stretch of text over pieces: what is parsed is dropped; to complete
+    one value it grows by doubling."""
 
+    def __init__(self, first: str, pieces: Iterator[str]):
+        self.text, self.at, self.pieces, self.ended = first, 0, pieces, False
 
-def _stream_text(src) -> Iterator[str]:
-    """Decoded text chunks of ``gunzip(src)`` with the whole-object error
-    precedence (gzip error over UTF-8 error)."""
-    dec = codecs.getincrementaldecoder("utf-8")()
-    utf8_err = None
-    try:
-        with _opener(src)() as raw, gzip.GzipFile(fileobj=raw) as gz:
-            while True:
-                chunk = gz.read(_CHUNK)
-                final = not chunk
-                if utf8_err is None:
-                    try:
-                        text = dec.decode(chunk, final=final)
-                    except UnicodeDecodeError as exc:
-                        utf8_err = exc
-                    else:
-                        if text:
-                            yield text
-                if final:
-                    break
-    except _GZIP_ERRORS as exc:
-        raise DecodeError("gzip", str(exc)) from None
-    if utf8_err is not None:
-        raise DecodeError("utf8", str(utf8_err))
-
-
-def _stream_array(src, emit: bool) -> Iterator[str]:
-    """Elements of one top-level JSON array, parsed incrementally: same
-    records and error kinds as ``json.loads`` of the whole stripped text.
-    A malformed element is only known at the end of the object, so on error
-    the rest is still drained (gzip / UTF-8 errors take precedence)."""
-    decoder = json.JSONDecoder()
-    chunks = _stream_text(src)
-    buf, pos, eof = "", 0, False
-    err = None
-    state = "open"  # open → value → sep → (value …) → done
-    i = 0
-
-    def more():
-        nonlocal buf, pos, eof
-        try:
-            nxt = next(chunks)
-        except StopIteration:
-            eof = True
-            return False
-        buf = buf[pos:] + nxt
-        pos = 0
-        return True
-
-    while err is None:
-        if state == "open":
-            while pos >= len(buf) or buf[pos:].lstrip() == "":
-                if not more():
-                    break
-            rest = buf[pos:].lstrip()
-            pos = len(buf) - len(rest)
-            if not rest:
-                return  # blank object (only whitespace): no records
-            pos += 1  # the '[' (iter_records only comes here for arrays)
-            state = "first"
-            continue
-        while pos < len(buf) and buf[pos] in _JSON_WS:
-            pos += 1
-        if pos >= len(buf):
-            if more():
-                continue
-            err = DecodeError("json", "Expecting value or ']': unexpected end of data")
-            break
-        ch = buf[pos]
-        if state in ("first", "value"):
-            if state == "first" and ch == "]":
-                pos += 1
-                state = "done"
+    def grow(self) -> bool:
+        parts, want = [self.text[self.at:]], len(self.text) - self.at
+        got = 0
+        for piece in self.pieces:
+            parts.append(piece)
+            got += len(piece)
+            if got >= want:
                 break
+        else:
+            self.ended = True
+        self.text, self.at = "".join(parts), 0
+        return got > 0
+
+    def peek(self) -> str:
+        """The next character that isn't blank, '' at the end."""
+        while True:
+            while self.at < len(self.text) and self.text[self.at] in _JSON_BLANK:
+                self.at += 1
+            if self.at < len(self.text):
+                return self.text[self.at]
+            if not self.grow():
+                return ""
+
+    def value(self):
+        """The JSON value that starts here, and its text."""
+        while True:
             try:
-                rec, end = decoder.raw_decode(buf, pos)
+                value, end = _DECODER.raw_decode(self.text, self.at)
             except json.JSONDecodeError as exc:
-                if not eof and more():
-                    continue  # element not complete yet
-                err = DecodeError("json", str(exc))
-                break
-            if end >= len(buf) and not eof and more():
-                continue  # a number / literal may go on in the next chunk
-            if not isinstance(rec, dict):
-                err = DecodeError("not_object",
-                                  f"record {i} is {type(rec).__name__}, expected object")
-                break
-            if emit:
-                yield json.dumps(rec, ensure_ascii=False, separators=(",", ":"))
-            i += 1
-            pos = end
-            state = "sep"
-        elif state == "sep":
-            if ch == ",":
-                pos += 1
-                state = "value"
-            elif ch == "]":
-                pos += 1
-                state = "done"
-                break
-            else:
-                err = DecodeError("json", f"Expecting ',' delimiter: char {pos}")
-                break
-    if err is None:
-        # after ']' only whitespace may follow (the whole text was stripped)
-        tail = buf[pos:]
-        while tail.strip() == "" and more():
-            tail = buf[pos:]
-        if tail.strip():
-            err = DecodeError("json", "Extra data after the array")
-    for _ in chunks:  # drain: a later gzip / UTF-8 error takes precedence
-        pass
-    if err is not None:
-        raise err
+                # only near the end of what has been read can an error mean
+                # that the value goes on
+                cut = exc.pos >= len(self.text) - 16 or exc.msg.startswith("Unterminated string")
+                if cut and self.grow():
+                    continue
+                raise ValueError(exc.msg) from None
+            if end == len(self.text) and not self.ended and self.grow():
+                continue  # a number may go on
+            raw, self.at = self.text[self.at:end], end
+            return value, raw
 
 
-def iter_records(blob: bytes | None) -> Iterator[str]:
-    """Records of one object, all-or-nothing: any ``DecodeError`` is raised
-    before the first record is produced. Small objects are decoded in
-    memory (``decode_blob``); large NDJSON objects in two streaming passes."""
-    if blob is None or len(blob) <= STREAM_THRESHOLD:
-        yield from decode_blob(blob)
-        return
-    yield from _iter_streamed(blob, lambda: blob)
+_DECODER = json.JSONDecoder()
 
 
-def _iter_streamed(src, read_all) -> Iterator[str]:
-    walk = _stream_array if _first_char(src) == "[" else _stream_ndjson
-    for _ in walk(src, emit=False):  # pass 1: validate only
+def _array_records(first: str, pieces: Iterator[str], problems: _Problems) -> Iterator[str]:
+    window = _Window(first, pieces)
+    window.at = 1  # the bracket
+    number = 0
+    try:
+        if window.peek() == "]":
+            window.at += 1
+        else:
+            while True:
+                if not window.peek():
+                    raise ValueError("the array isn't closed")
+                value, raw = window.value()
+                text = problems.record(number, value, raw)
+                if text is not None:
+                    yield text
+                number += 1
+                after = window.peek()
+                if after not in (",", "]"):
+                    raise ValueError("expected ',' or ']'")
+                window.at += 1
+                if after == "]":
+                    break
+        rest = window.text[window.at:]
+        while not rest.strip():
+            rest = next(pieces, None)
+            if rest is None:
+                return
+        raise ValueError("text follows the array")
+    except (ValueError, RecursionError) as exc:
+        problems.not_json(f"record {number}: {exc}")
+    for _ in pieces:  # what follows may still not decompress or decode
         pass
-    yield from walk(src, emit=True)   # pass 2: emit
 
 
-def iter_records_path(path: str) -> Iterator[str]:
-    """``iter_records`` for an object opened by URI. Small objects are read
-    whole; an object above ``STREAM_THRESHOLD`` is never held in memory:
-    both passes stream it from the filesystem."""
-    filesystem, p = _resolve(path)
-    with filesystem.open_input_stream(p, compression=None) as f:
-        head = f.read(STREAM_THRESHOLD + 1)
-    if len(head) <= STREAM_THRESHOLD:
-        yield from decode_blob(head)
+def _walk(source: Opener) -> Iterator[str]:
+    """Records of an object; a problem is raised at the end."""
+    pieces = _text_pieces(source)
+    first = ""
+    for piece in pieces:
+        first = piece.lstrip()
+        if first:
+            break
+    problems = _Problems()
+    if first.startswith("["):
+        yield from _array_records(first, pieces, problems)
+    elif first:
+        yield from _line_records(_chain(first, pieces), problems)
+    problems.settle()
+
+
+def _chain(first: str, rest: Iterator[str]) -> Iterator[str]:
+    yield first
+    yield from rest
+
+
+def iter_records(source: bytes | Opener | None) -> Iterator[str]:
+    """Compact JSON texts of one object's records, given as bytes or as a
+    function that opens it.
+
+    All or nothing: a problem raises ``DecodeError`` (kind ``gzip``, ``utf8``,
+    ``json``, ``not_object`` or ``read``) before the first record. Only an
+    object that changes between the two readings of a large one is found out
+    later; it raises kind ``changed`` after records were given, which the
+    caller has to drop. A blank object has no records."""
+    if source is None:
+        raise DecodeError("read", "object has no content")
+    opener = source if callable(source) else lambda: io.BytesIO(source)
+    held: list[str] | None = []
+    size = check = 0
+    for text in _walk(opener):
+        check = zlib.crc32(text.encode(), check)
+        size += len(text)
+        if held is not None:
+            held.append(text)
+            if size > HOLD_BYTES:
+                held = None
+    if held is not None:
+        yield from held
         return
+    again = 0
+    try:
+        for text in _walk(opener):
+            again = zlib.crc32(text.encode(), again)
+            yield text
+    except Exception as exc:  # noqa: BLE001 - it could be read a moment ago
+        raise DecodeError(CHANGED, str(exc)) from None
+    if again != check:
+        raise DecodeError(CHANGED, "the object changed while it was read")
+
+
+#: Kind of the error row that voids records of the same object.
+CHANGED = "changed"
 
-    def reopen():
-        return filesystem.open_input_file(p)
 
-    def read_all():
-        with filesystem.open_input_stream(p, compression=None) as f:
-            return f.read()
+def decode_blob(data: bytes | None) -> list[str]:
+    """All records of an object's bytes."""
+    return list(iter_records(data))
 
-    yield from _iter_streamed(reopen, read_all)
+
+def iter_records_path(path: str) -> Iterator[str]:
+    """``iter_records`` of an object opened by URI."""
+    filesystem, p = _resolve(path)
+    return iter_records(lambda: filesystem.open_input_stream(p, compression=None))
 
 
 class _Out:
@@ -361,25 +354,15 @@ class _Out:
         return pa.RecordBatch.from_arrays(arrays, schema=_OUT_ARROW)
 
 
-_END = object()
-
-
-def _decode_rows(paths, mtimes, blobs, out: _Out) -> Iterator[pa.RecordBatch]:
-    for path, mtime, blob in zip(paths, mtimes, blobs):
-        records = iter_records(blob)
-        try:
-            first = next(records, _END)  # a bad object fails here, before any row
-        except DecodeError as exc:
-            out.add(path, mtime, None, None, str(exc))
-            first = _END
-        if first is not _END:
-            out.add(path, mtime, 0, first, None)
-            for i, rec in enumerate(records, start=1):
-                if len(out) >= _BATCH_ROWS:
-                    yield out.batch()
-                out.add(path, mtime, i, rec, None)
-        if len(out) >= _BATCH_ROWS:
-            yield out.batch()
+def _object_rows(records: Callable[[], Iterator[str]]) -> Iterator[tuple[int | None, str | None, str | None]]:
+    """(ordinal, record, error) of one object: its records, or one error."""
+    try:
+        for number, text in enumerate(records()):
+            yield number, text, None
+    except DecodeError as exc:
+        yield None, None, str(exc)
+    except Exception as exc:  # noqa: BLE001 - missing or unreadable: a dead letter, not a failed job
+        yield None, None, f"read: {exc}"
 
 
 def _decode_content_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -388,9 +371,12 @@ def _decode_content_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
         paths = b.column("path").to_pylist()
         mtimes = b.column("modificationTime").to_pylist()
         content = b.column("content")
-        for i in range(0, len(paths)):
+        for i, (path, mtime) in enumerate(zip(paths, mtimes)):
             blob = content[i].as_py()
-            yield from _decode_rows([paths[i]], [mtimes[i]], [blob], out)
+            for number, text, error in _object_rows(lambda blob=blob: iter_records(blob)):
+                out.add(path, mtime, number, text, error)
+                if len(out) >= _BATCH_ROWS:
+                    yield out.batch()
     if len(out):
         yield out.batch()
 
@@ -398,66 +384,56 @@ def _decode_content_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
 _FS_CACHE: dict = {}
 
 
+#: Names that Hadoop gives to stores which Arrow opens by another.
+_ALIASES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss", "": "file"}
+#: Schemes that the tasks' filesystem client opens.
+OPENABLE = ("file", "s3", "gs", "gcs", "hdfs", "abfs", "abfss")
+
+
+def scheme_of(uri: str) -> str:
+    """The client's name of a URI's (or plain path's) scheme."""
+    scheme = uri.split(":", 1)[0].lower() if ":" in uri.split("/", 1)[0] else ""
+    return _ALIASES.get(scheme, scheme)
+
+
+def openable_scheme(uri: str) -> str:
+    """``scheme_of``; ``ValueError`` for one that tasks couldn't open (asked on
+    the driver, before any work)."""
+    scheme = scheme_of(uri)
+    if scheme not in OPENABLE:
+        raise ValueError(f"objects can't be opened by their URI under scheme {scheme!r}")
+    return scheme
+
+
 def _resolve(path: str):
-    """(filesystem, path) for a URI; one client per scheme/authority and
+    """(filesystem, path) for a URI; one client per scheme and authority and
     Python worker."""
     from pyarrow import fs as pafs
 
-    if "://" in path:
-        scheme, rest = path.split("://", 1)
-        authority = rest.split("/", 1)[0]
+    scheme = openable_scheme(path)
+    if scheme == "file":
+        key, p = ("file", ""), path.split("://", 1)[1] if "://" in path else path.removeprefix("file:")
     else:
-        scheme, authority = "file", ""
-    key = (scheme, authority)
+        rest = path.split("://", 1)[1]
+        key, p = (scheme, rest.split("/", 1)[0]), None
     if key not in _FS_CACHE:
-        try:
-            _FS_CACHE[key] = pafs.FileSystem.from_uri(path)[0]
-        except (pa.ArrowInvalid, ValueError):
-            _FS_CACHE[key] = pafs.LocalFileSystem()
-    filesystem = _FS_CACHE[key]
-    if isinstance(filesystem, pafs.LocalFileSystem):
-        p = path.split("://", 1)[1] if "://" in path else path.removeprefix("file:")
-    else:
-        p = pafs.FileSystem.from_uri(path)[1] if "://" in path else path
-    return filesystem, p
+        _FS_CACHE[key] = pafs.LocalFileSystem() if scheme == "file" else pafs.FileSystem.from_uri(f"{scheme}://{rest}")[0]
+    if p is None:
+        p = pafs.FileSystem.from_uri(f"{scheme}://{rest}")[1] if scheme == "hdfs" else rest
+    return _FS_CACHE[key], p
 
 
 def _decode_path_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cols = {f.name: [] for f in _PATH_OUT_FIELDS}
-
-    def add(path, ordinal, rec, err, folder):
-        cols["path"].append(path)
-        cols["modificationTime"].append(mtime)
-        cols["ordinal"].append(ordinal)
-        cols["record_json"].append(rec)
-        cols["error"].append(err)
-        cols["folder"].append(folder)
-
-    mtime = None
     for b in batches:
-        paths = b.column("path").to_pylist()
-        folders = b.column("folder").to_pylist()
-        mtimes = b.column("modificationTime").to_pylist()
-        for path, folder, mtime in zip(paths, folders, mtimes):
-            try:
-                records = iter_records_path(path)
-                first = next(records, _END)  # a bad object fails before any row
-            except DecodeError as exc:
-                add(path, None, None, str(exc), folder)
-                first = _END
-            except Exception as exc:  # missing / unreadable object → dead letter
-                add(path, None, None, f"read: {exc}", folder)
-                first = _END
-            if first is not _END:
-                add(path, 0, first, None, folder)
-                for i, rec in enumerate(records, start=1):
-                    if len(cols["path"]) >= _BATCH_ROWS:
-                        yield _to_batch(cols)
-                        cols = {f.name: [] for f in _PATH_OUT_FIELDS}
-                    add(path, i, rec, None, folder)
-            if len(cols["path"]) >= _BATCH_ROWS:
-                yield _to_batch(cols)
-                cols = {f.name: [] for f in _PATH_OUT_FIELDS}
+        rows = zip(*(b.column(c).to_pylist() for c in ("path", "folder", "modificationTime")))
+        for path, folder, mtime in rows:
+            for number, text, error in _object_rows(lambda path=path: iter_records_path(path)):
+                for c, v in zip(cols, (path, mtime, number, text, error, folder)):
+                    cols[c].append(v)
+                if len(cols["path"]) >= _BATCH_ROWS:
+                    yield _to_batch(cols)
+                    cols = {f.name: [] for f in _PATH_OUT_FIELDS}
     if cols["path"]:
         yield _to_batch(cols)
 

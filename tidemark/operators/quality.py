@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.timestamps import is_blank, safe_date
+from tidemark.operators.shape import REFUSED
 from tidemark.specs import FolderSpec
 
 ERROR = "error"
@@ -28,7 +29,7 @@ def with_type_errors(raw: DataFrame, spec: FolderSpec) -> DataFrame:
     every value the table would refuse (non-empty text that is not a date).
     All built-in expressions (``concat_ws`` skips the NULLs), so the check
     stays inside whole-stage codegen."""
-    msgs = []
+    msgs = [F.col(REFUSED)] if REFUSED in raw.columns else []
     out = raw
     for c, t in spec.typed_columns:
         if t != "DATE":
@@ -59,7 +60,7 @@ def split_rejects(raw: DataFrame, spec: FolderSpec, cache: bool = False
 
         checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
     typed_cols = {c for c, t in spec.typed_columns if t == "DATE"}
-    keep = [c for c in raw.columns]
+    keep = [c for c in raw.columns if c != REFUSED]
     good = checked.filter(F.col(ERROR).isNull()).select(
         *[F.col(f"_typed_{c}").alias(c) if c in typed_cols else F.col(c) for c in keep]
     )

@@ -30,9 +30,14 @@ def with_partition_date(df: DataFrame, col: str = INGESTION_TS,
 def record_struct_schema(spec: FolderSpec) -> str:
     """DDL for one ``from_json`` pass: text for STRING/DATE columns,
     VARIANT for TIMESTAMP columns (their JSON type decides: only a JSON
-    string is parsed, a number is NULL)."""
+    string is parsed, a number is NULL), and the text of a record that the
+    parser refuses."""
     return "struct<" + ",".join(
-        f"`{c}`:{'variant' if t == 'TIMESTAMP' else 'string'}" for c, t in spec.columns) + ">"
+        f"`{c}`:{'variant' if t == 'TIMESTAMP' else 'string'}" for c, t in spec.columns) + f",`{REFUSED}`:string>"
+
+
+#: Reason why a record can't be shaped (NULL for all others).
+REFUSED = "_refused"
 
 
 def project_explicit(records: DataFrame, spec: FolderSpec,
@@ -44,14 +49,17 @@ def project_explicit(records: DataFrame, spec: FolderSpec,
     scalars keep their JSON text (``5``, ``true``, ``{"k":1}``). TIMESTAMP
     columns go through ``safe_timestamp`` only when the JSON value is a
     string. Extra keys are dropped. Other columns of ``records`` are
-    carried."""
+    carried. A record that Spark's parser refuses (nested or with numbers
+    beyond its limits) has ``REFUSED`` set; ``split_rejects`` turns it away."""
     carry = [c for c in records.columns if c != record_col and c not in spec.business_columns]
     # parse once per row into its own projection: Catalyst keeps an expensive
     # expression that is used many times (every field, the timestamp guard)
     # in a separate Project instead of inlining it into each use
-    parsed = records.select(*carry, F.from_json(F.col(record_col), record_struct_schema(spec))
-                            .alias("_rec"))
-    cols = []
+    parsed = records.select(*carry, F.from_json(F.col(record_col), record_struct_schema(spec),
+                                                {"columnNameOfCorruptRecord": REFUSED}).alias("_rec"))
+    refused = F.when(F.col("_rec").isNull() | F.col(f"_rec.{REFUSED}").isNotNull(),
+                     F.concat(F.lit("unreadable record: "), F.substring(F.coalesce(F.col(f"_rec.{REFUSED}"), F.lit("")), 1, 200)))
+    cols = [refused.alias(REFUSED)]
     for c, t in spec.columns:
         f = F.col("_rec").getField(c)
         if t == "TIMESTAMP":
@@ -67,8 +75,10 @@ def wrap_payload(records: DataFrame, record_col: str = "record_json",
     """Whole record as canonical JSON ``payload``; payload stage is
     partitioned by the object's update date (``date_col``), falling back to
     the ingestion date where the update time is unknown (objects opened by
-    URI from a notification), so the partition is never NULL."""
-    out = records.withColumn("payload", canonical_json(record_col))
+    URI from a notification), so the partition is never NULL. A record without
+    canonical text has ``REFUSED`` set: the table's payload is NOT NULL."""
+    out = records.withColumn("payload", canonical_json(record_col)) \
+        .withColumn(REFUSED, F.when(F.col("payload").isNull(), F.lit("record has no lossless canonical JSON text")))
     ingest = F.col(INGESTION_TS) if INGESTION_TS in records.columns else F.lit(None)
     if date_col and date_col in records.columns:
         day = F.coalesce(F.to_date(F.col(date_col)), F.to_date(ingest))

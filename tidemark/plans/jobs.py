@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.paths import folder_of, relative_name
-from tidemark.operators.decode import STREAM_THRESHOLD, decode_objects, decode_paths
+from tidemark.operators.decode import CHANGED, OPENABLE, decode_objects, decode_paths, scheme_of
 from tidemark.operators.deadletter import (
     SOURCE_BATCH, SOURCE_STREAM, fanout_dead_letters, file_dead_letters,
-    row_dead_letters, union_dead_letters, write_dead_letters,
+    read_dead_letters, row_dead_letters, union_dead_letters, write_dead_letters,
 )
 from tidemark.operators.dedup import latest_for_spec
 from tidemark.operators.merge import (
@@ -24,7 +24,7 @@ from tidemark.operators.merge import (
 from tidemark.operators.quality import key_gate, release_checked, split_rejects
 from tidemark.operators.route import TAG_DEAD, UNKNOWN, UNKNOWN_FOLDER_ERROR, registry_frame
 from tidemark.operators.shape import (
-    project_explicit, stage_rows, with_partition_date, with_provenance, wrap_payload,
+    REFUSED, project_explicit, stage_rows, with_partition_date, with_provenance, wrap_payload,
 )
 from tidemark.operators.views import stage_window, with_identity
 from tidemark.plans.storage import CatalogGoldStore, GoldStore, StageStore
@@ -50,9 +50,6 @@ class PipelineConfig:
     catalog_gold: dict = field(default_factory=dict)
     # gold versions kept after a commit (readers still on an older one)
     keep_versions: int = 3
-    # objects written under date prefixes (e.g. "dt={date}"): the daily
-    # re-read lists only the prefixes inside the lookback (see list_objects)
-    object_date_layout: str | None = None
     # payload gold written by this library holds canonical JSON text, so the
     # text is the identity; set True for gold loaded from elsewhere (then
     # every merge re-canonicalises all gold payloads)
@@ -80,16 +77,21 @@ def _utc_naive(d) -> dt.datetime:
     return parse_execution_date(d).replace(tzinfo=None)
 
 
-def shape_folder(decoded: DataFrame, spec: FolderSpec, now) -> tuple[DataFrame, DataFrame | None]:
-    """Decoded good records of one folder → (stage rows, rejected rows)."""
+def shape_folder(decoded: DataFrame, spec: FolderSpec, now, cache: bool = True
+                 ) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Decoded good records of one folder → (stage rows, refused rows with
+    their error, rows to release when both have been used)."""
     recs = decoded.filter((F.col("folder") == spec.folder) & F.col("error").isNull())
     recs = with_provenance(recs, now, "path")
     if spec.schema_type == EXPLICIT:
         raw = project_explicit(recs.select("source_file", INGESTION_TS, "record_json"), spec)
-        good, bad = split_rejects(raw, spec, cache=True)
-        return stage_rows(with_partition_date(good, INGESTION_TS, spec.partition_col), spec), bad
+        good, bad = split_rejects(raw, spec, cache=cache)
+        return (stage_rows(with_partition_date(good, INGESTION_TS, spec.partition_col), spec),
+                bad.select(*spec.business_columns, "source_file", INGESTION_TS, "error"), good if cache else None)
     shaped = wrap_payload(recs, "record_json", "modificationTime")
-    return stage_rows(shaped, spec), None
+    bad = shaped.filter(F.col(REFUSED).isNotNull()).select(
+        F.col("record_json").alias("payload"), "source_file", INGESTION_TS, F.col(REFUSED).alias("error"))
+    return stage_rows(shaped.filter(F.col(REFUSED).isNull()), spec), bad, None
 
 
 def ingest_decoded(spark: SparkSession, cfg: PipelineConfig, decoded: DataFrame, now,
@@ -108,12 +110,14 @@ def ingest_decoded(spark: SparkSession, cfg: PipelineConfig, decoded: DataFrame,
                 F.col("path").alias("source_file"), "error")
     )
     dead.append(file_dead_letters(errors, source, now_ts, cfg.subscription))
+    # an object found to change while it was read has given records already
+    changed = decoded.filter(F.startswith(F.col("error"), F.lit(f"{CHANGED}:"))).select("path")
+    decoded = decoded.join(changed, "path", "left_anti")
     cached = []
     try:
         for spec in cfg.registry:
-            rows, bad = shape_folder(decoded, spec, now_ts)
-            if bad is not None:
-                cached.append(bad)
+            rows, bad, held = shape_folder(decoded, spec, now_ts)
+            cached.append(held)
             try:
                 cfg.stage(spec).append(rows, batch_id)
             except Exception as exc:
@@ -125,32 +129,28 @@ def ingest_decoded(spark: SparkSession, cfg: PipelineConfig, decoded: DataFrame,
                     fanout_dead_letters(files, spec.stage_table, str(exc), source, now_ts,
                                         cfg.subscription), cfg.dead_letters)
                 raise
-            if bad is not None:
-                dead.append(row_dead_letters(bad, spec.stage_table, spec.business_columns + [
-                    "source_file", INGESTION_TS], source, now_ts, cfg.subscription))
+            columns = spec.business_columns if spec.schema_type == EXPLICIT else ["payload"]
+            dead.append(row_dead_letters(bad, spec.stage_table, columns + ["source_file", INGESTION_TS],
+                                         source, now_ts, cfg.subscription))
         res.dead_letters = union_dead_letters(*dead)
-        write_dead_letters(res.dead_letters, cfg.dead_letters)
+        write_dead_letters(res.dead_letters, cfg.dead_letters, cfg.lake_root)
     finally:
         for c in cached:
-            release_checked(c)
+            if c is not None:
+                release_checked(c)
     return res
 
 
-def decode_listing(objects: DataFrame, root: str,
-                   stream_threshold: int = STREAM_THRESHOLD) -> DataFrame:
-    """Decode ``binaryFile`` rows and tag each record with its folder.
+def decode_listing(objects: DataFrame, root: str) -> DataFrame:
+    """Decode listed objects and tag each record with its folder.
 
-    Objects up to ``stream_threshold`` bytes are decoded from the scanned
-    ``content``; larger ones (a row could not even hold an object over
-    2 GB) are opened by URI and streamed, so no single object is ever
-    materialised. ``binaryFile`` applies the ``length`` filter before reading
-    content, so the large objects' bytes are never loaded by the scan."""
+    Tasks open and stream objects by their URI, whatever their size; under a
+    scheme that only Spark's readers know the scanned ``content`` is decoded
+    instead (an object then has to fit in a row). The decoder is the same."""
     folder = folder_of(relative_name("path", root))
-    small = decode_objects(objects.filter(F.col("length") <= stream_threshold))
-    large = objects.filter(F.col("length") > stream_threshold) \
-        .select("path", "modificationTime", folder.alias("folder"))
-    big = decode_paths(large, mtime_col="modificationTime")
-    return small.withColumn("folder", folder).unionByName(big)
+    if scheme_of(root) not in OPENABLE:
+        return decode_objects(objects).withColumn("folder", folder)
+    return decode_paths(objects.select("path", "modificationTime", folder.alias("folder")), mtime_col="modificationTime")
 
 
 def unknown_folder_dead_letters(objects: DataFrame, cfg: PipelineConfig, source: str, now
@@ -168,19 +168,42 @@ def unknown_folder_dead_letters(objects: DataFrame, cfg: PipelineConfig, source:
 
 # -- merges --------------------------------------------------------------------
 def merge_source(stage: DataFrame, spec: FolderSpec, as_of, days: int) -> DataFrame:
-    """Windowed stage, one row per key (explicit) or per canonical payload."""
+    """Windowed stage, one row per key (explicit) or per canonical payload.
+    Rows without a key or payload don't take part (see ``keyless_rows``)."""
     recent = stage_window(stage, as_of, days, spec.partition_col)
-    return latest_for_spec(with_identity(recent.select(*spec.row_columns), spec), spec)
+    named = with_identity(recent.select(*spec.row_columns), spec)
+    return latest_for_spec(named.filter(F.col(spec.identity_col).isNotNull()), spec)
+
+
+def keyless_rows(stage: DataFrame, spec: FolderSpec, as_of, days: int) -> DataFrame:
+    """Every windowed stage row that gold's key can't take, with its error."""
+    recent = stage_window(stage, as_of, days, spec.partition_col).select(*spec.row_columns)
+    return key_gate(with_identity(recent, spec), spec.identity_col)[1].select(*spec.row_columns, "error")
+
+
+def report_keyless(spark: SparkSession, cfg: PipelineConfig, spec: FolderSpec, rows: DataFrame, now_ts,
+                   source_name: str) -> None:
+    """Dead letters of rows without a key: one for each row, and none for a row
+    that an earlier merge of the same window has reported."""
+    letters, tmp = materialize(row_dead_letters(rows, spec.gold_table, spec.row_columns, source_name, now_ts,
+                                                cfg.subscription), f"keyless-{spec.folder}", cfg.lake_root)
+    try:
+        if letters.limit(1).count():
+            seen = read_dead_letters(spark, cfg.dead_letters).select(F.get_json_object("data", "$.row").alias("_row"))
+            fresh = letters.withColumn("_row", F.get_json_object("data", "$.row")).join(seen, "_row", "left_anti")
+            write_dead_letters(fresh.drop("_row"), cfg.dead_letters, cfg.lake_root)
+    finally:
+        release(spark, tmp)
 
 
 def changed_rows(gold: DataFrame, source: DataFrame, key: str, order_col: str,
-                 source_rows: int) -> int:
+                 source_rows: int, strategy: str) -> int:
     """Source rows the upsert would write (inserts + updates), from gold's
-    key and order columns only, joined map-side to the broadcast source
-    (call only when the source passed the broadcast size check)."""
+    key and order columns only; the source is broadcast where its size passed
+    the check."""
     s = source.select(key, F.col(order_col).alias("_s_order"))
     kept = (gold.select(key, order_col)
-            .join(F.broadcast(s), key)
+            .join(F.broadcast(s) if strategy == "broadcast" else s, key)
             .filter(~F.coalesce(F.col("_s_order") > F.col(order_col), F.lit(False)))
             .count())
     return source_rows - kept
@@ -196,8 +219,9 @@ def merge_folder(spark: SparkSession, cfg: PipelineConfig, spec: FolderSpec, as_
     gold = gold_store.read(spark)
     # the deduplicated window is small and read several times: materialise
     # it once in the shared checkpoint folder (also cuts its lineage)
-    src, tmp = materialize(merge_source(stage, spec, as_of, days), f"merge-{spec.folder}")
+    src, tmp = materialize(merge_source(stage, spec, as_of, days), f"merge-{spec.folder}", cfg.lake_root)
     try:
+        report_keyless(spark, cfg, spec, keyless_rows(stage, spec, as_of, days), now_ts, source_name)
         return _merge_with(spark, cfg, spec, src, gold, gold_store, now_ts, source_name)
     finally:
         release(spark, tmp)
@@ -208,22 +232,18 @@ def _merge_with(spark, cfg: PipelineConfig, spec: FolderSpec, src: DataFrame, go
     if spec.folder in cfg.catalog_gold:
         return _merge_catalog(spark, cfg, spec, src, now_ts, source_name)
     if spec.schema_type == EXPLICIT:
-        ok, missing = key_gate(src, spec.key)
-        write_dead_letters(
-            row_dead_letters(missing, spec.gold_table, spec.row_columns, source_name, now_ts,
-                             cfg.subscription), cfg.dead_letters)
-        n, size = measure_bytes(ok)
+        n, size = measure_bytes(src)
         if n == 0:  # nothing to promote: keep the current version, write nothing
             return {"folder": spec.folder, "source_rows": 0, "strategy": "none",
                     "version": gold_store.current_version(spark)}
         strategy = ("shuffle" if cfg.merge_strategy == "shuffle"
                     else "broadcast" if size <= cfg.broadcast_bytes else "shuffle")
-        if strategy == "broadcast" and changed_rows(gold, ok, spec.key, spec.order_col, n) == 0:
+        if changed_rows(gold, src, spec.key, spec.order_col, n, strategy) == 0:
             # every source row is already in gold (rerun, or no new data in
             # the window): keep the current version instead of rewriting it
             return {"folder": spec.folder, "source_rows": n, "source_bytes": size,
                     "strategy": "unchanged", "version": gold_store.current_version(spark)}
-        plan = merge_plan(gold, ok, spec.key, spec.order_col, spec.row_columns, strategy)
+        plan = merge_plan(gold, src, spec.key, spec.order_col, spec.row_columns, strategy)
         version = gold_store.commit(spark, plan.drop(ACTION))
         gold_store.vacuum(spark, keep=cfg.keep_versions)
         return {"folder": spec.folder, "source_rows": n, "source_bytes": size,
@@ -245,11 +265,7 @@ def _merge_catalog(spark, cfg: PipelineConfig, spec: FolderSpec, src: DataFrame,
                    source_name: str) -> dict:
     store = CatalogGoldStore(cfg.catalog_gold[spec.folder], spec)
     if spec.schema_type == EXPLICIT:
-        ok, missing = key_gate(src, spec.key)
-        write_dead_letters(
-            row_dead_letters(missing, spec.gold_table, spec.row_columns, source_name, now_ts,
-                             cfg.subscription), cfg.dead_letters)
-        store.upsert(ok)
+        store.upsert(src)
     else:
         store.insert_only(src, now_ts, LAST_UPDATED)
     return {"folder": spec.folder, "table": store.table, "strategy": "catalog_merge"}
@@ -278,12 +294,12 @@ def daily_reprocess(spark: SparkSession, cfg: PipelineConfig, execution_date=Non
     now = now if now is not None else dt.datetime.now(dt.timezone.utc)
     as_of = as_of or dt.datetime.now(dt.timezone.utc).date()
     cutoff = lookback_cutoff(exec_dt)
-    listings = [list_objects(spark, cfg.objects_root, s.folder, cutoff, cfg.object_date_layout,
-                             until=now) for s in cfg.registry]
+    listings = [list_objects(spark, cfg.objects_root, s.folder, cutoff) for s in cfg.registry]
     objects = listings[0]
     for extra in listings[1:]:
         objects = objects.unionByName(extra)
-    decoded, tmp = materialize(decode_listing(objects, cfg.objects_root), "daily-decoded")
+    # a folder's records lie together, so shaping a folder reads no other's
+    decoded, tmp = materialize(decode_listing(objects, cfg.objects_root), "daily-decoded", cfg.lake_root, ("folder",))
     batch_id = f"daily-{exec_dt.strftime('%Y%m%dT%H%M%S')}"
     try:
         res = ingest_decoded(spark, cfg, decoded, now, batch_id, SOURCE_BATCH)

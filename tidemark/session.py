@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -72,15 +73,18 @@ def apply_session_conf(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the operator and points at shared storage.
-    Only when it is unset (local tests) a private folder is created and set.
-    """
+    On a cluster the operator sets it to shared storage, and without it there
+    is none to fall back to: a folder of one machine would lose what the others
+    write. Only a session that runs in one process (``local`` master, as in
+    tests) gets a folder of its own where it is unset."""
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         current = sc.getCheckpointDir()
         if current:
             return current.rsplit("/", 1)[0] if _looks_uuid(current) else current
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         sc.setCheckpointDir(root)
     elif not sc.getCheckpointDir():
@@ -97,23 +101,27 @@ def _looks_uuid(path: str) -> bool:
         return False
 
 
-def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint root (never reused)."""
-    return f"{checkpoint_root(spark)}/tidemark-work/{name}-{uuid.uuid4().hex[:12]}"
+def work_dir(spark: SparkSession, name: str, root: str | None = None) -> str:
+    """A fresh folder under ``root`` (default: the shared checkpoint folder);
+    never reused."""
+    base = f"{root.rstrip('/')}/_work" if root else f"{checkpoint_root(spark)}/tidemark-work"
+    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df, name: str):
-    """Write ``df`` once as Parquet under the shared checkpoint folder and
-    return ``(reread DataFrame, path)``.
+def materialize(df, name: str, root: str | None = None, partition_by: tuple[str, ...] = ()):
+    """Write ``df`` once as Parquet below ``root`` (a job's lake; default: the
+    shared checkpoint folder) and return ``(reread DataFrame, path)``.
 
     Cuts the lineage like a reliable checkpoint and survives executor loss,
     but computes ``df`` exactly once (an eager ``checkpoint()`` of an uncached
     DataFrame runs it twice: for the count and again for the files) and
-    stores it columnar. Call ``release`` when the data is no longer read."""
+    stores it columnar; ``partition_by`` lets later reads of one value leave
+    the others alone. Call ``release`` when the data is no longer read."""
     spark = df.sparkSession
-    path = work_dir(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
+    path = work_dir(spark, name, root)
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns), path
 
 
 def release(spark: SparkSession, path: str) -> None:

@@ -21,6 +21,10 @@ BINARY_FILE_SCHEMA = T.StructType(
 )
 
 
+#: Longer than any object's age (a hundred years).
+_NO_AGE = "36500d"
+
+
 def parse_execution_date(value) -> dt.datetime:
     """ISO text / datetime / None → aware UTC datetime.
 
@@ -34,9 +38,9 @@ def parse_execution_date(value) -> dt.datetime:
         d = dt.datetime(value.year, value.month, value.day)
     else:
         try:
-            d = dt.datetime.fromisoformat(str(value).replace("Z", "+00:00"))
-        except ValueError:
-            raise ValueError(f"Invalid EXECUTION_DATE: {value}") from None
+            d = dt.datetime.fromisoformat(str(value))
+        except ValueError as exc:
+            raise ValueError(f"the execution date isn't ISO 8601: {exc}") from None
     if d.tzinfo is None:
         d = d.replace(tzinfo=dt.timezone.utc)
     return d.astimezone(dt.timezone.utc)
@@ -71,48 +75,14 @@ def _binary_reader(spark: SparkSession):
     )
 
 
-def date_prefixes(spark: SparkSession, root: str, folder: str, layout: str, start, end
-                  ) -> list[str]:
-    """Existing ``root/folder/<layout(d)>`` folders for every date ``d`` from
-    ``start`` to ``end`` (inclusive). ``layout`` uses ``{date}`` (ISO),
-    ``{yyyy}``, ``{mm}``, ``{dd}``, e.g. ``dt={date}`` or ``{yyyy}/{mm}/{dd}``."""
-    from tidemark.plans.storage import path_exists
-
-    d, out = start, []
-    while d <= end:
-        sub = layout.format(date=d.isoformat(), yyyy=f"{d.year:04d}", mm=f"{d.month:02d}",
-                            dd=f"{d.day:02d}")
-        p = f"{root.rstrip('/')}/{folder}/{sub}"
-        if path_exists(spark, p):
-            out.append(p)
-        d += dt.timedelta(days=1)
-    return out
-
-
-def list_objects(spark: SparkSession, root: str, folder: str, cutoff,
-                 date_layout: str | None = None, until=None) -> DataFrame:
+def list_objects(spark: SparkSession, root: str, folder: str, cutoff) -> DataFrame:
     """S3: objects under ``root/folder/`` updated at or after ``cutoff``.
 
     ``binaryFile`` evaluates the ``modificationTime`` predicate while
     listing, so skipped objects are never opened; ``content`` is read only
-    by the tasks that decode it. Adds ``name`` (relative object name).
-
-    With ``date_layout`` (objects written under date prefixes), only the
-    prefixes from the cutoff's date to ``until`` (default: today) are
-    listed, instead of the whole folder tree. Opt-in: an object overwritten
-    later under an older prefix is then not re-read."""
+    by the tasks that decode it. Adds ``name`` (relative object name)."""
     c = _naive_utc(parse_execution_date(cutoff))
     base = f"{root.rstrip('/')}/{folder}"
-    if date_layout:
-        end = parse_execution_date(until).date() if until is not None \
-            else dt.datetime.now(dt.timezone.utc).date()
-        paths = date_prefixes(spark, root, folder, date_layout, c.date(), end)
-        if not paths:
-            return spark.createDataFrame([], BINARY_FILE_SCHEMA).withColumn(
-                "name", F.lit(None).cast("string"))
-        files = _binary_reader(spark).option("basePath", base).load(paths)
-        files = files.filter(F.col("modificationTime") >= F.lit(c).cast("timestamp"))
-        return files.withColumn("name", relative_name("path", root))
     try:
         files = _binary_reader(spark).load(base)
     except Exception as exc:  # absent folder = nothing to list
@@ -135,6 +105,9 @@ def stream_objects(spark: SparkSession, root: str, max_files_per_trigger: int |
         .schema(BINARY_FILE_SCHEMA)
         .option("pathGlobFilter", f"*{OBJECT_SUFFIX}")
         .option("recursiveFileLookup", "true")
+        # an object that arrives with an old time stamp (copied, restored) is
+        # new all the same; the default would skip it after a week
+        .option("maxFileAge", _NO_AGE)
     )
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))

@@ -83,7 +83,7 @@ class FolderSpec:
 
     def __post_init__(self):
         if self.schema_type not in (EXPLICIT, PAYLOAD):
-            raise ValueError(f"Unsupported schema_type: {self.schema_type}")
+            raise ValueError(f"schema_type must be {EXPLICIT!r} or {PAYLOAD!r}, not {self.schema_type!r}")
         if self.schema_type == EXPLICIT and (not self.key or not self.columns):
             raise ValueError("explicit folders need a key and columns")
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.deadletter import SOURCE_STREAM, file_dead_letters
-from tidemark.operators.decode import decode_paths
+from tidemark.operators.decode import decode_paths, openable_scheme
 from tidemark.operators.route import TAG_DEAD, TAG_OBJECT, extract_object_path, split_by_tag
 from tidemark.plans.jobs import (
     PipelineConfig, decode_listing, ingest_decoded, persist, unknown_folder_dead_letters,
@@ -121,6 +121,7 @@ def stream_ingest(spark: SparkSession, cfg: PipelineConfig, checkpoint_location:
     elif source == "notifications":
         if not notifications_path:
             raise ValueError("notifications_path is required for source='notifications'")
+        openable_scheme(f"{scheme}://")
         stream = read_notifications(spark, notifications_path, max_files_per_trigger)
         body = notification_batch_writer(spark, cfg, scheme, now_fn, checkpoint_location)
     else:
