@@ -6,8 +6,8 @@ their text-to-tag ratio (none inside menus, footers, forms, adverts and the
 like), a Gaussian smooths the ratios along the page, and two-means clustering
 finds the threshold above which a line is content. Content lines vote, by
 their length, for the region: the article or main element with most votes, or
-in a page without any the innermost element that holds nearly all votes. The
-region's lines are the text, short ones too.
+where none is a fair part of the page the innermost element that holds nearly
+all votes. The region's lines are the text, short ones too.
 
 Defined results: a null, empty or textless page gives an empty text; each row,
 also a repeated one, its own result; an empty table an empty result; other
@@ -168,21 +168,25 @@ def two_means(values: np.ndarray) -> float:
     return float((v[cut] + v[cut + 1]) / 2)
 
 
-def _region(lines, votes: dict[tuple[int, ...], int], names: list[str]) -> int | None:
+def _held(weights: dict[tuple[int, ...], int]) -> dict[int, int]:
+    """Weight of the lines inside each element."""
+    out: dict[int, int] = {}
+    for path, n in weights.items():
+        for e in path:
+            out[e] = out.get(e, 0) + n
+    return out
+
+
+def _region(votes: dict[tuple[int, ...], int], sizes: dict[tuple[int, ...], int], names: list[str]) -> int | None:
     """Number of the element that is the region; None for the whole page."""
-    by_element: dict[int, int] = {}
-    depth: dict[int, int] = {}
-    for path, n in votes.items():
-        for d, e in enumerate(path):
-            by_element[e] = by_element.get(e, 0) + n
-            depth[e] = d
-    regions = [e for e in by_element if names[e] in _REGIONS]
+    by_vote, by_size = _held(votes), _held(sizes)
+    depth = {e: d for path in sizes for d, e in enumerate(path)}
     total = sum(votes.values())
-    if regions:  # most votes; of nested ones with equal votes the inner
-        best = max(regions, key=lambda e: (by_element[e], depth[e]))
-        if 2 * by_element[best] >= total or len(regions) > 1:
-            return best
-    held = [e for e in by_element if names[e] not in _INLINE and by_element[e] >= _NEARLY_ALL * total]
+    # an article or main element, unless it is a small part beside the content
+    regions = [e for e in by_size if names[e] in _REGIONS and (2 * by_vote.get(e, 0) >= total or 4 * by_size[e] >= total)]
+    if regions:  # of nested ones with equal votes the inner
+        return max(regions, key=lambda e: (by_vote.get(e, 0), by_size[e], depth[e]))
+    held = [e for e in by_vote if names[e] not in _INLINE and by_vote[e] >= _NEARLY_ALL * total]
     return max(held, key=lambda e: (depth[e], -e), default=None)
 
 
@@ -201,12 +205,16 @@ def extract(html: str, sigma: float = 1.0) -> str:
     content = (smoothed >= two_means(smoothed)) & ~apart
     if not content.any():
         content = ~apart
-    votes: dict[tuple[int, ...], int] = {}
-    for k in np.flatnonzero(content).tolist():
-        votes[lines[k][3]] = votes.get(lines[k][3], 0) + len(lines[k][0])
-    if not votes:
+    if not content.any():
         return ""
-    region = _region(lines, votes, parser.names)
+    votes: dict[tuple[int, ...], int] = {}
+    sizes: dict[tuple[int, ...], int] = {}
+    for k in np.flatnonzero(~apart).tolist():
+        text, path = lines[k][0], lines[k][3]
+        sizes[path] = sizes.get(path, 0) + len(text)
+        if content[k]:
+            votes[path] = votes.get(path, 0) + len(text)
+    region = _region(votes, sizes, parser.names)
     return "\n\n".join(t for t, _, a, path in lines if not a and (region is None or region in path))
 
 
