@@ -27,7 +27,7 @@ from tidemark.operators.shape import with_partition_date, with_provenance, wrap_
 from tidemark.operators.views import stage_window, union_layers, unified_view, with_identity
 from tidemark.functions.paths import relative_name
 from tidemark.operators.deadletter import (
-    SOURCE_BATCH, SOURCE_STREAM, fanout_dead_letters, file_dead_letters, row_dead_letters,
+    SOURCE_BATCH, SOURCE_STREAM, fanout_dead_letters, file_dead_letters, read_dead_letters, row_dead_letters,
     union_dead_letters,
 )
 from tidemark.operators.route import TAG_DEAD, TAG_OBJECT, extract_object_path, route_by_folder
@@ -180,6 +180,12 @@ def _ts_text() -> F.Column:
         .when(et == "purchase", F.date_format("ts", "yyyy-MM-dd"))
         .when(et == "signup", F.date_format("ts", "yyyyMMdd'T'HHmmss"))
         .when(F.col("value") < 100, F.date_format("ts", "HH:mm:ss"))
+        .when(F.col("value") < 200, F.concat(  # an offset with seconds
+            F.date_format(F.col("ts") + F.expr("INTERVAL 19815 SECONDS"), iso), F.lit("+05:30:15")))
+        .when(F.col("value") < 300, F.date_format("ts", "yyyy-MM-dd'_'HH:mm:ss"))
+        .when(F.col("value") < 400, F.concat(  # a week date
+            F.date_format("ts", "yyyy"), F.lit("-W"), F.lpad(F.weekofyear("ts").cast("string"), 2, "0"), F.lit("-"),
+            (F.weekday("ts") + 1).cast("string")))
         .otherwise(F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC")))
     )
 
@@ -403,6 +409,37 @@ def q_daily_reprocess(spark, sf):
     return _daily_output(cfg, spark)
 
 
+def q_merge_null_keys(spark, sf):
+    """Every stage row without a key is reported once, however often its window
+    is merged."""
+    cfg = _lake(spark, "null-keys")
+    _, stage = fx.explicit_layers(_events(spark, sf))
+    cfg.stage(OE).append(stage.withColumn("record_id", F.when(F.col("category") != "error", F.col("record_id"))), "seed")
+    for _ in range(2):
+        hourly_merge(spark, cfg, fx.AS_OF, fx.NOW)
+    letters = read_dead_letters(spark, cfg.dead_letters)
+    return letters.select("attributes", F.get_json_object("data", "$.row.order_ref").alias("order_ref"),
+                          F.get_json_object("data", "$.error").alias("error"))
+
+
+def q_dead_letter_table(spark, sf):
+    """The dead-letter table after a stream and a daily re-read of bad objects
+    and a folder that nobody registered."""
+    ev = _events(spark, sf)
+    root = work_dir(spark, "dead-objects")
+    for folder in (OE.folder, "Other"):
+        fx.write_event_objects(ev, root, fx.BAD_FILE_LAYOUT, folder=folder)
+    cfg = _lake(spark, "dead-letters", root)
+    stream_ingest(spark, cfg, f"{cfg.lake_root}/_checkpoints/ingest", available_now=True,
+                  now_fn=lambda: fx.NOW.replace(tzinfo=dt.timezone.utc)).awaitTermination()
+    daily_reprocess(spark, cfg, EXEC_DATE, now=fx.NOW, as_of=fx.AS_OF)
+    letters = read_dead_letters(spark, cfg.dead_letters)
+    return letters.select(
+        "attributes", "publish_date",
+        relative_name(F.get_json_object("data", "$.source_file"), root).alias("source_file"),
+        F.substring_index(F.get_json_object("data", "$.error"), ":", 1).alias("error_kind"))
+
+
 def q_daily_reprocess_payload(spark, sf):
     cfg = _lake(spark, "daily-payload", _objects(spark, sf, "objects", folder=PAY.folder))
     daily_reprocess(spark, cfg, EXEC_DATE, now=fx.NOW, as_of=fx.AS_OF)
@@ -484,6 +521,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "append_stage": q_append_stage,
     "expire_partitions": q_expire_partitions,
     "hourly_merge": q_hourly_merge,
+    "merge_null_keys": q_merge_null_keys,
+    "dead_letter_table": q_dead_letter_table,
     "hourly_merge_payload": q_hourly_merge_payload,
     "daily_reprocess": q_daily_reprocess,
     "daily_reprocess_payload": q_daily_reprocess_payload,
@@ -550,7 +589,8 @@ gold_pre AS (
   WHERE _rn = 1
 ),
 stage AS (
-  SELECT {_ROW_COLS}, p_date FROM ev_rows WHERE event_type NOT IN ('purchase', 'view')
+  SELECT {_ROW_COLS}, p_date FROM ev_rows
+  WHERE NOT coalesce(event_type IN ('purchase', 'view') AND value >= 150, false)
 )"""
 
 
@@ -596,7 +636,8 @@ pay_gold AS (
 ),
 pay_stage AS (
   SELECT payload, source_file, ingestion_timestamp, _partition_date
-  FROM pay_rows WHERE event_type NOT IN ('purchase', 'view')
+  FROM pay_rows
+  WHERE NOT coalesce(event_type IN ('purchase', 'view') AND value >= 150, false)
 )"""
 
 _TS_TEXT = """CASE
@@ -605,6 +646,9 @@ _TS_TEXT = """CASE
     WHEN event_type = 'purchase' THEN strftime(ts, '%Y-%m-%d')
     WHEN event_type = 'signup' THEN strftime(ts, '%Y%m%dT%H%M%S')
     WHEN value < 100 THEN strftime(ts, '%H:%M:%S')
+    WHEN value < 200 THEN strftime(ts + INTERVAL 19815 SECOND, '%Y-%m-%dT%H:%M:%S.%f') || '+05:30:15'
+    WHEN value < 300 THEN strftime(ts, '%Y-%m-%d_%H:%M:%S')
+    WHEN value < 400 THEN strftime(ts, '%Y-W%V-%u')
     ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') || ' UTC' END"""
 
 _RAW_DATES = """raw AS (
@@ -735,6 +779,10 @@ SELECT event_id, {_TS_TEXT} AS ts_text,
        CASE WHEN event_type IN ('click', 'view') THEN ts
             WHEN event_type = 'purchase' THEN date_trunc('day', ts)
             WHEN event_type = 'signup' THEN date_trunc('second', ts)
+            WHEN value < 100 THEN NULL
+            WHEN value < 200 THEN ts
+            WHEN value < 300 THEN date_trunc('second', ts)
+            WHEN value < 400 THEN date_trunc('day', ts)
        END AS parsed
 FROM events"""
     q["partition_date"] = """
@@ -845,6 +893,20 @@ SELECT {_ROW_COLS}, p_date FROM stage WHERE p_date > DATE '2024-01-23'"""
     q["expire_partitions"] = q["append_stage"]
     q["hourly_merge"] = _merge_sql(1)
     q["hourly_merge_payload"] = q["merge_insert_only"]
+    q["merge_null_keys"] = f"""WITH {_LAYERS}
+SELECT '{{"source":"Airflow Daily Reprocessing","table":"{OE.gold_table}"}}' AS attributes, order_ref,
+       'missing key: record_id is NULL' AS error
+FROM stage WHERE category = 'error' AND {_since(1)}"""
+    q["dead_letter_table"] = f"""WITH objects AS (
+  SELECT DISTINCT event_type, event_type || '/u' || CAST(user_id AS VARCHAR) || '.json.gz' AS name,
+         CASE event_type WHEN 'signup' THEN 'gzip' ELSE 'json' END AS kind FROM events),
+bad AS (SELECT * FROM objects WHERE event_type IN ('error', 'signup', 'purchase'))
+SELECT '{{"source":"' || source || '","table":"{OE.stage_table}"}}' AS attributes, DATE '2024-01-31' AS publish_date,
+       '{OE.folder}/' || name AS source_file, kind AS error_kind
+FROM bad, (VALUES ('Dataflow Streaming'), ('Airflow Daily Reprocessing')) t(source)
+UNION ALL
+SELECT '{{"source":"Dataflow Streaming","table":"unknown"}}', DATE '2024-01-31', 'Other/' || name, 'Unrecognised folder'
+FROM objects"""
     daily_order = ", ".join(
         [f"{obj_name.replace('event_type', 'category').replace('CAST(user_id AS VARCHAR)', 'record_id')} DESC"]
         + [f"{c} DESC NULLS LAST" for c in tie_breakers(OE)[1:]])

@@ -15,7 +15,16 @@ TRUTH = [
     ("20240101T100000", dt.datetime(2024, 1, 1, 10)),
     ("2024-01-01T10:00:00.5-08:00", dt.datetime(2024, 1, 1, 18, 0, 0, 500000)),
     ("2024-01-01T10", dt.datetime(2024, 1, 1, 10)),
-    ("2024-W01-1", None),
+    ("2024-W01-1", dt.datetime(2024, 1, 1)),
+    ("2024W015", dt.datetime(2024, 1, 5)),
+    ("2020-W53-7T01:02", dt.datetime(2021, 1, 3, 1, 2)),
+    ("2021-W53-1", None),
+    ("2024-W00-1", None),
+    ("2024-01-01T10:00:00+05:30:15", dt.datetime(2024, 1, 1, 4, 29, 45)),
+    ("2024-01-01T10:00:00-053015", dt.datetime(2024, 1, 1, 15, 30, 15)),
+    ("2024-01-01_10:00:00", dt.datetime(2024, 1, 1, 10)),
+    ("2024-01-01\n10:00", dt.datetime(2024, 1, 1, 10)),
+    ("2024-01-01T10:00:00\n", None),
     ("2024", None),
     ("2024-01", None),
     ("2024-1-1", None),
@@ -52,3 +61,15 @@ def test_canonical_json_and_json_value(spark):
 def test_folder_of(spark):
     df = spark.createDataFrame([("Order_Events/x.json.gz",), ("x.json.gz",)], "n string")
     assert [r[0] for r in df.select(folder_of("n")).collect()] == ["Order_Events", "x.json.gz"]
+
+
+def test_canonical_json_loses_no_digit(spark):
+    """Texts that would become one are refused instead."""
+    wide = "12345678901234567890123456789012345678901"
+    cases = {
+        '{"b":1,"a":2.0}': '{"a":2,"b":1}', '{"a":NaN}': None, '{"a":%s}' % wide: None, '{"a":"%s"}' % wide: '{"a":"%s"}' % wide,
+        '{"a":0.%s}' % wide: None, '{"a":%s}' % wide[:38]: '{"a":%s}' % wide[:38], '{"a":1234567890.123456789012345e10}': None,
+        '{"a":' * 1100 + "1" + "}" * 1100: None, '{"a":"x\\"%s"}' % wide: '{"a":"x\\"%s"}' % wide,
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "j string")
+    assert {r.j: r.c for r in df.select("j", canonical_json("j").alias("c")).collect()} == cases

@@ -10,9 +10,9 @@ are written as SQL in ``__spark_entry__.oracle_sql`` for the DuckDB check.
   event time (``ingestion_timestamp`` = ``ts``), partition ``p_date`` =
   ``DATE(ts)``;
 * gold (before a merge) holds the latest *high-value purchase or view* per
-  user; stage holds every click, error and signup event. Users without a
-  high-value purchase/view exercise the insert branch, and purchase/views
-  newer than a user's stage events exercise the "matched, not newer" one.
+  user; stage holds every other event, so each event lands in a layer. Users
+  without a high-value purchase/view exercise the insert branch, and
+  purchase/views newer than a user's stage events the "matched, not newer" one.
 """
 
 from __future__ import annotations
@@ -34,18 +34,8 @@ NOW = dt.datetime(2024, 1, 31, 12, 0, 0)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the driver's tables, spread over the cores when its scan has
-    fewer splits than the cluster's parallelism.
-
-    The test tables are single-row-group files, which Spark reads in one
-    task; the fixtures then run JSON, regex and formatting expressions per
-    row, so a round-robin spread pays for itself. On large inputs the scan
-    already has enough splits and nothing is added."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
-    return df
+    """One of the driver's tables."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _ts(col: str = "ts") -> Column:
@@ -105,7 +95,7 @@ def event_rows(events: DataFrame) -> DataFrame:
 
 
 def _is_gold_source() -> Column:
-    return F.col("event_type").isin(*GOLD_TYPES) & (F.col("value") >= GOLD_MIN_VALUE)
+    return F.coalesce(F.col("event_type").isin(*GOLD_TYPES) & (F.col("value") >= GOLD_MIN_VALUE), F.lit(False))
 
 
 def explicit_layers(events: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -113,7 +103,7 @@ def explicit_layers(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = event_rows(events)
     spec = ORDER_EVENTS
     gold = latest_for_spec(rows.filter(_is_gold_source()).select(*spec.row_columns), spec)
-    stage = rows.filter(~F.col("event_type").isin(*GOLD_TYPES)).select(
+    stage = rows.filter(~_is_gold_source()).select(
         *spec.row_columns, spec.partition_col)
     return gold, stage
 
@@ -136,7 +126,7 @@ def payload_layers(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     g = with_identity(rows.filter(_is_gold_source()).select(*spec.row_columns), spec)
     gold = latest_for_spec(g, spec).select(
         *spec.row_columns, F.col("ingestion_timestamp").alias(LAST_UPDATED))
-    stage = rows.filter(~F.col("event_type").isin(*GOLD_TYPES)).select(
+    stage = rows.filter(~_is_gold_source()).select(
         *spec.row_columns, spec.partition_col)
     return gold, stage
 
