@@ -19,7 +19,7 @@ from tidemark.operators.deadletter import (
 )
 from tidemark.operators.dedup import latest_for_spec
 from tidemark.operators.merge import (
-    DEFAULT_BROADCAST_BYTES, measure_bytes, merge_insert_only, merge_plan, ACTION,
+    DEFAULT_BROADCAST_BYTES, measure_bytes, merge_insert_only,
 )
 from tidemark.operators.quality import key_gate, release_checked, split_rejects
 from tidemark.operators.route import TAG_DEAD, UNKNOWN, UNKNOWN_FOLDER_ERROR, registry_frame
@@ -196,19 +196,6 @@ def report_keyless(spark: SparkSession, cfg: PipelineConfig, spec: FolderSpec, r
         release(spark, tmp)
 
 
-def changed_rows(gold: DataFrame, source: DataFrame, key: str, order_col: str,
-                 source_rows: int, strategy: str) -> int:
-    """Source rows the upsert would write (inserts + updates), from gold's
-    key and order columns only; the source is broadcast where its size passed
-    the check."""
-    s = source.select(key, F.col(order_col).alias("_s_order"))
-    kept = (gold.select(key, order_col)
-            .join(F.broadcast(s) if strategy == "broadcast" else s, key)
-            .filter(~F.coalesce(F.col("_s_order") > F.col(order_col), F.lit(False)))
-            .count())
-    return source_rows - kept
-
-
 def merge_folder(spark: SparkSession, cfg: PipelineConfig, spec: FolderSpec, as_of,
                  days: int, now=None, source_name: str = SOURCE_BATCH) -> dict:
     """M3: promote the stage window of one folder into its gold table."""
@@ -216,19 +203,18 @@ def merge_folder(spark: SparkSession, cfg: PipelineConfig, spec: FolderSpec, as_
     now_ts = _utc_naive(now if now is not None else dt.datetime.now(dt.timezone.utc))
     stage = cfg.stage(spec).read(spark, as_of)
     gold_store = cfg.gold(spec)
-    gold = gold_store.read(spark)
     # the deduplicated window is small and read several times: materialise
     # it once in the shared checkpoint folder (also cuts its lineage)
     src, tmp = materialize(merge_source(stage, spec, as_of, days), f"merge-{spec.folder}", cfg.lake_root)
     try:
         report_keyless(spark, cfg, spec, keyless_rows(stage, spec, as_of, days), now_ts, source_name)
-        return _merge_with(spark, cfg, spec, src, gold, gold_store, now_ts, source_name)
+        return _merge_with(spark, cfg, spec, src, gold_store, now_ts, source_name)
     finally:
         release(spark, tmp)
 
 
-def _merge_with(spark, cfg: PipelineConfig, spec: FolderSpec, src: DataFrame, gold: DataFrame,
-                gold_store: GoldStore, now_ts, source_name: str) -> dict:
+def _merge_with(spark, cfg: PipelineConfig, spec: FolderSpec, src: DataFrame, gold_store: GoldStore,
+                now_ts, source_name: str) -> dict:
     if spec.folder in cfg.catalog_gold:
         return _merge_catalog(spark, cfg, spec, src, now_ts, source_name)
     if spec.schema_type == EXPLICIT:
@@ -238,25 +224,21 @@ def _merge_with(spark, cfg: PipelineConfig, spec: FolderSpec, src: DataFrame, go
                     "version": gold_store.current_version(spark)}
         strategy = ("shuffle" if cfg.merge_strategy == "shuffle"
                     else "broadcast" if size <= cfg.broadcast_bytes else "shuffle")
-        if changed_rows(gold, src, spec.key, spec.order_col, n, strategy) == 0:
-            # every source row is already in gold (rerun, or no new data in
-            # the window): keep the current version instead of rewriting it
-            return {"folder": spec.folder, "source_rows": n, "source_bytes": size,
-                    "strategy": "unchanged", "version": gold_store.current_version(spark)}
-        plan = merge_plan(gold, src, spec.key, spec.order_col, spec.row_columns, strategy)
-        version = gold_store.commit(spark, plan.drop(ACTION))
+        done = gold_store.upsert(spark, src, strategy == "broadcast", cfg.lake_root)
         gold_store.vacuum(spark, keep=cfg.keep_versions)
         return {"folder": spec.folder, "source_rows": n, "source_bytes": size,
-                "strategy": strategy, "version": version}
+                "strategy": strategy if done["changed"] else "unchanged", **done}
     ident = "_identity"
     n = src.count()
     if n == 0:
         return {"folder": spec.folder, "source_rows": 0, "version": gold_store.current_version(spark)}
-    # TO_JSON_STRING(T.payload): stored payloads are canonical already
-    gold_i = with_identity(gold, spec) if cfg.canonicalize_gold \
-        else gold.withColumn(ident, F.col("payload"))
-    fresh = merge_insert_only(gold_i, src, ident, spec.row_columns, now_ts, LAST_UPDATED,
-                              cfg.merge_strategy, cfg.broadcast_bytes)
+
+    def fresh(gold):
+        # TO_JSON_STRING(T.payload): stored payloads are canonical already
+        gold_i = with_identity(gold, spec) if cfg.canonicalize_gold else gold.withColumn(ident, F.col("payload"))
+        return merge_insert_only(gold_i, src, ident, spec.row_columns, now_ts, LAST_UPDATED,
+                                 cfg.merge_strategy, cfg.broadcast_bytes)
+
     version = gold_store.append(spark, fresh)
     return {"folder": spec.folder, "source_rows": n, "version": version}
 

@@ -5,23 +5,31 @@ Stage: Parquet partitioned by ``p_date`` (payload: ``_partition_date``) and
 ``daily-<date>``), and writes with dynamic partition overwrite, so a replay
 of the same batch replaces its own files instead of adding duplicates.
 
-Gold: immutable versions ``v=<n>/``; a version becomes current when its
-commit marker ``_commits/<n>`` is created, after all its files are written
-(one atomic file create; readers take the highest marker, so there is no
-moment without a current version). A failed merge leaves the current version
-untouched. Rows can change ``p_date`` on update, so gold is never rewritten
-partition-by-partition.
+Gold: a version is a manifest, the list of the Parquet files that make it up.
+Writers put new files into a folder of their own attempt, write the manifest,
+and publish the version by creating its marker ``_commits/<n>`` exclusively.
+Who comes second finds the marker taken, and does its merge again on the
+version that was published before it, so no writer's rows are lost and a
+published version never changes. Files hold ranges of the key; a merge
+rewrites the files in which rows change and takes the others over.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import logging
+import os
+import random
+import time
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.merge import ACTION, merge_plan
+from tidemark.session import materialize, release
 from tidemark.specs import INGEST_BATCH, FolderSpec
 
 log = logging.getLogger(__name__)
@@ -67,12 +75,30 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         raise OSError(f"could not publish {path}")
 
 
-def create_marker(spark: SparkSession, path: str, text: str = "") -> None:
-    """Create a new small file; fails if it already exists."""
+def create_marker(spark: SparkSession, path: str, text: str = "") -> bool:
+    """Create a new small file; False if it already exists. Of several writers
+    one succeeds: distributed file systems create exclusively, and on a local
+    one, where Hadoop's client only looks before it writes, the system call
+    does."""
     fs, p = _fs(spark, path)
-    out = fs.create(p, False)
+    if fs.getScheme() == "file":
+        local = p.toUri().getPath()
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        try:
+            with open(local, "x", encoding="utf-8") as f:
+                f.write(text)
+            return True
+        except FileExistsError:
+            return False
+    try:
+        out = fs.create(p, False)
+    except Py4JJavaError as exc:
+        if "AlreadyExists" in exc.java_exception.getClass().getName():
+            return False
+        raise
     out.write(bytearray(text.encode("utf-8")))
     out.close()
+    return True
 
 
 def list_files(spark: SparkSession, path: str) -> list[str]:
@@ -168,60 +194,162 @@ def retention_cutoff(as_of, days: int) -> dt.date:
 
 
 # -- gold --------------------------------------------------------------------
+class CommitConflict(Exception):
+    """Another writer has published the version first."""
+
+
 class GoldStore:
+    #: Times that a merge is done again after another writer's commit.
+    ATTEMPTS = 20
+
     def __init__(self, path: str, spec: FolderSpec):
         self.path = path.rstrip("/")
         self.spec = spec
 
-    def current_version(self, spark: SparkSession) -> int | None:
-        versions = [int(n) for n in list_files(spark, f"{self.path}/{COMMITS}") if n.isdigit()]
-        return max(versions) if versions else None
-
-    def _publish(self, spark: SparkSession, version: int) -> None:
-        create_marker(spark, f"{self.path}/{COMMITS}/{version:020d}", str(version))
-
-    def version_path(self, v: int) -> str:
-        return f"{self.path}/v={v}"
+    # -- versions
+    def versions(self, spark: SparkSession) -> list[int]:
+        return sorted(int(n) for n in list_files(spark, f"{self.path}/{COMMITS}") if n.isdigit())
 
+    def current_version(self, spark: SparkSession) -> int | None:
+        return max(self.versions(spark), default=None)
+
+    def files(self, spark: SparkSession, version: int) -> list[str]:
+        """Data files of a version, relative to the table."""
+        for _ in range(50):  # a marker is created, then written
+            name = read_text(spark, f"{self.path}/{COMMITS}/{version:020d}")
+            if name:
+                return (read_text(spark, f"{self.path}/{name}") or "").split()
+            time.sleep(0.1)
+        raise OSError(f"version {version} of {self.path} names no manifest")
+
+    def _publish(self, spark: SparkSession, base: int | None, files: list[str], first: int = 1) -> int:
+        """Make ``files`` the version after ``base``; ``CommitConflict`` when
+        that version exists already."""
+        version = first if base is None else base + 1
+        manifest = f"_manifests/{uuid.uuid4().hex}"
+        write_text(spark, f"{self.path}/{manifest}", "\n".join(files))
+        if not create_marker(spark, f"{self.path}/{COMMITS}/{version:020d}", manifest):
+            delete_path(spark, f"{self.path}/{manifest}")
+            raise CommitConflict(f"version {version} of {self.path}")
+        return version
+
+    # -- rows
     def read(self, spark: SparkSession, version: int | None = None) -> DataFrame:
         v = self.current_version(spark) if version is None else version
+        return self._read_files(spark, [] if v is None else self.files(spark, v))
+
+    def _read_files(self, spark: SparkSession, files: list[str]) -> DataFrame:
         schema = self.spec.gold_schema()
-        if v is None:
+        if not files:
             return spark.createDataFrame([], schema)
-        return spark.read.schema(schema).parquet(self.version_path(v))
+        return spark.read.schema(schema).parquet(*(f"{self.path}/{f}" for f in files))
 
-    def commit(self, spark: SparkSession, rows: DataFrame) -> int:
-        """Write ``rows`` as the next version, then move the pointer.
-        Rows are sorted by key inside each file so Parquet min/max stats
-        cluster on the key."""
-        cur = self.current_version(spark)
-        nxt = 1 if cur is None else cur + 1
+    def _write(self, spark: SparkSession, rows: DataFrame) -> tuple[str, list[str]]:
+        """Write rows as files of a new attempt, each a sorted range of keys:
+        (the attempt's folder, its files that have rows)."""
         out = rows.select(*self.spec.gold_schema().fieldNames())
         if self.spec.key:
-            out = out.sortWithinPartitions(self.spec.key)
-        out.write.mode("overwrite").parquet(self.version_path(nxt))
-        self._publish(spark, nxt)
-        return nxt
-
-    def append(self, spark: SparkSession, rows: DataFrame) -> int:
-        """Insert-only merges add files to the current version (no rewrite)."""
-        cur = self.current_version(spark)
-        if cur is None:
-            return self.commit(spark, rows)
-        rows.select(*self.spec.gold_schema().fieldNames()).write.mode("append").parquet(
-            self.version_path(cur))
-        return cur
-
-    def vacuum(self, spark: SparkSession, keep: int = 2) -> list[str]:
-        cur = self.current_version(spark)
-        if cur is None:
+            out = out.repartitionByRange(self.spec.key).sortWithinPartitions(self.spec.key)
+        folder = f"data/{uuid.uuid4().hex}"
+        out.write.mode("errorifexists").parquet(f"{self.path}/{folder}")
+        return folder, [f"{folder}/{n}" for n in list_files(spark, f"{self.path}/{folder}") if n.endswith(".parquet")]
+
+    def _attempt(self, spark: SparkSession, change) -> int:
+        """``change(version, files)`` gives (rows to write or None, files to
+        take over); done again until no other writer comes between."""
+        for k in range(self.ATTEMPTS):
+            base = self.current_version(spark)
+            files = [] if base is None else self.files(spark, base)
+            rows, kept = change(base, files)
+            if rows is None and base is not None:
+                return base
+            folder, new = self._write(spark, spark.createDataFrame([], self.spec.gold_schema()) if rows is None else rows)
+            try:
+                return self._publish(spark, base, kept + new)
+            except CommitConflict:
+                delete_path(spark, f"{self.path}/{folder}")
+                log.info("%s: version after %s was taken, attempt %d", self.path, base, k + 1)
+                time.sleep(random.uniform(0, 0.2 * (k + 1)))
+        raise CommitConflict(f"{self.path}: {self.ATTEMPTS} attempts")
+
+    def commit(self, spark: SparkSession, rows: DataFrame) -> int:
+        """Make ``rows`` the whole table."""
+        return self._attempt(spark, lambda base, files: (rows, []))
+
+    def append(self, spark: SparkSession, rows_for) -> int:
+        """Add rows, as files of their own. ``rows_for``: the rows, or a
+        function that finds them given gold, which an insert-only merge needs
+        (another writer may have inserted some meanwhile)."""
+        def change(base, files):
+            rows = rows_for(self._read_files(spark, files)) if callable(rows_for) else rows_for
+            return (rows if rows.limit(1).count() else None), files
+
+        return self._attempt(spark, change)
+
+    def upsert(self, spark: SparkSession, source: DataFrame, broadcast: bool, work_root: str | None = None) -> dict:
+        """M1: insert the keys that gold lacks and replace the rows that are
+        older than the source's. ``source`` holds one row for each key and
+        should be a written table; ``broadcast`` says that it is small.
+
+        Gold's key, order and file name are joined with the source's key and
+        order; rows are read and rewritten only of files in which one changes.
+        Nothing is written when none does."""
+        key, order, columns = self.spec.key, self.spec.order_col, self.spec.row_columns
+        hint = F.broadcast if broadcast else (lambda d: d)
+        done: dict = {}
+
+        def change(base, files):
+            gold = self._read_files(spark, files)
+            if files:
+                gold = gold.select(key, F.col(order).alias("_order"), F.col("_metadata.file_path").alias("_file"))
+            else:
+                gold = gold.select(key, F.col(order).alias("_order"), F.lit("").alias("_file"))
+            s = source.select(key, F.col(order).alias("_new"))
+            # the matched part of gold is no larger than the source
+            matched, tmp = materialize(gold.join(hint(s), key).select(key, "_file", (F.col("_new") > F.col("_order")).alias("_newer")),
+                                       "matched", work_root)
+            try:
+                touched = sorted(r["_file"] for r in matched.where("_newer").select("_file").distinct().collect())
+                kept_keys = matched.where("not coalesce(_newer, false)").select(key)
+                changes = source.join(kept_keys, key, "left_anti")
+                n = changes.count()
+                done.update(changed=n, files=len(files), rewritten=len(touched))
+                if n == 0:
+                    return None, files
+                names = {f"{f.rsplit('/', 2)[-2]}/{f.rsplit('/', 1)[-1]}" for f in touched}
+                old = [f for f in files if f.split("/", 1)[1] in names]
+                if len(old) != len(touched):
+                    raise OSError(f"files of {self.path} don't match its manifest")
+                rows = merge_plan(self._read_files(spark, old), changes, key, order, columns,
+                                  "broadcast" if broadcast else "shuffle").drop(ACTION)
+                rows, done["tmp"] = materialize(rows, "merged", work_root)
+                return rows, [f for f in files if f not in set(old)]
+            finally:
+                release(spark, tmp)
+
+        done["version"] = self._attempt(spark, change)
+        if "tmp" in done:
+            release(spark, done.pop("tmp"))
+        return done
+
+    def vacuum(self, spark: SparkSession, keep: int = 2) -> list[int]:
+        """Drop all versions but the last ``keep``, with the files that only
+        they have. Files of attempts that haven't been published stay."""
+        versions = self.versions(spark)
+        gone, kept = versions[:-keep] if keep else versions[:-1], versions[-keep:] if keep else versions[-1:]
+        if not gone:
             return []
-        gone = []
-        for name in list_dirs(spark, self.path):
-            if name.startswith("v=") and name[2:].isdigit() and int(name[2:]) <= cur - keep:
-                delete_path(spark, f"{self.path}/{COMMITS}/{int(name[2:]):020d}")
-                delete_path(spark, f"{self.path}/{name}")
-                gone.append(name)
+        used = {f for v in kept for f in self.files(spark, v)}
+        for v in gone:
+            old = self.files(spark, v)
+            manifest = read_text(spark, f"{self.path}/{COMMITS}/{v:020d}")
+            for f in old:
+                if f not in used:
+                    delete_path(spark, f"{self.path}/{f}")
+            for folder in {f.rsplit("/", 1)[0] for f in old} - {f.rsplit("/", 1)[0] for f in used}:
+                delete_path(spark, f"{self.path}/{folder}")
+            delete_path(spark, f"{self.path}/{COMMITS}/{v:020d}")
+            delete_path(spark, f"{self.path}/{manifest}")
         return gone
 
 
@@ -235,8 +363,7 @@ def create_tables(spark: SparkSession, lake_root: str, registry) -> DataFrame:
         fs, p = _fs(spark, st.path)
         fs.mkdirs(p)
         if g.current_version(spark) is None:
-            spark.createDataFrame([], spec.gold_schema()).write.mode("overwrite").parquet(g.version_path(0))
-            g._publish(spark, 0)
+            g._publish(spark, None, [], first=0)
         rows.append((spec.stage_table, "stage", st.path, len(st.schema().fields) - 1))
         rows.append((spec.gold_table, "gold", g.path, len(spec.gold_schema().fields)))
     return spark.createDataFrame(rows, "table string, kind string, location string, n_columns int")
