@@ -19,6 +19,7 @@ import base64
 import hashlib
 import heapq
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -208,7 +209,7 @@ class PieceTable(dict):
             self.ids = np.resize(self.ids, 2 * (self.used + total))
         self.lengths[self.rows:rows] = lengths
         self.starts[self.rows:rows] = self.used + np.cumsum(lengths) - lengths
-        self.ids[self.used:self.used + total] = np.fromiter((x for f in found for x in f), np.int32, total)
+        self.ids[self.used:self.used + total] = np.fromiter(chain.from_iterable(found), np.int32, total)
         self.used += total
         self.rows = rows
         self.new = []

@@ -44,6 +44,7 @@ SAMPLE = 1024
 _SYMBOLS = 1 << 16
 _ROUNDS, _LEAST_COUNT, _ROUND_RULES = 8, 8, 4096
 _COUNT_BITS = 20
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 # -- Re-Pair -----------------------------------------------------------------------
@@ -51,8 +52,7 @@ _COUNT_BITS = 20
 def _frequent_pairs(seq: np.ndarray, symbols: int, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys and counts of the pairs of neighbours found ``least`` times or more."""
     key = seq[:-1].astype(np.int64) * symbols + seq[1:]
-    slot = tb.mix(key.view(np.uint64)) >> np.uint64(64 - _COUNT_BITS)
-    slot = slot.astype(np.int64)
+    slot = (key.view(np.uint64) * _SPREAD >> np.uint64(64 - _COUNT_BITS)).astype(np.int32)
     full = np.bincount(slot, minlength=1 << _COUNT_BITS) >= least
     key, count = np.unique(key[full[slot]], return_counts=True)
     often = count >= least
@@ -211,10 +211,85 @@ class Shard:
 
 # -- jobs ------------------------------------------------------------------------------
 
-_LOADED: dict[str, PieceTable] = {}
-
-
-def _pieces(content: bytes) -> tuple[PieceTable, int]:
+_LOADED: dict[str, tuple] = {}
+#: Distinct stretches kept by a worker.
+MAX_WORDS = 800_000
+#: Stands between words that are encoded in one call.
+_MARK = "|"
+
+
+class _Words:
+    """Ids of words by the tokenizers library, a batch of new ones in a call."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+        mark = self._encode(_MARK)
+        self.mark = mark[0] if len(mark) == 1 else None
+
+    def _encode(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def encode(self, words: list[bytes]) -> list[list[int]]:
+        found: dict[bytes, list[int]] = {}
+        mark = self.mark
+        plain = [w for w in words if b"|" not in w] if mark is not None else []
+        for lo in range(0, len(plain), 1000):
+            part = plain[lo:lo + 1000]
+            ids = self._encode(b" | ".join(part).decode())
+            cuts = [-1, *(i for i, x in enumerate(ids) if x == mark), len(ids)]
+            if len(cuts) == len(part) + 1:
+                found.update(zip(part, [ids[i + 1:j] for i, j in zip(cuts, cuts[1:])]))
+        return [found[w] if w in found else self._encode(w.decode()) for w in words]
+
+
+class _Table(PieceTable):
+    """Rows of ids by stretch; also whether a stretch ends with a letter or
+    digit, after which a comma or full stop is a token by itself."""
+
+    def _reset(self) -> None:
+        super()._reset()
+        self.solid = np.zeros(1 << 12, bool)
+        self.marks = [self[b","], self[b"."]]
+
+    def settle(self) -> None:
+        new, first = self.new, self.rows
+        super().settle()
+        if first + len(new) > len(self.solid):
+            self.solid = np.resize(self.solid, 2 * (first + len(new)))
+        self.solid[first:first + len(new)] = [w[-1:].isalnum() or w.decode()[-1:].isalpha() for w in new]
+
+    def rows_of(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Settled rows of each text's stretches; where a comma or full stop
+        was cut from something else, of its whole stretches."""
+        get = self.__getitem__
+        rows = [np.fromiter(map(get, c), np.int64, len(c)) for c in map(stretches, texts)]
+        self.settle()
+        wrong = []
+        for k, r in enumerate(rows):
+            at = np.flatnonzero((r[1:] == self.marks[0]) | (r[1:] == self.marks[1]))
+            if not self.solid[r[at]].all():
+                wrong.append(k)
+        for k in wrong:
+            c = _lower(texts[k]).split()
+            rows[k] = np.fromiter(map(get, c), np.int64, len(c))
+        self.settle()
+        return rows
+
+
+def _lower(text: bytes) -> bytes:
+    """In lower case, as the tokenizer takes it; a text that may hold a special
+    token keeps its case."""
+    return text if b"<|" in text else text.lower()
+
+
+def stretches(text: bytes) -> list[bytes]:
+    """What stands between ASCII white space; a comma or full stop before it is
+    taken for a stretch of its own."""
+    text = _lower(text) + b" "
+    return text.replace(b", ", b" , ").replace(b". ", b" . ").replace(b",\n", b" , ").replace(b".\n", b" . ").split()
+
+
+def _pieces(content: bytes) -> tuple[_Table, int]:
     """Ids by stretch between ASCII white space: the tokenizer drops white
     space and joins nothing across it."""
     key = hashlib.sha256(content).hexdigest()
@@ -223,8 +298,7 @@ def _pieces(content: bytes) -> tuple[PieceTable, int]:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(content.decode())
-        table = PieceTable(lambda new: [e.ids for e in tokenizer.encode_batch_fast(new, add_special_tokens=False)])
-        _LOADED[key] = table, tokenizer.get_vocab_size(with_added_tokens=True)
+        _LOADED[key] = _Table(_Words(tokenizer).encode, MAX_WORDS), tokenizer.get_vocab_size(with_added_tokens=True)
     return _LOADED[key]
 
 
@@ -254,15 +328,11 @@ def _write(shared, end_id: int):
             return out
 
         for batch in batches:
-            column = batch.column("text")
-            for lo, hi, _, _ in tb.slices(column):
+            for lo, hi, data, offsets in tb.slices(batch.column("text")):
                 ids = batch.column("doc_id").slice(lo, hi - lo).to_pylist()
                 table.begin()
-                rows = []
-                for t in column.slice(lo, hi - lo).to_pylist():
-                    found = (t or "").translate(_TO_SPACE).split(" ") if t else []
-                    rows.append(np.fromiter(map(table.__getitem__, found), np.int64, len(found)))
-                table.settle()
+                raw = data.tobytes()
+                rows = table.rows_of([raw[a:b] for a, b in zip(offsets[:-1], offsets[1:])])
                 for d, r in zip(ids, rows):
                     own = np.concatenate([table.look_up(r), end])
                     held.append(own)
@@ -276,12 +346,10 @@ def _write(shared, end_id: int):
     return run
 
 
-_TO_SPACE = {c: " " for c in (0x09, 0x0A, 0x0B, 0x0C, 0x0D)}
-
-
 def write_shards(docs: DataFrame, tokenizer: bytes, path: str, end_id: int) -> None:
     """Encodes docs (doc_id, text) into shards below ``path``. ``tokenizer`` is
-    the tokenizers library's JSON (a few MB, sent to the executors once)."""
+    the tokenizers library's JSON (a few MB, sent to the executors once) of one
+    that lower-cases and splits at white space and punctuation."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(tokenizer)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
