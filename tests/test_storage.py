@@ -138,3 +138,19 @@ def test_appends_see_each_other(spark, tmp):
 
     assert g.append(spark, fresh) == 3 and len(calls) == 2
     assert g.read(spark).count() == g.read(spark).select("record_id").distinct().count() == 16
+
+
+def test_compact_closed_dates(spark, tmp):
+    from tidemark.plans.storage import list_dirs
+
+    _, stage = fx.explicit_layers(fx.table(spark, SF, "events"))
+    store = StageStore(f"{tmp}/stage", OE)
+    for k in range(3):
+        store.append(stage.where(f"cast(order_ref AS long) % 3 = {k}").where("p_date >= DATE'2024-01-28'"), f"b{k}")
+    rows = sorted(map(tuple, store.read(spark).collect()), key=repr)
+    done = store.compact(spark, "2024-01-30", min_batches=3)
+    assert done == ["p_date=2024-01-28", "p_date=2024-01-29"]
+    assert len(list_dirs(spark, f"{tmp}/stage/p_date=2024-01-29")) == 1
+    assert len(list_dirs(spark, f"{tmp}/stage/p_date=2024-01-30")) == 3  # still open
+    assert sorted(map(tuple, store.read(spark).collect()), key=repr) == rows
+    assert store.compact(spark, "2024-01-30", min_batches=3) == []

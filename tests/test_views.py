@@ -33,9 +33,10 @@ def test_view_strategies_agree(spark, gold, stage):
     as_of = dt.date(2024, 1, 30)
     w = sorted(map(tuple, unified_view(SPEC, g, s, as_of, strategy="window").collect()),
                key=repr)
+    a = sorted(map(tuple, unified_view(SPEC, g, s, as_of, strategy="auto").collect()), key=repr)
     b = sorted(map(tuple, unified_view(SPEC, g, s, as_of, strategy="broadcast").collect()),
                key=repr)
-    assert w == b
+    assert w == b == a
 
 
 def test_view_keeps_one_null_key_row(spark):
@@ -45,3 +46,27 @@ def test_view_keeps_one_null_key_row(spark):
     out = unified_view(SPEC, g, s, dt.date(2024, 1, 29), strategy="window").collect()
     assert sorted(((r["record_id"], r["status"]) for r in out), key=repr) == \
         [("a", "x"), (None, "z")]
+
+
+def test_registered_view_runs_no_job_and_follows_its_stage(spark, tmp):
+    """Building the default view starts no job; the same view is right after
+    its stage has grown tenfold."""
+    g = spark.createDataFrame([("a", "gold", "f1", T0)], SCHEMA)
+    g.write.parquet(f"{tmp}/gold")
+    row = lambda k, n: (f"k{k}", f"v{n}", "f1", T0 + dt.timedelta(hours=n), dt.date(2024, 1, 29))
+    spark.createDataFrame([row(k, 1) for k in range(20)], STAGE_SCHEMA).write.parquet(f"{tmp}/stage")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("view", "view")
+    try:
+        view = unified_view(SPEC, spark.read.schema(SCHEMA).parquet(f"{tmp}/gold"),
+                            spark.read.schema(STAGE_SCHEMA).parquet(f"{tmp}/stage"), dt.date(2024, 1, 30))
+        assert list(tracker.getJobIdsForGroup("view")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert view.count() == 21
+    spark.createDataFrame([row(k, 2) for k in range(200)] + [("a", "new", "f1", T0 + dt.timedelta(hours=3), dt.date(2024, 1, 29))],
+                          STAGE_SCHEMA).write.mode("append").parquet(f"{tmp}/stage")
+    again = unified_view(SPEC, spark.read.schema(SCHEMA).parquet(f"{tmp}/gold"),
+                         spark.read.schema(STAGE_SCHEMA).parquet(f"{tmp}/stage"), dt.date(2024, 1, 30))
+    rows = {r["record_id"]: r["status"] for r in again.collect()}
+    assert len(rows) == 201 and rows["a"] == "new" and all(rows[f"k{k}"] == "v2" for k in range(200))

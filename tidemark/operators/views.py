@@ -55,31 +55,33 @@ def unified_view(spec: FolderSpec, gold: DataFrame, stage: DataFrame, as_of,
 
     * ``window``    row_number over the union (exact SQL definition; gold is
       exchanged on the key at every read).
-    * ``broadcast`` the deduplicated stage window is broadcast and gold is
-      streamed through a map-side join, so gold is never shuffled. Requires
-      gold to be unique per key (which the merge maintains). Size-checked
-      like ``auto``.
-    * ``auto``      ``broadcast`` when the deduplicated window fits
-      ``broadcast_bytes`` (exact row count, one action), else ``window``.
+    * ``auto``      the deduplicated stage window is joined to gold. Nothing
+      is measured or fixed when the view is built: adaptive execution sees the
+      window's size at every read and joins map-side while it is small, so a
+      registered view stays right, and safe, while its stage grows. Requires
+      gold to be unique per key (which the merge maintains).
+    * ``broadcast`` the same with the window broadcast and gold never
+      exchanged, for one read: the window's size is measured first (one
+      action), and beyond ``broadcast_bytes`` the ``window`` plan is given.
     """
     days = spec.view_days if days is None else days
     recent = stage_window(stage, as_of, days, spec.partition_col)
     out = spec.business_columns if spec.schema_type == EXPLICIT else spec.row_columns
     if strategy in ("auto", "broadcast"):
         src = latest_for_spec(with_identity(recent.select(*spec.row_columns), spec), spec)
-        strategy = {"broadcast": "broadcast", "shuffle": "window"}[
-            choose_strategy(src, "auto", broadcast_bytes)]
-        if strategy == "broadcast":
-            g = with_identity(gold.select(*spec.row_columns), spec)
-            return _latest_broadcast(g, src, spec).select(*out)
-    if strategy != "window":
+        g = with_identity(gold.select(*spec.row_columns), spec)
+        if strategy == "auto":
+            return _latest_joined(g, src, spec, lambda d: d).select(*out)
+        if choose_strategy(src, "auto", broadcast_bytes) == "broadcast":
+            return _latest_joined(g, src, spec, F.broadcast).select(*out)
+    elif strategy != "window":
         raise ValueError(f"unknown view strategy {strategy!r}")
     combined = with_identity(union_layers(gold, recent, spec.row_columns), spec)
     latest = latest_for_spec(combined, spec)
     return latest.select(*out)
 
 
-def _latest_broadcast(gold: DataFrame, src: DataFrame, spec: FolderSpec) -> DataFrame:
+def _latest_joined(gold: DataFrame, src: DataFrame, spec: FolderSpec, hint) -> DataFrame:
     """Per key, the first of (gold row, deduplicated stage row) under
     ``order_col DESC NULLS LAST, tie-breakers DESC NULLS LAST``.
 
@@ -91,11 +93,11 @@ def _latest_broadcast(gold: DataFrame, src: DataFrame, spec: FolderSpec) -> Data
     t, s = gold.select(*cols).alias("T"), src.select(*cols).alias("S")
     s_first = F.col(f"S.{ident}").isNotNull() & (
         F.struct(*[F.col(f"S.{c}") for c in order]) > F.struct(*[F.col(f"T.{c}") for c in order]))
-    gold_side = t.join(F.broadcast(s), F.col(f"T.{ident}") == F.col(f"S.{ident}"), "left_outer") \
+    gold_side = t.join(hint(s), F.col(f"T.{ident}") == F.col(f"S.{ident}"), "left_outer") \
         .select(*[F.when(s_first, F.col(f"S.{c}")).otherwise(F.col(f"T.{c}")).alias(c) for c in cols])
     # the three uses of the source share one projection, so Spark reuses its
     # broadcast and its dedup exchange instead of computing them three times
     s_all = src.select(*cols)
-    matched = gold.select(ident).join(F.broadcast(s_all), ident, "left_semi")
-    fresh = s_all.join(F.broadcast(matched), ident, "left_anti")
+    matched = gold.select(ident).join(hint(s_all), ident, "left_semi")
+    fresh = s_all.join(hint(matched), ident, "left_anti")
     return gold_side.unionByName(fresh)

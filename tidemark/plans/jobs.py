@@ -262,6 +262,7 @@ def hourly_merge(spark: SparkSession, cfg: PipelineConfig, as_of=None, now=None,
     if expire:
         for s, m in zip(cfg.registry, out):
             m["expired"] = cfg.stage(s).expire(spark, as_of)
+            m["compacted"] = cfg.stage(s).compact(spark, as_of)
     return out
 
 

@@ -20,6 +20,7 @@ import datetime as dt
 import logging
 import os
 import random
+import re
 import time
 import uuid
 
@@ -167,6 +168,29 @@ class StageStore:
             df = df.filter(F.col(self.spec.partition_col) > F.lit(retention_cutoff(as_of, self.spec.retention_days)))
         return df.drop(INGEST_BATCH)
 
+    def compact(self, spark: SparkSession, before, min_batches: int = 16) -> list[str]:
+        """Rewrite each closed date (before ``before``) that has at least
+        ``min_batches`` batch folders as one batch. The old folders go after
+        the new one is complete; stage readers bear duplicates, which is all
+        that a failure between the two leaves."""
+        from tidemark.operators.views import as_date
+
+        done, prefix = [], f"{self.spec.partition_col}="
+        for name in list_dirs(spark, self.path):
+            day = name.removeprefix(prefix)
+            if not name.startswith(prefix) or not re.fullmatch(r"\d{4}-\d{2}-\d{2}", day) or day >= as_date(before).isoformat():
+                continue
+            batches = [b for b in list_dirs(spark, f"{self.path}/{name}") if b.startswith(f"{INGEST_BATCH}=")]
+            if len(batches) < min_batches:
+                continue
+            paths = [f"{self.path}/{name}/{b}" for b in batches]
+            rows = spark.read.schema(self.schema()).option("basePath", self.path).parquet(*paths)
+            self.append(rows.drop(INGEST_BATCH), f"compact-{uuid.uuid4().hex[:12]}")
+            for p in paths:
+                delete_path(spark, p)
+            done.append(name)
+        return sorted(done)
+
     def expire(self, spark: SparkSession, as_of, days: int | None = None) -> list[str]:
         """Delete partitions whose date is ``days`` or more before
         ``as_of`` (metadata operation; no data is rewritten)."""

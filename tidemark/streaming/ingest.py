@@ -23,7 +23,7 @@ from tidemark.plans.jobs import (
     PipelineConfig, decode_listing, ingest_decoded, persist, unknown_folder_dead_letters,
 )
 from tidemark.functions.paths import folder_of
-from tidemark.plans.storage import read_text, write_text
+from tidemark.plans.storage import delete_path, read_text, write_text
 from tidemark.session import apply_session_conf
 from tidemark.sources.notifications import read_notifications
 from tidemark.sources.objects import stream_objects
@@ -51,9 +51,15 @@ def batch_clock(spark: SparkSession, checkpoint_location: str | None, batch_id:
         return dt.datetime.fromisoformat(saved.strip())
     now = now_fn().astimezone(dt.timezone.utc)
     write_text(spark, path, now.isoformat())
+    # a batch is never replayed once later ones have begun
+    delete_path(spark, f"{checkpoint_location.rstrip('/')}/tidemark_clock/{batch_id - CLOCKS_KEPT}")
     return now
 
 
+#: Files of the last micro-batches' clocks that stay.
+CLOCKS_KEPT = 100
+
+
 def object_batch_writer(spark: SparkSession, cfg: PipelineConfig,
                         now_fn: Callable[[], dt.datetime] = _clock,
                         checkpoint_location: str | None = None):
