@@ -193,7 +193,7 @@ def test_place_and_write(spark, tmp):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_matches_its_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{H.SF}/{t}.parquet')")
     df = queries.QUERIES[name](spark, H.SF)
     assert H.rows_of(df) == H.in_order(con.execute(f"SELECT {', '.join(df.columns)} FROM ({queries.ORACLE_SQL[name]})").fetchall())

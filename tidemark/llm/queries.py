@@ -133,3 +133,57 @@ slots AS (
 keys AS (
   SELECT doc_id, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT % {SLOTS} AS slot FROM documents)
 SELECT k.doc_id, k.slot::INTEGER AS slot, s.shard FROM keys k JOIN slots l ON l.slot = k.slot JOIN shards s ON s.i = l.i"""
+
+ORACLE_SQL["op5_benchmark_decontamination"] = r"""
+WITH split AS (
+  SELECT 'document' AS side, doc_id AS id, row_number() OVER () AS row_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+  UNION ALL
+  SELECT 'item', item_id, row_number() OVER (),
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+items AS (
+  SELECT id, words, least(13, len(words)) AS size FROM split WHERE side = 'item' AND len(words) > 0),
+item_windows AS (
+  SELECT DISTINCT coalesce(id::VARCHAR, 'null') AS item, size, words[k:k + size - 1] AS part
+  FROM (SELECT *, unnest(range(1, len(words) - size + 2)) AS k FROM items)),
+sizes AS (SELECT DISTINCT size FROM item_windows),
+document_windows AS (
+  SELECT row_id, k, size, words[k:k + size - 1] AS part
+  FROM (SELECT row_id, words, size, unnest(range(1, len(words) - size + 2)) AS k
+        FROM split, sizes WHERE side = 'document' AND len(words) >= size)),
+found AS (SELECT d.row_id, d.k, d.size, i.item FROM document_windows d JOIN item_windows i ON d.size = i.size AND d.part = i.part),
+hits AS (
+  SELECT row_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT row_id, unnest(range(k, k + size)) AS p FROM found) GROUP BY row_id),
+named AS (
+  SELECT row_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT row_id, item FROM found) GROUP BY row_id)
+SELECT s.id AS doc_id, len(s.words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(s.words), false) AS contaminated
+FROM split s LEFT JOIN hits USING (row_id) LEFT JOIN named USING (row_id) WHERE s.side = 'document'"""
+
+ORACLE_SQL["op6_chat_formatting"] = r"""
+WITH given AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL
+  VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER w AS place, lag(coalesce(role, '')) OVER w AS before
+  FROM given WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST)),
+marked AS (
+  SELECT *, length(text) + len(regexp_extract_all(text, '\\|<<SYS>>|<</SYS>>|</?s>|\[/?INST\]|\[ROLE:|\[/ROLE\]')) AS text_size,
+         CASE role WHEN 'system' THEN 8 + 11 WHEN 'user' THEN 10 + 8 WHEN 'assistant' THEN 1 + 5
+              ELSE 6 + length(role) + len(regexp_extract_all(role, '\\|<<SYS>>|<</SYS>>|</?s>|\[/?INST\]|\[ROLE:|\[/ROLE\]'))
+                   + len(regexp_extract_all(role, '\]')) + 2 + 7 END AS mark_size,
+         CASE WHEN before IS NULL THEN role IN ('system', 'user') WHEN before = 'system' THEN role = 'user'
+              WHEN before = 'user' THEN role = 'assistant' WHEN before = 'assistant' THEN role = 'user' ELSE false END AS ok
+  FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(text_size + mark_size)::BIGINT AS formatted_chars, bool_and(ok) AS valid
+FROM marked GROUP BY conv_id"""
