@@ -187,3 +187,23 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
        sum(text_size + mark_size)::BIGINT AS formatted_chars, bool_and(ok) AS valid
 FROM marked GROUP BY conv_id"""
+
+ORACLE_SQL["op3_suffix_array_dedup"] = """
+WITH texts AS (
+  SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+windows AS (SELECT doc_id, s, b[s + 1:s + 100] AS part FROM (SELECT doc_id, b, unnest(range(0, n - 99)) AS s FROM texts)),
+again AS (
+  SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY part ORDER BY doc_id, s) AS k FROM windows) WHERE k > 1),
+islands AS (
+  SELECT doc_id, s, sum(CASE WHEN s <= before + 100 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY s) AS island
+  FROM (SELECT doc_id, s, lag(s) OVER (PARTITION BY doc_id ORDER BY s) AS before FROM again)),
+spans AS (SELECT doc_id, min(s) AS a, max(s) + 100 AS e FROM islands GROUP BY doc_id, island),
+pieces AS (
+  SELECT doc_id, a AS place, hex(b[coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY a), 0) + 1:a]) AS piece
+  FROM spans JOIN texts USING (doc_id)
+  UNION ALL
+  SELECT doc_id, n, hex(b[coalesce(max(e), 0) + 1:any_value(n)]) FROM texts LEFT JOIN spans USING (doc_id) GROUP BY doc_id, b, n),
+counts AS (SELECT doc_id, sum(e - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+SELECT t.doc_id, t.n::BIGINT AS n_bytes, coalesce(c.n_removed, 0)::BIGINT AS n_removed, coalesce(c.n_spans, 0) AS n_spans, p.kept_sha256
+FROM texts t LEFT JOIN counts c USING (doc_id)
+JOIN (SELECT doc_id, sha256(unhex(string_agg(piece, '' ORDER BY place))) AS kept_sha256 FROM pieces GROUP BY doc_id) p USING (doc_id)"""
