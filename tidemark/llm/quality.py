@@ -29,13 +29,12 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm import textbytes as tb
 from tidemark.session import materialize
 
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-_STATS_SCHEMA = ("doc_id long, lang string, source string, row_hash long, n_lines long, "
-                 + ", ".join(f"{c} long" for c in STATS))
 _SYMBOL = tb.classes(b"#*$%&|<>")
 _MULT = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                                 0xD6E8FEB86659FD93)]
@@ -45,6 +44,9 @@ _MULT = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667
 #: text of its source an outlier.
 DIMS = ("log_words", "log_word_length", "log_symbols", "log_dup_lines", "log_repeats")
 LEAST_SPREAD = (1.0, 0.25, 0.5, 1.0, 1.0)
+#: Groups whose estimates (under 400 bytes each) are broadcast; with more, joins
+#: shuffle by group and leave skew to adaptive execution.
+MAX_BROADCAST_GROUPS = 50_000
 #: Resolution of the transformed statistics; sums over them are exact.
 UNIT = 1000
 
@@ -89,32 +91,36 @@ def _line_counts(data: np.ndarray, offsets: np.ndarray, starts: np.ndarray
     return lines, np.bincount(text[1:][again], minlength=n)
 
 
-def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for lo, hi, data, offsets in tb.slices(batch.column("text")):
-            space = tb.SPACE[data]
-            starts, ends = tb.runs(~space, offsets)
-            first = np.searchsorted(starts, offsets)
-            hashes = tb.span_hashes(data, starts, ends)
-            repeats = np.concatenate([[0], np.cumsum(_repeat_words(hashes, starts, offsets))])
-            lines, dups = _line_counts(data, offsets, starts)
-            columns = [batch.column(c).slice(lo, hi - lo) for c in ("doc_id", "lang", "source", "row_hash")]
-            counts = [lines, np.diff(first), tb.per_text(~space & ((data & 0xC0) != 0x80), offsets),
-                      tb.per_text(_SYMBOL[data], offsets), dups, np.diff(repeats[first])]
-            yield pa.RecordBatch.from_arrays(
-                columns + [pa.array(c.astype(np.int64)) for c in counts],
-                ["doc_id", "lang", "source", "row_hash", "n_lines", *STATS])
+def _statistics(carried: tuple[str, ...]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, offsets in tb.slices(batch.column("text")):
+                space = tb.SPACE[data]
+                starts, ends = tb.runs(~space, offsets)
+                first = np.searchsorted(starts, offsets)
+                hashes = tb.span_hashes(data, starts, ends)
+                repeats = np.concatenate([[0], np.cumsum(_repeat_words(hashes, starts, offsets))])
+                lines, dups = _line_counts(data, offsets, starts)
+                columns = [batch.column(c).slice(lo, hi - lo) for c in carried]
+                counts = [lines, np.diff(first), tb.per_text(~space & ((data & 0xC0) != 0x80), offsets),
+                          tb.per_text(_SYMBOL[data], offsets), dups, np.diff(repeats[first])]
+                yield pa.RecordBatch.from_arrays(
+                    columns + [pa.array(c.astype(np.int64)) for c in counts], [*carried, "n_lines", *STATS])
 
+    return run
+
+
+_COUNTS = "n_lines long, " + ", ".join(f"{c} long" for c in STATS)
 
-def _row_hash(docs: DataFrame):
-    return F.xxhash64(*(docs[c].cast("string") for c in ("lang", "source", "text")))
+
+def _texts(docs: DataFrame, *more) -> DataFrame:
+    return docs.select(*more, *(docs[c].cast("string").alias(c) for c in ("lang", "source", "text")))
 
 
 def text_statistics(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, lang, source, row_hash, n_lines (with a word), ``STATS``."""
-    cols = [docs["doc_id"].cast("long").alias("doc_id"), _row_hash(docs).alias("row_hash"),
-            *(docs[c].cast("string").alias(c) for c in ("lang", "source", "text"))]
-    return docs.select(*cols).mapInArrow(_statistics, _STATS_SCHEMA)
+    """Per row: doc_id, lang, source, n_lines (with a word), ``STATS``."""
+    return _texts(docs, docs["doc_id"].cast("long").alias("doc_id")).mapInArrow(
+        _statistics(("doc_id", "lang", "source")), f"doc_id long, lang string, source string, {_COUNTS}")
 
 
 def _vector(d: DataFrame) -> DataFrame:
@@ -218,7 +224,9 @@ def robust_estimates(stats: DataFrame, support: float = 0.75, steps: int = 5,
     enough = pool.groupBy("gk").agg(F.count("*").alias("n"), *(F.percentile(c, F.lit(0.5)).alias(f"m{c}") for c in X)) \
         .where(F.col("n") >= min_group)
     centre, _ = materialize(enough, "mcd-centre")
-    pool = pool.join(centre, "gk")
+    # a row for each group: with few of them, the vectors stay where they are
+    hint = F.broadcast if centre.count() <= MAX_BROADCAST_GROUPS else (lambda d: d)
+    pool = pool.join(hint(centre), "gk")
     # two starts: medians with absolute deviations, and all rows of the group
     spread = pool.groupBy("gk").agg(
         *(F.first(f"m{c}").alias(f"m{c}") for c in X),
@@ -233,40 +241,49 @@ def robust_estimates(stats: DataFrame, support: float = 0.75, steps: int = 5,
     scale = consistency(support)
     for k in range(steps):
         # distances in steps of 1 %: an exact, mergeable and bounded order statistic
-        near = pool.join(fit, "gk").select(
+        near = pool.join(hint(fit), "gk").select(
             "gk", "start", *X, F.floor(100 * F.log(distance() + 1e-6)).cast("long").alias("_d"))
         limit = near.groupBy("gk", "start").agg(F.ceil(F.percentile("_d", F.lit(support))).alias("_h"))
-        fit, _ = materialize(_fit(near.join(limit, ["gk", "start"]).where("_d <= _h"), scale), f"mcd-step{k}")
+        fit, _ = materialize(_fit(near.join(hint(limit), ["gk", "start"]).where("_d <= _h"), scale), f"mcd-step{k}")
     return fit.groupBy("gk").agg(F.min_by(F.struct("mu", "inv"), F.struct("logdet", "start")).alias("f")) \
         .select("gk", "f.mu", "f.inv")
 
 
-def judge(docs: DataFrame, support: float = 0.75, steps: int = 5, min_group: int = 50,
-          tail: float = 1e-6, min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
-    """Per row of docs: doc_id, ``STATS``, base_failed, kept, distance2 (null
-    where no estimate applies), row_hash (of language, source and text)."""
-    stats, _ = materialize(_vector(text_statistics(docs)), "quality-stats")
-    fits, _ = materialize(robust_estimates(stats, support, steps, min_group), "mcd-fits")
+def _verdicts(stats: DataFrame, fits: DataFrame, tail: float, min_words: int, max_repeat_percent: int) -> DataFrame:
+    """stats (with vectors) and base_failed, distance2, kept."""
+    hint = F.broadcast if fits.count() <= MAX_BROADCAST_GROUPS else (lambda d: d)
     d = stats.withColumns({f"_g{k}": _key(k) for k in range(3)})
     for k in range(3):
-        d = d.join(fits.select(F.col("gk").alias(f"_g{k}"), F.col("mu").alias(f"_mu{k}"),
-                               F.col("inv").alias(f"_inv{k}")), f"_g{k}", "left")
+        d = d.join(hint(fits.select(F.col("gk").alias(f"_g{k}"), F.col("mu").alias(f"_mu{k}"),
+                                    F.col("inv").alias(f"_inv{k}"))), f"_g{k}", "left")
     d = d.withColumns({c: F.coalesce(*(F.col(f"_{c}{k}") for k in range(3))) for c in ("mu", "inv")})
-    d = d.withColumn("distance2", F.when(F.col("mu").isNotNull(), distance()))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
+    d = d.withColumns({"base_failed": failed, "distance2": F.when(F.col("mu").isNotNull(), distance())})
     limit = chi2_quantile(1 - tail, P)
-    d = d.withColumn("base_failed", failed)
-    kept = ~F.col("base_failed") & F.coalesce(F.col("distance2") <= limit, F.lit(True))
-    return d.select("doc_id", *STATS, "base_failed", kept.alias("kept"), "distance2", "row_hash")
+    return d.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance2") <= limit, F.lit(True)))
 
 
-def filter_documents(docs: DataFrame, **parameters) -> DataFrame:
+def judge(docs: DataFrame, support: float = 0.75, steps: int = 5, min_group: int = 50,
+          tail: float = 1e-6, min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
+    """Per row of docs: doc_id, ``STATS``, base_failed, kept, distance2 (null
+    where no estimate applies)."""
+    stats, _ = materialize(_vector(text_statistics(docs)), "quality-stats")
+    fits, _ = materialize(robust_estimates(stats, support, steps, min_group), "mcd-fits")
+    return _verdicts(stats, fits, tail, min_words, max_repeat_percent).select(
+        "doc_id", *STATS, "base_failed", "kept", "distance2")
+
+
+def filter_documents(docs: DataFrame, support: float = 0.75, steps: int = 5, min_group: int = 50,
+                     tail: float = 1e-6, min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
     """docs without the rows that ``judge`` rejects; columns as they were.
 
-    Rows are matched by doc_id and whole-row hash, so rows that share an id
-    are judged one by one."""
-    bad = judge(docs, **parameters).where("not kept").select(
-        F.coalesce("doc_id", F.lit(tb.NULL_ID)).alias("_bad_id"), F.col("row_hash").alias("_bad_hash")).distinct()
-    bad, _ = materialize(bad, "quality-rejects")
-    match = (F.coalesce(docs["doc_id"].cast("long"), F.lit(tb.NULL_ID)) == bad["_bad_id"]) & (_row_hash(docs) == bad["_bad_hash"])
-    return docs.join(bad, match, "left_anti")
+    The texts are counted twice, for the estimates and for the verdicts, so
+    that no row has to be found again by a join."""
+    stats, _ = materialize(_vector(text_statistics(docs)).select("lang", "source", *X), "quality-vectors")
+    fits, _ = materialize(robust_estimates(stats, support, steps, min_group), "mcd-fits")
+    names = docs.columns
+    rows = _texts(docs, F.struct(*(docs[c] for c in names)).alias("row"))
+    schema = T.StructType([rows.schema["row"], *T.StructType.fromDDL(f"lang string, source string, {_COUNTS}").fields])
+    counted = rows.mapInArrow(_statistics(("row", "lang", "source")), schema)
+    kept = _verdicts(_vector(counted), fits, tail, min_words, max_repeat_percent).where("kept")
+    return kept.select(*(F.col("row").getField(c).alias(c) for c in names))

@@ -35,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm import textbytes as tb
 from tidemark.session import materialize
@@ -42,9 +43,9 @@ from tidemark.session import materialize
 #: Runs of one anchor are cut at so many windows (periodic text).
 _LONGEST_RUN = 4096
 #: Runs that a task gathers before it drops those it has met and sends the rest.
-_BLOCK_ROWS = 1_000_000
+_BLOCK_ROWS = 400_000
 #: Bytes of runs in one suffix array (a larger anchor has one for itself).
-_BATCH_BYTES = 1 << 20
+_BATCH_BYTES = 1 << 19
 
 _RUN = np.dtype([("anchor", "<u4"), ("hash", "<u8"), ("start", "<u4"), ("n", "<u2"), ("text", "<u4"), ("own", "?")])
 _TEXT = np.dtype([("id", "<i8"), ("key", "<i8")])
@@ -460,7 +461,7 @@ def _keyed(docs: DataFrame, *more) -> DataFrame:
                        F.xxhash64(text).alias("key"), text.alias("text"), *more)
 
 
-def repeated_ranges(docs: DataFrame, length: int = 100, gram: int = 32, heavy: int = 20_000) -> DataFrame:
+def repeated_ranges(docs: DataFrame, length: int = 100, gram: int = 32, heavy: int = 4_000) -> DataFrame:
     """id, key (of the text, as _keyed gives them) and ``ranges``, an array of
     (start, stop) in bytes; only texts that have some."""
     spark = docs.sparkSession
@@ -548,7 +549,7 @@ def dedup_documents(docs: DataFrame, length: int = 100, **parameters) -> DataFra
     rest = [c for c in names if c != "text"]
     row = F.struct(F.lit(0).alias("_"), *(docs[c] for c in rest)).alias("row")
     joined = _keyed(docs, row).join(ranges, ["id", "key"], "left").select("row", "text", "ranges")
-    row_type = joined.schema["row"].dataType.simpleString()
-    out = joined.mapInArrow(run, f"row {row_type}, text string, gone boolean").where("not gone")
+    schema = T.StructType([joined.schema["row"], *T.StructType.fromDDL("text string, gone boolean").fields])
+    out = joined.mapInArrow(run, schema).where("not gone")
     size = lambda c: F.length("text").cast(docs.schema[c].dataType) if c == "n_chars" else F.col("row").getField(c)
     return out.select(*((F.col("text") if c == "text" else size(c)).alias(c) for c in names))

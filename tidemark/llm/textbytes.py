@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Null ids sort and join as this value.
 NULL_ID = -(1 << 63)
 
