@@ -22,6 +22,7 @@ an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -37,6 +38,8 @@ from tidemark.session import materialize
 
 _LOWER = tb.LOWER.tobytes()
 _BLOCK = 1 << 16
+#: Crowded prefixes (12 bytes each) that are broadcast; more are joined by shuffle.
+MAX_BROADCAST_PREFIXES = 500_000
 
 
 def fingerprint(text: bytes, width: int, seed: int) -> int:
@@ -167,24 +170,32 @@ def _links(prefix_bits: int, max_bits: int):
     return run
 
 
-def links(fps: DataFrame, max_bits: int = 4, prefix_bits: int = 12, task_variants: int = 4_000_000) -> DataFrame:
+def prefix_size(n: int, radius: int, task_variants: int) -> int:
+    """Bits of prefix with which n fingerprints have about ``task_variants``
+    variants in a prefix at most."""
+    return min(40, max(12, math.ceil(math.log2(max(1, n) * len(flips(64, radius)) / task_variants))))
+
+
+def links(fps: DataFrame, max_bits: int = 4, prefix_bits: int | None = None, task_variants: int = 4_000_000) -> DataFrame:
     """``fps``: a written table of distinct fingerprints (column fp). Returns
     links a, b (a > b as unsigned words) whose components are those of all
     pairs at ``max_bits`` or fewer differing bits."""
     if max_bits % 2:
         raise ValueError("max_bits must be even: each side flips half of them")
-    spark, radius, low_bits = fps.sparkSession, max_bits // 2, 64 - prefix_bits
+    spark, radius = fps.sparkSession, max_bits // 2
+    prefix_bits = prefix_bits or prefix_size(fps.count(), radius, task_variants)
+    low_bits = 64 - prefix_bits
     masks = F.array(*(F.lit(int(m)) for m in flips(prefix_bits, radius)))
     top = F.shiftrightunsigned("fp", low_bits)
     rows = fps.select("fp", F.explode(masks).alias("_m")).select("fp", top.bitwiseXOR(F.col("_m")).alias("prefix"),
                                                                 F.bit_count("_m").alias("_used"))
     ball = {k: len(flips(low_bits, radius - k)) for k in range(radius + 1)}
     emitted = sum((F.when(F.col("_used") == k, n).otherwise(0) for k, n in ball.items()), F.lit(0))
-    # at most 2 ** prefix_bits rows, whatever the input
     heavy = rows.groupBy("prefix").agg(F.sum(emitted).alias("_n")).where(F.col("_n") > task_variants) \
         .select("prefix", F.ceil(F.col("_n") / task_variants).cast("int").alias("parts"))
     heavy, _ = materialize(heavy, "simhash-heavy")
-    rows = rows.join(F.broadcast(heavy), "prefix", "left").withColumn("parts", F.coalesce("parts", F.lit(1))) \
+    hint = F.broadcast if heavy.count() <= MAX_BROADCAST_PREFIXES else (lambda d: d)
+    rows = rows.join(hint(heavy), "prefix", "left").withColumn("parts", F.coalesce("parts", F.lit(1))) \
         .select("fp", "prefix", "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartition(n, "prefix", "part").sortWithinPartitions("prefix", "part")
