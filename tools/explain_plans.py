@@ -26,13 +26,14 @@ def final_plan(df) -> str:
 
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
+    from pyspark.sql import functions as F
+
     from tidemark import fixtures as fx
     from tidemark.operators.dedup import latest_by_key
     from tidemark.operators.merge import merge_plan
-    from tidemark.operators.quality import key_gate
     from tidemark.operators.views import stage_window, unified_view
     from tidemark.plans.jobs import PipelineConfig, decode_listing, merge_source, shape_folder
-    from tidemark.session import build_session, work_dir
+    from tidemark.session import build_session, materialize, work_dir
     from tidemark.sources.objects import list_objects
     from tidemark.specs import ORDER_EVENTS as OE, default_registry
 
@@ -46,8 +47,7 @@ def main():
     cfg.stage(OE).append(stage, "seed")
     g = cfg.gold(OE).read(spark)
     st = cfg.stage(OE).read(spark, fx.AS_OF)
-    src, _ = key_gate(merge_source(st, OE, fx.AS_OF, 1), OE.key)
-    src = src.checkpoint(eager=True)
+    src, _ = materialize(merge_source(st, OE, fx.AS_OF, 1), "source", cfg.lake_root)
 
     out = ["# PLANS", "",
            "Executed physical plans (final adaptive plans) of the production-shaped",
@@ -65,15 +65,25 @@ def main():
             "Partial `WindowGroupLimit` before the exchange: at most one row per key "
             "and map task is shuffled.",
             merge_source(st, OE, fx.AS_OF, 1))
-    section("Merge (M1), broadcast strategy",
+    section("Files that a merge touches (M1)",
+            "Gold's key, order and file name against the source's key and order, "
+            "joined map-side; only the files found here are read and rewritten.",
+            g.select(OE.key, F.col(OE.order_col).alias("_order"), F.col("_metadata.file_path").alias("_file"))
+            .join(F.broadcast(src.select(OE.key, F.col(OE.order_col).alias("_new"))), OE.key)
+            .select(OE.key, "_file", (F.col("_new") > F.col("_order")).alias("_newer")))
+    section("Merge (M1) of the touched files, broadcast strategy",
             "Gold is scanned from Parquet and streamed through a `BroadcastHashJoin`; "
             "the key-only semi join reads just `record_id`. No exchange on gold.",
             merge_plan(g, src, OE.key, OE.order_col, OE.row_columns, "broadcast"))
-    section("Merge (M1), shuffle strategy",
+    section("Merge (M1) of the touched files, shuffle strategy",
             "Full outer `SortMergeJoin`, both sides exchanged on the key (used when "
             "the source is over the broadcast limit).",
             merge_plan(g, src, OE.key, OE.order_col, OE.row_columns, "shuffle"))
-    section("Unified view (V1), broadcast (size-checked `auto`)",
+    section("Unified view (V1), auto",
+            "No hint: adaptive execution joins map-side when the deduplicated window "
+            "turns out small at the read.",
+            unified_view(OE, g, st, fx.AS_OF))
+    section("Unified view (V1), broadcast (size measured first)",
             "The deduplicated stage window is broadcast; gold is read map-side (full "
             "scan for the join, key column only for the semi join) and never "
             "exchanged. Uses of the window share its exchange (`ReusedExchange`).",
@@ -83,15 +93,12 @@ def main():
             unified_view(OE, g, st, fx.AS_OF, strategy="window"))
     root, _ = fx.event_objects(ev, sf)
     dec = decode_listing(list_objects(spark, root, OE.folder, "2000-01-01"), root)
-    rows, _ = shape_folder(dec, OE, fx.NOW)
+    rows, _, _ = shape_folder(dec, OE, fx.NOW, cache=False)
     section("Decode + shape (D1–D6, P1, F7)",
-            "Two branches of one listing: objects up to the streaming threshold are "
-            "decoded from the scanned `content` (`MapInArrow`, the only Python step); "
-            "larger ones (none at this scale) come from a path-only scan, are spread "
-            "round-robin and streamed by URI. The `modificationTime` cutoff and the "
-            "`length` split are scan filters. JSON is parsed once per record (its own "
-            "`Project`); the type-checked rows are cached because they feed both the "
-            "stage append and the dead letters.",
+            "A path-only listing (the `modificationTime` cutoff is a scan filter), "
+            "spread over the tasks, each of which opens and streams its objects "
+            "(`MapInArrow`, the only Python step). JSON is parsed once per record (its "
+            "own `Project`).",
             rows)
     section("Dedup of a 600k-row table (lineitem, W1 with tie-breakers)",
             "Same shape on the largest driver table.",

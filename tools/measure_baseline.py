@@ -39,7 +39,7 @@ def main():
     def decode_shape():
         dec = decode_listing(list_objects(spark, cfg.objects_root, OE.folder, "2000-01-01"),
                              cfg.objects_root)
-        rows, _ = shape_folder(dec, OE, fx.NOW)
+        rows, _, _ = shape_folder(dec, OE, fx.NOW, cache=False)
         rows.write.format("noop").mode("overwrite").save()
 
     decode_shape()  # warm-up
