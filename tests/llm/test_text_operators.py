@@ -374,3 +374,13 @@ def test_keep_first_of_each_component(spark):
     named = [r.doc_id for r in out.collect() if r.doc_id is not None]
     assert set(named) <= {d for d, _ in rows}
     assert simhash.keep_first(H.empty_docs(spark)).count() == 0
+
+
+def test_keep_first_tells_components_apart_that_share_an_id(spark):
+    """Unrelated texts whose ids are all null, or which share one id."""
+    prose = ["alpha beta gamma delta epsilon zeta", "one two three four five six seven", "red green blue black white grey",
+             "iron copper silver gold tin lead zinc"]
+    rows = [(None, prose[0]), (None, prose[0]), (None, prose[1]), (7, prose[2]), (7, prose[3]), (9, prose[3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = [(r.doc_id, r.text) for r in simhash.keep_first(docs).collect()]
+    assert H.in_order(out) == H.in_order([(None, prose[0]), (None, prose[1]), (7, prose[2]), (7, prose[3])])

@@ -203,8 +203,9 @@ def links(fps: DataFrame, max_bits: int = 4, prefix_bits: int | None = None, tas
 
 
 def near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4, seed: int = 42, **parameters) -> DataFrame:
-    """Per row of docs: doc_id, fp, component_id (the least doc_id among the
-    fingerprints reachable over links), row_hash."""
+    """Per row of docs: doc_id, fp, root (the component's least fingerprint as a
+    signed long), component_id (the least doc_id among the fingerprints
+    reachable over links; it may name several components), row_hash."""
     marks, _ = materialize(fingerprints(docs, width, seed), "simhash-fingerprints")
     least, _ = materialize(marks.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     edges = links(least.select("fp"), max_bits, **parameters)
@@ -213,18 +214,18 @@ def near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4, seed: in
         .union(roots.select("root").distinct().join(least.withColumnRenamed("fp", "root"), "root")
                .select(F.col("root").alias("node"), "root", "least"))
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    joined = named.select("node", "root").join(ids, "root").select(F.col("node").alias("fp"), "component_id")
+    joined = named.select("node", "root").join(ids, "root").select(F.col("node").alias("fp"), "root", "component_id")
     # a fingerprint without links is its own component
     every, _ = materialize(least.join(joined, "fp", "left").select(
-        "fp", F.coalesce("component_id", "least").alias("component_id")), "simhash-components")
-    return marks.join(every, "fp").select("doc_id", "fp", "component_id", "row_hash")
+        "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "least").alias("component_id")), "simhash-components")
+    return marks.join(every, "fp").select("doc_id", "fp", "root", "component_id", "row_hash")
 
 
 def keep_first(docs: DataFrame, **parameters) -> DataFrame:
     """docs with one row of each component: the one of least (doc_id, text
     hash); of rows equal in both, one stays. Columns as they were."""
     found, _ = materialize(near_duplicates(docs, **parameters), "simhash-rows")
-    first = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_hash")).alias("f")) \
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_hash")).alias("f")) \
         .select(F.coalesce("f.doc_id", F.lit(tb.NULL_ID)).alias("_keep_id"), F.col("f.row_hash").alias("_keep_hash")).distinct()
     first, _ = materialize(first, "simhash-kept")
     return _only_one(docs, first)
