@@ -236,6 +236,26 @@ def test_outliers_go_and_clean_documents_stay(spark):
     assert n.get((1, False), 0) <= 0.005 * n[(1, True)]
 
 
+def _prose(rng, n, letters=5, per_line=10):
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(letters)) for _ in range(n)]
+    return "\n".join(" ".join(words[k:k + per_line]) for k in range(0, n, per_line))
+
+
+def test_an_outlier_in_any_single_dimension_goes(spark):
+    import random
+
+    rng = random.Random(3)
+    menu = [_prose(rng, 1) for _ in range(30)]
+    again = _prose(rng, 45, per_line=50)
+    planted = [_prose(rng, 5000), _prose(rng, 200, letters=12), _prose(rng, 200) + " #$%" * 10,
+               "\n".join(rng.choice(menu) for _ in range(200)), f"{_prose(rng, 110)} {again}\n{_prose(rng, 5)} {again}"]
+    rows = [(k, _prose(rng, rng.randint(150, 250))) for k in range(200)] + [(1000 + k, t) for k, t in enumerate(planted)]
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in rows], "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: (r.base_failed, r.kept) for r in quality.judge(docs).collect()}
+    assert [got[1000 + k] for k in range(5)] == [(False, False)] * 5
+    assert all(got[k][1] for k in range(200))
+
+
 def test_quality_filter_keeps_columns_and_rows(spark):
     docs = H.edge_docs(spark)
     out = quality.filter_documents(docs)

@@ -39,11 +39,15 @@ _SYMBOL = tb.classes(b"#*$%&|<>")
 _MULT = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                                 0xD6E8FEB86659FD93)]
 
-#: Per dimension of the vector: what is taken as the least spread (in the
-#: transformed unit), so that a group of near copies doesn't make every other
-#: text of its source an outlier.
-DIMS = ("log_words", "log_word_length", "log_symbols", "log_dup_lines", "log_repeats")
-LEAST_SPREAD = (1.0, 0.25, 0.5, 1.0, 1.0)
+#: Per dimension of the vector: the least spread (in the transformed unit). It
+#: bounds the scatter's eigenvalues from below, so that a group of near copies
+#: doesn't make every other text of its source an outlier; a wider scatter stays
+#: as it is. The last three are zero for most texts, so their own scatter is none.
+DIMS = ("log_words", "log_word_length", "log_symbols", "log_dup_lines", "log_further_repeats")
+LEAST_SPREAD = (0.4, 0.1, 0.5, 0.95, 0.8)
+#: Duplicate lines repeat their words too: so much of log_dup_lines is taken off
+#: the logarithm of repeats.
+REPEATS_OF_LINES = 0.6
 #: Groups whose estimates (under 400 bytes each) are broadcast; with more, joins
 #: shuffle by group and leave skew to adaptive execution.
 MAX_BROADCAST_GROUPS = 50_000
@@ -129,7 +133,7 @@ def _vector(d: DataFrame) -> DataFrame:
     lines = F.greatest(F.col("n_lines"), F.lit(1))
     x = [F.log1p(F.col("n_words")), F.log((F.col("word_chars") + 1) / words),
          F.log1p(100 * F.col("n_symbols") / words), F.log1p(100 * F.col("n_dup_lines") / lines),
-         F.log1p(100 * F.col("n_repeat_words") / words)]
+         F.log1p(100 * F.col("n_repeat_words") / words) - REPEATS_OF_LINES * F.log1p(100 * F.col("n_dup_lines") / lines)]
     return d.withColumns({f"x{i}": F.round(UNIT * v).cast("long") for i, v in enumerate(x)})
 
 
@@ -172,9 +176,15 @@ def consistency(support: float) -> float:
     return support / gamma_share((P + 2) / 2, chi2_quantile(support, P) / 2)
 
 
+def bounded(cov: np.ndarray) -> np.ndarray:
+    """cov, its eigenvalues (in units of ``LEAST_SPREAD``) 1 at least."""
+    unit = np.outer(LEAST_SPREAD, LEAST_SPREAD)
+    values, vectors = np.linalg.eigh(cov / unit)
+    return (vectors * np.maximum(values, 1.0)) @ vectors.T * unit
+
+
 def _invert(scale: float):
     """Sums of each group's subset to location, precision and log-determinant."""
-    floor = np.diag(np.square(LEAST_SPREAD))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -185,7 +195,7 @@ def _invert(scale: float):
                 cov = np.zeros((P, P))
                 for i, j in PAIRS:
                     cov[i, j] = cov[j, i] = float(r[f"s{i}_{j}"]) / n / UNIT**2 - mu[i] * mu[j]
-                cov = scale * cov + floor
+                cov = bounded(scale * cov)
                 rows.append({"gk": r["gk"], "start": r["start"], "mu": mu.round(9).tolist(),
                              "inv": np.linalg.inv(cov).round(9).ravel().tolist(),
                              "logdet": round(float(np.linalg.slogdet(cov)[1]), 9)})
@@ -231,7 +241,7 @@ def robust_estimates(stats: DataFrame, support: float = 0.75, steps: int = 5,
     spread = pool.groupBy("gk").agg(
         *(F.first(f"m{c}").alias(f"m{c}") for c in X),
         *(F.percentile(F.abs(F.col(c) - F.col(f"m{c}")), F.lit(0.5)).alias(f"d{c}") for c in X))
-    var = [F.pow(F.col(f"d{c}") * 1.4826 / UNIT, 2) + LEAST_SPREAD[i] ** 2 for i, c in enumerate(X)]
+    var = [F.greatest(F.pow(F.col(f"d{c}") * 1.4826 / UNIT, 2), F.lit(LEAST_SPREAD[i] ** 2)) for i, c in enumerate(X)]
     medians = spread.select(
         "gk", F.lit(0).alias("start"), F.array(*(F.col(f"m{c}") / UNIT for c in X)).alias("mu"),
         F.array(*(1 / var[i] if i == j else F.lit(0.0) for i in range(P) for j in range(P))).alias("inv"),
@@ -264,7 +274,7 @@ def _verdicts(stats: DataFrame, fits: DataFrame, tail: float, min_words: int, ma
 
 
 def judge(docs: DataFrame, support: float = 0.75, steps: int = 5, min_group: int = 50,
-          tail: float = 1e-6, min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
+          tail: float = 1e-3, min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
     """Per row of docs: doc_id, ``STATS``, base_failed, kept, distance2 (null
     where no estimate applies)."""
     stats, _ = materialize(_vector(text_statistics(docs)), "quality-stats")
@@ -274,7 +284,7 @@ def judge(docs: DataFrame, support: float = 0.75, steps: int = 5, min_group: int
 
 
 def filter_documents(docs: DataFrame, support: float = 0.75, steps: int = 5, min_group: int = 50,
-                     tail: float = 1e-6, min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
+                     tail: float = 1e-3, min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
     """docs without the rows that ``judge`` rejects; columns as they were.
 
     The texts are counted twice, for the estimates and for the verdicts, so
