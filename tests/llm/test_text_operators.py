@@ -256,6 +256,22 @@ def test_an_outlier_in_any_single_dimension_goes(spark):
     assert all(got[k][1] for k in range(200))
 
 
+def test_estimates_count_documents_not_distinct_vectors(spark):
+    """A few templates with many rows, beside fewer rows of scattered junk."""
+    import random
+
+    rng = random.Random(5)
+    clean = [_prose(rng, 180 + 10 * k) for k in range(5)]
+    junk = [" ".join(_prose(rng, 1, letters=rng.randint(3, 5)) + "#" * rng.randint(1, 9) for _ in range(rng.randint(60, 900))) for _ in range(60)]
+    rows = [(k, clean[k % 5], "s") for k in range(500)] + [(1000 + k, t, "s") for k, t in enumerate(junk)]
+    rows += [(2000 + k, clean[0], "copies") for k in range(60)]
+    docs = spark.createDataFrame([(i, t, "en", s) for i, t, s in rows], "doc_id long, text string, lang string, source string")
+    stats = quality._vector(quality.text_statistics(docs))
+    assert sum('"a":0' in r.gk for r in quality.robust_estimates(stats).collect()) == 2
+    kept = {r.doc_id for r in quality.judge(docs).where("kept").collect()}
+    assert kept == set(range(500)) | set(range(2000, 2060))
+
+
 def test_quality_filter_keeps_columns_and_rows(spark):
     docs = H.edge_docs(spark)
     out = quality.filter_documents(docs)

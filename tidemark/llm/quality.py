@@ -4,18 +4,18 @@ outliers.
 ``text_statistics`` counts in one pass over the bytes of each whole text.
 ``robust_estimates`` fits, for each language and source, location and scatter
 by the minimum covariance determinant: of all subsets that hold a share
-``support`` of the group's distinct vectors, concentration steps seek the one
+``support`` of the group's documents, concentration steps seek the one
 whose covariance has the least determinant. Every vector of the corpus takes
-part in every step; each step is two mergeable aggregations, so a group that
+part in every step, with the number of its documents; each step is two mergeable aggregations, so a group that
 holds a third of all rows costs no task more than another. ``judge`` rejects a
 text whose transformed vector is farther (Mahalanobis) than the chi-square
 quantile ``1 - tail``.
 
 Defined results: a null text has no words; null language or source is a group
-of its own; repeated rows are judged alike (equal vectors count once in the
-estimates, so copies don't move them); a group of under ``min_group`` distinct
-vectors uses its language's estimate, then the corpus's, and with too few
-vectors there too nothing but the base rules rejects; an empty table gives an
+of its own; repeated rows are judged alike and each counts in the
+estimates; a group of under ``min_group`` documents
+uses its language's estimate, then the corpus's, and with too few
+documents there too nothing but the base rules rejects; an empty table gives an
 empty result; other columns of the input are ignored.
 """
 
@@ -208,9 +208,9 @@ _FIT = "gk string, start int, mu array<double>, inv array<double>, logdet double
 
 
 def _fit(rows: DataFrame, scale: float) -> DataFrame:
-    big = lambda c: F.sum(c.cast("decimal(20,0)"))
+    big = lambda c: F.sum((F.col("w") * c).cast("decimal(20,0)"))
     sums = rows.groupBy("gk", "start").agg(
-        F.count("*").cast("double").alias("n"),
+        F.sum("w").cast("double").alias("n"),
         *(big(F.col(X[i])).cast("double").alias(f"s{i}") for i in range(P)),
         *(big(F.col(X[i]) * F.col(X[j])).cast("double").alias(f"s{i}_{j}") for i, j in PAIRS))
     return sums.mapInPandas(_invert(scale), _FIT)
@@ -226,12 +226,14 @@ def distance(mu: str = "mu", inv: str = "inv"):
 def robust_estimates(stats: DataFrame, support: float = 0.75, steps: int = 5,
                      min_group: int = 50) -> DataFrame:
     """``gk, mu, inv`` of every (language, source), language, and the corpus
-    with at least ``min_group`` distinct vectors. ``stats`` has _vector's
+    with at least ``min_group`` documents. ``stats`` has _vector's
     columns and should be a written table, as each step reads it."""
     levels = F.explode(F.array(*(_key(k) for k in range(3)))).alias("gk")
-    pool, _ = materialize(stats.select("lang", "source", *X).distinct().select(levels, *X).distinct(),
-                          "mcd-vectors")
-    enough = pool.groupBy("gk").agg(F.count("*").alias("n"), *(F.percentile(c, F.lit(0.5)).alias(f"m{c}") for c in X)) \
+    # a row for each distinct vector of a group, w: how many documents have it
+    vectors = stats.groupBy("lang", "source", *X).agg(F.count("*").alias("w"))
+    pool, _ = materialize(vectors.select(levels, *X, "w").groupBy("gk", *X).agg(F.sum("w").alias("w")), "mcd-vectors")
+    middle = lambda c: F.percentile(c, F.lit(0.5), F.col("w"))
+    enough = pool.groupBy("gk").agg(F.sum("w").alias("n"), *(middle(c).alias(f"m{c}") for c in X)) \
         .where(F.col("n") >= min_group)
     centre, _ = materialize(enough, "mcd-centre")
     # a row for each group: with few of them, the vectors stay where they are
@@ -240,20 +242,20 @@ def robust_estimates(stats: DataFrame, support: float = 0.75, steps: int = 5,
     # two starts: medians with absolute deviations, and all rows of the group
     spread = pool.groupBy("gk").agg(
         *(F.first(f"m{c}").alias(f"m{c}") for c in X),
-        *(F.percentile(F.abs(F.col(c) - F.col(f"m{c}")), F.lit(0.5)).alias(f"d{c}") for c in X))
+        *(middle(F.abs(F.col(c) - F.col(f"m{c}"))).alias(f"d{c}") for c in X))
     var = [F.greatest(F.pow(F.col(f"d{c}") * 1.4826 / UNIT, 2), F.lit(LEAST_SPREAD[i] ** 2)) for i, c in enumerate(X)]
     medians = spread.select(
         "gk", F.lit(0).alias("start"), F.array(*(F.col(f"m{c}") / UNIT for c in X)).alias("mu"),
         F.array(*(1 / var[i] if i == j else F.lit(0.0) for i in range(P) for j in range(P))).alias("inv"),
         F.lit(0.0).alias("logdet"))
-    pool = pool.select("gk", *X)
+    pool = pool.select("gk", *X, "w")
     fit, _ = materialize(medians.unionByName(_fit(pool.withColumn("start", F.lit(1)), 1.0)), "mcd-start")
     scale = consistency(support)
     for k in range(steps):
         # distances in steps of 1 %: an exact, mergeable and bounded order statistic
         near = pool.join(hint(fit), "gk").select(
-            "gk", "start", *X, F.floor(100 * F.log(distance() + 1e-6)).cast("long").alias("_d"))
-        limit = near.groupBy("gk", "start").agg(F.ceil(F.percentile("_d", F.lit(support))).alias("_h"))
+            "gk", "start", *X, "w", F.floor(100 * F.log(distance() + 1e-6)).cast("long").alias("_d"))
+        limit = near.groupBy("gk", "start").agg(F.ceil(F.percentile("_d", F.lit(support), F.col("w"))).alias("_h"))
         fit, _ = materialize(_fit(near.join(hint(limit), ["gk", "start"]).where("_d <= _h"), scale), f"mcd-step{k}")
     return fit.groupBy("gk").agg(F.min_by(F.struct("mu", "inv"), F.struct("logdet", "start")).alias("f")) \
         .select("gk", "f.mu", "f.inv")
