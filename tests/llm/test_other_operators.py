@@ -34,6 +34,17 @@ def test_main_text_cases(html, text):
     assert htmltext.extract(html) == text
 
 
+@pytest.mark.parametrize("before", ["", "<nav><a href=x>Home</a></nav>"])
+def test_main_text_keeps_text_beside_the_longest_block(before):
+    short, long = ("word " * 20).strip(), ("word " * 40).strip()
+    two = f"<body>{before}<p>{long}</p><p>{short}</p></body>"
+    assert htmltext.extract(two) == f"{long}\n\n{short}"
+    many = f"<body>{before}<div><p>{long * 40}</p>" + f"<p>{short}</p>" * 10 + "</div></body>"
+    assert htmltext.extract(many) == "\n\n".join([long * 40] + [short] * 10)
+    lead = f"<body>{before}<h1>Headline</h1><p>Lead.</p><div><p>{long}</p><p>{long}</p></div></body>"
+    assert htmltext.extract(lead) == f"Headline\n\nLead.\n\n{long}\n\n{long}"
+
+
 def test_main_text_of_the_pages(spark):
     import html as entities
 

@@ -6,8 +6,8 @@ their text-to-tag ratio (none inside menus, footers, forms, adverts and the
 like), a Gaussian smooths the ratios along the page, and two-means clustering
 finds the threshold above which a line is content. Content lines vote, by
 their length, for the region: the article or main element with most votes, or
-where none is a fair part of the page the innermost element that holds nearly
-all votes. The region's lines are the text, short ones too.
+where none is a fair part of the page the innermost container that holds all
+content lines, widened while its parent adds only text. The region's lines are the text, short ones too.
 
 Defined results: a null, empty or textless page gives an empty text; each row,
 also a repeated one, its own result; an empty table an empty result; other
@@ -45,8 +45,9 @@ _APART_WORDS = frozenset(
     "social follow related recommended newsletter subscribe subscription signup login search form".split())
 _REGIONS = frozenset(("article", "main"))
 _WORDS = re.compile(r"[a-z]+")
-#: Share of all votes that the innermost element must hold.
-_NEARLY_ALL = 0.8
+#: Blocks of text, never a region.
+_TEXT_BLOCKS = _INLINE | frozenset("p h1 h2 h3 h4 h5 h6 hgroup li dt dd ul ol dl blockquote pre address caption figcaption figure "
+                                   "table thead tbody tfoot tr summary legend label center".split())
 
 
 class _Lines(HTMLParser):
@@ -177,7 +178,16 @@ def _held(weights: dict[tuple[int, ...], int]) -> dict[int, int]:
     return out
 
 
-def _region(votes: dict[tuple[int, ...], int], sizes: dict[tuple[int, ...], int], names: list[str]) -> int | None:
+def _common(paths, names: list[str]) -> tuple[int, ...]:
+    """Path of the innermost container of all paths."""
+    first, *more = paths
+    for path in more:
+        first = first[:next((k for k, (a, b) in enumerate(zip(first, path)) if a != b), min(len(first), len(path)))]
+    return first[:next((k for k, e in enumerate(first) if names[e] in _TEXT_BLOCKS), len(first))]
+
+
+def _region(votes: dict[tuple[int, ...], int], sizes: dict[tuple[int, ...], int], aparts: set[tuple[int, ...]],
+            names: list[str]) -> int | None:
     """Number of the element that is the region; None for the whole page."""
     by_vote, by_size = _held(votes), _held(sizes)
     depth = {e: d for path in sizes for d, e in enumerate(path)}
@@ -186,8 +196,15 @@ def _region(votes: dict[tuple[int, ...], int], sizes: dict[tuple[int, ...], int]
     regions = [e for e in by_size if names[e] in _REGIONS and (2 * by_vote.get(e, 0) >= total or 4 * by_size[e] >= total)]
     if regions:  # of nested ones with equal votes the inner
         return max(regions, key=lambda e: (by_vote.get(e, 0), by_size[e], depth[e]))
-    held = [e for e in by_vote if names[e] not in _INLINE and by_vote[e] >= _NEARLY_ALL * total]
-    return max(held, key=lambda e: (depth[e], -e), default=None)
+    inner = _common(votes, names)
+    while inner:  # wider while that brings no line of what is apart, or text that stands in the parent itself
+        outer, e = inner[:-1], inner[-1]
+        added = [x for x in sizes if x[:len(outer)] == outer and e not in x]
+        mixed = any(x[:len(outer)] == outer and e not in x for x in aparts)
+        if mixed and not all(names[x[k]] in _TEXT_BLOCKS for x in added for k in range(len(outer), len(x))):
+            break
+        inner = outer
+    return inner[-1] if inner else None
 
 
 def extract(html: str, sigma: float = 1.0) -> str:
@@ -214,7 +231,8 @@ def extract(html: str, sigma: float = 1.0) -> str:
         sizes[path] = sizes.get(path, 0) + len(text)
         if content[k]:
             votes[path] = votes.get(path, 0) + len(text)
-    region = _region(votes, sizes, parser.names)
+    aparts = {path for _, _, a, path in lines if a}
+    region = _region(votes, sizes, aparts, parser.names)
     return "\n\n".join(t for t, _, a, path in lines if not a and (region is None or region in path))
 
 
