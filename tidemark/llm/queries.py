@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    bpe, chat, decontaminate, htmltext, quality, sharding, simhash, suffix, tokenfiles, urlrules,
+    bpe, chat, collocations, decontaminate, htmltext, quality, sharding, simhash, suffix, tokenfiles, urlrules,
 )
 
 
@@ -84,6 +84,10 @@ def op10_sharding(spark, sf):
     return sharding.place(docs, "doc_id", SHARDS, SLOTS)
 
 
+def op13_phrase_collocations(spark, sf):
+    return collocations.collocations(_table(spark, sf, "documents"), longest=4, least=30, covered=80, top=2000)
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_html_extraction": op2_html_extraction,
@@ -95,6 +99,7 @@ QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_url_filters": op9_url_filters,
     "op10_sharding": op10_sharding,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 
 ORACLE_SQL: dict[str, str] = {}
@@ -207,3 +212,38 @@ counts AS (SELECT doc_id, sum(e - a) AS n_removed, count(*) AS n_spans FROM span
 SELECT t.doc_id, t.n::BIGINT AS n_bytes, coalesce(c.n_removed, 0)::BIGINT AS n_removed, coalesce(c.n_spans, 0) AS n_spans, p.kept_sha256
 FROM texts t LEFT JOIN counts c USING (doc_id)
 JOIN (SELECT doc_id, sha256(unhex(string_agg(piece, '' ORDER BY place))) AS kept_sha256 FROM pieces GROUP BY doc_id) p USING (doc_id)"""
+
+
+ORACLE_SQL["op13_phrase_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+totals AS (SELECT lang, sum(len(words))::BIGINT AS n FROM split GROUP BY lang),
+counts AS (
+  SELECT lang, size, part, count(*) AS f
+  FROM (SELECT lang, size, words[i:i + size - 1] AS part
+        FROM (SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS i
+              FROM split, (VALUES (1), (2), (3), (4)) s(size) WHERE len(words) >= size))
+  GROUP BY lang, size, part),
+candidates AS (SELECT * FROM counts WHERE size > 1 AND f >= 30),
+inside AS (
+  SELECT lang, f, part[i:i + k - 1] AS part
+  FROM (SELECT lang, f, part, size, k, unnest(range(1, size - k + 2)) AS i
+        FROM candidates, (VALUES (2), (3)) s(k) WHERE k < size)),
+longer AS (SELECT lang, part, max(f) AS f FROM inside GROUP BY lang, part),
+kept AS (
+  SELECT c.* FROM candidates c LEFT JOIN longer g ON g.lang = c.lang AND g.part = c.part
+  WHERE g.f IS NULL OR 100 * g.f < 80 * c.f),
+cuts AS (SELECT *, unnest(range(1, size)) AS k FROM kept),
+scored AS (
+  SELECT c.lang, c.part, c.f AS a, c.k, l.f AS l, r.f AS r, ((2000000::HUGEINT * c.f) // (l.f + r.f))::BIGINT AS score
+  FROM cuts c JOIN counts l ON l.lang = c.lang AND l.part = c.part[1:c.k]
+  JOIN counts r ON r.lang = c.lang AND r.part = c.part[c.k + 1:]),
+lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, part ORDER BY score, k) AS place FROM scored),
+ranked AS (
+  SELECT lang, array_to_string(part, ' ') AS phrase, a, l, r, score,
+         row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(part, ' ')) AS rank
+  FROM lowest WHERE place = 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
