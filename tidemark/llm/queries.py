@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    bpe, chat, collocations, decontaminate, htmltext, quality, sharding, simhash, suffix, tokenfiles, urlrules,
+    bpe, chat, collocations, decontaminate, htmltext, prefixtrie, quality, sharding, simhash, suffix, tokenfiles, urlrules,
 )
 
 
@@ -84,6 +84,10 @@ def op10_sharding(spark, sf):
     return sharding.place(docs, "doc_id", SHARDS, SLOTS)
 
 
+def op12_prefix_trie(spark, sf):
+    return prefixtrie.block_trie(_table(spark, sf, "conversations"), block=100, most=6)
+
+
 def op13_phrase_collocations(spark, sf):
     return collocations.collocations(_table(spark, sf, "documents"), longest=4, least=30, covered=80, top=2000)
 
@@ -99,6 +103,7 @@ QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_url_filters": op9_url_filters,
     "op10_sharding": op10_sharding,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_phrase_collocations": op13_phrase_collocations,
 }
 
@@ -247,3 +252,40 @@ ranked AS (
          row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(part, ' ')) AS rank
   FROM lowest WHERE place = 1)
 SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
+#: The checksum, bit by bit: crc32 of the decimal id.
+ORACLE_SQL["op12_prefix_trie"] = r"""
+WITH given AS (
+  SELECT conv_id, octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '') AS turn_text,
+         length(coalesce(text, '')) AS size, turn, coalesce(role, '') AS role
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, md5(turn_text) AS mark, size,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(turn_text)) AS place FROM given),
+ids AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base,
+         xor(list_reduce(list_concat([4294967295::BIGINT], [ascii(x)::BIGINT for x in string_split(conv_id::VARCHAR, '')]),
+                         lambda a, b: list_reduce(list_concat([xor(a, b)], [0::BIGINT for i in range(8)]),
+                                                  lambda v, z: xor(v >> 1, 3988292384 * (v & 1)))),
+             4294967295::BIGINT) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM own)),
+turns AS (
+  SELECT i.conv_id, 0 AS part, o.place, o.mark, o.size FROM ids i JOIN own o ON o.conv_id = i.base WHERE o.place <= i.h
+  UNION ALL
+  SELECT i.conv_id, 1, o.place, o.mark, o.size FROM ids i JOIN own o ON o.conv_id = i.conv_id WHERE o.place > i.h),
+prefixes AS (
+  SELECT conv_id, row_number() OVER w AS depth, size, string_agg(mark, '') OVER w AS name
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY part, place)),
+members AS (SELECT conv_id, depth, size, name FROM prefixes UNION ALL SELECT conv_id, 0, 0, '' FROM ids),
+lengths AS (SELECT conv_id, max(depth) AS n FROM members GROUP BY conv_id),
+nodes AS (
+  SELECT name, min(conv_id) AS conv_id, any_value(depth)::BIGINT AS depth, count(*) AS n_convs, any_value(size) AS size,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE depth = n), '')) AS ends_sha256
+  FROM members JOIN lengths USING (conv_id) GROUP BY name),
+children AS (SELECT left(name, length(name) - 32) AS name, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+counted AS (SELECT n.*, coalesce(c.n_children, 0) AS n_children FROM nodes n LEFT JOIN children c USING (name)),
+below AS (
+  SELECT left(name, 32 * d::INTEGER) AS name, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum((n_convs - 1) * size)::BIGINT AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM counted) GROUP BY 1)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, b.n_leaves, b.saved_tokens, n.ends_sha256
+FROM counted n JOIN below b USING (name) LEFT JOIN nodes p ON n.depth > 0 AND p.name = left(n.name, length(n.name) - 32)"""
