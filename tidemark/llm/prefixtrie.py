@@ -80,31 +80,35 @@ def shared_openings(turns: DataFrame, block: int = 100, most: int = 6) -> tuple[
 SEGMENT = "conv_id long, band int, ends boolean, stem binary, before binary, names array<binary>, sizes array<long>"
 
 
-def _segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sorted turns to segments. ``before`` names the prefix in front of the
-    segment, ``stem`` the one that the conversation's first band ends with."""
+def _segments(width: int):
+    """Sorted turns to segments of ``width``. ``before`` names the prefix in
+    front of the segment, ``stem`` the one that the first band ends with."""
     columns = ["conv_id", "band", "ends", "stem", "before", "names", "sizes"]
-    conv, names, sizes, band, before, stem, last = None, [], [], 0, b"", b"", b""
-    for batch in batches:
-        out = []
-        for c, mark, size in zip(batch["conv_id"], batch["mark"], batch["size"]):
-            if c != conv:
-                if conv is not None:
-                    out.append((conv, band, True, stem, before, names, sizes))
-                conv, names, sizes, band, before, stem, last = c, [], [], 0, b"", b"", b""
-            if mark is None:  # stands for the conversation itself
-                continue
-            if len(names) == BAND:
-                if not band:
-                    stem = last
-                out.append((conv, band, False, stem, before, names, sizes))
-                names, sizes, band, before = [], [], band + 1, last
-            last = hashlib.md5(last + mark).digest()
-            names.append(last)
-            sizes.append(size)
-        yield pd.DataFrame(out, columns=columns)
-    if conv is not None:
-        yield pd.DataFrame([(conv, band, True, stem, before, names, sizes)], columns=columns)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        conv, names, sizes, band, before, stem, last = None, [], [], 0, b"", b"", b""
+        for batch in batches:
+            out = []
+            for c, mark, size in zip(batch["conv_id"], batch["mark"], batch["size"]):
+                if c != conv:
+                    if conv is not None:
+                        out.append((conv, band, True, stem, before, names, sizes))
+                    conv, names, sizes, band, before, stem, last = c, [], [], 0, b"", b"", b""
+                if mark is None:  # stands for the conversation itself
+                    continue
+                if len(names) == width:
+                    if not band:
+                        stem = last
+                    out.append((conv, band, False, stem, before, names, sizes))
+                    names, sizes, band, before = [], [], band + 1, last
+                last = hashlib.md5(last + mark).digest()
+                names.append(last)
+                sizes.append(size)
+            yield pd.DataFrame(out, columns=columns)
+        if conv is not None:
+            yield pd.DataFrame([(conv, band, True, stem, before, names, sizes)], columns=columns)
+
+    return run
 
 
 # -- peeling -----------------------------------------------------------------
@@ -143,35 +147,38 @@ def _as_children(nodes: DataFrame, before, names, sizes) -> DataFrame:
                         F.lit(1).cast("long").alias("child"), F.col("n_leaves").alias("leaves"), F.col("saved_tokens").alias("saved"))
 
 
-def _peel_inside(rows: pd.DataFrame) -> pd.DataFrame:
+def _peel_inside(width: int):
     """The nodes of segments with one stem, down to the first band among them."""
-    paths: dict = {}
-    for r in rows.sort_values("band").itertuples():
-        paths.setdefault(r.conv_id, []).extend(zip(r.names, r.sizes, [r.before, *r.names[:-1]]))
-    lowest = int(rows["band"].min()) * BAND
-    by_depth: dict = {}
-    for c, path in paths.items():
-        by_depth.setdefault(len(path), []).append(c)
-    out, alive = [], {}
-    for d in range(max(by_depth), 0, -1):
-        # name: conv_id, members, children, leaves, saved
-        here: dict = {}
-        for conv, n, child, leaves, saved in [*((c, 1, 0, 0, 0) for c in by_depth.get(d, ())), *alive.values()]:
-            name = paths[conv][d - 1][0]
-            c, m, k, l, s = here.get(name, (conv, 0, 0, 0, 0))
-            here[name] = (min(c, conv), m + n, k + child, l + leaves, s + saved)
-        alive = {}
-        for name, (c, m, k, l, s) in here.items():
-            _, size, parent = paths[c][d - 1]
-            leaves, saved = (l if k else 1), s + (m - 1) * int(size)
-            out.append((name, parent, lowest + d, c, m, k, leaves, saved))
-            alive[name] = (c, m, 1, leaves, saved)
-    nodes = pd.DataFrame(out, columns=["name", "parent", "depth", "conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens"])
-    nodes["saved_tokens"] = nodes["saved_tokens"].map(str)
-    return nodes
-
-
-def _nodes(segments: DataFrame, local_turns: int) -> tuple[DataFrame, str]:
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        paths: dict = {}
+        for r in rows.sort_values("band").itertuples():
+            paths.setdefault(r.conv_id, []).extend(zip(r.names, r.sizes, [r.before, *r.names[:-1]]))
+        lowest = int(rows["band"].min()) * width
+        by_depth: dict = {}
+        for c, path in paths.items():
+            by_depth.setdefault(len(path), []).append(c)
+        out, alive = [], {}
+        for d in range(max(by_depth), 0, -1):
+            # name: conv_id, members, children, leaves, saved
+            here: dict = {}
+            for conv, n, child, leaves, saved in [*((c, 1, 0, 0, 0) for c in by_depth.get(d, ())), *alive.values()]:
+                name = paths[conv][d - 1][0]
+                c, m, k, l, s = here.get(name, (conv, 0, 0, 0, 0))
+                here[name] = (min(c, conv), m + n, k + child, l + leaves, s + saved)
+            alive = {}
+            for name, (c, m, k, l, s) in here.items():
+                _, size, parent = paths[c][d - 1]
+                leaves, saved = (l if k else 1), s + (m - 1) * int(size)
+                out.append((name, parent, lowest + d, c, m, k, leaves, saved))
+                alive[name] = (c, m, 1, leaves, saved)
+        nodes = pd.DataFrame(out, columns=["name", "parent", "depth", "conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens"])
+        nodes["saved_tokens"] = nodes["saved_tokens"].map(str)
+        return nodes
+
+    return run
+
+
+def _nodes(segments: DataFrame, local_turns: int, width: int) -> tuple[DataFrame, str]:
     """All nodes but the root, and the path of their copy; ``segments`` must be
     a written table."""
     spark, base = segments.sparkSession, work_dir(segments.sparkSession, "trie-nodes")
@@ -193,10 +200,10 @@ def _nodes(segments: DataFrame, local_turns: int) -> tuple[DataFrame, str]:
     above = None  # nodes of the depth below, stripped
     if first_local is not None:
         deep = segments.where(F.col("band") >= first_local).groupBy("stem") \
-            .applyInPandas(_peel_inside, NODE.replace("decimal(38,0)", "string")) \
+            .applyInPandas(_peel_inside(width), NODE.replace("decimal(38,0)", "string")) \
             .withColumn("saved_tokens", F.col("saved_tokens").cast("decimal(38,0)"))
         deep = written(deep, "deep", NODE)
-        above = deep.where(F.col("depth") == first_local * BAND + 1)
+        above = deep.where(F.col("depth") == first_local * width + 1)
     top = per_band[0][0] if per_band else -1
     for band in range(top if first_local is None else first_local - 1, -1, -1):
         here = segments.where(F.col("band") == band)
@@ -205,11 +212,11 @@ def _nodes(segments: DataFrame, local_turns: int) -> tuple[DataFrame, str]:
             full = here.where(~F.col("ends")).select(F.col("conv_id").alias("_c"), F.col("before").alias("_b"), F.col("names").alias("_n"), F.col("sizes").alias("_s"))
             reached = above.select("conv_id", "n_convs", "n_leaves", "saved_tokens").join(full, F.col("conv_id") == F.col("_c"))
             above = _as_children(reached, F.col("_b"), F.col("_n"), F.col("_s"))
-        for j in range(BAND, 0, -1):
+        for j in range(width, 0, -1):
             arrivals = ended.where(F.size("names") == j)
             if above is not None:
                 arrivals = arrivals.unionByName(above)
-            nodes = written(_level(arrivals, band * BAND + j), f"{band * BAND + j:09d}", carry)
+            nodes = written(_level(arrivals, band * width + j), f"{band * width + j:09d}", carry)
             above = _as_children(nodes, F.col("before"), F.slice("names", 1, j - 1), F.slice("sizes", 1, j - 1)) if j > 1 else nodes
     none = spark.createDataFrame([], NODE)
     return (spark.read.schema(NODE).parquet(*paths).select(*keep) if paths else none), base
@@ -229,20 +236,23 @@ def _root(nodes: DataFrame, turnless: DataFrame) -> DataFrame:
 
 # -- conversations that end in a node ------------------------------------------
 
-def _parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _parts(most: int):
     """Sorted (name, conv_id) rows to comma-joined parts of a name's list."""
-    name, ids = None, []
-    for batch in batches:
-        out = []
-        for n, c in zip(batch["name"], batch["conv_id"]):
-            if ids and (n != name or len(ids) == PART):
-                out.append((name, ids[0], ",".join(map(str, ids))))
-                ids = []
-            name = n
-            ids.append(c)
-        yield pd.DataFrame(out, columns=["name", "first", "part"])
-    if ids:
-        yield pd.DataFrame([(name, ids[0], ",".join(map(str, ids)))], columns=["name", "first", "part"])
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        name, ids = None, []
+        for batch in batches:
+            out = []
+            for n, c in zip(batch["name"], batch["conv_id"]):
+                if ids and (n != name or len(ids) == most):
+                    out.append((name, ids[0], ",".join(map(str, ids))))
+                    ids = []
+                name = n
+                ids.append(c)
+            yield pd.DataFrame(out, columns=["name", "first", "part"])
+        if ids:
+            yield pd.DataFrame([(name, ids[0], ",".join(map(str, ids)))], columns=["name", "first", "part"])
+
+    return run
 
 
 def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -261,19 +271,20 @@ def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([(name, sha.hexdigest())], columns=["name", "ends_sha256"])
 
 
-def _ends(segments: DataFrame) -> DataFrame:
+def _ends(segments: DataFrame, part: int) -> DataFrame:
     """Digest of the ids that end in each node. Ids are dealt out by ranges, so
     the ids of one node are joined into parts by several tasks; its parts then
     stream through one, as a digest must."""
     ended = segments.where("ends").select(F.when(F.size("names") > 0, F.element_at(F.col("names"), -1)).otherwise(F.lit(b"")).alias("name"), "conv_id")
     parts = ended.repartitionByRange("name", "conv_id").sortWithinPartitions("name", "conv_id") \
-        .mapInPandas(_parts, "name binary, first long, part string")
+        .mapInPandas(_parts(part), "name binary, first long, part string")
     return parts.repartition("name").sortWithinPartitions("name", "first").mapInPandas(_digests, "name binary, ends_sha256 string")
 
 
 # -- the operator ------------------------------------------------------------
 
-def prefix_trie(turns: DataFrame, conversations: DataFrame | None = None, local_turns: int = LOCAL_TURNS) -> DataFrame:
+def prefix_trie(turns: DataFrame, conversations: DataFrame | None = None, local_turns: int = LOCAL_TURNS, band: int = BAND, part: int = PART
+                ) -> DataFrame:
     """One row for each node of the trie of ``turns`` (conv_id, place, mark,
     size); ``conversations`` (conv_id) names members that may have no turn.
 
@@ -285,13 +296,13 @@ def prefix_trie(turns: DataFrame, conversations: DataFrame | None = None, local_
     if conversations is not None:
         rows = rows.unionByName(conversations.select("conv_id", F.lit(0).alias("place"), F.lit(None).cast("binary").alias("mark"),
                                                      F.lit(0).cast("long").alias("size")))
-    cut = rows.repartition("conv_id").sortWithinPartitions("conv_id", "place").mapInPandas(_segments, SEGMENT)
+    cut = rows.repartition("conv_id").sortWithinPartitions("conv_id", "place").mapInPandas(_segments(band), SEGMENT)
     segments, held = materialize(cut, "trie-segments", partition_by=("band",))
     # a node needs a turn; conversations without any belong to the root only
     with_turns = segments.where(F.size("names") > 0)
-    nodes, base = _nodes(with_turns, local_turns)
+    nodes, base = _nodes(with_turns, local_turns, band)
     every, path = materialize(nodes.unionByName(_root(nodes, segments.where(F.size("names") == 0))), "trie-nodes-all")
-    ends, ends_path = materialize(_ends(segments), "trie-ends")
+    ends, ends_path = materialize(_ends(segments, part), "trie-ends")
     # parents with many children are few: their children sum to the nodes
     many = max(1000, every.count() // BROADCAST_PARENTS)
     parents = every.select(F.col("name").alias("_p"), F.col("conv_id").alias("parent_conv_id"), "n_children")

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    bpe, chat, collocations, decontaminate, htmltext, prefixtrie, quality, sharding, simhash, suffix, tokenfiles, urlrules,
+    bpe, chat, collocations, decontaminate, htmltext, mixing, prefixtrie, quality, sharding, simhash, suffix,
+    tokenfiles, urlrules,
 )
 
 
@@ -84,6 +85,13 @@ def op10_sharding(spark, sf):
     return sharding.place(docs, "doc_id", SHARDS, SLOTS)
 
 
+def op11_source_mixing(spark, sf):
+    docs = _table(spark, sf, "documents")
+    sized = docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
+    mixed = mixing.mix(sized, weights=[5, 2, 1], cap=3)
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source", "rate", "copies")
+
+
 def op12_prefix_trie(spark, sf):
     return prefixtrie.block_trie(_table(spark, sf, "conversations"), block=100, most=6)
 
@@ -103,6 +111,7 @@ QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_url_filters": op9_url_filters,
     "op10_sharding": op10_sharding,
+    "op11_source_mixing": op11_source_mixing,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_phrase_collocations": op13_phrase_collocations,
 }
