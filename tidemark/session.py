@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
 import tempfile
 import uuid
@@ -108,6 +109,21 @@ def work_dir(spark: SparkSession, name: str, root: str | None = None) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def shuffle_files_dropped(spark: SparkSession):
+    """Queries that end inside leave no shuffle files behind. For those whose
+    whole result has been written: nobody reads their shuffles again."""
+    before = spark.conf.get(_SHUFFLE_CLEANUP, None)
+    spark.conf.set(_SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_SHUFFLE_CLEANUP, before) if before else spark.conf.unset(_SHUFFLE_CLEANUP)
+
+
 def materialize(df, name: str, root: str | None = None, partition_by: tuple[str, ...] = ()):
     """Write ``df`` once as Parquet below ``root`` (a job's lake; default: the
     shared checkpoint folder) and return ``(reread DataFrame, path)``.
@@ -116,11 +132,13 @@ def materialize(df, name: str, root: str | None = None, partition_by: tuple[str,
     but computes ``df`` exactly once (an eager ``checkpoint()`` of an uncached
     DataFrame runs it twice: for the count and again for the files) and
     stores it columnar; ``partition_by`` lets later reads of one value leave
-    the others alone. Call ``release`` when the data is no longer read."""
+    the others alone. The shuffles behind it go when it is complete. Call
+    ``release`` when the data is no longer read."""
     spark = df.sparkSession
     path = work_dir(spark, name, root)
     writer = df.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    with shuffle_files_dropped(spark):
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns), path
 
 
