@@ -215,7 +215,7 @@ def test_phrases_of_few_words(spark):
     langs = ["en", "und", None, "de"]
     df = spark.createDataFrame([(langs[k % 4], t, k) for k, t in enumerate(texts)], "lang string, text string, n int").repartition(6)
     for least, top in ((5, 2000), (1, 7)):
-        _check_phrases(df, 4, least, 80, top, shard_words=97)
+        _check_phrases(df, 4, least, 80, top, shard_words=97, bucket=300, fan=3)
 
 
 def test_phrases_of_nothing(spark):

@@ -15,11 +15,13 @@ of names, and the phrases found often enough are sent back, to the shards that
 have them only, for the next depth. A phrase's name is its least (shard, row),
 which no other phrase of its depth has: nothing rests on a hash.
 
-Every shard sends one row for a phrase however often it has it, so the summing
-window of a phrase holds no more rows than there are shards, and a very common
-phrase doesn't weigh more than another. Words found too seldom take part in no
-longer phrase. Shards are independent of languages: a word's number stands for
-the word in its language.
+Every shard sends one entry for a phrase however often it has it, so a very
+common phrase doesn't weigh more than another. The entries of a shard travel as
+packed arrays, one for each bucket of phrase names, and are summed bucket by
+bucket; the number of buckets follows the number of occurrences that can still
+matter, which is counted before, and beyond ``FAN`` buckets the arrays are dealt
+in two steps. Words found too seldom take part in no longer phrase. Shards are
+independent of languages: a word's number stands for the word in its language.
 
 Defined results: a null text has no pieces; a null language counts as ``und``;
 punctuation alone gives no words; repeated rows count as often as they occur;
@@ -30,6 +32,7 @@ the longest piece.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.textbytes import mix
 from tidemark.session import materialize, release
 
 SHARD_WORDS = 1 << 21
@@ -45,6 +49,9 @@ SHARD_WORDS = 1 << 21
 ROW_BITS = 28
 #: Bits of the running number of a shard in its task.
 TURN_BITS = 12
+#: Entries that are summed together, and arrays that a task makes of its own.
+BUCKET = 2_000_000
+FAN = 4096
 
 _FOLD = bytes.maketrans(bytes(range(65, 91)) + b".,;:!?\x0b\x0c\x0d\t", bytes(range(97, 123)) + b"\n" * 9 + b" ")
 
@@ -91,13 +98,14 @@ def extend(after: np.ndarray, lo: np.ndarray, count: np.ndarray) -> tuple[np.nda
 
 
 def _pack(codes: np.ndarray) -> bytes:
-    narrow = codes.astype(np.uint16 if not len(codes) or codes.max() < 1 << 16 else np.uint32)
-    return bytes([narrow.itemsize]) + np.int64(len(codes)).tobytes() + pa.compress(narrow.tobytes(), "zstd", asbytes=True)
+    planes = np.ascontiguousarray(codes.astype(np.uint32).view(np.uint8).reshape(-1, 4).T)
+    return np.int64(len(codes)).tobytes() + pa.compress(planes.tobytes(), "zstd", asbytes=True)
 
 
 def _unpack(blob: bytes) -> np.ndarray:
-    width, n = blob[0], int(np.frombuffer(blob[1:9], np.int64)[0])
-    return np.frombuffer(pa.decompress(blob[9:], width * n, "zstd", asbytes=True), np.uint16 if width == 2 else np.uint32)
+    n = int(np.frombuffer(blob[:8], np.int64)[0])
+    planes = np.frombuffer(pa.decompress(blob[8:], 4 * n, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, n).T).view(np.uint32).ravel()
 
 
 # -- shards ------------------------------------------------------------------
@@ -158,34 +166,101 @@ def _shards(depth: int, shard_words: int):
 
 
 SHARD = "shard long, bwt binary, words array<struct<lang: string, word: binary, lo: long, n: long>>"
-#: An interval: its name (shard and first row), its rows, and the names of the
-#: intervals of its first and last words.
-INTERVAL = "id long, n long, head long, tail long"
+#: Entries of one bucket, packed.
+PACKED = "bucket int, entries binary"
+_PACKED = pa.schema([("bucket", pa.int32()), ("entries", pa.binary())])
+#: A phrase in a shard: id (shard and first row), n (rows), head and tail (names
+#: of its first and last words), f (rows in all shards), name (least id).
+FOUND = "id long, n long, head long, tail long, f long, name long"
+_FOUND = pa.schema([(c.split()[0], pa.int64()) for c in FOUND.split(", ")])
+
+
+def _dealt(entries: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
+    """Entries (rows: id, n, head, tail), packed by bucket of their phrase: byte
+    by byte, as neighbouring numbers share their upper bytes."""
+    bucket = (mix(entries[2].view(np.uint64) ^ mix(entries[3].view(np.uint64))) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+    for rows in np.split(order, cuts) if len(order) else ():
+        part = np.ascontiguousarray(entries[:, rows])
+        part[0, 1:] = np.diff(part[0])
+        planes = np.ascontiguousarray(part.view(np.uint8).reshape(4, -1, 8).transpose(0, 2, 1))
+        yield int(bucket[rows[0]]), np.int64(len(rows)).tobytes() + pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def _entries(packed: bytes) -> np.ndarray:
+    n = int(np.frombuffer(packed[:8], np.int64)[0])
+    planes = np.frombuffer(pa.decompress(packed[8:], 32 * n, "zstd", asbytes=True), np.uint8)
+    out = planes.reshape(4, 8, n).transpose(0, 2, 1).copy().view(np.int64).reshape(4, n)
+    out[0] = np.cumsum(out[0])
+    return out
+
+
+def _batch(parts: list[tuple[int, bytes]], schema=_PACKED):
+    return pa.table([pa.array([p[k] for p in parts], f.type) for k, f in enumerate(schema)], schema=schema)
 
 
-def _extension(shards, phrases) -> pa.Table:
+def _extension(buckets: int):
     """Longer intervals of one shard, from the phrases sent back to it."""
-    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("head", pa.int64()), ("tail", pa.int64())])
-    if not len(shards) or not len(phrases):
-        return schema.empty_table()
-    after = successors(_unpack(shards.column("bwt")[0].as_py()))
-    ids = phrases.column("id").to_numpy()
-    order = np.argsort(ids)
-    first = int(shards.column("shard")[0].as_py()) << ROW_BITS
-    lo, n, head, tail = extend(after, ids[order] - first, phrases.column("n").to_numpy()[order])
-    names = phrases.column("name").to_numpy()[order]
-    return pa.table([pa.array(lo + first), pa.array(n, pa.int64()), pa.array(names[head]), pa.array(names[tail])], schema=schema)
-
-
-def _summed(rows: DataFrame, key: list[str], least: int) -> DataFrame:
-    """rows with the phrase's name and count over all shards, those found
-    ``least`` times or more."""
-    w = Window.partitionBy(*key)
-    return rows.withColumn("f", F.sum("n").over(w)).withColumn("name", F.min("id").over(w)).where(F.col("f") >= least)
-
-
-def counted_phrases(docs: DataFrame, longest: int, least: int, shard_words: int, copies: list[str]
-                    ) -> tuple[DataFrame, list[DataFrame]]:
+    def run(shards: pa.Table, phrases: pa.Table) -> pa.Table:
+        if not len(shards) or not len(phrases):
+            return _PACKED.empty_table()
+        after = successors(_unpack(shards.column("bwt")[0].as_py()))
+        ids = phrases.column("id").to_numpy()
+        order = np.argsort(ids)
+        first = int(shards.column("shard")[0].as_py()) << ROW_BITS
+        lo, n, head, tail = extend(after, ids[order] - first, phrases.column("n").to_numpy()[order])
+        names = phrases.column("name").to_numpy()[order]
+        return _batch(list(_dealt(np.array([lo + first, n, names[head], names[tail]], np.int64), buckets)))
+
+    return run
+
+
+def _dealt_again(buckets: int, size: int):
+    """Packed entries of a coarse bucket, dealt to the fine ones."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            for packed in batch.column(1):
+                held.append(_entries(packed.as_py()))
+                n += held[-1].shape[1]
+                if n >= size:
+                    yield from _batch(list(_dealt(np.concatenate(held, axis=1), buckets))).to_batches()
+                    held, n = [], 0
+        if held:
+            yield from _batch(list(_dealt(np.concatenate(held, axis=1), buckets))).to_batches()
+
+    return run
+
+
+def _summed_entries(least: int):
+    """Of one bucket's entries those of phrases found ``least`` times or more."""
+    def run(packed: pa.Table) -> pa.Table:
+        ids, n, head, tail = np.concatenate([_entries(p.as_py()) for p in packed.column("entries")], axis=1)
+        order = np.lexsort((ids, tail, head))
+        ids, n, head, tail = ids[order], n[order], head[order], tail[order]
+        at = np.flatnonzero(np.concatenate([[True], (head[1:] != head[:-1]) | (tail[1:] != tail[:-1])]))
+        sizes = np.diff(np.concatenate([at, [len(ids)]]))
+        f, name = np.repeat(np.add.reduceat(n, at), sizes), np.repeat(ids[at], sizes)
+        keep = f >= least
+        return pa.table([c[keep] for c in (ids, n, head, tail, f, name)], schema=_FOUND)
+
+    return run
+
+
+def _longer(indexes: DataFrame, common: DataFrame, least: int, bucket: int, fan: int) -> DataFrame:
+    """The phrases of one word more that are found ``least`` times or more."""
+    # no shard has more intervals than rows in those that are extended
+    buckets = max(1, math.ceil((common.agg(F.sum("n")).first()[0] or 0) / bucket))
+    sent = common.select(F.shiftright("id", ROW_BITS).alias("shard"), "id", "n", "name")
+    packed = indexes.groupBy("shard").cogroup(sent.groupBy("shard")).applyInArrow(_extension(min(buckets, fan)), PACKED)
+    if buckets > fan:
+        packed = packed.repartition("bucket").mapInArrow(_dealt_again(buckets, 2 * bucket), PACKED)
+    return packed.groupBy("bucket").applyInArrow(_summed_entries(least), FOUND)
+
+
+def counted_phrases(docs: DataFrame, longest: int, least: int, shard_words: int, copies: list[str], bucket: int = BUCKET,
+                    fan: int = FAN) -> tuple[DataFrame, list[DataFrame]]:
     """(words of each language, per length the phrases found ``least`` times or
     more: name, f, and for one word lang and word, else the names head and tail
     of its first and last words). Paths of written copies go to ``copies``."""
@@ -201,13 +276,13 @@ def counted_phrases(docs: DataFrame, longest: int, least: int, shard_words: int,
         F.shiftleft("shard", ROW_BITS).bitwiseOR(F.col("w.lo")).alias("id"), F.col("w.n").alias("n"),
         F.col("w.lang").alias("lang"), F.col("w.word").cast("string").alias("word"))
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    common = written(_summed(words, ["lang", "word"], least), "phrase-words")
+    w = Window.partitionBy("lang", "word")  # a row for each shard
+    found = words.withColumn("f", F.sum("n").over(w)).withColumn("name", F.min("id").over(w)).where(F.col("f") >= least)
+    common = written(found, "phrase-words")
     levels = [common.where("id = name").select("name", "f", "lang", "word")]
     indexes = shards.select("shard", "bwt")
     for size in range(2, longest + 1):
-        sent = common.select(F.shiftright("id", ROW_BITS).alias("shard"), "id", "n", "name")
-        longer = indexes.groupBy("shard").cogroup(sent.groupBy("shard")).applyInArrow(_extension, INTERVAL)
-        common = written(_summed(longer, ["head", "tail"], least), f"phrases{size}")
+        common = written(_longer(indexes, common, least, bucket, fan), f"phrases{size}")
         levels.append(common.where("id = name").select("name", "f", "head", "tail"))
     return totals, levels
 
@@ -244,13 +319,13 @@ def _lowest_cut(size: int):
 
 
 def collocations(docs: DataFrame, longest: int = 4, least: int = 30, covered: int = 80, top: int = 2000,
-                 shard_words: int = SHARD_WORDS) -> DataFrame:
+                 shard_words: int = SHARD_WORDS, **parameters) -> DataFrame:
     """Per language the ``top`` phrases: lang, rank, phrase, a (its count), l
     and r (the counts of the two sides of its weakest cut), n (words of the
     language), score. Phrases of which ``covered`` percent or more lie inside
     one longer phrase are left out."""
     spark, copies = docs.sparkSession, []
-    totals, levels = counted_phrases(docs, longest, least, shard_words, copies)
+    totals, levels = counted_phrases(docs, longest, least, shard_words, copies, **parameters)
     names = levels[0].select(F.col("name").alias("_word"), "lang", "word")
     scored = None
     parts = _with_parts(levels)
