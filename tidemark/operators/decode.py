@@ -64,7 +64,8 @@ HOLD_BYTES = 8 << 20
 _GZIP_ERRORS = (OSError, EOFError, zlib.error)
 _JSON_BLANK = " \t\n\r"
 
-_LONG_NUMBER = re.compile(r"[0-9][0-9.]{16}")
+#: Numbers that a double would change: many digits, or an exponent.
+_LONG_NUMBER = re.compile(r"[0-9][0-9.]{16}|(?:^|[\[,:\s])-?[0-9]+(?:\.[0-9]+)?[eE]")
 
 Opener = Callable[[], io.IOBase]
 
