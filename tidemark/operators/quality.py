@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.timestamps import is_blank, safe_date
-from tidemark.operators.shape import REFUSED
+from tidemark.operators.shape import REFUSED, REFUSED_RECORD
 from tidemark.specs import FolderSpec
 
 ERROR = "error"
@@ -48,7 +48,8 @@ def split_rejects(raw: DataFrame, spec: FolderSpec, cache: bool = False
 
     ``raw`` holds the business columns as text (TIMESTAMP columns already
     typed). A row is rejected when a non-empty DATE text does not parse;
-    the raw text is kept in the reject so the dead letter shows it.
+    the raw text is kept in the reject so the dead letter shows it. A record
+    that could not be shaped keeps its whole text in ``REFUSED_RECORD``.
 
     With ``cache`` the checked rows are persisted (memory, spilling to disk)
     so both outputs read one computation; otherwise the optimizer pushes each
@@ -62,7 +63,7 @@ def split_rejects(raw: DataFrame, spec: FolderSpec, cache: bool = False
     typed_cols = {c for c, t in spec.typed_columns if t == "DATE"}
     keep = [c for c in raw.columns if c != REFUSED]
     good = checked.filter(F.col(ERROR).isNull()).select(
-        *[F.col(f"_typed_{c}").alias(c) if c in typed_cols else F.col(c) for c in keep]
+        *[F.col(f"_typed_{c}").alias(c) if c in typed_cols else F.col(c) for c in keep if c != REFUSED_RECORD]
     )
     bad = checked.filter(F.col(ERROR).isNotNull()).select(*keep, ERROR)
     good._checked = bad._checked = checked  # handle for release_checked

@@ -36,8 +36,9 @@ def record_struct_schema(spec: FolderSpec) -> str:
         f"`{c}`:{'variant' if t == 'TIMESTAMP' else 'string'}" for c, t in spec.columns) + f",`{REFUSED}`:string>"
 
 
-#: Reason why a record can't be shaped (NULL for all others).
+#: Reason why a record can't be shaped, and its whole text (NULL for all others).
 REFUSED = "_refused"
+REFUSED_RECORD = "record_json"
 
 
 def project_explicit(records: DataFrame, spec: FolderSpec,
@@ -50,16 +51,19 @@ def project_explicit(records: DataFrame, spec: FolderSpec,
     columns go through ``safe_timestamp`` only when the JSON value is a
     string. Extra keys are dropped. Other columns of ``records`` are
     carried. A record that Spark's parser refuses (nested or with numbers
-    beyond its limits) has ``REFUSED`` set; ``split_rejects`` turns it away."""
-    carry = [c for c in records.columns if c != record_col and c not in spec.business_columns]
+    beyond its limits) has ``REFUSED`` set and its whole text in
+    ``REFUSED_RECORD``; ``split_rejects`` turns it away."""
+    if REFUSED_RECORD in spec.business_columns:
+        raise ValueError(f"{REFUSED_RECORD} holds the text of refused records; it can't name a column of {spec.folder}")
+    carry = [c for c in records.columns if c not in (record_col, REFUSED_RECORD) and c not in spec.business_columns]
     # parse once per row into its own projection: Catalyst keeps an expensive
     # expression that is used many times (every field, the timestamp guard)
     # in a separate Project instead of inlining it into each use
-    parsed = records.select(*carry, F.from_json(F.col(record_col), record_struct_schema(spec),
-                                                {"columnNameOfCorruptRecord": REFUSED}).alias("_rec"))
-    refused = F.when(F.col("_rec").isNull() | F.col(f"_rec.{REFUSED}").isNotNull(),
-                     F.concat(F.lit("unreadable record: "), F.substring(F.coalesce(F.col(f"_rec.{REFUSED}"), F.lit("")), 1, 200)))
-    cols = [refused.alias(REFUSED)]
+    parsed = records.select(*carry, F.col(record_col).alias("_text"), F.from_json(
+        F.col(record_col), record_struct_schema(spec), {"columnNameOfCorruptRecord": REFUSED}).alias("_rec"))
+    is_refused = F.col("_rec").isNull() | F.col(f"_rec.{REFUSED}").isNotNull()
+    cols = [F.when(is_refused, F.lit("unreadable record")).alias(REFUSED),
+            F.when(is_refused, F.col("_text")).alias(REFUSED_RECORD)]
     for c, t in spec.columns:
         f = F.col("_rec").getField(c)
         if t == "TIMESTAMP":
