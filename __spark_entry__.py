@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import datetime as dt
 import importlib.util
+import logging
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +25,7 @@ from tidemark.operators.merge import (
     ACTION, checked_merge_plan, merge_actions, merge_insert_only, merge_plan, merge_upsert,
 )
 from tidemark.operators.quality import key_gate, split_rejects
-from tidemark.operators.shape import with_partition_date, with_provenance, wrap_payload
+from tidemark.operators.shape import REFUSED_RECORD, with_partition_date, with_provenance, wrap_payload
 from tidemark.operators.views import stage_window, union_layers, unified_view, with_identity
 from tidemark.functions.paths import relative_name
 from tidemark.operators.deadletter import (
@@ -34,12 +36,13 @@ from tidemark.operators.route import TAG_DEAD, TAG_OBJECT, extract_object_path,
 from tidemark.plans.jobs import (
     PipelineConfig, daily_reprocess, decode_listing, hourly_merge, merge_source, shape_folder,
 )
+from tidemark.plans.storage import write_bucketed
 from tidemark.session import work_dir
-from tidemark.sources.objects import filter_listing, list_objects, lookback_cutoff
+from tidemark.sources.objects import filter_listing, list_changed, list_objects, lookback_cutoff
 from tidemark.specs import default_registry
 from tidemark.streaming.ingest import stream_ingest
 from tidemark.session import apply_session_conf
-from tidemark.specs import LAST_UPDATED, NOTIFICATION_EVENTS as PAY, ORDER_EVENTS as OE
+from tidemark.specs import INGESTION_TS, LAST_UPDATED, FolderSpec, NOTIFICATION_EVENTS as PAY, ORDER_EVENTS as OE
 
 SF_SMOKE = "/root/testdata/sf0.001"
 
@@ -267,6 +270,111 @@ def q_decode_bad_files(spark, sf):
     )
 
 
+def q_decode_odd_objects(spark, sf):
+    """Records and error of every object, those without any included."""
+    root = _objects(spark, sf, "decode-odd", layouts=fx.ODD_FILE_LAYOUT)
+    objs = list_objects(spark, root, OE.folder, FAR_PAST)
+    found = decode_listing(objs, root).groupBy("path").agg(
+        F.count("record_json").alias("n"), F.max(F.substring_index("error", ":", 1)).alias("error_kind"))
+    return objs.select("path", "name").join(found, "path", "left").select(
+        "name", F.coalesce("n", F.lit(0)).alias("n_records"), "error_kind")
+
+
+def q_list_changed_objects(spark, sf):
+    """S3 by tasks: names of all objects, and none at a cutoff in the future."""
+    root = _objects(spark, sf, "objects")
+    late = list_changed(spark, root, OE.folder, "2100-01-01T00:00:00Z")
+    return list_changed(spark, root, OE.folder, FAR_PAST).unionByName(late).select("name", (F.col("length") > 0).alias("has_bytes"))
+
+
+def _spelt_numbers(ev: DataFrame) -> DataFrame:
+    """The same event ids, each in several spellings of one value."""
+    i = F.col("event_id").cast("string")
+    spelt = F.when(F.col("event_type") == "click", F.concat(i, F.lit("e2"))) \
+        .when(F.col("event_type") == "view", F.concat(i, F.lit(".50e1"))) \
+        .when(F.col("event_type") == "purchase", F.concat(i, F.lit("E+400"))) \
+        .when(F.col("event_type") == "signup", F.concat(F.lit("9007199254740993"), i, F.lit("e0"))) \
+        .otherwise(F.concat(F.lit("-"), i, F.lit(".0e-400")))
+    text = F.concat(F.lit('{"z": '), spelt, F.lit(', "a": ['), spelt, F.lit(', "5e3 x, 1E2", true], "id": '), i, F.lit(".0}"))
+    return ev.select("event_id", "ts", text.alias("record_json"))
+
+
+def q_canonical_json_numbers(spark, sf):
+    """Numbers in their exact normal form, whatever their size and spelling."""
+    return _spelt_numbers(_events(spark, sf)).select("event_id", canonical_json("record_json").alias("canonical"))
+
+
+def q_payload_identity_numbers(spark, sf):
+    """Payloads that differ beyond a double's digits stay apart, other
+    spellings of one value are one payload. Gold has the even ids' payloads."""
+    ev = _events(spark, sf).select("event_id", F.col("ts").cast("timestamp").alias(INGESTION_TS))
+    number = F.concat(F.lit("9007199254740993"), F.col("event_id").cast("string"))
+    spelt = F.explode(F.array(F.concat(number, F.lit("e0")), F.concat(number, F.lit(".0")), F.concat(number, F.lit("0e-1")))).alias("n")
+    rows = ev.select("event_id", INGESTION_TS, spelt).select(
+        "event_id", F.concat(F.lit('{"v":'), F.col("n"), F.lit("}")).alias("record_json"), F.lit("f").alias("source_file"), INGESTION_TS)
+    shaped = wrap_payload(rows, "record_json", None)
+    gold = shaped.where("event_id % 2 = 0").select(*PAY.row_columns).withColumn("_identity", F.col("payload"))
+    stage = shaped.select(*PAY.row_columns).withColumn("_identity", F.col("payload"))
+    fresh = merge_insert_only(gold, latest_for_spec(stage, PAY), "_identity", PAY.row_columns, fx.NOW, LAST_UPDATED, strategy="auto")
+    return fx.as_ntz(fresh.select("payload", INGESTION_TS))
+
+
+def q_refused_records(spark, sf):
+    """Records that the parser refuses come back whole from their letters."""
+    ev = _events(spark, sf)
+    i = F.col("event_id").cast("string")
+    deep = F.when(F.col("event_type") == "error", F.concat(
+        F.lit('{"order_ref":"'), i, F.lit('","deep":'), F.repeat(F.lit("["), 1200), i, F.repeat(F.lit("]"), 1200), F.lit("}")))
+    recs = ev.select(F.lit(OE.folder).alias("folder"), fx.event_source_file().alias("path"), F.lit(None).cast("string").alias("error"),
+                     F.coalesce(deep, F.to_json(F.struct(*fx.record_text_columns()))).alias("record_json"))
+    rows, bad, _ = shape_folder(recs, OE, fx.NOW, cache=False)
+    letters = row_dead_letters(bad, OE.stage_table, [*OE.business_columns, REFUSED_RECORD, "source_file"], SOURCE_STREAM, fx.NOW)
+    return letters.select(
+        F.get_json_object("data", "$.row.source_file").alias("source_file"), F.get_json_object("data", "$.error").alias("error"),
+        F.sha2(F.get_json_object("data", f"$.row.{REFUSED_RECORD}"), 256).alias("record_sha256")) \
+        .unionByName(rows.select("source_file", F.lit(None).cast("string").alias("error"), F.lit(None).cast("string").alias("record_sha256")))
+
+
+#: L4: a folder of its own key and columns.
+RETURNS = FolderSpec(folder="Returns", stage_table="STG_Returns", gold_table="Returns", key="return_id",
+                     columns=(("return_id", "STRING"), ("returned_at", "TIMESTAMP"), ("return_day", "DATE"), ("reason", "STRING")))
+
+
+def q_onboard_folder(spark, sf):
+    """L4: a third folder is registered and goes through objects, stage, merge
+    and view; nothing but its spec is new."""
+    ev = _events(spark, sf)
+    base = work_dir(spark, "onboard")
+    records = ev.select(
+        F.concat(F.lit(f"{RETURNS.folder}/"), F.col("event_type"), F.lit("/u"), F.col("user_id").cast("string"), F.lit(".json.gz")).alias("name"),
+        "event_type", "event_id", F.to_json(F.struct(
+            (F.col("event_id") % 1000).cast("string").alias("return_id"),
+            F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("returned_at"),
+            F.when(F.col("event_type") == "error", F.lit("soon")).otherwise(F.date_format("ts", "yyyy-MM-dd")).alias("return_day"),
+            F.lpad(F.col("event_id").cast("string"), 12, "0").alias("reason"))).alias("record_json"))
+    fx.write_objects(records, base)
+    reg = default_registry()
+    reg.register(RETURNS)
+    cfg = PipelineConfig(lake_root=f"{base}/lake", objects_root=base, registry=reg)
+    daily_reprocess(spark, cfg, EXEC_DATE, now=fx.NOW, as_of=fx.AS_OF)
+    view = unified_view(RETURNS, cfg.gold(RETURNS).read(spark), cfg.stage(RETURNS).read(spark), fx.AS_OF)
+    letters = read_dead_letters(spark, cfg.dead_letters).where(F.contains("attributes", F.lit(RETURNS.stage_table)))
+    return fx.as_ntz(view.select(F.lit("view").alias("part"), "return_id", "returned_at", F.col("return_day").cast("string").alias("return_day"), "reason")
+                     .unionByName(letters.select(
+                         F.lit("letter").alias("part"), F.get_json_object("data", "$.row.return_id").alias("return_id"),
+                         F.to_timestamp(F.get_json_object("data", "$.row.returned_at")).alias("returned_at"),
+                         F.get_json_object("data", "$.row.return_day").alias("return_day"), F.get_json_object("data", "$.row.reason").alias("reason"))))
+
+
+def q_merge_upsert_bucketed(spark, sf):
+    """M1 with gold as a catalog table bucketed and sorted by its key."""
+    gold, stage = fx.explicit_layers(_events(spark, sf))
+    table = f"gold_{uuid.uuid4().hex[:12]}"
+    write_bucketed(gold, table, OE.key, work_dir(spark, "bucketed"))
+    src = _merge_source(stage, OE.hourly_days)
+    return fx.as_ntz(merge_upsert(spark.table(table), src, OE.key, OE.order_col, OE.row_columns, "shuffle"))
+
+
 def q_file_dead_letters(spark, sf):
     _, dec = _bad_files(spark, sf)
     errors = dec.filter(F.col("error").isNotNull()).select(
@@ -511,6 +619,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "decode_ndjson": _decode_query(fx.GOOD_NDJSON),
     "decode_json_array": _decode_query(fx.GOOD_ARRAY),
     "decode_bad_files": q_decode_bad_files,
+    "decode_odd_objects": q_decode_odd_objects,
+    "list_changed_objects": q_list_changed_objects,
+    "canonical_json_numbers": q_canonical_json_numbers,
+    "payload_identity_numbers": q_payload_identity_numbers,
+    "refused_records": q_refused_records,
+    "onboard_folder": q_onboard_folder,
+    "merge_upsert_bucketed": q_merge_upsert_bucketed,
     "file_dead_letters": q_file_dead_letters,
     "row_dead_letters": q_row_dead_letters,
     "fanout_dead_letters": q_fanout_dead_letters,
@@ -540,8 +655,14 @@ def entry(spark: SparkSession) -> DataFrame:
 # a whole. An error inside it is not hidden.
 _LLM = importlib.util.find_spec("tidemark.llm") is not None
 if _LLM:
-    import corpus_pipeline
-    from tidemark.llm import queries as llm_queries
+    try:
+        import corpus_pipeline
+        from tidemark.llm import queries as llm_queries
+    except ImportError as exc:  # a library that only this subpackage needs isn't there
+        if (exc.name or "tidemark").split(".")[0] in ("tidemark", "corpus_pipeline"):
+            raise
+        _LLM = False
+        logging.getLogger(__name__).warning("training-data queries left out: %s", exc)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -808,6 +929,40 @@ SELECT {obj_name} AS name,
        CASE event_type WHEN 'error' THEN 'json' WHEN 'signup' THEN 'gzip'
                        WHEN 'purchase' THEN 'json' END AS error_kind
 FROM events GROUP BY event_type, user_id"""
+    q["decode_odd_objects"] = f"""
+SELECT {obj_name} AS name, CASE WHEN event_type = 'purchase' THEN count(*) ELSE 0 END AS n_records,
+       CASE WHEN event_type IN ('error', 'signup') THEN 'not_object' END AS error_kind
+FROM events GROUP BY event_type, user_id"""
+    q["list_changed_objects"] = f"SELECT DISTINCT {obj_name} AS name, true AS has_bytes FROM events"
+    q["canonical_json_numbers"] = """WITH spelt AS (
+  SELECT event_id, CAST(event_id AS VARCHAR) AS i, rtrim(CAST(event_id AS VARCHAR), '0') AS d, event_type FROM events),
+numbers AS (
+  SELECT event_id, i, CASE
+    WHEN event_type = 'click' THEN CAST(event_id * 100 AS VARCHAR)
+    WHEN event_type = 'view' THEN CAST(event_id * 10 + 5 AS VARCHAR)
+    WHEN event_type = 'signup' THEN '9007199254740993' || i
+    WHEN event_id = 0 THEN '0'
+    WHEN event_type = 'purchase' THEN d[1] || CASE WHEN length(d) > 1 THEN '.' || d[2:] ELSE '' END || 'e' || CAST(length(i) - 1 + 400 AS VARCHAR)
+    ELSE '-' || d[1] || CASE WHEN length(d) > 1 THEN '.' || d[2:] ELSE '' END || 'e' || CAST(length(i) - 1 - 400 AS VARCHAR) END AS n
+  FROM spelt)
+SELECT event_id, '{"a":[' || n || ',"5e3 x, 1E2",true],"id":' || i || ',"z":' || n || '}' AS canonical FROM numbers"""
+    q["payload_identity_numbers"] = """
+SELECT '{"v":9007199254740993' || CAST(event_id AS VARCHAR) || '}' AS payload, ts AS ingestion_timestamp FROM events WHERE event_id % 2 = 1"""
+    q["refused_records"] = """WITH rows_in AS (
+  SELECT 'events/' || event_type || '/' || CAST(event_id AS VARCHAR) || '.json.gz' AS source_file, event_type, CAST(event_id AS VARCHAR) AS i FROM events)
+SELECT source_file, CASE WHEN event_type = 'error' THEN 'unreadable record' END AS error,
+       CASE WHEN event_type = 'error' THEN
+         sha256('{"order_ref":"' || i || '","deep":' || repeat('[', 1200) || i || repeat(']', 1200) || '}') END AS record_sha256
+FROM rows_in"""
+    q["onboard_folder"] = f"""WITH recs AS (
+  SELECT CAST(event_id % 1000 AS VARCHAR) AS return_id, date_trunc('second', ts) AS returned_at, strftime(ts, '%Y-%m-%d') AS return_day,
+         lpad(CAST(event_id AS VARCHAR), 12, '0') AS reason, event_type, {obj_name} AS name FROM events)
+SELECT 'view' AS part, return_id, returned_at, return_day, reason FROM (
+  SELECT *, row_number() OVER (PARTITION BY return_id ORDER BY name DESC, returned_at DESC, return_day DESC, reason DESC) AS _rn
+  FROM recs WHERE event_type <> 'error') WHERE _rn = 1
+UNION ALL
+SELECT 'letter', return_id, returned_at, 'soon', reason FROM recs WHERE event_type = 'error'"""
+    q["merge_upsert_bucketed"] = _merge_sql(1)
     q["file_dead_letters"] = f"""
 SELECT 'deadletter' AS subscription_name, TIMESTAMP '2024-01-31 12:00:00' AS publish_time,
        '{{"source":"Airflow Daily Reprocessing","table":"STG_Order_Events"}}' AS attributes,

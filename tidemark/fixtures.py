@@ -150,6 +150,17 @@ GOOD_ARRAY = "array"
 BAD_LINE = "bad_line"          # NDJSON + a line that is not JSON
 NOT_GZIP = "not_gzip"          # plain bytes, no gzip framing
 TRAILING_TEXT = "trailing"     # array followed by text
+BLANK = "blank"                # no byte inside the gzip framing
+SPACES = "spaces"              # white space only
+NOT_OBJECTS = "not_objects"    # array of records, then one that is no object
+SCALAR_LINE = "scalar_line"    # NDJSON with a last line that is no object
+ODD_FILE_LAYOUT = {
+    "click": BLANK,
+    "view": SPACES,
+    "error": NOT_OBJECTS,
+    "signup": SCALAR_LINE,
+    "purchase": GOOD_ARRAY,
+}
 BAD_FILE_LAYOUT = {
     "click": GOOD_NDJSON,
     "view": GOOD_ARRAY,
@@ -159,6 +170,9 @@ BAD_FILE_LAYOUT = {
 }
 
 
+ARRAYS = (GOOD_ARRAY, TRAILING_TEXT, NOT_OBJECTS)
+
+
 def object_name_col(folder: str | Column = "Order_Events") -> Column:
     f = F.lit(folder) if isinstance(folder, str) else folder
     return F.concat(f, F.lit("/"), F.col("event_type"), F.lit("/u"),
@@ -181,7 +195,8 @@ def _object_writer(root: str, layouts: dict[str, str], default: str):
             if state["gz"] is None:
                 return
             layout = state["layout"]
-            tail = {GOOD_ARRAY: b"]", TRAILING_TEXT: b"] trash", BAD_LINE: b"\n{oops\n"}
+            tail = {GOOD_ARRAY: b"]", TRAILING_TEXT: b"] trash", BAD_LINE: b"\n{oops\n", SPACES: b" \n\t\r\n ",
+                    NOT_OBJECTS: b",7]", SCALAR_LINE: b'\n"text"\n'}
             state["gz"].write(tail.get(layout, b""))
             state["gz"].close()
             state["sink"].close()
@@ -194,7 +209,7 @@ def _object_writer(root: str, layouts: dict[str, str], default: str):
             filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
             sink = filesystem.open_output_stream(path, compression=None)
             gz = sink if layout == NOT_GZIP else _gzip.GzipFile(fileobj=sink, mode="wb", mtime=0)
-            if layout in (GOOD_ARRAY, TRAILING_TEXT):
+            if layout in ARRAYS:
                 gz.write(b"[")
             state.update(name=name, sink=sink, gz=gz, n=0, layout=layout)
 
@@ -203,7 +218,9 @@ def _object_writer(root: str, layouts: dict[str, str], default: str):
                 if name != state["name"]:
                     close()
                     open_(name, et)
-                sep = b"," if state["layout"] in (GOOD_ARRAY, TRAILING_TEXT) else b"\n"
+                if state["layout"] in (BLANK, SPACES):
+                    continue
+                sep = b"," if state["layout"] in ARRAYS else b"\n"
                 if state["n"]:
                     state["gz"].write(sep)
                 state["gz"].write(rec.encode("utf-8"))
@@ -223,21 +240,26 @@ def write_event_objects(events: DataFrame, root: str, layouts: dict[str, str] |
     Objects are written by the tasks (through ``pyarrow.fs``), streaming the
     records of one object after another; no object is collected in memory.
     Returns the written objects ``(name, n_records)`` (already executed)."""
-    layouts = layouts or {}
     recs = events.select(
         object_name_col(folder).alias("name"), "event_type", "event_id",
         F.to_json(F.struct(*record_text_columns())).alias("record_json"),
     )
+    return write_objects(recs, root, layouts, default)
+
+
+def write_objects(recs: DataFrame, root: str, layouts: dict[str, str] | None = None, default: str = GOOD_NDJSON) -> DataFrame:
+    """``write_event_objects`` for any records (name, event_type, event_id,
+    record_json)."""
     # explicit count: AQE must not coalesce the writers into one task
-    n = 2 * events.sparkSession.sparkContext.defaultParallelism
+    n = 2 * recs.sparkSession.sparkContext.defaultParallelism
     written = (
         recs.repartition(n, "name")
         .sortWithinPartitions("name", "event_id")
-        .mapInPandas(_object_writer(root, layouts, default), "name string, n_records long")
+        .mapInPandas(_object_writer(root, layouts or {}, default), "name string, n_records long")
     )
     manifest = f"{root.rstrip('/')}/_manifest"
     written.write.mode("overwrite").parquet(manifest)  # runs the writers once
-    return events.sparkSession.read.parquet(manifest)
+    return recs.sparkSession.read.parquet(manifest)
 
 
 _OBJECT_SETS: dict = {}

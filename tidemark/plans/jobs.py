@@ -24,13 +24,13 @@ from tidemark.operators.merge import (
 from tidemark.operators.quality import key_gate, release_checked, split_rejects
 from tidemark.operators.route import TAG_DEAD, UNKNOWN, UNKNOWN_FOLDER_ERROR, registry_frame
 from tidemark.operators.shape import (
-    REFUSED, project_explicit, stage_rows, with_partition_date, with_provenance, wrap_payload,
+    REFUSED, REFUSED_RECORD, project_explicit, stage_rows, with_partition_date, with_provenance, wrap_payload,
 )
-from tidemark.operators.views import stage_window, with_identity
+from tidemark.operators.views import as_date, stage_window, with_identity
 from tidemark.plans.storage import CatalogGoldStore, GoldStore, StageStore
 from tidemark.session import apply_session_conf, materialize, release
-from tidemark.sources.objects import list_objects, lookback_cutoff, parse_execution_date
-from tidemark.specs import EXPLICIT, INGESTION_TS, LAST_UPDATED, FolderSpec, Registry, default_registry
+from tidemark.sources.objects import list_changed, lookback_cutoff, parse_execution_date
+from tidemark.specs import DEAD_LETTER_PARTITION, EXPLICIT, INGESTION_TS, LAST_UPDATED, FolderSpec, Registry, default_registry
 
 log = logging.getLogger(__name__)
 
@@ -87,7 +87,7 @@ def shape_folder(decoded: DataFrame, spec: FolderSpec, now, cache: bool = True
         raw = project_explicit(recs.select("source_file", INGESTION_TS, "record_json"), spec)
         good, bad = split_rejects(raw, spec, cache=cache)
         return (stage_rows(with_partition_date(good, INGESTION_TS, spec.partition_col), spec),
-                bad.select(*spec.business_columns, "source_file", INGESTION_TS, "error"), good if cache else None)
+                bad.select(*spec.business_columns, REFUSED_RECORD, "source_file", INGESTION_TS, "error"), good if cache else None)
     shaped = wrap_payload(recs, "record_json", "modificationTime")
     bad = shaped.filter(F.col(REFUSED).isNotNull()).select(
         F.col("record_json").alias("payload"), "source_file", INGESTION_TS, F.col(REFUSED).alias("error"))
@@ -129,7 +129,8 @@ def ingest_decoded(spark: SparkSession, cfg: PipelineConfig, decoded: DataFrame,
                     fanout_dead_letters(files, spec.stage_table, str(exc), source, now_ts,
                                         cfg.subscription), cfg.dead_letters)
                 raise
-            columns = spec.business_columns if spec.schema_type == EXPLICIT else ["payload"]
+            # the text of a record is in its letter only where there are no columns for it
+            columns = [*spec.business_columns, REFUSED_RECORD] if spec.schema_type == EXPLICIT else ["payload"]
             dead.append(row_dead_letters(bad, spec.stage_table, columns + ["source_file", INGESTION_TS],
                                          source, now_ts, cfg.subscription))
         res.dead_letters = union_dead_letters(*dead)
@@ -181,17 +182,26 @@ def keyless_rows(stage: DataFrame, spec: FolderSpec, as_of, days: int) -> DataFr
     return key_gate(with_identity(recent, spec), spec.identity_col)[1].select(*spec.row_columns, "error")
 
 
+def reported_letters(spark: SparkSession, cfg: PipelineConfig, since) -> DataFrame:
+    """Names of the dead letters published on ``since`` or later (only those
+    dates' partitions, and that column, are read)."""
+    letters = read_dead_letters(spark, cfg.dead_letters)
+    return letters.where(F.col(DEAD_LETTER_PARTITION) >= F.lit(since)).select("message_id")
+
+
 def report_keyless(spark: SparkSession, cfg: PipelineConfig, spec: FolderSpec, rows: DataFrame, now_ts,
-                   source_name: str) -> None:
+                   source_name: str, since) -> None:
     """Dead letters of rows without a key: one for each row, and none for a row
-    that an earlier merge of the same window has reported."""
+    that an earlier merge of the same window has reported. A letter's
+    ``message_id`` is the digest of the row, its table and error, so it names
+    the reported row; a row can't have been reported before the day that it was
+    staged, so only the letters published since the window began are read."""
     letters, tmp = materialize(row_dead_letters(rows, spec.gold_table, spec.row_columns, source_name, now_ts,
                                                 cfg.subscription), f"keyless-{spec.folder}", cfg.lake_root)
     try:
         if letters.limit(1).count():
-            seen = read_dead_letters(spark, cfg.dead_letters).select(F.get_json_object("data", "$.row").alias("_row"))
-            fresh = letters.withColumn("_row", F.get_json_object("data", "$.row")).join(seen, "_row", "left_anti")
-            write_dead_letters(fresh.drop("_row"), cfg.dead_letters, cfg.lake_root)
+            fresh = letters.join(reported_letters(spark, cfg, since), "message_id", "left_anti").select(*letters.columns)
+            write_dead_letters(fresh, cfg.dead_letters, cfg.lake_root)
     finally:
         release(spark, tmp)
 
@@ -207,7 +217,9 @@ def merge_folder(spark: SparkSession, cfg: PipelineConfig, spec: FolderSpec, as_
     # it once in the shared checkpoint folder (also cuts its lineage)
     src, tmp = materialize(merge_source(stage, spec, as_of, days), f"merge-{spec.folder}", cfg.lake_root)
     try:
-        report_keyless(spark, cfg, spec, keyless_rows(stage, spec, as_of, days), now_ts, source_name)
+        # a job may be rerun with an earlier clock than its window's
+        since = min(as_date(as_of), now_ts.date()) - dt.timedelta(days=int(days))
+        report_keyless(spark, cfg, spec, keyless_rows(stage, spec, as_of, days), now_ts, source_name, since)
         return _merge_with(spark, cfg, spec, src, gold_store, now_ts, source_name)
     finally:
         release(spark, tmp)
@@ -240,6 +252,7 @@ def _merge_with(spark, cfg: PipelineConfig, spec: FolderSpec, src: DataFrame, go
                                  cfg.merge_strategy, cfg.broadcast_bytes)
 
     version = gold_store.append(spark, fresh)
+    gold_store.vacuum(spark, keep=cfg.keep_versions)
     return {"folder": spec.folder, "source_rows": n, "version": version}
 
 
@@ -277,12 +290,15 @@ def daily_reprocess(spark: SparkSession, cfg: PipelineConfig, execution_date=Non
     now = now if now is not None else dt.datetime.now(dt.timezone.utc)
     as_of = as_of or dt.datetime.now(dt.timezone.utc).date()
     cutoff = lookback_cutoff(exec_dt)
-    listings = [list_objects(spark, cfg.objects_root, s.folder, cutoff) for s in cfg.registry]
+    held: list[str] = []
+    listings = [list_changed(spark, cfg.objects_root, s.folder, cutoff, cfg.lake_root, held) for s in cfg.registry]
     objects = listings[0]
     for extra in listings[1:]:
         objects = objects.unionByName(extra)
     # a folder's records lie together, so shaping a folder reads no other's
     decoded, tmp = materialize(decode_listing(objects, cfg.objects_root), "daily-decoded", cfg.lake_root, ("folder",))
+    for path in held:
+        release(spark, path)
     batch_id = f"daily-{exec_dt.strftime('%Y%m%dT%H%M%S')}"
     try:
         res = ingest_decoded(spark, cfg, decoded, now, batch_id, SOURCE_BATCH)

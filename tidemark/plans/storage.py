@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.jsonfn import canonical_json
 from tidemark.operators.merge import ACTION, merge_plan
 from tidemark.session import materialize, release
 from tidemark.specs import INGEST_BATCH, FolderSpec
@@ -145,13 +146,16 @@ class StageStore:
         task). With ``rebalance`` (default) a ``REBALANCE`` hint lets AQE cut
         oversized input partitions (all records of one huge object arrive in
         one decode task) and merge tiny ones (thousands of small objects)
-        into files of ``advisoryPartitionSizeInBytes``."""
+        into files of ``advisoryPartitionSizeInBytes``. Rows of a file are
+        sorted by the folder's key (T1), so that a reader of some keys skips
+        row groups by their statistics."""
         cols = self.spec.row_columns + [self.spec.partition_col]
         if rebalance:
             rows = rows.hint("rebalance")
-        (rows.select(*cols)
-         .withColumn(INGEST_BATCH, F.lit(str(batch_id)))
-         .write.mode("overwrite")
+        out = rows.select(*cols).withColumn(INGEST_BATCH, F.lit(str(batch_id)))
+        if self.spec.key:
+            out = out.sortWithinPartitions(self.spec.partition_col, INGEST_BATCH, self.spec.key)
+        (out.write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
          .option("maxRecordsPerFile", max_records_per_file)
          .partitionBy(self.spec.partition_col, INGEST_BATCH)
@@ -278,9 +282,11 @@ class GoldStore:
         out.write.mode("errorifexists").parquet(f"{self.path}/{folder}")
         return folder, [f"{folder}/{n}" for n in list_files(spark, f"{self.path}/{folder}") if n.endswith(".parquet")]
 
-    def _attempt(self, spark: SparkSession, change) -> int:
+    def _attempt(self, spark: SparkSession, change, keep_empty: bool = True) -> int:
         """``change(version, files)`` gives (rows to write or None, files to
-        take over); done again until no other writer comes between."""
+        take over); done again until no other writer comes between. Without
+        ``keep_empty`` rows that turn out to be none, once written, make no
+        version."""
         for k in range(self.ATTEMPTS):
             base = self.current_version(spark)
             files = [] if base is None else self.files(spark, base)
@@ -288,6 +294,9 @@ class GoldStore:
             if rows is None and base is not None:
                 return base
             folder, new = self._write(spark, spark.createDataFrame([], self.spec.gold_schema()) if rows is None else rows)
+            if base is not None and not keep_empty and self._read_files(spark, new).isEmpty():
+                delete_path(spark, f"{self.path}/{folder}")
+                return base
             try:
                 return self._publish(spark, base, kept + new)
             except CommitConflict:
@@ -305,10 +314,9 @@ class GoldStore:
         function that finds them given gold, which an insert-only merge needs
         (another writer may have inserted some meanwhile)."""
         def change(base, files):
-            rows = rows_for(self._read_files(spark, files)) if callable(rows_for) else rows_for
-            return (rows if rows.limit(1).count() else None), files
+            return (rows_for(self._read_files(spark, files)) if callable(rows_for) else rows_for), files
 
-        return self._attempt(spark, change)
+        return self._attempt(spark, change, keep_empty=False)  # the rows are computed once, by the write
 
     def upsert(self, spark: SparkSession, source: DataFrame, broadcast: bool, work_root: str | None = None) -> dict:
         """M1: insert the keys that gold lacks and replace the rows that are
@@ -423,14 +431,24 @@ class CatalogGoldStore:
 
     def insert_only(self, source: DataFrame, now, last_updated: str) -> None:
         t = self.alias
-        ident = (f"to_json(parse_json({t}.payload)) = to_json(parse_json(S.payload))")
+        ident = canonical_json(F.col(f"{t}.payload")) == canonical_json(F.col("S.payload"))
         (source.select(*self.spec.row_columns)
          .withColumn(last_updated, F.lit(now).cast("timestamp")).alias("S")
-         .mergeInto(self.table, F.expr(ident))
+         .mergeInto(self.table, ident)
          .whenNotMatched().insertAll()
          .merge())
 
 
+def write_bucketed(rows: DataFrame, table: str, key: str, path: str | None = None, buckets: int | None = None) -> None:
+    """Make ``rows`` a catalog table bucketed and sorted by ``key`` (at ``path``;
+    default: the warehouse). A merge that joins it on the key shuffles the
+    source into its buckets and leaves the table where it is. ``buckets``:
+    default the session's shuffle partitions, rows are dealt to one task each."""
+    n = buckets or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    writer = rows.repartition(n, key).write.mode("overwrite").bucketBy(n, key).sortBy(key)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
 def append_stage(rows: DataFrame, spec: FolderSpec, path: str, batch_id: str) -> None:
     """K2: batch append of stage rows (an empty input writes nothing)."""
     StageStore(path, spec).append(rows, batch_id)

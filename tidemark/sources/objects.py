@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
+from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.paths import has_suffix, relative_name
+from tidemark.session import materialize
 from tidemark.specs import OBJECT_SUFFIX, REPROCESS_DAYS
 
 BINARY_FILE_SCHEMA = T.StructType(
@@ -94,6 +98,78 @@ def list_objects(spark: SparkSession, root: str, folder: str, cutoff) -> DataFra
     return files.withColumn("name", relative_name("path", root))
 
 
+# -- listing by tasks -----------------------------------------------------------
+_LISTED = "kind string, path string, modificationTime timestamp, length long"
+_ENTRIES = pa.schema([("kind", pa.string()), ("path", pa.string()), ("modificationTime", pa.timestamp("us", "UTC")), ("length", pa.int64())])
+#: Entries in one Arrow batch of a listing.
+_LIST_BATCH = 10_000
+
+
+def _list_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The entries of each folder (URIs in): files, and folders to list next."""
+    from pyarrow import fs as pafs
+
+    from tidemark.operators.decode import _resolve
+
+    rows: list[tuple] = []
+    for batch in batches:
+        for folder in batch.column(0).to_pylist():
+            filesystem, inside = _resolve(folder)
+            base = folder.rstrip("/")
+            for e in filesystem.get_file_info(pafs.FileSelector(inside, allow_not_found=True)):
+                kind = {pafs.FileType.Directory: "folder", pafs.FileType.File: "object"}.get(e.type)
+                if kind and not e.base_name.startswith((".", "_")):
+                    # in milliseconds, as Spark reads it
+                    at = e.mtime and e.mtime.replace(microsecond=e.mtime.microsecond // 1000 * 1000)
+                    rows.append((kind, f"{base}/{e.base_name}", at, e.size))
+                if len(rows) >= _LIST_BATCH:
+                    yield _entry_batch(rows)
+                    rows = []
+    if rows:
+        yield _entry_batch(rows)
+
+
+def _entry_batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(_ENTRIES)], schema=_ENTRIES)
+
+
+def list_changed(spark: SparkSession, root: str, folder: str, cutoff, work_root: str | None = None,
+                 held: list[str] | None = None) -> DataFrame:
+    """S3 by tasks: path, modificationTime, length and name of the objects under
+    ``root/folder/`` updated at or after ``cutoff``.
+
+    Folders are listed level by level, each level by one job whose tasks take a
+    share of its folders; what a level has found is written, and only its number
+    of folders comes back. The driver never holds the listing, which
+    ``list_objects`` (Spark's file index) does. Objects are named as Spark names
+    them, hidden entries are left out. Under a scheme that tasks can't list it
+    is ``list_objects``. A task holds the entries of one folder at a time. The
+    written levels' paths go to ``held``, for the caller to release."""
+    from tidemark.operators.decode import OPENABLE, _resolve, scheme_of
+
+    base = f"{root.rstrip('/')}/{folder}"
+    if scheme_of(root) not in OPENABLE:
+        return list_objects(spark, root, folder, cutoff)
+    if scheme_of(root) == "file":
+        base = f"file:{_resolve(base)[1]}"
+    c = F.lit(_naive_utc(parse_execution_date(cutoff))).cast("timestamp")
+    level, levels, tasks = spark.createDataFrame([(base,)], "path string"), [], 1
+    most = 4 * spark.sparkContext.defaultParallelism
+    while tasks:
+        found = level.repartition(tasks).mapInArrow(_list_folders, _LISTED)
+        # of objects only the changed ones are kept
+        found = found.where((F.col("kind") == "folder") | (has_suffix("path", OBJECT_SUFFIX) & (F.col("modificationTime") >= c)))
+        found, path = materialize(found, "listing", work_root, ("kind",))
+        levels.append(found)
+        if held is not None:
+            held.append(path)
+        level = found.where(F.col("kind") == "folder").select("path")
+        tasks = min(level.count(), most)
+    every = reduce(DataFrame.unionByName, levels)
+    objects = every.where(F.col("kind") == "object").select("path", "modificationTime", "length")
+    return objects.withColumn("name", relative_name("path", root))
+
+
 def stream_objects(spark: SparkSession, root: str, max_files_per_trigger: int | None = None
                    ) -> DataFrame:
     """Unbounded discovery of new ``*.json.gz`` objects under ``root``.

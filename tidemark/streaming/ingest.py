@@ -9,6 +9,7 @@ its own output instead of appending it twice.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 from collections.abc import Callable
 
@@ -24,7 +25,7 @@ from tidemark.plans.jobs import (
 )
 from tidemark.functions.paths import folder_of
 from tidemark.plans.storage import delete_path, read_text, write_text
-from tidemark.session import apply_session_conf
+from tidemark.session import apply_session_conf, shuffle_files_dropped
 from tidemark.sources.notifications import read_notifications
 from tidemark.sources.objects import stream_objects
 
@@ -60,6 +61,21 @@ def batch_clock(spark: SparkSession, checkpoint_location: str | None, batch_id:
 CLOCKS_KEPT = 100
 
 
+@contextlib.contextmanager
+def decoded_once(spark: SparkSession, rows: DataFrame, root: str, batch_id: int):
+    """The decoded rows of a micro-batch, written by folder before they fan out
+    to its outputs: an executor lost between two outputs loses none of them, and
+    no object is opened again. The copy goes when the batch is done; one that a
+    failed attempt left is replaced by the next attempt of the batch."""
+    path = f"{root.rstrip('/')}/tidemark_decoded/{batch_id}"
+    with shuffle_files_dropped(spark):
+        rows.write.mode("overwrite").partitionBy("folder").parquet(path)
+    try:
+        yield spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
+    finally:
+        delete_path(spark, path)
+
+
 def object_batch_writer(spark: SparkSession, cfg: PipelineConfig,
                         now_fn: Callable[[], dt.datetime] = _clock,
                         checkpoint_location: str | None = None):
@@ -68,12 +84,8 @@ def object_batch_writer(spark: SparkSession, cfg: PipelineConfig,
     def run(batch: DataFrame, batch_id: int) -> None:
         now = batch_clock(spark, checkpoint_location, batch_id, now_fn)
         known, unknown_dl = unknown_folder_dead_letters(batch, cfg, SOURCE_STREAM, now)
-        decoded = persist(decode_listing(known, cfg.objects_root))
-        try:
-            ingest_decoded(spark, cfg, decoded, now, f"stream-{batch_id}", SOURCE_STREAM,
-                           [unknown_dl])
-        finally:
-            decoded.unpersist()
+        with decoded_once(spark, decode_listing(known, cfg.objects_root), checkpoint_location or cfg.lake_root, batch_id) as decoded:
+            ingest_decoded(spark, cfg, decoded, now, f"stream-{batch_id}", SOURCE_STREAM, [unknown_dl])
 
     return run
 
@@ -99,12 +111,9 @@ def notification_batch_writer(spark: SparkSession, cfg: PipelineConfig, scheme:
                     .dropDuplicates(["path"])
                     .withColumn("folder", folder_of("name")))
             known, unknown_dl = unknown_folder_dead_letters(objs, cfg, SOURCE_STREAM, now)
-            decoded = persist(decode_paths(known.withColumn("folder", folder_of("name"))))
-            try:
-                ingest_decoded(spark, cfg, decoded, now, f"stream-{batch_id}", SOURCE_STREAM,
-                               [bad_msgs, unknown_dl])
-            finally:
-                decoded.unpersist()
+            rows = decode_paths(known.withColumn("folder", folder_of("name")))
+            with decoded_once(spark, rows, checkpoint_location or cfg.lake_root, batch_id) as decoded:
+                ingest_decoded(spark, cfg, decoded, now, f"stream-{batch_id}", SOURCE_STREAM, [bad_msgs, unknown_dl])
         finally:
             ext.unpersist()
 
