@@ -2,6 +2,7 @@
 
 import hashlib
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -66,6 +67,60 @@ def test_repair_rules_have_their_expansion_lengths():
     assert (shard.document(1) == ids[900:]).all()
 
 
+def test_repair_stops_only_when_no_pair_is_frequent():
+    rng = np.random.default_rng(4)
+    zipf = np.minimum(rng.zipf(1.3, 60_000), 40_000).astype(np.int32)
+    for ids, terminals in ((zipf, 49_408), (zipf, 70_000), (np.tile(np.arange(50, dtype=np.int32), 2000), 70_000)):
+        seq, rounds = tokenfiles.compress(ids, terminals)
+        pairs = Counter(zip(seq[:-1].tolist(), seq[1:].tolist()))
+        assert max(pairs.values(), default=0) < tokenfiles.LEAST_COUNT
+        data, starts, lengths = tokenfiles.expansions(terminals, rounds)
+        assert (tb.gather(data, starts[seq], lengths[seq]) == ids).all()
+    assert len(seq) < 100
+
+
+def test_ids_before_punctuation_equal_the_library():
+    """Every letter, digit, mark and sign before a comma and a full stop, and
+    random texts of those whose normal form ends otherwise."""
+    import random
+    import unicodedata
+
+    from tokenizers import Tokenizer
+
+    content = queries.vocabulary_file("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_str(content.decode())
+    table, _ = tokenfiles._pieces(content)
+    assert isinstance(table, tokenfiles._Table)
+    chars = [chr(c) for c in range(0x20, 0x30000) if unicodedata.category(chr(c)) not in ("Cs", "Cn", "Co")
+             and not (0x3400 < c < 0x9FF0 or 0xAC10 < c < 0xD790 or c > 0x1F000)]
+    texts = [f"MAHKEMES{c}, KARARI{c}. x{c},\n{c}{c}, a" for c in chars]
+    rng = random.Random(9)
+    odd = ["\u0130", "\u0958", "\u095f", "\u09dc", "\u0a33", "\u0b5c", "\u0f43", "\ufb2a", "\u0301", "\u0327", "e", "K", "1", "_", "'s", "'", ",", ".",
+           ", ", ". ", " ", "\n", "|", "<|endoftext|>", "\u00a0", "\u200d", "\u1100\u1161", "\u0e47"]
+    texts += ["".join(rng.choice(odd) for _ in range(rng.randint(1, 12))) for _ in range(20_000)]
+    for lo in range(0, len(texts), 5000):
+        part = texts[lo:lo + 5000]
+        table.begin()
+        rows = table.rows_of([t.encode() for t in part])
+        want = tokenizer.encode_batch(part, add_special_tokens=False)
+        assert [t for t, r, w in zip(part, rows, want) if table.look_up(r).tolist() != w.ids] == []
+
+
+def test_other_tokenizers_take_whole_texts():
+    import json
+
+    content = json.loads(queries.vocabulary_file("word_bpe_49k.json"))
+    content["pre_tokenizer"]["pretokenizers"][0]["pattern"] = {"Regex": "\\s?\\S+"}
+    content["normalizer"] = None
+    from tokenizers import Tokenizer
+
+    data = json.dumps(content).encode()
+    table, _ = tokenfiles._pieces(data)
+    texts = ["One two, three.", "", "a  b"]
+    want = [e.ids for e in Tokenizer.from_str(data.decode()).encode_batch(texts, add_special_tokens=False)]
+    assert isinstance(table, tokenfiles._Whole) and [r.tolist() for r in table.rows_of([t.encode() for t in texts])] == want
+
+
 def test_token_files(spark, docs, monkeypatch):
     from tokenizers import Tokenizer
 

@@ -3,8 +3,9 @@
 Rows are range-partitioned and sorted by (doc_id, text hash); each task
 encodes its texts in that order and closes a shard when it holds
 ``SHARD_IDS`` ids. ``compress`` replaces frequent neighbours by nonterminals,
-round after round; in a round all pairs are replaced that no more frequent
-pair of the round can overlap. The shard keeps the rules, the expansion
+round after round, until no pair of neighbours is found ``LEAST_COUNT`` times;
+in a round all pairs are replaced that no more frequent pair of the round can
+overlap. The shard keeps the rules, the expansion
 length of each, and the places of sampled symbols, so ``Shard.read`` expands
 no more than the symbols that cover the ids asked for.
 
@@ -22,6 +23,7 @@ ignored. A text is never split: memory follows the longest one.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -40,9 +42,10 @@ SHARD_IDS = 1 << 20
 MAGIC = b"TMRP0001"
 #: Every so many symbols the shard keeps the number of ids before them.
 SAMPLE = 1024
-#: Symbols are 16 bits wide while terminals and rules fit; so many at most.
-_SYMBOLS = 1 << 16
-_ROUNDS, _LEAST_COUNT, _ROUND_RULES = 8, 8, 4096
+#: Pairs found so often get a rule: about as often as one pays for itself.
+LEAST_COUNT = 8
+#: Rules of one round at most; what it leaves is for the next.
+_ROUND_RULES = 4096
 _COUNT_BITS = 20
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -82,11 +85,8 @@ def compress(ids: np.ndarray, terminals: int) -> tuple[np.ndarray, list[np.ndarr
     """``(sequence, rules of each round)``; rule k of all rounds in order is
     symbol ``terminals + k``, a row (left, right)."""
     seq, rounds, symbols = ids.astype(np.int32), [], terminals
-    for _ in range(_ROUNDS):
-        room = min(_ROUND_RULES, max(_SYMBOLS, terminals) - symbols)
-        if len(seq) < 2 or room <= 0:
-            break
-        chosen = _choose(*_frequent_pairs(seq, symbols, _LEAST_COUNT), symbols, room)
+    while len(seq) > 1:
+        chosen = _choose(*_frequent_pairs(seq, symbols, LEAST_COUNT), symbols, _ROUND_RULES)
         if not len(chosen):
             break
         left, right = np.zeros(symbols, bool), np.zeros(symbols, bool)
@@ -110,8 +110,6 @@ def compress(ids: np.ndarray, terminals: int) -> tuple[np.ndarray, list[np.ndarr
         seq = seq[keep]
         rounds.append(np.column_stack([chosen // symbols, chosen % symbols]).astype(np.int32))
         symbols += len(chosen)
-        if before - len(seq) < before // 200:
-            break
     return seq, rounds
 
 
@@ -218,6 +216,39 @@ MAX_WORDS = 800_000
 _MARK = "|"
 
 
+# Normalizers, and the pre-tokenizer's pattern, under which a text
+# may be encoded stretch by stretch. They change no character because of one
+# beyond white space, and white space belongs to no token.
+_LOCAL_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_LOCAL_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+
+def by_stretches(description: dict) -> bool:
+    """Whether the tokenizer's texts may be encoded stretch by stretch."""
+    normal, cut = description.get("normalizer") or {}, description.get("pre_tokenizer") or {}
+    steps = cut.get("pretokenizers") or [{}]
+    return (normal.get("normalizers") == _LOCAL_NORMALIZERS and len(steps) == 2 and description.get("post_processor") is None
+            and steps[0].get("type") == "Split" and steps[0].get("pattern") == {"Regex": _LOCAL_PATTERN}
+            and steps[0].get("behavior") == "Removed" and steps[0].get("invert") is True
+            and steps[1].get("type") == "ByteLevel" and not steps[1].get("add_prefix_space") and not steps[1].get("use_regex"))
+
+
+class _Whole:
+    """Ids of whole texts, for any tokenizer."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+
+    def begin(self) -> None:
+        pass
+
+    def rows_of(self, texts: list[bytes]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch([t.decode() for t in texts], add_special_tokens=False)]
+
+    def look_up(self, ids: np.ndarray) -> np.ndarray:
+        return ids
+
+
 class _Words:
     """Ids of words by the tokenizers library, a batch of new ones in a call."""
 
@@ -226,6 +257,15 @@ class _Words:
         mark = self._encode(_MARK)
         self.mark = mark[0] if len(mark) == 1 else None
 
+    def ends_alone(self, word: bytes) -> bool:
+        """Whether a mark after the word is a token by itself, as the tokenizer
+        sees the word: normalized, its last character may be another."""
+        if word[-1:].isalnum():
+            return True
+        text = self.tokenizer.normalizer.normalize_str(word.decode() + ",")
+        parts = self.tokenizer.pre_tokenizer.pre_tokenize_str(text)
+        return bool(parts) and parts[-1][1] == (len(text) - 1, len(text))
+
     def _encode(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
@@ -243,8 +283,12 @@ class _Words:
 
 
 class _Table(PieceTable):
-    """Rows of ids by stretch; also whether a stretch ends with a letter or
-    digit, after which a comma or full stop is a token by itself."""
+    """Rows of ids by stretch; also whether a comma or full stop after a stretch
+    is a token by itself."""
+
+    def __init__(self, words: _Words, limit: int):
+        self.words = words
+        super().__init__(words.encode, limit)
 
     def _reset(self) -> None:
         super()._reset()
@@ -256,7 +300,7 @@ class _Table(PieceTable):
         super().settle()
         if first + len(new) > len(self.solid):
             self.solid = np.resize(self.solid, 2 * (first + len(new)))
-        self.solid[first:first + len(new)] = [w[-1:].isalnum() or w.decode()[-1:].isalpha() for w in new]
+        self.solid[first:first + len(new)] = [self.words.ends_alone(w) for w in new]
 
     def rows_of(self, texts: list[bytes]) -> list[np.ndarray]:
         """Settled rows of each text's stretches; where a comma or full stop
@@ -289,16 +333,18 @@ def stretches(text: bytes) -> list[bytes]:
     return text.replace(b", ", b" , ").replace(b". ", b" . ").replace(b",\n", b" , ").replace(b".\n", b" . ").split()
 
 
-def _pieces(content: bytes) -> tuple[_Table, int]:
-    """Ids by stretch between ASCII white space: the tokenizer drops white
-    space and joins nothing across it."""
+def _pieces(content: bytes) -> tuple[_Table | _Whole, int]:
+    """The encoder, and the size of its vocabulary: by stretches between ASCII
+    white space where the tokenizer is known to drop that and to join nothing
+    across it, else by whole texts."""
     key = hashlib.sha256(content).hexdigest()
     if key not in _LOADED:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(content.decode())
-        _LOADED[key] = _Table(_Words(tokenizer).encode, MAX_WORDS), tokenizer.get_vocab_size(with_added_tokens=True)
+        local = by_stretches(json.loads(content))
+        _LOADED[key] = _Table(_Words(tokenizer), MAX_WORDS) if local else _Whole(tokenizer), tokenizer.get_vocab_size(with_added_tokens=True)
     return _LOADED[key]
 
 
@@ -348,8 +394,7 @@ def _write(shared, end_id: int):
 
 def write_shards(docs: DataFrame, tokenizer: bytes, path: str, end_id: int) -> None:
     """Encodes docs (doc_id, text) into shards below ``path``. ``tokenizer`` is
-    the tokenizers library's JSON (a few MB, sent to the executors once) of one
-    that lower-cases and splits at white space and punctuation."""
+    the tokenizers library's JSON (a few MB, sent to the executors once)."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(tokenizer)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
