@@ -46,8 +46,6 @@ SAMPLE = 1024
 LEAST_COUNT = 8
 #: Rules of one round at most; what it leaves is for the next.
 _ROUND_RULES = 4096
-_COUNT_BITS = 20
-_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 # -- Re-Pair -----------------------------------------------------------------------
@@ -55,11 +53,11 @@ _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 def _frequent_pairs(seq: np.ndarray, symbols: int, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys and counts of the pairs of neighbours found ``least`` times or more."""
     key = seq[:-1].astype(np.int64) * symbols + seq[1:]
-    slot = (key.view(np.uint64) * _SPREAD >> np.uint64(64 - _COUNT_BITS)).astype(np.int32)
-    full = np.bincount(slot, minlength=1 << _COUNT_BITS) >= least
-    key, count = np.unique(key[full[slot]], return_counts=True)
+    key.sort()
+    at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    count = np.diff(np.append(at, len(key)))
     often = count >= least
-    return key[often], count[often]
+    return key[at[often]], count[often]
 
 
 def _choose(keys: np.ndarray, counts: np.ndarray, symbols: int, most: int) -> np.ndarray:
@@ -256,12 +254,19 @@ class _Words:
         self.tokenizer = tokenizer
         mark = self._encode(_MARK)
         self.mark = mark[0] if len(mark) == 1 else None
+        suffix = getattr(tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:  # the model marks the last token of what it was given
+            self.last[[k for w, k in vocabulary.items() if w.endswith(suffix)]] = True
 
     def ends_alone(self, word: bytes) -> bool:
         """Whether a mark after the word is a token by itself, as the tokenizer
         sees the word: normalized, its last character may be another."""
         if word[-1:].isalnum():
             return True
+        if 0x20 < word[-1] < 0x7F:  # joins the mark
+            return False
         text = self.tokenizer.normalizer.normalize_str(word.decode() + ",")
         parts = self.tokenizer.pre_tokenizer.pre_tokenize_str(text)
         return bool(parts) and parts[-1][1] == (len(text) - 1, len(text))
@@ -272,7 +277,14 @@ class _Words:
     def encode(self, words: list[bytes]) -> list[list[int]]:
         found: dict[bytes, list[int]] = {}
         mark = self.mark
-        plain = [w for w in words if b"|" not in w] if mark is not None else []
+        letters = [w for w in words if w.isalpha() or not w.isascii() and w.decode().isalpha()] if self.last.any() else []
+        for lo in range(0, len(letters), 1000):
+            part = letters[lo:lo + 1000]
+            ids = self._encode(b" ".join(part).decode())
+            ends = (np.flatnonzero(self.last[ids]) + 1).tolist()
+            if len(ends) == len(part):  # so each is one piece, as none can be less
+                found.update(zip(part, [ids[i:j] for i, j in zip([0, *ends], ends)]))
+        plain = [w for w in words if w not in found and b"|" not in w] if mark is not None else []
         for lo in range(0, len(plain), 1000):
             part = plain[lo:lo + 1000]
             ids = self._encode(b" | ".join(part).decode())
