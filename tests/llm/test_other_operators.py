@@ -45,6 +45,59 @@ def test_main_text_keeps_text_beside_the_longest_block(before):
     assert htmltext.extract(lead) == f"Headline\n\nLead.\n\n{long}\n\n{long}"
 
 
+_LONG = [("word %d of the text that the page is about, " % k) * 6 + "end." for k in range(4)]
+
+
+@pytest.mark.parametrize("opened,closed", [
+    ('<div class="page has-sidebar">', "</div>"), ('<div class="site header-fixed">', "</div>"), ('<form action="/">', "</form>"),
+    ('<form id="aspnetForm"><div class="content">', "</div></form>"), ('<form><article>', "</article></form>"),
+    ('<div class="wrapper with-nav no-comments">', "</div>"), ('<div class="sidebar">', "</div>"), ('<div id="header-content">', "</div>"),
+    ('<div class="layout sidebar-right"><main>', "</main></div>"), ("<article>", "</article>"), ("", "")])
+@pytest.mark.parametrize("around", ["", '<nav><a href=x>Home</a> <a href=y>All news</a></nav><div class="cookie-notice">We use cookies.</div>'])
+def test_main_text_inside_layout(opened, closed, around):
+    body = "".join(f"<p>{p}</p>" for p in _LONG)
+    page = f'<body>{around}{opened}{body}{closed}<footer>(c) me</footer><div class="site-footer">Imprint</div></body>'
+    assert htmltext.extract(page) == "\n\n".join(_LONG)
+
+
+@pytest.mark.parametrize("opened,name", [
+    ('<section id="search-algorithms">', "section"), ('<h2 id="related-work">', "h2"), ('<div class="social-history">', "div"),
+    ('<p class="share-price">', "p"), ('<section id="search">', "section"), ('<h2 id="legal">', "h2"), ('<div class="entry-header">', "div"),
+    ('<p class="promotion-to-premier">', "p"), ('<div id="alert-levels">', "div")])
+@pytest.mark.parametrize("region", ["article", "div"])
+def test_main_text_keeps_sections_of_their_titles_name(opened, name, region):
+    page = f"<body><{region}><p>{_LONG[0]}</p>{opened}Some more of it.</{name}><p>{_LONG[1]}</p></{region}></body>"
+    assert htmltext.extract(page) == f"{_LONG[0]}\n\nSome more of it.\n\n{_LONG[1]}"
+
+
+@pytest.mark.parametrize("opened,name", [
+    ('<div class="related-posts">', "div"), ('<ul class="share-buttons">', "ul"), ('<div class="newsletter">', "div"), ('<div class="adSlot">', "div"),
+    ('<section class="comments"><article class="comment">', "article></section"), ('<form class="x">', "form"), ('<div role="alert">', "div"),
+    ('<div id="cookie-consent">', "div"), ('<div class="left menu">', "div")])
+@pytest.mark.parametrize("region", ["article", "div"])
+def test_main_text_drops_what_is_apart(opened, name, region):
+    page = f"<body><{region}><p>{_LONG[0]}</p><p>{_LONG[1]}</p>{opened}<span>Not the article's.</span></{name}><p>{_LONG[2]}</p></{region}></body>"
+    assert htmltext.extract(page) == "\n\n".join(_LONG[:3])
+
+
+def _brute_region(blocks):
+    """Of pages whose blocks are (text, whether it is linked, class): those that
+    no class sets apart."""
+    return [t for t, _, c in blocks if c not in ("menu", "site-footer", "comments")]
+
+
+def test_main_text_of_pages_without_articles():
+    rng = random.Random(12)
+    for _ in range(300):
+        inner = [(f"{' '.join(rng.choice(['alpha', 'beta', 'gamma', 'delta']) for _ in range(rng.randint(30, 200)))}.", False, "text-block") for _ in range(rng.randint(1, 6))]
+        outer = [("Home News All", True, "menu"), ("Imprint and terms", False, "site-footer"), ("I liked it a lot, said a reader.", False, "comments")]
+        wrapper = rng.choice(['<div class="page has-sidebar">', '<form>', '<div class="content">', '<div class="site header-fixed">'])
+        end = "</form>" if "form" in wrapper else "</div>"
+        block = lambda b: f'<div class="{b[2]}">' + (f"<a href=x>{b[0]}</a>" if b[1] else f"<p>{b[0]}</p>") + "</div>"
+        page = f"<body>{block(outer[0])}{wrapper}{''.join(map(block, inner))}{end}{block(outer[2])}{block(outer[1])}</body>"
+        assert htmltext.extract(page).split("\n\n") == _brute_region([outer[0], *inner, outer[2], outer[1]])
+
+
 def test_main_text_of_the_pages(spark):
     import html as entities
 

@@ -1,9 +1,12 @@
 """HTML extraction (operator 2): text-to-tag ratios.
 
 Events of the standard library's parser cut a page into lines, one for each
-block; a line knows its text, its tags and the elements around it. Lines get
-their text-to-tag ratio (none inside menus, footers, forms, adverts and the
-like), a Gaussian smooths the ratios along the page, and two-means clustering
+block; a line knows its text, its tags and the elements around it. Elements that
+hold no article text are told by their name, role, or a whole token of their
+class or id (``_token_says``; titles' and sections' ids say nothing). One that
+only its class, or being a form, sets apart but that holds most of the page's
+unlinked text is layout. Lines get their text-to-tag ratio (none inside what is
+apart), a Gaussian smooths the ratios along the page, and two-means clustering
 finds the threshold above which a line is content. Content lines vote, by
 their length, for the region: the article or main element with most votes, or
 where none is a fair part of the page the innermost container that holds all
@@ -36,57 +39,83 @@ _SILENT = frozenset("script style noscript template title head iframe object svg
 #: Their text isn't the article's.
 _APART = frozenset("nav footer aside form button select textarea menu dialog fieldset".split())
 _APART_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
-#: Words of class and id attributes that say the same.
-_APART_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion promoted banner "
-    "nav navbar navigation menu breadcrumb breadcrumbs pagination pager sidebar aside rail widget widgets toolbar "
-    "footer foot copyright legal masthead topbar header notice notices notification cookie cookies consent gdpr alert "
-    "popup modal overlay paywall comment comments commentlist respond reply replies discussion disqus share sharing "
-    "social follow related recommended newsletter subscribe subscription signup login search form".split())
+#: Words of class and id attributes that say the same; the first ones also of
+#: an element around an article.
+_FOREIGN_WORDS = frozenset(
+    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored cookie cookies consent gdpr popup modal overlay "
+    "paywall comment comments commentlist respond reply replies discussion disqus".split())
+_APART_WORDS = _FOREIGN_WORDS | frozenset(
+    "promo promotion promoted banner nav navbar navigation menu breadcrumb breadcrumbs pagination pager sidebar aside rail widget "
+    "widgets toolbar footer foot copyright legal masthead topbar header notice notices notification alert share sharing social "
+    "follow related recommended newsletter subscribe subscription signup login search form".split())
+#: Words that may stand beside those in a token without changing what it says.
+_PLAIN_WORDS = frozenset(
+    "site page main global local top bottom left right upper lower primary secondary inner outer list lists box boxes block "
+    "section container wrapper wrap area bar links link buttons button icons icon posts articles stories items item group panel "
+    "slot unit space zone placement content text title heading thread js ui".split())
 _REGIONS = frozenset(("article", "main"))
-_WORDS = re.compile(r"[a-z]+")
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 #: Blocks of text, never a region.
 _TEXT_BLOCKS = _INLINE | frozenset("p h1 h2 h3 h4 h5 h6 hgroup li dt dd ul ol dl blockquote pre address caption figcaption figure "
                                    "table thead tbody tfoot tr summary legend label center".split())
 
 
+#: Why an element's text isn't the article's: by its name or role; by a word
+#: that says so whatever is inside; by another word, or as a form.
+_BY_NAME, _BY_FOREIGN_WORD, _BY_WORD = 1, 2, 3
+
+
+def _token_says(token: str, words: frozenset) -> bool:
+    """Whether a class token or id names one of ``words``: by itself
+    (``footer``) or among plain words (``site-footer``), not in another phrase
+    (``has-sidebar``, ``share-price``)."""
+    parts = [w.lower() for w in _WORDS.findall(token)]
+    return any(w in words for w in parts) and all(w in _APART_WORDS or w in _PLAIN_WORDS for w in parts)
+
+
 class _Lines(HTMLParser):
-    """Lines of a page: ``(text, tags, apart, path)``; path is the tuple of the
-    numbers of the open elements."""
+    """Lines of a page: ``(text, tags, unlinked characters, path)``; path is the
+    tuple of the numbers of the open elements, whose names and reasons to be
+    apart are in ``names`` and ``reasons``."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, int, bool, bool]] = []  # name, number, silent, apart
+        self.open: list[tuple[str, int, bool]] = []  # name, number, silent
         self.names: list[str] = []
-        self.lines: list[tuple[str, int, bool, tuple[int, ...]]] = []
+        self.reasons: list[int] = []
+        self.lines: list[tuple[str, int, int, tuple[int, ...]]] = []
         self.parts: list[str] = []
-        self.tags = 0
+        self.tags = self.linked = 0
 
     def _end_line(self):
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                apart = bool(self.open) and self.open[-1][3]
-                self.lines.append((text, self.tags, apart, tuple(e[1] for e in self.open)))
+                self.lines.append((text, self.tags, max(0, len(text) - self.linked), tuple(e[1] for e in self.open)))
             self.parts = []
-        self.tags = 0
+        self.tags = self.linked = 0
 
-    def _apart(self, name: str, attrs) -> bool:
+    def _reason(self, name: str, attrs) -> int:
         inside = any(e[0] in _REGIONS for e in self.open)
+        if name in ("form", "fieldset"):
+            return _BY_WORD
         if name in _APART or name == "header" and not inside:
-            return True
+            return _BY_NAME
+        reason = 0
         for key, value in attrs:
             if not value:
                 continue
-            if key == "role" and value.strip().lower() in _APART_ROLES:
-                return True
-            if key == "aria-hidden" and value == "true":
-                return True
-            if key in ("class", "id") and name not in ("html", "body"):
-                words = _APART_WORDS.intersection(_WORDS.findall(value.lower()))
-                if words - {"header"} if inside else words:
-                    return True
-        return False
+            if key == "role" and value.strip().lower() in _APART_ROLES or key == "aria-hidden" and value == "true":
+                return _BY_NAME
+            if name in ("html", "body") or not (key == "class" or key == "id" and name not in _HEADINGS and name != "section"):
+                continue
+            for token in value.split():
+                if _token_says(token, _FOREIGN_WORDS):
+                    return _BY_FOREIGN_WORD
+                if _token_says(token, _APART_WORDS - {"header"} if inside else _APART_WORDS):
+                    reason = _BY_WORD
+        return reason
 
     def _close(self, k: int):
         self._end_line()
@@ -109,15 +138,13 @@ class _Lines(HTMLParser):
                     break
                 if self.open[k][0] not in _INLINE:
                     break
-        silent, before = self.open[-1][2:] if self.open else (False, False)
-        if name in _REGIONS:  # what a layout's class says ends here, what an element says doesn't
-            apart = any(e[0] in _APART for e in self.open)
-        else:
-            apart = before or self._apart(name, attrs)
-        if apart != before:
+        silent = self.open[-1][2] if self.open else False
+        reason = 0 if name in _REGIONS else self._reason(name, attrs)
+        if reason:
             self._end_line()
-        self.open.append((name, len(self.names), silent or name in _SILENT, apart))
+        self.open.append((name, len(self.names), silent or name in _SILENT))
         self.names.append(name)
+        self.reasons.append(reason)
 
     def handle_startendtag(self, name, attrs):
         if name in _VOID:
@@ -131,7 +158,7 @@ class _Lines(HTMLParser):
             self.tags += 1
         for k in range(len(self.open) - 1, -1, -1):
             if self.open[k][0] == name:
-                if name not in _INLINE or self.open[k][3] != (k > 0 and self.open[k - 1][3]):
+                if name not in _INLINE or self.reasons[self.open[k][1]]:
                     self._close(k)
                 else:
                     del self.open[k:]
@@ -142,11 +169,30 @@ class _Lines(HTMLParser):
     def handle_data(self, data):
         if not (self.open and self.open[-1][2]):
             self.parts.append(data)
+            if any(e[0] == "a" for e in self.open):
+                self.linked += len(data)
 
     def close(self):
         super().close()
         self._end_line()
 
+    def apart(self) -> list[bool]:
+        """Whether each line is apart."""
+        reasons, names = self.reasons, self.names
+        # what encloses an article by its class, or as a form, is its layout
+        ruling = []
+        for *_, path in self.lines:
+            last = max((k for k, e in enumerate(path) if names[e] in _REGIONS), default=-1)
+            ruling.append([e for k, e in enumerate(path) if reasons[e] and (reasons[e] != _BY_WORD or k > last)])
+        total, held = 0, {}
+        for (_, _, plain, _), ruled in zip(self.lines, ruling):
+            if all(reasons[e] == _BY_WORD for e in ruled):
+                total += plain
+                for e in ruled:
+                    held[e] = held.get(e, 0) + plain
+        layout = {e for e, n in held.items() if 2 * n > total}
+        return [any(e not in layout for e in ruled) for ruled in ruling]
+
 
 def smooth(ratios: np.ndarray, sigma: float) -> np.ndarray:
     reach = max(1, math.ceil(3 * sigma))
@@ -215,7 +261,7 @@ def extract(html: str, sigma: float = 1.0) -> str:
     lines = parser.lines
     if not lines:
         return ""
-    apart = np.array([x[2] for x in lines])
+    apart = np.array(parser.apart())
     size = np.array([len(x[0]) for x in lines], float)
     ratios = np.where(apart, 0.0, size / np.maximum(1, [x[1] for x in lines]))
     smoothed = smooth(ratios, sigma)
@@ -231,9 +277,9 @@ def extract(html: str, sigma: float = 1.0) -> str:
         sizes[path] = sizes.get(path, 0) + len(text)
         if content[k]:
             votes[path] = votes.get(path, 0) + len(text)
-    aparts = {path for _, _, a, path in lines if a}
+    aparts = {x[3] for x, a in zip(lines, apart) if a}
     region = _region(votes, sizes, aparts, parser.names)
-    return "\n\n".join(t for t, _, a, path in lines if not a and (region is None or region in path))
+    return "\n\n".join(x[0] for x, a in zip(lines, apart) if not a and (region is None or region in x[3]))
 
 
 def main_text(pages: DataFrame, sigma: float = 1.0) -> DataFrame:
