@@ -50,10 +50,22 @@ _ROUND_RULES = 4096
 
 # -- Re-Pair -----------------------------------------------------------------------
 
-def _frequent_pairs(seq: np.ndarray, symbols: int, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and counts of the pairs of neighbours found ``least`` times or more."""
-    key = seq[:-1].astype(np.int64) * symbols + seq[1:]
+def _frequent_pairs(seq: np.ndarray, fresh: int, waiting: np.ndarray, symbols: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and counts of the pairs of neighbours found ``least`` times or more.
+    After a round only pairs with one of its symbols (``fresh`` and above) can
+    have become frequent, and of the others only ``waiting`` ones still are."""
+    a, b = seq[:-1], seq[1:]
+    if fresh:
+        near = (a >= fresh) | (b >= fresh)
+        if len(waiting):
+            left, right = np.zeros(symbols, bool), np.zeros(symbols, bool)
+            left[waiting[:, 0]] = right[waiting[:, 1]] = True
+            near |= left[a] & right[b]
+        a, b = a[near], b[near]
+    key = a.astype(np.int64) * symbols + b
     key.sort()
+    if not len(key):
+        return key, key
     at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     count = np.diff(np.append(at, len(key)))
     often = count >= least
@@ -82,9 +94,11 @@ def _choose(keys: np.ndarray, counts: np.ndarray, symbols: int, most: int) -> np
 def compress(ids: np.ndarray, terminals: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """``(sequence, rules of each round)``; rule k of all rounds in order is
     symbol ``terminals + k``, a row (left, right)."""
-    seq, rounds, symbols = ids.astype(np.int32), [], terminals
+    seq, rounds, symbols, fresh = ids.astype(np.int32), [], terminals, 0
+    waiting = np.empty((0, 2), np.int64)
     while len(seq) > 1:
-        chosen = _choose(*_frequent_pairs(seq, symbols, LEAST_COUNT), symbols, _ROUND_RULES)
+        keys, counts = _frequent_pairs(seq, fresh, waiting, symbols, LEAST_COUNT)
+        chosen = _choose(keys, counts, symbols, _ROUND_RULES)
         if not len(chosen):
             break
         left, right = np.zeros(symbols, bool), np.zeros(symbols, bool)
@@ -107,6 +121,9 @@ def compress(ids: np.ndarray, terminals: int) -> tuple[np.ndarray, list[np.ndarr
         keep[at + 1] = False
         seq = seq[keep]
         rounds.append(np.column_stack([chosen // symbols, chosen % symbols]).astype(np.int32))
+        left_over = keys[~np.isin(keys, chosen, assume_unique=True)]
+        waiting = np.column_stack([left_over // symbols, left_over % symbols])
+        fresh = symbols
         symbols += len(chosen)
     return seq, rounds
 
