@@ -169,48 +169,63 @@ SHARD = "shard long, bwt binary, words array<struct<lang: string, word: binary,
 #: Entries of one bucket, packed.
 PACKED = "bucket int, entries binary"
 _PACKED = pa.schema([("bucket", pa.int32()), ("entries", pa.binary())])
-#: A phrase in a shard: id (shard and first row), n (rows), head and tail (names
-#: of its first and last words), f (rows in all shards), name (least id).
-FOUND = "id long, n long, head long, tail long, f long, name long"
-_FOUND = pa.schema([(c.split()[0], pa.int64()) for c in FOUND.split(", ")])
+#: What a bucket finds: for each shard its phrases found often enough (packed:
+#: id, that is shard and first row, n rows, name) with the sum of their rows, and
+#: in a row without a shard the phrases, with the names of their first and last
+#: words.
+FOUND = "shard long, sent binary, n long, phrases array<struct<name: long, f: long, head: long, tail: long>>"
+_PHRASE = pa.struct([(c, pa.int64()) for c in ("name", "f", "head", "tail")])
+_FOUND = pa.schema([("shard", pa.int64()), ("sent", pa.binary()), ("n", pa.int64()), ("phrases", pa.list_(_PHRASE))])
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """Rows of numbers, packed byte by byte, as neighbours share their upper
+    bytes; of the first row the differences."""
+    part = np.ascontiguousarray(numbers)
+    part[0, 1:] = np.diff(part[0])
+    planes = np.ascontiguousarray(part.view(np.uint8).reshape(len(part), -1, 8).transpose(0, 2, 1))
+    return np.int64(part.shape[1]).tobytes() + pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def _numbers(packed: bytes, rows: int) -> np.ndarray:
+    n = int(np.frombuffer(packed[:8], np.int64)[0])
+    planes = np.frombuffer(pa.decompress(packed[8:], 8 * rows * n, "zstd", asbytes=True), np.uint8)
+    out = planes.reshape(rows, 8, n).transpose(0, 2, 1).copy().view(np.int64).reshape(rows, n)
+    out[0] = np.cumsum(out[0])
+    return out
 
 
 def _dealt(entries: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
-    """Entries (rows: id, n, head, tail), packed by bucket of their phrase: byte
-    by byte, as neighbouring numbers share their upper bytes."""
+    """Entries (rows: id, n, head, tail), packed by bucket of their phrase."""
     bucket = (mix(entries[2].view(np.uint64) ^ mix(entries[3].view(np.uint64))) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     cuts = np.flatnonzero(np.diff(bucket[order])) + 1
     for rows in np.split(order, cuts) if len(order) else ():
-        part = np.ascontiguousarray(entries[:, rows])
-        part[0, 1:] = np.diff(part[0])
-        planes = np.ascontiguousarray(part.view(np.uint8).reshape(4, -1, 8).transpose(0, 2, 1))
-        yield int(bucket[rows[0]]), np.int64(len(rows)).tobytes() + pa.compress(planes.tobytes(), "zstd", asbytes=True)
+        yield int(bucket[rows[0]]), _planes(entries[:, rows])
 
 
 def _entries(packed: bytes) -> np.ndarray:
-    n = int(np.frombuffer(packed[:8], np.int64)[0])
-    planes = np.frombuffer(pa.decompress(packed[8:], 32 * n, "zstd", asbytes=True), np.uint8)
-    out = planes.reshape(4, 8, n).transpose(0, 2, 1).copy().view(np.int64).reshape(4, n)
-    out[0] = np.cumsum(out[0])
-    return out
+    return _numbers(packed, 4)
 
 
-def _batch(parts: list[tuple[int, bytes]], schema=_PACKED):
+def _batch(parts: list[tuple], schema=_PACKED) -> pa.Table:
     return pa.table([pa.array([p[k] for p in parts], f.type) for k, f in enumerate(schema)], schema=schema)
 
 
-def _extension(buckets: int):
-    """Longer intervals of one shard, from the phrases sent back to it."""
+def _extension(buckets: int, packed: bool):
+    """Longer intervals of one shard, from the phrases sent back to it (as rows
+    of numbers, or packed)."""
     def run(shards: pa.Table, phrases: pa.Table) -> pa.Table:
         if not len(shards) or not len(phrases):
             return _PACKED.empty_table()
         after = successors(_unpack(shards.column("bwt")[0].as_py()))
-        ids = phrases.column("id").to_numpy()
-        order = np.argsort(ids)
+        if packed:
+            sent = np.concatenate([_numbers(p.as_py(), 3) for p in phrases.column("sent")], axis=1)
+        else:
+            sent = np.array([phrases.column(c).to_numpy() for c in ("id", "n", "name")])
+        ids, n, names = sent[:, np.argsort(sent[0])]
         first = int(shards.column("shard")[0].as_py()) << ROW_BITS
-        lo, n, head, tail = extend(after, ids[order] - first, phrases.column("n").to_numpy()[order])
-        names = phrases.column("name").to_numpy()[order]
+        lo, n, head, tail = extend(after, ids - first, n)
         return _batch(list(_dealt(np.array([lo + first, n, names[head], names[tail]], np.int64), buckets)))
 
     return run
@@ -234,16 +249,28 @@ def _dealt_again(buckets: int, size: int):
 
 
 def _summed_entries(least: int):
-    """Of one bucket's entries those of phrases found ``least`` times or more."""
+    """Of one bucket's entries the phrases found ``least`` times or more."""
     def run(packed: pa.Table) -> pa.Table:
         ids, n, head, tail = np.concatenate([_entries(p.as_py()) for p in packed.column("entries")], axis=1)
         order = np.lexsort((ids, tail, head))
         ids, n, head, tail = ids[order], n[order], head[order], tail[order]
         at = np.flatnonzero(np.concatenate([[True], (head[1:] != head[:-1]) | (tail[1:] != tail[:-1])]))
         sizes = np.diff(np.concatenate([at, [len(ids)]]))
-        f, name = np.repeat(np.add.reduceat(n, at), sizes), np.repeat(ids[at], sizes)
-        keep = f >= least
-        return pa.table([c[keep] for c in (ids, n, head, tail, f, name)], schema=_FOUND)
+        f = np.add.reduceat(n, at)
+        name, keep = np.repeat(ids[at], sizes), np.repeat(f >= least, sizes)
+        at = at[f >= least]
+        if not len(at):
+            return _FOUND.empty_table()
+        phrases = pa.StructArray.from_arrays([pa.array(x) for x in (ids[at], f[f >= least], head[at], tail[at])], fields=list(_PHRASE))
+        sent = np.array([ids, n, name])[:, keep]
+        sent = sent[:, np.argsort(sent[0])]
+        shard = sent[0] >> ROW_BITS
+        cuts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]]))
+        sums = np.add.reduceat(sent[1], cuts)
+        back = [(int(shard[i]), _planes(sent[:, i:j]), int(s), None) for i, j, s in zip(cuts, [*cuts[1:], len(shard)], sums)]
+        found = pa.table([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64()),
+                          pa.ListArray.from_arrays(pa.array([0, len(phrases)], pa.int32()), phrases)], schema=_FOUND)
+        return pa.concat_tables([_batch(back, _FOUND), found])
 
     return run
 
@@ -252,8 +279,10 @@ def _longer(indexes: DataFrame, common: DataFrame, least: int, bucket: int, fan:
     """The phrases of one word more that are found ``least`` times or more."""
     # no shard has more intervals than rows in those that are extended
     buckets = max(1, math.ceil((common.agg(F.sum("n")).first()[0] or 0) / bucket))
-    sent = common.select(F.shiftright("id", ROW_BITS).alias("shard"), "id", "n", "name")
-    packed = indexes.groupBy("shard").cogroup(sent.groupBy("shard")).applyInArrow(_extension(min(buckets, fan)), PACKED)
+    is_packed = "sent" in common.columns
+    sent = common.where(F.col("shard").isNotNull()).select("shard", "sent") if is_packed else \
+        common.select(F.shiftright("id", ROW_BITS).alias("shard"), "id", "n", "name")
+    packed = indexes.groupBy("shard").cogroup(sent.groupBy("shard")).applyInArrow(_extension(min(buckets, fan), is_packed), PACKED)
     if buckets > fan:
         packed = packed.repartition("bucket").mapInArrow(_dealt_again(buckets, 2 * bucket), PACKED)
     return packed.groupBy("bucket").applyInArrow(_summed_entries(least), FOUND)
@@ -283,7 +312,7 @@ def counted_phrases(docs: DataFrame, longest: int, least: int, shard_words: int,
     indexes = shards.select("shard", "bwt")
     for size in range(2, longest + 1):
         common = written(_longer(indexes, common, least, bucket, fan), f"phrases{size}")
-        levels.append(common.where("id = name").select("name", "f", "head", "tail"))
+        levels.append(common.where(F.col("shard").isNull()).select(F.explode("phrases").alias("p")).select("p.*"))
     return totals, levels
 
 
