@@ -264,6 +264,9 @@ def test_query_matches_its_sql(spark, name):
 
 
 CONTRACT = {
+    "op11_source_mixing": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
+    "op12_prefix_trie": "conv_id bigint, depth bigint, parent_conv_id bigint, n_convs bigint, n_children bigint, n_leaves bigint, saved_tokens bigint, ends_sha256 string",
+    "op13_phrase_collocations": "lang string, rank bigint, phrase string, a bigint, l bigint, r bigint, n bigint, score bigint",
     "op1_token_files": "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint",
     "op2_html_extraction": "page_id bigint, url string, text string, n_chars bigint",
     "op3_suffix_array_dedup": "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
