@@ -47,6 +47,53 @@ def test_span_hashes_depend_on_bytes_only(monkeypatch):
     assert (tb.span_hashes(data, starts, ends) == whole).all()
 
 
+def _thue_morse(n, a, b):
+    return "".join((a, b)[bin(k).count("1") % 2] for k in range(n))
+
+
+def test_span_hashes_are_the_polynomial():
+    rng = np.random.default_rng(3)
+    data = rng.integers(0, 256, 5000, dtype=np.uint8)
+    starts = np.arange(0, 4000, 7)
+    ends = starts + np.arange(len(starts)) % 5 + 400  # overlapping
+    p, base = (1 << 61) - 1, tb._PRIME_BASE
+    want = [sum((int(v) + 1) * pow(base, k, p) for k, v in enumerate(data[a:b])) % p for a, b in zip(starts[::40], ends[::40])]
+    assert (tb.span_hashes(data, starts, ends)[::40] == tb.mix(np.array(want, np.uint64))).all()
+
+
+def test_span_hashes_of_long_spans(monkeypatch):
+    data = np.frombuffer(b"ab " + b"x" * 90 + b" ab " + b"x" * 90, np.uint8)
+    starts, ends = tb.runs(~tb.SPACE[data], np.array([0, len(data)]))
+    monkeypatch.setattr(tb, "_CHUNK", 40)
+    monkeypatch.setattr(tb, "_LONGEST_SPAN", 64)
+    h = tb.span_hashes(data, starts, ends)
+    assert h[0] == h[2] and h[1] == h[3] and h[0] != h[1]
+
+
+@pytest.mark.parametrize("size", [256, 1024, 2048, 4096])
+def test_texts_that_collide_modulo_powers_of_two_are_told_apart(spark, size):
+    one, two = _thue_morse(size, "a", "b"), _thue_morse(size, "b", "a")
+    data = np.frombuffer((one + two).encode(), np.uint8)
+    assert len(set(tb.span_hashes(data, np.array([0, size]), np.array([size, 2 * size])).tolist())) == 2
+    # 4: two different lines; 5: an item's words are other words; 3: held to brute force
+    docs = spark.createDataFrame([(1, f"{one}\n{two}"), (2, " ".join(["x", one] * 13)), (3, "p" * 50 + one + "q" * 50), (4, "r" * 50 + two + "s" * 50)],
+                                 "doc_id long, text string").selectExpr("*", "'en' AS lang", "'s' AS source").coalesce(1)
+    counts = {r.doc_id: r.n_dup_lines for r in quality.text_statistics(docs).collect()}
+    assert counts == {1: 0, 2: 0, 3: 0, 4: 0}
+    items = spark.createDataFrame([("a", " ".join(["x", two] * 13))], "item_id string, text string")
+    assert not any(r.n_hit for r in decontaminate.contamination(docs, items).collect())
+    texts = [(r.doc_id, r.text) for r in docs.orderBy("doc_id").collect()]
+    got = {r.doc_id: r.n_removed for r in suffix.removal_digests(docs).collect()}
+    seen, want = set(), {}
+    for i, t in texts:
+        gone = set()
+        for k in range(len(t) - 99):
+            gone.update(range(k, k + 100) if t[k:k + 100] in seen else ())
+            seen.add(t[k:k + 100])
+        want[i] = len(gone)
+    assert got == want
+
+
 # -- 1 ----------------------------------------------------------------------------
 
 @pytest.mark.parametrize("ids", [[], [5], [0] * 1001, [k * k % 7 for k in range(5000)], list(range(3000)), [1, 2] * 700 + [3]])

@@ -157,9 +157,7 @@ def anchored_runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int)
         count = np.minimum(np.repeat(count, parts) - k * _LONGEST_RUN, _LONGEST_RUN)
         starts = np.repeat(starts, parts) + k * _LONGEST_RUN
     text = np.searchsorted(offsets, starts, "right") - 1
-    ends = starts + count + length - 1
-    with np.errstate(over="ignore"):
-        hashes = tb.mix((c[ends] - c[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    hashes = tb.span_hashes(data, starts, starts + count + length - 1)
     # positions that are the least of some window; equal neighbours make a run repeat
     most = _slide(np.concatenate([np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)]), width, np.maximum)
     chosen = np.flatnonzero(g == most)

@@ -7,6 +7,7 @@ memory follows the slice and the longest text, never the partition.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,21 +23,42 @@ _BASE = int(_rng.integers(1 << 40, 1 << 62)) * 2 + 1
 _CHUNK = 1 << 20
 
 
-def _powers(base: int, n: int) -> np.ndarray:
+#: Span hashes are residues modulo this Mersenne prime.
+_PRIME = np.uint64((1 << 61) - 1)
+_PRIME_BASE = int(_rng.integers(1 << 40, 1 << 60))
+#: A longer span has a digest of its own, so that sums below stay exact.
+_LONGEST_SPAN = 1 << 24
+_B30, _B31, _B61 = np.uint64(30), np.uint64(31), np.uint64(61)
+_M30, _M31 = np.uint64((1 << 30) - 1), np.uint64((1 << 31) - 1)
+
+
+def _residue(x: np.ndarray) -> np.ndarray:
+    x = (x & _PRIME) + (x >> _B61)
+    return np.where(x >= _PRIME, x - _PRIME, x)
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Product of residues, by halves of 31 bits (2**61 is 1)."""
+    a1, a0, b1, b0 = a >> _B31, a & _M31, b >> _B31, b & _M31
+    mid = a1 * b0 + a0 * b1
+    return _residue((a1 * b1 << np.uint64(1)) + (mid >> _B30) + ((mid & _M30) << _B31) + a0 * b0)
+
+
+def _powers(base: int, n: int, modulus: int = 1 << 64) -> np.ndarray:
     out = np.empty(n, np.uint64)
     out[0] = 1
     with np.errstate(over="ignore"):
         done = 1
         while done < n:
-            step = np.uint64(pow(base, done, 1 << 64))
+            step = np.uint64(pow(base, done, modulus))
             more = min(done, n - done)
-            out[done:done + more] = out[:more] * step
+            out[done:done + more] = out[:more] * step if modulus == 1 << 64 else _times(out[:more], step)
             done += more
     return out
 
 
 class _Pow:
-    """Powers of the hash base and of its inverse, grown on demand."""
+    """Powers of the anchors' base and of its inverse, grown on demand."""
 
     up = _powers(_BASE, 1024)
     down = _powers(pow(_BASE, -1, 1 << 64), 1024)
@@ -49,6 +71,21 @@ class _Pow:
         return cls.up, cls.down
 
 
+class _PrimePow:
+    """The same modulo the prime, the powers split into 30 and 31 bits."""
+
+    high = low = down = np.empty(0, np.uint64)
+
+    @classmethod
+    def get(cls, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if n > len(cls.low):
+            n = max(1024, 1 << (n - 1).bit_length())
+            up = _powers(_PRIME_BASE, n, int(_PRIME))
+            cls.high, cls.low = up >> _B31, up & _M31
+            cls.down = _powers(pow(_PRIME_BASE, -1, int(_PRIME)), n, int(_PRIME))
+        return cls.high, cls.low, cls.down
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """64-bit finaliser (public splitmix constants)."""
     with np.errstate(over="ignore"):
@@ -103,8 +140,10 @@ def per_text(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span (sorted, not overlapping): a polynomial
-    over random byte values modulo 2**64, finalised with the length."""
+    """64-bit hash of each byte span (starts and ends ascend; spans may
+    overlap): a polynomial over the bytes modulo a prime of 61 bits, finalised.
+    For a base drawn at random, two spans of n bytes collide with a chance of
+    n / 2**61 whatever their bytes are."""
     out = np.empty(len(starts), np.uint64)
     lo = 0
     with np.errstate(over="ignore"):
@@ -112,12 +151,19 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
             at = int(starts[lo])
             hi = max(lo + 1, int(np.searchsorted(ends, at + _CHUNK, "right")))
             n = int(ends[hi - 1]) - at
-            up, down = _Pow.get(n + 1)
-            c = np.empty(n + 1, np.uint64)
-            c[0] = 0
-            np.cumsum(_BYTE[data[at:at + n]] * up[:n], out=c[1:])
+            if n > _LONGEST_SPAN:  # one span
+                out[lo] = int.from_bytes(hashlib.blake2b(data[at:at + n].tobytes(), digest_size=8).digest(), "little")
+                lo = hi
+                continue
+            high, low, down = _PrimePow.get(n + 1)
+            byte = data[at:at + n].astype(np.uint64) + np.uint64(1)
             s, e = starts[lo:hi] - at, ends[lo:hi] - at
-            out[lo:hi] = mix((c[e] - c[s]) * down[s] + (e - s).astype(np.uint64))
+            c = np.zeros(n + 1, np.uint64)
+            np.cumsum(byte * high[:n], out=c[1:])
+            x = _times(_residue(c[e] - c[s]), np.uint64(1 << 31))
+            np.cumsum(byte * low[:n], out=c[1:])
+            x = _residue(x + _residue(c[e] - c[s]))
+            out[lo:hi] = mix(_times(x, down[s]))
             lo = hi
     return out
 
