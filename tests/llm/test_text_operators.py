@@ -421,6 +421,40 @@ def test_longest_matches_and_filter(spark):
     assert kept.count() == decontaminate.contamination(docs, bench).where("not contaminated").count() < docs.count()
 
 
+def _longest(texts, items):
+    """Of every item suffix: (item, place) to (length, doc_id, position)."""
+    out = {}
+    for name, item in items:
+        for place in range(len(item)):
+            best = None
+            for i, text in texts:
+                for at in range(len(text)):
+                    n = 0
+                    while place + n < len(item) and at + n < len(text) and item[place + n] == text[at + n]:
+                        n += 1
+                    key = (-n, (i is not None, i or 0), at)
+                    if n and (best is None or key < best[0]):
+                        best = key, (n, i, at)
+            if best:
+                out[name, place] = best[1]
+    return out
+
+
+@pytest.mark.parametrize("block_bytes", [4 << 20, 40])
+def test_longest_matches_name_the_earliest(spark, block_bytes):
+    import random
+
+    rng = random.Random(8)
+    texts = [(9 - k if k != 4 else None, [rng.choice("abcd") for _ in range(rng.randint(0, 30))]) for k in range(9)]
+    texts += [(2, texts[3][1]), (20, texts[4][1]), (1, texts[4][1])]
+    items = [(str(k), [rng.choice("abcde") for _ in range(rng.randint(0, 12))]) for k in range(6)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts], "doc_id long, text string")
+    table = spark.createDataFrame([(k, " ".join(t)) for k, t in items], "item_id string, text string")
+    for parts in (1, 3):
+        got = decontaminate.longest_matches(docs.repartition(parts), table, block_bytes=block_bytes).collect()
+        assert {(r.item_id, r.place): (r.length, r.doc_id, r.position) for r in got} == _longest(texts, items)
+
+
 # -- 7 --------------------------------------------------------------------------------
 
 def test_perfect_hash_is_minimal():

@@ -11,7 +11,8 @@ stretches between them that are long enough.
 The benchmark is the stated query set: it is indexed in blocks of about
 ``block_bytes`` bytes of text, each broadcast by itself, and the training texts
 are scanned once for each block. Nothing of the training side leaves its task
-but the results.
+but the results: of the first block's scan each row's word count and hits, of
+another's the hits of rows that have some, which then join the first's.
 
 Defined results: a null or wordless text has no hit and is clean; a null or
 wordless item never occurs; item rows that share an id count as one item, a
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import textbytes as tb
-from tidemark.llm.suffix import suffix_array
+from tidemark.llm.suffix import _cut, suffix_array
 from tidemark.session import materialize
 
 #: ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]`` after A-Z are lower-cased; every byte of
@@ -102,8 +103,9 @@ class Index:
     def _pair(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return a.astype(np.uint64) << np.uint64(32) | b.astype(np.uint64)
 
-    def stretches(self, starts: np.ndarray, hashes: np.ndarray, offsets: np.ndarray):
-        """Bounds (in words) of the shard's stretches that can hold a match."""
+    def stretches(self, starts: np.ndarray, hashes: np.ndarray, offsets: np.ndarray, least: int | None = None):
+        """Bounds (in words) of the shard's stretches that can hold a match of
+        ``least`` words (default: those of the shortest window)."""
         ids = self.vocabulary.index(hashes)
         known = ids >= 0
         if len(ids) < 2:
@@ -118,7 +120,7 @@ class Index:
         last = known.copy()
         last[:-1] &= ~joined
         a, b = np.flatnonzero(first), np.flatnonzero(last) + 1
-        long = b - a >= self.shortest
+        long = b - a >= (self.shortest if least is None else least)
         return ids, a[long], b[long]
 
 
@@ -140,8 +142,8 @@ def _bisect(codes, sa, lo, hi, depth, symbol, right: bool):
 
 def search(index: Index, ids: np.ndarray, a: np.ndarray, b: np.ndarray):
     """Suffix array of the stretches, and of every test suffix its longest
-    match: ``(word positions by row, suffix, length, one row, window rows lo,
-    hi)``; suffixes without a match are left out."""
+    match: ``(word positions by row, suffix, length, its rows lo, hi, window rows
+    lo, hi)``; suffixes without a match are left out."""
     sizes = b - a
     n = len(a)
     where = np.full(int(sizes.sum()) + n, -1, np.int64)
@@ -155,7 +157,7 @@ def search(index: Index, ids: np.ndarray, a: np.ndarray, b: np.ndarray):
     sa = suffix_array(codes)
     q = np.arange(len(index.words))
     lo, hi = np.zeros(len(q), np.int64), np.full(len(q), len(codes), np.int64)
-    length, row = np.zeros(len(q), np.int64), np.zeros(len(q), np.int64)
+    length, row, end = (np.zeros(len(q), np.int64) for _ in range(3))
     window_lo, window_hi = np.zeros(len(q), np.int64), np.zeros(len(q), np.int64)
     depth = 0
     while len(q):
@@ -165,13 +167,13 @@ def search(index: Index, ids: np.ndarray, a: np.ndarray, b: np.ndarray):
         found = left < right
         q, lo, hi = q[found], left[found], right[found]
         depth += 1
-        length[q], row[q] = depth, lo
+        length[q], row[q], end[q] = depth, lo, hi
         full = index.need[q] == depth
         window_lo[q[full]], window_hi[q[full]] = lo[full], hi[full]
         more = q + depth < index.ends[q]
         q, lo, hi = q[more], lo[more], hi[more]
     hit = np.flatnonzero(length)
-    return where[sa], hit, length[hit], row[hit], window_lo[hit], window_hi[hit]
+    return where[sa], hit, length[hit], row[hit], end[hit], window_lo[hit], window_hi[hit]
 
 
 def _occurrences(index: Index, positions, hit, lo, hi):
@@ -183,16 +185,21 @@ def _occurrences(index: Index, positions, hit, lo, hi):
     return at, np.repeat(index.need[hit], hi - lo), np.repeat(index.item[hit], hi - lo)
 
 
-_CARRIED = "doc_id long, row_hash long, text string, hits binary, items array<string>"
+_HITS = "doc_id long, row_hash long, n_words long, hits array<struct<start:long,stop:long>>, items array<string>"
 _DIGEST = ("doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, "
            "row_hash long")
 
 
-def _scan(shared, last: bool, percent: int):
+def _fields(ddl: str) -> list[str]:
+    return [c.split()[0] for c in ddl.split(", ")]
+
+
+def _scan(shared, every_row: bool):
+    """Per row: words, runs of hit words, names of the items found."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index: Index = shared.value
         for batch in batches:
-            before_hits, before_items = batch.column("hits"), batch.column("items")
             for lo, hi, data, offsets in tb.slices(batch.column("text")):
                 starts, hashes = words(data, offsets)
                 first = np.searchsorted(starts, offsets)
@@ -200,35 +207,42 @@ def _scan(shared, last: bool, percent: int):
                 items: list[set] = [set() for _ in range(hi - lo)]
                 ids, a, b = index.stretches(starts, hashes, offsets)
                 if len(a):
-                    positions, hit, _, _, w_lo, w_hi = search(index, ids, a, b)
+                    positions, hit, _, _, _, w_lo, w_hi = search(index, ids, a, b)
                     at, count, item = _occurrences(index, positions, hit, w_lo, w_hi)
                     np.add.at(hits, at, 1)
                     np.add.at(hits, at + count, -1)
                     text = np.searchsorted(first, at, "right") - 1
                     for t, i in np.unique(np.column_stack([text, item]), axis=0).tolist():
                         items[t].add(index.names[i])
-                flags = np.cumsum(hits[:-1]) > 0
-                out = []
-                for k in range(hi - lo):
-                    own = flags[first[k]:first[k + 1]]
-                    if (old := before_hits[lo + k]).is_valid:
-                        own = own | np.unpackbits(np.frombuffer(old.as_buffer(), np.uint8), count=len(own)).astype(bool)
-                        items[k].update(before_items[lo + k].as_py())
-                    names = sorted(items[k])
-                    n, n_hit = len(own), int(own.sum())
-                    out.append((np.packbits(own).tobytes() if n_hit else None, names, n, n_hit, len(names),
-                                hashlib.sha256(",".join(names).encode()).hexdigest(),
-                                n_hit > 0 and 100 * n_hit >= percent * n))
-                cols = list(zip(*out))
-                keep = [batch.column(c).slice(lo, hi - lo) for c in ("doc_id", "row_hash", "text")]
-                if last:
-                    yield pa.RecordBatch.from_arrays(
-                        [keep[0], *(pa.array(c, pa.int64()) for c in cols[2:5]), pa.array(cols[5], pa.string()),
-                         pa.array(cols[6], pa.bool_()), keep[1]], [c.split()[0] for c in _DIGEST.split(", ")])
-                else:
-                    yield pa.RecordBatch.from_arrays(
-                        keep + [pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.list_(pa.string()))],
-                        [c.split()[0] for c in _CARRIED.split(", ")])
+                start, stop = tb.runs(np.cumsum(hits[:-1]) > 0, first)
+                of = np.searchsorted(first, start, "right") - 1
+                ranges = pa.StructArray.from_arrays([pa.array(start - first[of]), pa.array(stop - first[of])], ["start", "stop"])
+                lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(of, np.arange(hi - lo + 1)), pa.int32()), ranges)
+                out = pa.RecordBatch.from_arrays(
+                    [batch.column(c).slice(lo, hi - lo) for c in ("doc_id", "row_hash")]
+                    + [pa.array(np.diff(first).astype(np.int64)), lists, pa.array([sorted(i) for i in items], pa.list_(pa.string()))],
+                    _fields(_HITS))
+                yield out if every_row else out.filter(pa.array([bool(i) for i in items], pa.bool_()))
+
+    return run
+
+
+def _digests(percent: int):
+    """Per row, of all blocks' runs and items (lists of lists): the results."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for n, hits, items in zip(*(batch.column(c).to_pylist() for c in ("n_words", "hits", "items"))):
+                pairs = np.array([(r["start"], r["stop"]) for h in hits for r in h], np.int64).reshape(-1, 2)
+                start, stop = _cut((pairs[:, 0], pairs[:, 1]), n)
+                n_hit, names = int((stop - start).sum()), sorted({i for names in items for i in names})
+                out.append((n, n_hit, len(names), hashlib.sha256(",".join(names).encode()).hexdigest(),
+                            n_hit > 0 and 100 * n_hit >= percent * n))
+            cols = list(zip(*out)) or [()] * 5
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.string()),
+                 pa.array(cols[4], pa.bool_()), batch.column("row_hash")], _fields(_DIGEST))
 
     return run
 
@@ -253,20 +267,28 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, perce
     window), n_items, items_sha256, contaminated (hit words make up
     ``percent`` or more), row_hash (of the text)."""
     context = docs.sparkSession.sparkContext
-    state = _texts(docs).withColumns({"hits": F.lit(None).cast("binary"), "items": F.lit(None).cast("array<string>")})
-    for n, k, index in _blocks(benchmark, window, block_bytes):
-        shared, last = context.broadcast(index), k == n - 1
-        state = state.mapInArrow(_scan(shared, last, percent), _DIGEST if last else _CARRIED)
-        if not last:
-            state, _ = materialize(state, "contamination")
-    return state
+    texts, rows, others = _texts(docs), None, None
+    for _, k, index in _blocks(benchmark, window, block_bytes):
+        found = texts.mapInArrow(_scan(context.broadcast(index), k == 0), _HITS)
+        if k == 0:
+            rows = found
+        else:
+            others = found if others is None else others.unionByName(found)
+    lists = [F.array("hits").alias("hits"), F.array("items").alias("items")]
+    if others is not None:
+        # one row for each text that another block hits; repeated rows are equal, a set drops them
+        more = others.groupBy(F.coalesce("doc_id", F.lit(tb.NULL_ID)).alias("_id"), F.col("row_hash").alias("_hash")).agg(
+            F.collect_set("hits").alias("_hits"), F.collect_set("items").alias("_items"))
+        rows = rows.join(more, (F.coalesce("doc_id", F.lit(tb.NULL_ID)) == F.col("_id")) & (F.col("row_hash") == F.col("_hash")), "left")
+        lists = [F.concat(F.array(c), F.coalesce(f"_{c}", F.array())).alias(c) for c in ("hits", "items")]
+    return rows.select("doc_id", "row_hash", "n_words", *lists).mapInArrow(_digests(percent), _DIGEST)
 
 
 def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = 13, block_bytes: int = 4 << 20) -> DataFrame:
     """Of every test suffix with a match in some shard the longest:
-    item_id, place (first word in the item), length (words), doc_id, position
-    (first word in the text; the least place in the earliest text of equals).
-    Matches of fewer words than the block's shortest window aren't sought."""
+    item_id, place (first word in the item), length (words, from 1 on), doc_id,
+    position (first word in the text). Of equally long matches the one of the
+    least doc_id (null first), then of the least position."""
     context, out = docs.sparkSession.sparkContext, None
     schema = "item_id string, place long, length long, doc_id long, position long"
     for _, _, index in _blocks(benchmark, window, block_bytes):
@@ -275,23 +297,35 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = 13, blo
         def run(batches, shared=shared):
             index = shared.value
             for batch in batches:
+                doc_ids = batch.column("doc_id")
+                order = doc_ids.fill_null(tb.NULL_ID).to_numpy()
                 for lo, hi, data, offsets in tb.slices(batch.column("text")):
                     starts, hashes = words(data, offsets)
                     first = np.searchsorted(starts, offsets)
-                    ids, a, b = index.stretches(starts, hashes, offsets)
+                    ids, a, b = index.stretches(starts, hashes, offsets, 1)
                     if not len(a):
                         continue
-                    positions, hit, length, row, _, _ = search(index, ids, a, b)
-                    at = positions[row]
-                    text = np.searchsorted(first, at, "right") - 1
+                    positions, hit, length, left, right, _, _ = search(index, ids, a, b)
+                    if not len(hit):
+                        continue
+                    # rank of each row by (doc_id, position); the least of each distinct interval
+                    text = np.searchsorted(first, positions, "right") - 1
+                    by = np.lexsort((positions - first[text], order[lo:hi][text]))
+                    rank = np.empty(len(by) + 1, np.int64)
+                    rank[by], rank[-1] = np.arange(len(by)), len(by)
+                    interval, which = np.unique(left << 32 | right, return_inverse=True)
+                    bounds = np.column_stack([interval >> 32, interval & 0xFFFFFFFF]).ravel()
+                    row = by[np.minimum.reduceat(rank, bounds)[::2]][which]
+                    at, text = positions[row], text[row]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([index.names[i] for i in index.item[hit]], pa.string()), pa.array(index.place[hit]),
-                         pa.array(length), batch.column("doc_id").slice(lo, hi - lo).take(pa.array(text)),
-                         pa.array(at - first[text])], [c.split()[0] for c in schema.split(", ")])
+                         pa.array(length), doc_ids.slice(lo, hi - lo).take(pa.array(text)),
+                         pa.array(at - first[text])], _fields(schema))
 
         found = _texts(docs).mapInArrow(run, schema)
         out = found if out is None else out.unionByName(found)
-    best = F.max_by(F.struct("length", "doc_id", "position"), F.struct("length", -F.col("doc_id"), -F.col("position")))
+    early = F.coalesce("doc_id", F.lit(tb.NULL_ID))
+    best = F.min_by(F.struct("length", "doc_id", "position"), F.struct(-F.col("length"), early, F.col("position")))
     return out.groupBy("item_id", "place").agg(best.alias("m")).select("item_id", "place", "m.*")
 
 
