@@ -297,35 +297,67 @@ def test_judge_on_edges(spark):
     assert quality.judge(H.empty_docs(spark)).count() == 0
 
 
-def _brute_estimate(x, support, steps):
-    """The method on one group with numpy."""
-    p = x.shape[1]
-    x = np.unique(np.round(x * quality.UNIT), axis=0) / quality.UNIT
-    floor = np.diag(np.square(quality.LEAST_SPREAD))
+def _percentile(values, share):
+    values = np.sort(values)
+    at = share * (len(values) - 1)
+    low = int(np.floor(at))
+    return values[low] + (values[min(low + 1, len(values) - 1)] - values[low]) * (at - low)
+
+
+def _brute_estimate(x, support=0.75):
+    """The method on one group's documents, a row each, with numpy."""
+    def fit(sub, scale):
+        d = (sub - sub.mean(0))
+        cov = quality.bounded(scale * d.T @ d / len(sub))
+        return sub.mean(0), np.linalg.inv(cov), round(float(np.linalg.slogdet(cov)[1]), 9)
+
     med = np.median(x, axis=0)
-    starts = [(med, np.diag((1.4826 * np.median(np.abs(x - med), axis=0)) ** 2) + floor), (x.mean(0), np.cov(x.T, bias=True) + floor)]
-    best = None
-    for mu, cov in starts:
-        for _ in range(steps):
-            d = np.floor(100 * np.log(np.maximum(np.einsum("ij,jk,ik->i", x - mu, np.linalg.inv(cov), x - mu), 0) + 1e-6))
-            sub = x[d <= np.ceil(np.percentile(d, 100 * support))]
-            mu, cov = sub.mean(0), quality.consistency(support) * np.cov(sub.T, bias=True).reshape(p, p) + floor
-        if best is None or np.linalg.slogdet(cov)[1] < best[2] - 1e-9:
-            best = mu, cov, np.linalg.slogdet(cov)[1]
-    return best
-
-
-def test_estimates_follow_the_method(spark):
-    docs = spark.read.parquet(f"{H.SF}/documents.parquet").where("lang = 'en'")
-    one = docs.selectExpr("doc_id", "text", "'en' AS lang", "'s' AS source")
-    stats = quality._vector(quality.text_statistics(one)).cache()
-    fit = {r.gk: r for r in quality.robust_estimates(stats).collect()}
-    x = np.array([[r[c] for c in quality.X] for r in stats.select(*quality.X).collect()]) / quality.UNIT
-    mu, cov, _ = _brute_estimate(x, 0.75, 5)
-    own = next(r for k, r in fit.items() if '"a":0' in k)
-    assert np.allclose(own.mu, mu, atol=0.02)
-    assert np.allclose(np.linalg.inv(np.array(own.inv).reshape(5, 5)), cov, rtol=0.1, atol=0.05)
-    stats.unpersist()
+    mad = np.array([1.4826 * _percentile(np.abs(x[:, i] - med[i]), 0.5) for i in range(x.shape[1])])
+    ends = []
+    for mu, inv in ((med, np.diag(1 / np.maximum(mad ** 2, np.square(quality.LEAST_SPREAD)))), fit(x, 1.0)[:2]):
+        logdet, steps = np.inf, 0
+        while True:
+            d = np.maximum(np.einsum("ij,jk,ik->i", x - mu, inv, x - mu), 0)
+            d = np.floor(100 * np.log(d + 1e-6))
+            new = fit(x[d <= np.ceil(_percentile(d, support))], quality.consistency(support))
+            if not new[2] < logdet:
+                break
+            (mu, inv, logdet), steps = new, steps + 1
+        ends.append((logdet, mu, inv, steps))
+    return min(ends, key=lambda e: e[0])
+
+
+def _vectors(rows):
+    return np.array([[r[c] for c in quality.X] for r in rows], float) / quality.UNIT
+
+
+@pytest.mark.parametrize("few", [50_000, 0])
+def test_estimates_and_verdicts_equal_brute_force(spark, monkeypatch, few):
+    """Location, precision and ``kept`` of every group of the table, with
+    broadcast groups and with shuffled ones."""
+    monkeypatch.setattr(quality, "MAX_BROADCAST_GROUPS", few)
+    docs = spark.read.parquet(f"{H.SF}/documents.parquet")
+    stats = quality._vector(quality.text_statistics(docs)).select("*", *(quality._key(k).alias(f"g{k}") for k in range(3)))
+    rows = stats.collect()
+    groups = {}
+    for r in rows:
+        for k in range(3):
+            groups.setdefault(r[f"g{k}"], []).append(r)
+    want = {g: _brute_estimate(_vectors(rs)) for g, rs in groups.items() if len(rs) >= 50}
+    got = {r.gk: r for r in quality.robust_estimates(stats).collect()}
+    assert set(got) == set(want) and len(set(w[3] for w in want.values())) > 1  # groups end after different steps
+    for g, (_, mu, inv, _) in want.items():
+        assert np.allclose(got[g].mu, mu, atol=1e-6) and np.allclose(np.array(got[g].inv).reshape(5, 5), inv, rtol=1e-5, atol=1e-5)
+    limit, kept = quality.chi2_quantile(1 - 1e-3, 5), {}
+    for r, x in zip(rows, _vectors(rows)):
+        fit = next((want[r[f"g{k}"]] for k in range(3) if r[f"g{k}"] in want), None)
+        good = fit is None or (x - fit[1]) @ fit[2] @ (x - fit[1]) <= limit
+        failed = r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words
+        kept.setdefault(r.doc_id, []).append(bool(good and not failed))
+    have = {}
+    for r in quality.judge(docs).collect():
+        have.setdefault(r.doc_id, []).append(r.kept)
+    assert {k: sorted(v) for k, v in have.items()} == {k: sorted(v) for k, v in kept.items()}
 
 
 def test_outliers_go_and_clean_documents_stay(spark):

@@ -5,7 +5,8 @@ outliers.
 ``robust_estimates`` fits, for each language and source, location and scatter
 by the minimum covariance determinant: of all subsets that hold a share
 ``support`` of the group's documents, concentration steps seek the one
-whose covariance has the least determinant. Every vector of the corpus takes
+whose covariance has the least determinant. A group's steps go on, from each of
+two starts, until its determinant no longer falls. Every vector of the group takes
 part in every step, with the number of its documents; each step is two mergeable aggregations, so a group that
 holds a third of all rows costs no task more than another. ``judge`` rejects a
 text whose transformed vector is farther (Mahalanobis) than the chi-square
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import textbytes as tb
-from tidemark.session import materialize
+from tidemark.session import materialize, release
 
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _SYMBOL = tb.classes(b"#*$%&|<>")
@@ -48,8 +49,9 @@ LEAST_SPREAD = (0.4, 0.1, 0.5, 0.95, 0.8)
 #: Duplicate lines repeat their words too: so much of log_dup_lines is taken off
 #: the logarithm of repeats.
 REPEATS_OF_LINES = 0.6
-#: Groups whose estimates (under 400 bytes each) are broadcast; with more, joins
-#: shuffle by group and leave skew to adaptive execution.
+#: Groups whose estimates (under 400 bytes each) are broadcast; with more, only the
+#: corpus's own is, and joins of the others shuffle by group and leave skew to
+#: adaptive execution.
 MAX_BROADCAST_GROUPS = 50_000
 #: Resolution of the transformed statistics; sums over them are exact.
 UNIT = 1000
@@ -223,49 +225,76 @@ def distance(mu: str = "mu", inv: str = "inv"):
     return F.greatest(sum(terms[1:], terms[0]), F.lit(0.0))
 
 
-def robust_estimates(stats: DataFrame, support: float = 0.75, steps: int = 5,
-                     min_group: int = 50) -> DataFrame:
+def _beside(rows: DataFrame, groups: DataFrame, few: bool, on: tuple[str, ...] = ("gk",)) -> DataFrame:
+    """rows joined with their group's columns. The corpus's group holds every
+    vector, so its own rows are broadcast however many groups there are."""
+    if few:
+        return rows.join(F.broadcast(groups), list(on))
+    corpus = F.col("gk") == _key(2)
+    return rows.where(corpus).join(F.broadcast(groups.where(corpus)), list(on)).unionByName(
+        rows.where(~corpus).join(groups.where(~corpus), list(on)))
+
+
+def robust_estimates(stats: DataFrame, support: float = 0.75, min_group: int = 50) -> DataFrame:
     """``gk, mu, inv`` of every (language, source), language, and the corpus
     with at least ``min_group`` documents. ``stats`` has _vector's
-    columns and should be a written table, as each step reads it."""
+    columns and should be a written table.
+
+    Steps from a start end when its determinant no longer falls; as it falls
+    over finitely many subsets, every start ends, and only groups that have not
+    yet ended are read again."""
+    spark = stats.sparkSession
     levels = F.explode(F.array(*(_key(k) for k in range(3)))).alias("gk")
     # a row for each distinct vector of a group, w: how many documents have it
     vectors = stats.groupBy("lang", "source", *X).agg(F.count("*").alias("w"))
-    pool, _ = materialize(vectors.select(levels, *X, "w").groupBy("gk", *X).agg(F.sum("w").alias("w")), "mcd-vectors")
+    pool, pool_path = materialize(vectors.select(levels, *X, "w").groupBy("gk", *X).agg(F.sum("w").alias("w")), "mcd-vectors")
     middle = lambda c: F.percentile(c, F.lit(0.5), F.col("w"))
     enough = pool.groupBy("gk").agg(F.sum("w").alias("n"), *(middle(c).alias(f"m{c}") for c in X)) \
         .where(F.col("n") >= min_group)
-    centre, _ = materialize(enough, "mcd-centre")
-    # a row for each group: with few of them, the vectors stay where they are
-    hint = F.broadcast if centre.count() <= MAX_BROADCAST_GROUPS else (lambda d: d)
-    pool = pool.join(hint(centre), "gk")
+    centre, centre_path = materialize(enough, "mcd-centre")
+    few = centre.count() <= MAX_BROADCAST_GROUPS
+    around = _beside(pool, centre, few)
     # two starts: medians with absolute deviations, and all rows of the group
-    spread = pool.groupBy("gk").agg(
+    spread = around.groupBy("gk").agg(
         *(F.first(f"m{c}").alias(f"m{c}") for c in X),
         *(middle(F.abs(F.col(c) - F.col(f"m{c}"))).alias(f"d{c}") for c in X))
     var = [F.greatest(F.pow(F.col(f"d{c}") * 1.4826 / UNIT, 2), F.lit(LEAST_SPREAD[i] ** 2)) for i, c in enumerate(X)]
     medians = spread.select(
         "gk", F.lit(0).alias("start"), F.array(*(F.col(f"m{c}") / UNIT for c in X)).alias("mu"),
         F.array(*(1 / var[i] if i == j else F.lit(0.0) for i in range(P) for j in range(P))).alias("inv"),
-        F.lit(0.0).alias("logdet"))
-    pool = pool.select("gk", *X, "w")
-    fit, _ = materialize(medians.unionByName(_fit(pool.withColumn("start", F.lit(1)), 1.0)), "mcd-start")
-    scale = consistency(support)
-    for k in range(steps):
+        F.lit(None).cast("double").alias("logdet"))
+    whole = _fit(around.select("gk", *X, "w", F.lit(1).alias("start")), 1.0).withColumn("logdet", F.lit(None).cast("double"))
+    fit, fit_path = materialize(medians.unionByName(whole).withColumn("falls", F.lit(True)), "mcd-start")
+    scale, names = consistency(support), ["mu", "inv", "logdet"]
+    while not fit.where("falls").isEmpty():
+        moving = fit.where("falls").drop("falls")
         # distances in steps of 1 %: an exact, mergeable and bounded order statistic
-        near = pool.join(hint(fit), "gk").select(
+        near = _beside(pool, moving.select("gk", "start", "mu", "inv"), few).select(
             "gk", "start", *X, "w", F.floor(100 * F.log(distance() + 1e-6)).cast("long").alias("_d"))
         limit = near.groupBy("gk", "start").agg(F.ceil(F.percentile("_d", F.lit(support), F.col("w"))).alias("_h"))
-        fit, _ = materialize(_fit(near.join(hint(limit), ["gk", "start"]).where("_d <= _h"), scale), f"mcd-step{k}")
-    return fit.groupBy("gk").agg(F.min_by(F.struct("mu", "inv"), F.struct("logdet", "start")).alias("f")) \
-        .select("gk", "f.mu", "f.inv")
+        inner = _beside(near, limit, few, ("gk", "start")).where("_d <= _h")
+        new = _fit(inner, scale).select("gk", "start", *(F.col(c).alias(f"_{c}") for c in names))
+        lower = F.col("logdet").isNull() | (F.col("_logdet") < F.col("logdet"))
+        stepped = moving.join(new, ["gk", "start"]).select(
+            "gk", "start", *(F.when(lower, F.col(f"_{c}")).otherwise(F.col(c)).alias(c) for c in names), lower.alias("falls"))
+        before = fit_path
+        fit, fit_path = materialize(fit.where("not falls").unionByName(stepped), "mcd-step")
+        release(spark, before)
+    best = fit.groupBy("gk").agg(F.min_by(F.struct("mu", "inv"), F.struct("logdet", "start")).alias("f")).select("gk", "f.mu", "f.inv")
+    out, _ = materialize(best, "mcd-fits")
+    for path in (pool_path, centre_path, fit_path):
+        release(spark, path)
+    return out
 
 
 def _verdicts(stats: DataFrame, fits: DataFrame, tail: float, min_words: int, max_repeat_percent: int) -> DataFrame:
     """stats (with vectors) and base_failed, distance2, kept."""
     hint = F.broadcast if fits.count() <= MAX_BROADCAST_GROUPS else (lambda d: d)
-    d = stats.withColumns({f"_g{k}": _key(k) for k in range(3)})
-    for k in range(3):
+    d = stats.withColumns({f"_g{k}": _key(k) for k in range(2)})
+    corpus = fits.where(F.col("gk") == _key(2)).first()  # one row of 30 numbers
+    numbers = lambda v: F.array(*map(F.lit, v)) if v else F.lit(None).cast("array<double>")
+    d = d.withColumns({f"_{c}2": numbers(corpus and corpus[c]) for c in ("mu", "inv")})
+    for k in range(2):
         d = d.join(hint(fits.select(F.col("gk").alias(f"_g{k}"), F.col("mu").alias(f"_mu{k}"),
                                     F.col("inv").alias(f"_inv{k}"))), f"_g{k}", "left")
     d = d.withColumns({c: F.coalesce(*(F.col(f"_{c}{k}") for k in range(3))) for c in ("mu", "inv")})
@@ -275,24 +304,25 @@ def _verdicts(stats: DataFrame, fits: DataFrame, tail: float, min_words: int, ma
     return d.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance2") <= limit, F.lit(True)))
 
 
-def judge(docs: DataFrame, support: float = 0.75, steps: int = 5, min_group: int = 50,
+def judge(docs: DataFrame, support: float = 0.75, min_group: int = 50,
           tail: float = 1e-3, min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
     """Per row of docs: doc_id, ``STATS``, base_failed, kept, distance2 (null
     where no estimate applies)."""
     stats, _ = materialize(_vector(text_statistics(docs)), "quality-stats")
-    fits, _ = materialize(robust_estimates(stats, support, steps, min_group), "mcd-fits")
+    fits = robust_estimates(stats, support, min_group)
     return _verdicts(stats, fits, tail, min_words, max_repeat_percent).select(
         "doc_id", *STATS, "base_failed", "kept", "distance2")
 
 
-def filter_documents(docs: DataFrame, support: float = 0.75, steps: int = 5, min_group: int = 50,
+def filter_documents(docs: DataFrame, support: float = 0.75, min_group: int = 50,
                      tail: float = 1e-3, min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
     """docs without the rows that ``judge`` rejects; columns as they were.
 
     The texts are counted twice, for the estimates and for the verdicts, so
     that no row has to be found again by a join."""
-    stats, _ = materialize(_vector(text_statistics(docs)).select("lang", "source", *X), "quality-vectors")
-    fits, _ = materialize(robust_estimates(stats, support, steps, min_group), "mcd-fits")
+    stats, path = materialize(_vector(text_statistics(docs)).select("lang", "source", *X), "quality-vectors")
+    fits = robust_estimates(stats, support, min_group)
+    release(docs.sparkSession, path)
     names = docs.columns
     rows = _texts(docs, F.struct(*(docs[c] for c in names)).alias("row"))
     schema = T.StructType([rows.schema["row"], *T.StructType.fromDDL(f"lang string, source string, {_COUNTS}").fields])
