@@ -154,3 +154,23 @@ def test_compact_closed_dates(spark, tmp):
     assert len(list_dirs(spark, f"{tmp}/stage/p_date=2024-01-30")) == 3  # still open
     assert sorted(map(tuple, store.read(spark).collect()), key=repr) == rows
     assert store.compact(spark, "2024-01-30", min_batches=3) == []
+
+
+def test_working_copies_go_but_for_the_kept(spark):
+    import os
+
+    from tidemark.session import materialize, working_copies
+
+    df = spark.range(5)
+    with working_copies(spark) as outer:
+        _, first = materialize(df, "first")
+        with working_copies(spark) as inner:
+            _, dropped = materialize(df, "dropped")
+            result, passed = materialize(df, "passed")
+            inner.add(passed)
+        assert os.path.exists(first) and not os.path.exists(dropped)
+        assert result.count() == 5
+        outer.add(first)
+    assert os.path.exists(first) and not os.path.exists(passed)
+    _, alone = materialize(df, "alone")
+    assert os.path.exists(alone)

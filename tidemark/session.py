@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import re
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -124,6 +125,30 @@ def shuffle_files_dropped(spark: SparkSession):
         spark.conf.set(_SHUFFLE_CLEANUP, before) if before else spark.conf.unset(_SHUFFLE_CLEANUP)
 
 
+_copies = threading.local()
+
+
+@contextlib.contextmanager
+def working_copies(spark: SparkSession):
+    """Releases at its end the copies that ``materialize`` wrote inside (in
+    this thread), but for the paths added to the set it gives; those pass to
+    the block around it, if there is one. For results that are written before
+    the block ends: a DataFrame that still reads a released copy fails."""
+    stack = _copies.__dict__.setdefault("stack", [])
+    written: list[str] = []
+    kept: set[str] = set()
+    stack.append(written)
+    try:
+        yield kept
+    finally:
+        stack.pop()
+        for path in written:
+            if path not in kept:
+                release(spark, path)
+            elif stack:
+                stack[-1].append(path)
+
+
 def materialize(df, name: str, root: str | None = None, partition_by: tuple[str, ...] = ()):
     """Write ``df`` once as Parquet below ``root`` (a job's lake; default: the
     shared checkpoint folder) and return ``(reread DataFrame, path)``.
@@ -136,6 +161,8 @@ def materialize(df, name: str, root: str | None = None, partition_by: tuple[str,
     ``release`` when the data is no longer read."""
     spark = df.sparkSession
     path = work_dir(spark, name, root)
+    if stack := getattr(_copies, "stack", None):
+        stack[-1].append(path)
     writer = df.write.mode("overwrite")
     with shuffle_files_dropped(spark):
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
