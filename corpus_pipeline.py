@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import bpe, decontaminate, quality, simhash, suffix
 from tidemark.llm.queries import vocabulary_file, vocabulary_pattern
-from tidemark.session import materialize
+from tidemark.session import materialize, release, working_copies
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,9 +54,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs, _ = materialize(docs, f"pipeline{k}")
-    return docs
+    """Rows of the last stage. What a stage wrote for itself goes when its
+    result is written, and that when the next stage's is."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        with working_copies(spark) as kept:
+            docs, path = materialize(stage(spark, docs, sf_dir), f"pipeline{k}")
+            kept.add(path)
+        if before:
+            release(spark, before)
+        before = path
+    return STAGES[-1][1](spark, docs, sf_dir)
