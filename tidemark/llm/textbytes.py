@@ -20,7 +20,7 @@ NULL_ID = -(1 << 63)
 _rng = np.random.default_rng(20240131)
 _BYTE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = int(_rng.integers(1 << 40, 1 << 62)) * 2 + 1
-_CHUNK = 1 << 20
+_CHUNK = 1 << 16
 
 
 #: Span hashes are residues modulo this Mersenne prime.
