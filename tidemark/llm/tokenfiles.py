@@ -54,15 +54,16 @@ def _frequent_pairs(seq: np.ndarray, fresh: int, waiting: np.ndarray, symbols: i
     """Keys and counts of the pairs of neighbours found ``least`` times or more.
     After a round only pairs with one of its symbols (``fresh`` and above) can
     have become frequent, and of the others only ``waiting`` ones still are."""
-    a, b = seq[:-1], seq[1:]
     if fresh:
-        near = (a >= fresh) | (b >= fresh)
-        if len(waiting):
-            left, right = np.zeros(symbols, bool), np.zeros(symbols, bool)
-            left[waiting[:, 0]] = right[waiting[:, 1]] = True
-            near |= left[a] & right[b]
-        a, b = a[near], b[near]
-    key = a.astype(np.int64) * symbols + b
+        side = np.zeros(symbols, np.uint8)  # 1: left of a waiting pair, 2: right of one, 4: fresh
+        side[waiting[:, 0]] = 1
+        side[waiting[:, 1]] |= 2
+        side[fresh:] = 4
+        near = side[seq]
+        at = np.flatnonzero((near[:-1] & near[1:] >> 1 & 1) | (near[:-1] | near[1:]) & 4)
+        key = seq[at] * symbols + seq[at + 1]
+    else:
+        key = seq[:-1] * symbols + seq[1:]
     key.sort()
     if not len(key):
         return key, key
@@ -94,18 +95,19 @@ def _choose(keys: np.ndarray, counts: np.ndarray, symbols: int, most: int) -> np
 def compress(ids: np.ndarray, terminals: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """``(sequence, rules of each round)``; rule k of all rounds in order is
     symbol ``terminals + k``, a row (left, right)."""
-    seq, rounds, symbols, fresh = ids.astype(np.int32), [], terminals, 0
+    seq, rounds, symbols, fresh = ids.astype(np.int64), [], terminals, 0
     waiting = np.empty((0, 2), np.int64)
     while len(seq) > 1:
         keys, counts = _frequent_pairs(seq, fresh, waiting, symbols, LEAST_COUNT)
         chosen = _choose(keys, counts, symbols, _ROUND_RULES)
         if not len(chosen):
             break
-        left, right = np.zeros(symbols, bool), np.zeros(symbols, bool)
-        left[chosen // symbols] = True
-        right[chosen % symbols] = True
-        at = np.flatnonzero(left[seq[:-1]] & right[seq[1:]])
-        key = seq[at].astype(np.int64) * symbols + seq[at + 1]
+        side = np.zeros(symbols, np.uint8)  # 1: left of a chosen pair, 2: right of one
+        side[chosen // symbols] = 1
+        side[chosen % symbols] |= 2
+        near = side[seq]
+        at = np.flatnonzero(near[:-1] & near[1:] >> 1 & 1)
+        key = seq[at] * symbols + seq[at + 1]
         rule = np.minimum(np.searchsorted(chosen, key), len(chosen) - 1)
         hit = chosen[rule] == key
         at, rule = at[hit], rule[hit]
@@ -254,14 +256,12 @@ class _Whole:
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
 
-    def begin(self) -> None:
-        pass
-
-    def rows_of(self, texts: list[bytes]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch([t.decode() for t in texts], add_special_tokens=False)]
-
-    def look_up(self, ids: np.ndarray) -> np.ndarray:
-        return ids
+    def encode_slice(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All texts' ids, flat, and each text's number of ids."""
+        raw = data.tobytes()
+        texts = [raw[a:b].decode() for a, b in zip(offsets[:-1], offsets[1:])]
+        rows = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return np.concatenate(rows), np.fromiter(map(len, rows), np.int64, len(rows))
 
 
 class _Words:
@@ -313,7 +313,7 @@ class _Words:
 
 class _Table(PieceTable):
     """Rows of ids by stretch; also whether a comma or full stop after a stretch
-    is a token by itself."""
+    is a token by itself (found out for those that have one after them)."""
 
     def __init__(self, words: _Words, limit: int):
         self.words = words
@@ -321,45 +321,71 @@ class _Table(PieceTable):
 
     def _reset(self) -> None:
         super()._reset()
-        self.solid = np.zeros(1 << 12, bool)
-        self.marks = [self[b","], self[b"."]]
+        self.names: list[bytes] = []
+        self.solid = np.zeros(1 << 12, np.int8)  # 0: not known yet, 1: yes, 2: no
 
     def settle(self) -> None:
-        new, first = self.new, self.rows
+        self.names += self.new
         super().settle()
-        if first + len(new) > len(self.solid):
-            self.solid = np.resize(self.solid, 2 * (first + len(new)))
-        self.solid[first:first + len(new)] = [self.words.ends_alone(w) for w in new]
-
-    def rows_of(self, texts: list[bytes]) -> list[np.ndarray]:
-        """Settled rows of each text's stretches; where a comma or full stop
-        was cut from something else, of its whole stretches."""
-        get = self.__getitem__
-        rows = [np.fromiter(map(get, c), np.int64, len(c)) for c in map(stretches, texts)]
-        self.settle()
-        wrong = []
-        for k, r in enumerate(rows):
-            at = np.flatnonzero((r[1:] == self.marks[0]) | (r[1:] == self.marks[1]))
-            if not self.solid[r[at]].all():
-                wrong.append(k)
-        for k in wrong:
-            c = _lower(texts[k]).split()
-            rows[k] = np.fromiter(map(get, c), np.int64, len(c))
+        if self.rows > len(self.solid):
+            self.solid = np.concatenate([self.solid, np.zeros(2 * self.rows - len(self.solid), np.int8)])
+
+    def _rows(self, stretches: list[bytes]) -> np.ndarray:
+        rows = np.fromiter(map(self.__getitem__, stretches), np.int64, len(stretches))
         self.settle()
         return rows
 
-
-def _lower(text: bytes) -> bytes:
+    def encode_slice(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All texts' ids, flat, and each text's number of ids. Each distinct
+        stretch of the slice is looked up once. A comma or full stop at a
+        stretch's end is taken for a stretch of its own, unless the tokenizer
+        would not cut it there."""
+        self.begin()
+        text = _lower(data, offsets)
+        inside = ~tb.SPACE[text]
+        first, last = tb.runs(inside, offsets)
+        end = text[last - 1]
+        cut = ((end == ord(",")) | (end == ord("."))) & (last - first > 1)
+        at = np.arange(len(first)) + np.cumsum(cut) - cut
+        start = np.repeat(first, 1 + cut)
+        start[at[cut] + 1] = last[cut] - 1
+        stop = np.repeat(last, 1 + cut)
+        stop[at[cut]] -= 1
+        ends = np.concatenate([[0], np.cumsum(stop - start)]).astype(np.int32)
+        found = pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(text[inside])]).dictionary_encode()
+        rows = self._rows(_words_of(found.dictionary))[found.indices.to_numpy()]
+        at = at[cut]
+        before = rows[at]
+        for r in np.unique(before[self.solid[before] == 0]).tolist():
+            self.solid[r] = 1 if self.words.ends_alone(self.names[r]) else 2
+        joined = at[self.solid[before] == 2]
+        if len(joined):
+            rows[joined] = self._rows([text[a:b].tobytes() for a, b in zip(start[joined], stop[joined + 1])])
+            rows, start = np.delete(rows, joined + 1), np.delete(start, joined + 1)
+        done = np.concatenate([[0], np.cumsum(self.lengths[rows])])
+        return self.look_up(rows), np.diff(done[np.searchsorted(start, offsets)])
+
+
+def _words_of(column: pa.Array) -> list[bytes]:
+    """The values of a binary column that have no space, by one split."""
+    ends = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, 4 * column.offset)
+    size = np.diff(ends)
+    spaced = np.full(int(ends[-1] - ends[0]) + len(size), ord(" "), np.uint8)
+    spaced[np.arange(ends[-1] - ends[0]) + np.repeat(np.arange(len(size)), size)] = np.frombuffer(column.buffers()[2], np.uint8)[ends[0]:ends[-1]]
+    return spaced.tobytes().split()
+
+
+def _lower(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """In lower case, as the tokenizer takes it; a text that may hold a special
     token keeps its case."""
-    return text if b"<|" in text else text.lower()
-
-
-def stretches(text: bytes) -> list[bytes]:
-    """What stands between ASCII white space; a comma or full stop before it is
-    taken for a stretch of its own."""
-    text = _lower(text) + b" "
-    return text.replace(b", ", b" , ").replace(b". ", b" . ").replace(b",\n", b" , ").replace(b".\n", b" . ").split()
+    text = tb.LOWER[data]
+    raw = data.tobytes()
+    at = raw.find(b"<|")
+    while at >= 0:
+        k = int(np.searchsorted(offsets, at, "right"))
+        text[offsets[k - 1]:offsets[k]] = data[offsets[k - 1]:offsets[k]]
+        at = raw.find(b"<|", int(offsets[k]))
+    return text
 
 
 def _pieces(content: bytes) -> tuple[_Table | _Whole, int]:
@@ -403,13 +429,12 @@ def _write(shared, end_id: int):
             return out
 
         for batch in batches:
-            for lo, hi, data, offsets in tb.slices(batch.column("text")):
+            for lo, hi, data, offsets in tb.slices(batch.column("text"), 2 * tb.SLICE_BYTES):
                 ids = batch.column("doc_id").slice(lo, hi - lo).to_pylist()
-                table.begin()
-                raw = data.tobytes()
-                rows = table.rows_of([raw[a:b] for a, b in zip(offsets[:-1], offsets[1:])])
-                for d, r in zip(ids, rows):
-                    own = np.concatenate([table.look_up(r), end])
+                found, counts = table.encode_slice(data, offsets)
+                cuts = np.cumsum(counts)
+                for d, a, b in zip(ids, cuts - counts, cuts):
+                    own = np.concatenate([found[a:b], end])
                     held.append(own)
                     docs.append(d)
                     size += len(own)
