@@ -196,12 +196,16 @@ class PieceTable(dict):
         if self.rows > self.limit:
             self._reset()
 
+    def resolve(self, pieces: list) -> tuple[np.ndarray, np.ndarray]:
+        """All pieces' ids, flat, and each piece's number of ids."""
+        found = self.encode(pieces)
+        return np.fromiter(chain.from_iterable(found), np.int32), np.fromiter(map(len, found), np.int64, len(found))
+
     def settle(self) -> None:
         if not self.new:
             return
-        found = self.encode(self.new)
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        total, rows = int(lengths.sum()), self.rows + len(found)
+        ids, lengths = self.resolve(self.new)
+        total, rows = len(ids), self.rows + len(lengths)
         if rows > len(self.starts):
             self.starts = np.resize(self.starts, 2 * rows)
             self.lengths = np.resize(self.lengths, 2 * rows)
@@ -209,7 +213,7 @@ class PieceTable(dict):
             self.ids = np.resize(self.ids, 2 * (self.used + total))
         self.lengths[self.rows:rows] = lengths
         self.starts[self.rows:rows] = self.used + np.cumsum(lengths) - lengths
-        self.ids[self.used:self.used + total] = np.fromiter(chain.from_iterable(found), np.int32, total)
+        self.ids[self.used:self.used + total] = ids
         self.used += total
         self.rows = rows
         self.new = []

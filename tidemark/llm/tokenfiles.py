@@ -25,8 +25,10 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import string
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -231,6 +233,12 @@ _LOADED: dict[str, tuple] = {}
 MAX_WORDS = 800_000
 #: Stands between words that are encoded in one call.
 _MARK = "|"
+_CALL_WORDS = 256
+#: Of a byte: 1 an ASCII letter or digit, 2 an ASCII mark but the apostrophe.
+#: No token holds both, and the normalizer changes neither for the other.
+_SIDE = np.zeros(256, np.uint8)
+_SIDE[list(string.punctuation.replace("'", "").encode())] = 2
+_SIDE[list((string.ascii_letters + string.digits).encode())] = 1
 
 
 # Normalizers, and the pre-tokenizer's pattern, under which a text
@@ -294,30 +302,51 @@ class _Words:
     def encode(self, words: list[bytes]) -> list[list[int]]:
         found: dict[bytes, list[int]] = {}
         mark = self.mark
-        letters = [w for w in words if w.isalpha() or not w.isascii() and w.decode().isalpha()] if self.last.any() else []
-        for lo in range(0, len(letters), 1000):
-            part = letters[lo:lo + 1000]
-            ids = self._encode(b" ".join(part).decode())
-            ends = (np.flatnonzero(self.last[ids]) + 1).tolist()
-            if len(ends) == len(part):  # so each is one piece, as none can be less
-                found.update(zip(part, [ids[i:j] for i, j in zip([0, *ends], ends)]))
-        plain = [w for w in words if w not in found and b"|" not in w] if mark is not None else []
-        for lo in range(0, len(plain), 1000):
-            part = plain[lo:lo + 1000]
+        plain = [w for w in words if b"|" not in w] if mark is not None else []
+        for lo in range(0, len(plain), _CALL_WORDS):
+            part = plain[lo:lo + _CALL_WORDS]
             ids = self._encode(b" | ".join(part).decode())
             cuts = [-1, *(i for i, x in enumerate(ids) if x == mark), len(ids)]
             if len(cuts) == len(part) + 1:
                 found.update(zip(part, [ids[i + 1:j] for i, j in zip(cuts, cuts[1:])]))
         return [found[w] if w in found else self._encode(w.decode()) for w in words]
 
+    def resolve(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All words' ids, flat, and each word's number of ids. Words of letters
+        are told apart by the model's word ends, others by marks."""
+        texts = b" ".join(words).decode().split(" ")
+        letters = np.fromiter(map(str.isalpha, texts), bool, len(texts)) if self.last.any() else np.zeros(len(texts), bool)
+        order, parts, sizes = [], [], []
+        other = [np.flatnonzero(~letters)]
+        letters = np.flatnonzero(letters)
+        for lo in range(0, len(letters), _CALL_WORDS):
+            at = letters[lo:lo + _CALL_WORDS]
+            ids = np.array(self._encode(" ".join([texts[k] for k in at.tolist()])), np.int32)
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) == len(at):  # so each is one piece, as none can be less
+                order.append(at)
+                parts.append(ids)
+                sizes.append(np.diff(ends, prepend=0))
+            else:
+                other.append(at)
+        rest = np.concatenate(other)
+        found = self.encode([words[k] for k in rest.tolist()])
+        order.append(rest)
+        parts.append(np.fromiter(chain.from_iterable(found), np.int32))
+        sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+        size = np.concatenate(sizes)
+        back = np.argsort(np.concatenate(order))
+        return tb.gather(np.concatenate(parts), (np.cumsum(size) - size)[back], size[back]), size[back]
+
 
 class _Table(PieceTable):
-    """Rows of ids by stretch; also whether a comma or full stop after a stretch
-    is a token by itself (found out for those that have one after them)."""
+    """Rows of ids by piece of a stretch; also whether a mark after a piece is a
+    token by itself (found out for those that have one after them)."""
 
     def __init__(self, words: _Words, limit: int):
         self.words = words
         super().__init__(words.encode, limit)
+        self.resolve = words.resolve
 
     def _reset(self) -> None:
         super()._reset()
@@ -337,31 +366,42 @@ class _Table(PieceTable):
 
     def encode_slice(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids, flat, and each text's number of ids. Each distinct
-        stretch of the slice is looked up once. A comma or full stop at a
-        stretch's end is taken for a stretch of its own, unless the tokenizer
-        would not cut it there."""
+        piece of the slice is looked up once. Stretches are cut between ASCII
+        letters or digits and marks, and before the marks at their end, unless
+        the tokenizer would not cut these from the character before them."""
         self.begin()
-        text = _lower(data, offsets)
+        text, cased = _lower(data, offsets)
         inside = ~tb.SPACE[text]
         first, last = tb.runs(inside, offsets)
-        end = text[last - 1]
-        cut = ((end == ord(",")) | (end == ord("."))) & (last - first > 1)
-        at = np.arange(len(first)) + np.cumsum(cut) - cut
-        start = np.repeat(first, 1 + cut)
-        start[at[cut] + 1] = last[cut] - 1
-        stop = np.repeat(last, 1 + cut)
-        stop[at[cut]] -= 1
-        ends = np.concatenate([[0], np.cumsum(stop - start)]).astype(np.int32)
+        side = _SIDE[text]
+        for k in cased:  # may hold special tokens: whole stretches
+            side[offsets[k]:offsets[k + 1]] = 0
+        begin = np.zeros(len(text), bool)
+        begin[1:] = side[1:] + side[:-1] == 3
+        begin[first] = True
+        marks = side == 2
+        marks[1:] &= side[:-1] != 2
+        marks = np.flatnonzero(marks)
+        close = last[side[last - 1] == 2]
+        opened = first[side[last - 1] == 2]
+        tail = np.maximum(marks[np.searchsorted(marks, close) - 1], opened) if len(close) else close
+        soft = tail > opened
+        soft[soft] = side[tail[soft] - 1] == 0
+        tail, close = tail[soft], close[soft]
+        begin[tail] = True
+        start = np.flatnonzero(begin)
+        ends = np.append(np.flatnonzero(begin[inside]), np.count_nonzero(inside)).astype(np.int32)
         found = pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(text[inside])]).dictionary_encode()
         rows = self._rows(_words_of(found.dictionary))[found.indices.to_numpy()]
-        at = at[cut]
+        at = np.searchsorted(start, tail) - 1
         before = rows[at]
         for r in np.unique(before[self.solid[before] == 0]).tolist():
             self.solid[r] = 1 if self.words.ends_alone(self.names[r]) else 2
-        joined = at[self.solid[before] == 2]
-        if len(joined):
-            rows[joined] = self._rows([text[a:b].tobytes() for a, b in zip(start[joined], stop[joined + 1])])
-            rows, start = np.delete(rows, joined + 1), np.delete(start, joined + 1)
+        whole = self.solid[before] == 2
+        if whole.any():
+            at = at[whole]
+            rows[at] = self._rows([text[a:b].tobytes() for a, b in zip(start[at], close[whole])])
+            rows, start = np.delete(rows, at + 1), np.delete(start, at + 1)
         done = np.concatenate([[0], np.cumsum(self.lengths[rows])])
         return self.look_up(rows), np.diff(done[np.searchsorted(start, offsets)])
 
@@ -375,17 +415,18 @@ def _words_of(column: pa.Array) -> list[bytes]:
     return spaced.tobytes().split()
 
 
-def _lower(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """In lower case, as the tokenizer takes it; a text that may hold a special
-    token keeps its case."""
-    text = tb.LOWER[data]
+def _lower(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """In lower case, as the tokenizer takes it, and which texts keep their
+    case, as they may hold a special token."""
+    text, cased = tb.LOWER[data], []
     raw = data.tobytes()
     at = raw.find(b"<|")
     while at >= 0:
         k = int(np.searchsorted(offsets, at, "right"))
         text[offsets[k - 1]:offsets[k]] = data[offsets[k - 1]:offsets[k]]
+        cased.append(k - 1)
         at = raw.find(b"<|", int(offsets[k]))
-    return text
+    return text, cased
 
 
 def _pieces(content: bytes) -> tuple[_Table | _Whole, int]:
