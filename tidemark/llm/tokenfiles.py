@@ -62,7 +62,7 @@ def _frequent_pairs(seq: np.ndarray, fresh: int, waiting: np.ndarray, symbols: i
         side[waiting[:, 1]] |= 2
         side[fresh:] = 4
         near = side[seq]
-        at = np.flatnonzero((near[:-1] & near[1:] >> 1 & 1) | (near[:-1] | near[1:]) & 4)
+        at = np.flatnonzero(((near[:-1] & near[1:] >> 1 & 1) | (near[:-1] | near[1:]) & 4).astype(bool))
         key = seq[at] * symbols + seq[at + 1]
     else:
         key = seq[:-1] * symbols + seq[1:]
@@ -108,7 +108,7 @@ def compress(ids: np.ndarray, terminals: int) -> tuple[np.ndarray, list[np.ndarr
         side[chosen // symbols] = 1
         side[chosen % symbols] |= 2
         near = side[seq]
-        at = np.flatnonzero(near[:-1] & near[1:] >> 1 & 1)
+        at = np.flatnonzero((near[:-1] & near[1:] >> 1 & 1).view(bool))
         key = seq[at] * symbols + seq[at + 1]
         rule = np.minimum(np.searchsorted(chosen, key), len(chosen) - 1)
         hit = chosen[rule] == key
@@ -234,11 +234,13 @@ MAX_WORDS = 800_000
 #: Stands between words that are encoded in one call.
 _MARK = "|"
 _CALL_WORDS = 256
-#: Of a byte: 1 an ASCII letter or digit, 2 an ASCII mark but the apostrophe.
-#: No token holds both, and the normalizer changes neither for the other.
+#: Of a byte: 1 an ASCII letter or digit, 2 an ASCII mark but the apostrophe, 4
+#: white space. No token holds both of the first two, and the normalizer
+#: changes neither for the other.
 _SIDE = np.zeros(256, np.uint8)
 _SIDE[list(string.punctuation.replace("'", "").encode())] = 2
 _SIDE[list((string.ascii_letters + string.digits).encode())] = 1
+_SIDE[tb.SPACE] = 4
 
 
 # Normalizers, and the pre-tokenizer's pattern, under which a text
@@ -371,11 +373,11 @@ class _Table(PieceTable):
         the tokenizer would not cut these from the character before them."""
         self.begin()
         text, cased = _lower(data, offsets)
-        inside = ~tb.SPACE[text]
-        first, last = tb.runs(inside, offsets)
         side = _SIDE[text]
+        inside = side != 4
+        first, last = tb.runs(inside, offsets)
         for k in cased:  # may hold special tokens: whole stretches
-            side[offsets[k]:offsets[k + 1]] = 0
+            side[offsets[k]:offsets[k + 1]] &= 4
         begin = np.zeros(len(text), bool)
         begin[1:] = side[1:] + side[:-1] == 3
         begin[first] = True
@@ -418,9 +420,11 @@ def _words_of(column: pa.Array) -> list[bytes]:
 def _lower(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, list[int]]:
     """In lower case, as the tokenizer takes it, and which texts keep their
     case, as they may hold a special token."""
-    text, cased = tb.LOWER[data], []
-    raw = data.tobytes()
+    raw, cased = data.tobytes(), []
+    text = np.frombuffer(raw.lower(), np.uint8)
     at = raw.find(b"<|")
+    if at >= 0:
+        text = text.copy()
     while at >= 0:
         k = int(np.searchsorted(offsets, at, "right"))
         text[offsets[k - 1]:offsets[k]] = data[offsets[k - 1]:offsets[k]]
