@@ -38,7 +38,7 @@ from tidemark.plans.jobs import (
 )
 from tidemark.plans.storage import write_bucketed
 from tidemark.session import work_dir
-from tidemark.sources.objects import filter_listing, list_changed, list_objects, lookback_cutoff
+from tidemark.sources.objects import filter_listing, list_changed, lookback_cutoff
 from tidemark.specs import default_registry
 from tidemark.streaming.ingest import stream_ingest
 from tidemark.session import apply_session_conf
@@ -240,8 +240,7 @@ def _objects(spark, sf, name, layouts=None, default=fx.GOOD_NDJSON, folder="Orde
 
 
 def _decoded(spark, root, folder="Order_Events"):
-    objs = list_objects(spark, root, folder, FAR_PAST)
-    return decode_listing(objs, root)
+    return decode_listing(list_changed(spark, root, folder, FAR_PAST), root)
 
 
 def _typed_from_objects(spark, root):
@@ -273,7 +272,7 @@ def q_decode_bad_files(spark, sf):
 def q_decode_odd_objects(spark, sf):
     """Records and error of every object, those without any included."""
     root = _objects(spark, sf, "decode-odd", layouts=fx.ODD_FILE_LAYOUT)
-    objs = list_objects(spark, root, OE.folder, FAR_PAST)
+    objs = list_changed(spark, root, OE.folder, FAR_PAST)
     found = decode_listing(objs, root).groupBy("path").agg(
         F.count("record_json").alias("n"), F.max(F.substring_index("error", ":", 1)).alias("error_kind"))
     return objs.select("path", "name").join(found, "path", "left").select(

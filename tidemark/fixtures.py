@@ -179,52 +179,68 @@ def object_name_col(folder: str | Column = "Order_Events") -> Column:
                     F.col("user_id").cast("string"), F.lit(".json.gz"))
 
 
+#: Characters of records that a writing task holds before it compresses them.
+_HELD_CHARS = 1 << 16
+
+
 def _object_writer(root: str, layouts: dict[str, str], default: str):
     def write(batches):
-        import gzip as _gzip
+        import zlib
 
         import pandas as pd
         from pyarrow import fs as pafs
 
         filesystem, base = pafs.FileSystem.from_uri(root) if "://" in root \
             else (pafs.LocalFileSystem(), root)
-        state = {"name": None, "sink": None, "gz": None, "n": 0, "layout": None}
+        tails = {GOOD_ARRAY: b"]", TRAILING_TEXT: b"] trash", BAD_LINE: b"\n{oops\n", SPACES: b" \n\t\r\n ",
+                 NOT_OBJECTS: b",7]", SCALAR_LINE: b'\n"text"\n'}
+        folders = set()
+        name = layout = sink = gz = None
+        held, size, n = [], 0, 0
         written = []
 
+        def put(data):
+            sink.write(gz.compress(data) if gz else data)
+
+        def flush():
+            nonlocal size
+            put("".join(held).encode("utf-8"))
+            held.clear()
+            size = 0
+
         def close():
-            if state["gz"] is None:
+            if sink is None:
                 return
-            layout = state["layout"]
-            tail = {GOOD_ARRAY: b"]", TRAILING_TEXT: b"] trash", BAD_LINE: b"\n{oops\n", SPACES: b" \n\t\r\n ",
-                    NOT_OBJECTS: b",7]", SCALAR_LINE: b'\n"text"\n'}
-            state["gz"].write(tail.get(layout, b""))
-            state["gz"].close()
-            state["sink"].close()
-            written.append((state["name"], state["n"]))
-            state.update(name=None, sink=None, gz=None, n=0)
-
-        def open_(name, event_type):
-            layout = layouts.get(event_type, default)
-            path = f"{base}/{name}"
-            filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
-            sink = filesystem.open_output_stream(path, compression=None)
-            gz = sink if layout == NOT_GZIP else _gzip.GzipFile(fileobj=sink, mode="wb", mtime=0)
-            if layout in ARRAYS:
-                gz.write(b"[")
-            state.update(name=name, sink=sink, gz=gz, n=0, layout=layout)
+            flush()
+            put(tails.get(layout, b""))
+            if gz:
+                sink.write(gz.flush())
+            sink.close()
+            written.append((name, n))
 
         for pdf in batches:
-            for name, et, rec in zip(pdf["name"], pdf["event_type"], pdf["record_json"]):
-                if name != state["name"]:
+            for next_name, et, rec in zip(pdf["name"], pdf["event_type"], pdf["record_json"]):
+                if next_name != name:
                     close()
-                    open_(name, et)
-                if state["layout"] in (BLANK, SPACES):
+                    name, layout, n = next_name, layouts.get(et, default), 0
+                    path = f"{base}/{name}"
+                    folder = path.rsplit("/", 1)[0]
+                    if folder not in folders:
+                        filesystem.create_dir(folder, recursive=True)
+                        folders.add(folder)
+                    sink = filesystem.open_output_stream(path, compression=None)
+                    gz = None if layout == NOT_GZIP else zlib.compressobj(1, wbits=31)
+                    if layout in ARRAYS:
+                        put(b"[")
+                if layout in (BLANK, SPACES):
                     continue
-                sep = b"," if state["layout"] in ARRAYS else b"\n"
-                if state["n"]:
-                    state["gz"].write(sep)
-                state["gz"].write(rec.encode("utf-8"))
-                state["n"] += 1
+                if n:
+                    held.append("," if layout in ARRAYS else "\n")
+                held.append(rec)
+                size += len(rec)
+                n += 1
+                if size > _HELD_CHARS:
+                    flush()
         close()
         yield pd.DataFrame(written, columns=["name", "n_records"])
 
