@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.paths import has_suffix, relative_name
-from tidemark.session import materialize
+from tidemark.session import materialize, release, shuffle_files_dropped
 from tidemark.specs import OBJECT_SUFFIX, REPROCESS_DAYS
 
 BINARY_FILE_SCHEMA = T.StructType(
@@ -136,7 +136,7 @@ def _entry_batch(rows: list[tuple]) -> pa.RecordBatch:
 def list_changed(spark: SparkSession, root: str, folder: str, cutoff, work_root: str | None = None,
                  held: list[str] | None = None) -> DataFrame:
     """S3 by tasks: path, modificationTime, length and name of the objects under
-    ``root/folder/`` updated at or after ``cutoff``.
+    ``root/folder/`` (``root`` for folder '') updated at or after ``cutoff``.
 
     Folders are listed level by level, each level by one job whose tasks take a
     share of its folders; what a level has found is written, and only its number
@@ -147,7 +147,7 @@ def list_changed(spark: SparkSession, root: str, folder: str, cutoff, work_root:
     written levels' paths go to ``held``, for the caller to release."""
     from tidemark.operators.decode import OPENABLE, _resolve, scheme_of
 
-    base = f"{root.rstrip('/')}/{folder}"
+    base = f"{root.rstrip('/')}/{folder}".rstrip("/")
     if scheme_of(root) not in OPENABLE:
         return list_objects(spark, root, folder, cutoff)
     if scheme_of(root) == "file":
@@ -170,12 +170,62 @@ def list_changed(spark: SparkSession, root: str, folder: str, cutoff, work_root:
     return objects.withColumn("name", relative_name("path", root))
 
 
+#: Longer than any object's age.
+_EVER = "0001-01-01T00:00:00Z"
+#: Written listings of micro-batches that are kept apart.
+_LISTINGS_KEPT = 16
+
+
+def objects_seen(checkpoint: str) -> str:
+    """Where a stream that lists by tasks keeps its micro-batches' objects."""
+    return f"{checkpoint.rstrip('/')}/tidemark_objects"
+
+
+def new_objects(spark: SparkSession, root: str, checkpoint: str, batch_id: int, work_root: str | None = None) -> DataFrame:
+    """S2 by tasks: the objects under ``root`` of micro-batch ``batch_id``, those
+    that no earlier micro-batch has seen (by path, whatever their time).
+
+    They are written below the checkpoint before they are given, so a replay of
+    the batch gets the same ones, and the listings of earlier batches say what
+    has been seen. The driver holds none of them. Many listings become one."""
+    from tidemark.plans.storage import delete_path, list_dirs, path_exists
+
+    base, own = objects_seen(checkpoint), f"batch-{batch_id}"
+    columns = ["path", "modificationTime", "length", "name"]
+
+    def read(names: list[str]) -> DataFrame:
+        schema = "path string, modificationTime timestamp, length long, name string"
+        return spark.read.schema(schema).parquet(*(f"{base}/{n}" for n in names))
+
+    if not path_exists(spark, f"{base}/{own}/_SUCCESS"):
+        seen = [n for n in list_dirs(spark, base) if int(n.rsplit("-", 1)[1]) < batch_id]
+        if len(seen) > _LISTINGS_KEPT:
+            upto = f"upto-{batch_id - 1}"
+            if upto not in seen or not path_exists(spark, f"{base}/{upto}/_SUCCESS"):
+                seen = [n for n in seen if n != upto]
+                read(seen).write.mode("overwrite").parquet(f"{base}/{upto}")
+            for n in seen:
+                if n != upto:
+                    delete_path(spark, f"{base}/{n}")
+            seen = [upto]
+        held: list[str] = []
+        found = list_changed(spark, root, "", _EVER, work_root, held).select(*columns)
+        if seen:
+            found = found.join(read(seen).select("path"), "path", "left_anti").select(*columns)
+        with shuffle_files_dropped(spark):
+            found.write.mode("overwrite").parquet(f"{base}/{own}")
+        for path in held:
+            release(spark, path)
+    return read([own])
+
+
 def stream_objects(spark: SparkSession, root: str, max_files_per_trigger: int | None = None
                    ) -> DataFrame:
     """Unbounded discovery of new ``*.json.gz`` objects under ``root``.
 
     The file source remembers paths in its checkpoint; an object overwritten
-    under the same name is not seen again (the daily re-read covers it)."""
+    under the same name is not seen again (the daily re-read covers it). The
+    driver lists and remembers all objects; ``new_objects`` does so by tasks."""
     r = (
         spark.readStream.format("binaryFile")
         .schema(BINARY_FILE_SCHEMA)

@@ -18,16 +18,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.deadletter import SOURCE_STREAM, file_dead_letters
-from tidemark.operators.decode import decode_paths, openable_scheme
+from tidemark.operators.decode import OPENABLE, decode_paths, openable_scheme, scheme_of
 from tidemark.operators.route import TAG_DEAD, TAG_OBJECT, extract_object_path, split_by_tag
 from tidemark.plans.jobs import (
     PipelineConfig, decode_listing, ingest_decoded, persist, unknown_folder_dead_letters,
 )
 from tidemark.functions.paths import folder_of
-from tidemark.plans.storage import delete_path, read_text, write_text
+from tidemark.plans.storage import delete_path, path_exists, read_text, write_text
 from tidemark.session import apply_session_conf, shuffle_files_dropped
 from tidemark.sources.notifications import read_notifications
-from tidemark.sources.objects import stream_objects
+from tidemark.sources.objects import new_objects, objects_seen, stream_objects
 
 DEFAULT_TRIGGER = "30 seconds"
 
@@ -90,6 +90,29 @@ def object_batch_writer(spark: SparkSession, cfg: PipelineConfig,
     return run
 
 
+def lists_by_tasks(spark: SparkSession, cfg: PipelineConfig, checkpoint_location: str, max_files_per_trigger: int | None) -> bool:
+    """Whether the object stream lists by tasks: where these can open the
+    objects, unless a batch is to be cut to so many files, or the checkpoint is
+    one that a file source has begun."""
+    if max_files_per_trigger or scheme_of(cfg.objects_root) not in OPENABLE:
+        return False
+    return path_exists(spark, objects_seen(checkpoint_location)) or not path_exists(spark, f"{checkpoint_location.rstrip('/')}/offsets")
+
+
+def listed_batch_writer(spark: SparkSession, cfg: PipelineConfig, now_fn: Callable[[], dt.datetime], checkpoint_location: str):
+    """foreachBatch body for the object stream that lists by tasks: each tick is
+    a micro-batch of the objects that are new at it (nothing is done when there
+    are none)."""
+    write = object_batch_writer(spark, cfg, now_fn, checkpoint_location)
+
+    def run(_tick: DataFrame, batch_id: int) -> None:
+        objects = new_objects(spark, cfg.objects_root, checkpoint_location, batch_id, cfg.lake_root)
+        if not objects.isEmpty():
+            write(objects, batch_id)
+
+    return run
+
+
 def notification_batch_writer(spark: SparkSession, cfg: PipelineConfig, scheme: str = "gs",
                               now_fn: Callable[[], dt.datetime] = _clock,
                               checkpoint_location: str | None = None):
@@ -131,8 +154,11 @@ def stream_ingest(spark: SparkSession, cfg: PipelineConfig, checkpoint_location:
     finalize notifications under ``notifications_path`` (S1)."""
     apply_session_conf(spark)  # UTC dates for p_date
     if source == "objects":
-        stream = stream_objects(spark, cfg.objects_root, max_files_per_trigger)
+        stream = stream_objects(spark, cfg.objects_root, max_files_per_trigger)  # refuses a root that isn't there
         body = object_batch_writer(spark, cfg, now_fn, checkpoint_location)
+        if lists_by_tasks(spark, cfg, checkpoint_location, max_files_per_trigger):
+            stream = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", "1").option("numPartitions", "1").load()
+            body = listed_batch_writer(spark, cfg, now_fn, checkpoint_location)
     elif source == "notifications":
         if not notifications_path:
             raise ValueError("notifications_path is required for source='notifications'")
