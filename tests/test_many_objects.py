@@ -81,3 +81,21 @@ def test_small_objects_skip_the_general_reader(monkeypatch):
         assert e.value.kind == kind
     monkeypatch.setattr(decode.gzip, "GzipFile", None)
     assert decode.decode_blob(good) == want
+
+
+def test_written_objects_hold_their_own_records(local_tmp):
+    import pandas as pd
+
+    from tidemark import fixtures as fx
+
+    write = fx._object_writer(local_tmp, {"view": fx.GOOD_ARRAY, "error": fx.NOT_GZIP, "signup": fx.BLANK}, fx.GOOD_NDJSON)
+    long = '{"t":"' + "x" * fx._HELD_CHARS + '"}'  # more than is held
+    rows = pd.DataFrame([("F/a", "click", long), ("F/a", "click", "{}"), ("F/b", "view", "{}"), ("F/b", "view", long), ("F/c", "error", "{}"), ("F/d", "signup", "{}")],
+                        columns=["name", "event_type", "record_json"])
+    out = next(write(iter([rows[:1], rows[1:]])))
+    assert list(map(tuple, out.values.tolist())) == [("F/a", 2), ("F/b", 2), ("F/c", 1), ("F/d", 0)]
+    content = {n: open(f"{local_tmp}/F/{n}", "rb").read() for n in "abcd"}
+    assert decode.decode_blob(content["a"]) == [long, "{}"] and decode.decode_blob(content["b"]) == ["{}", long]
+    assert content["c"] == b"{}" and gzip.decompress(content["d"]) == b""
+    with pytest.raises(ValueError):
+        next(write(iter([pd.DataFrame({"name": [None], "event_type": ["click"], "record_json": ["{}"]})])))

@@ -220,6 +220,8 @@ def _object_writer(root: str, layouts: dict[str, str], default: str):
 
         for pdf in batches:
             for next_name, et, rec in zip(pdf["name"], pdf["event_type"], pdf["record_json"]):
+                if next_name is None:
+                    raise ValueError("a record without an object name can't be written")
                 if next_name != name:
                     close()
                     name, layout, n = next_name, layouts.get(et, default), 0
