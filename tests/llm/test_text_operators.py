@@ -259,6 +259,36 @@ def test_suffix_dedup_in_many_small_blocks(spark, monkeypatch, heavy):
     assert {k: _merged(v) for k, v in got.items()} == want
 
 
+def test_windows_of_crowded_anchors_are_not_laid_out(spark):
+    """A task that sends the windows of crowded anchors holds some numbers for
+    each window, not its bytes with their index (9 * length)."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    text = np.random.default_rng(5).integers(97, 123, 150_000, dtype=np.uint8).tobytes().decode()
+    runs = [{"kind": 2, "start": a, "stop": a + 10_000, "anchor": a} for a in (100_000, 0, 50_000, 20_000, 80_000)]
+    kind = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("stop", pa.int32()), ("anchor", pa.int64())]))
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([2]), pa.array([text]), pa.array([runs], kind)],
+                                       ["id", "key", "text", "wanted"])
+    tracemalloc.start()
+    windows = 0
+    for out in suffix._send_pieces(100, 512)(iter([batch])):
+        for b, payload in zip(out.column("bucket").to_pylist(), out.column("payload").to_pylist()):
+            if b < 0:  # marks of equal windows
+                assert not payload
+                continue
+            n = int(np.frombuffer(payload, np.uint32, 1)[0])
+            pieces = np.frombuffer(payload, suffix._PIECE, n, 4)
+            raw = np.frombuffer(payload, np.uint8, offset=4 + n * suffix._PIECE.itemsize).reshape(n, 100)
+            windows += n
+            assert all(text[p["start"]:p["start"] + 100].encode() == r.tobytes() for p, r in zip(pieces[::40], raw[::40]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert windows == 5 * 9_901
+    assert peak < windows * 9 * 100 * 0.7
+
+
 def test_dedup_documents_keeps_first_passages(spark):
     docs = H.edge_docs(spark)
     out = suffix.dedup_documents(docs)
@@ -435,6 +465,24 @@ def test_contamination(spark, docs, block_bytes):
     assert H.rows_of(got.drop("row_hash")) == H.in_order(H.contamination(rows, bench))
 
 
+@pytest.mark.parametrize("block_bytes", [4 << 20, 1])
+def test_contamination_has_one_worker_a_task(spark, block_bytes):
+    """No stage has two Python steps, each of which would have a worker of its
+    own; also where the other blocks' hits could be broadcast."""
+    docs = spark.range(5).selectExpr("id doc_id", "concat('some words of text ', id) text")
+    bench = spark.createDataFrame([(1, "words of text 3"), (2, "no such")], "item_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100m")
+    try:
+        found = decontaminate.contamination(docs, bench, block_bytes=block_bytes)
+        assert [r.doc_id for r in found.where("contaminated").collect()] == [3]
+        node = found._jdf.queryExecution().executedPlan().toString().split("MapInArrow")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(node) == 2 if block_bytes > 1 else len(node) > 2
+    assert block_bytes > 1 or " Exchange hashpartitioning" in node[1]
+
+
 def test_contamination_without_items(spark):
     docs = H.edge_docs(spark)
     none = spark.createDataFrame([], "item_id long, text string")

@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -227,22 +228,45 @@ def _scan(shared, every_row: bool):
     return run
 
 
+def _digest_batch(percent: int, batch: pa.RecordBatch, counts, hits, items) -> pa.RecordBatch:
+    """Results of the batch's rows, of each row's words, runs and items found."""
+    out = []
+    for n, runs, names in zip(counts, hits, items):
+        pairs = np.array([(r["start"], r["stop"]) for r in runs], np.int64).reshape(-1, 2)
+        start, stop = _cut((pairs[:, 0], pairs[:, 1]), n)
+        n_hit, names = int((stop - start).sum()), sorted(set(names))
+        out.append((n, n_hit, len(names), hashlib.sha256(",".join(names).encode()).hexdigest(),
+                    n_hit > 0 and 100 * n_hit >= percent * n))
+    cols = list(zip(*out)) or [()] * 5
+    return pa.RecordBatch.from_arrays(
+        [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.string()),
+         pa.array(cols[4], pa.bool_()), batch.column("row_hash")], _fields(_DIGEST))
+
+
+def _lists(batch: pa.RecordBatch):
+    return (batch.column(c).to_pylist() for c in ("n_words", "hits", "items"))
+
+
 def _digests(percent: int):
     """Per row, of all blocks' runs and items (lists of lists): the results."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for n, hits, items in zip(*(batch.column(c).to_pylist() for c in ("n_words", "hits", "items"))):
-                pairs = np.array([(r["start"], r["stop"]) for h in hits for r in h], np.int64).reshape(-1, 2)
-                start, stop = _cut((pairs[:, 0], pairs[:, 1]), n)
-                n_hit, names = int((stop - start).sum()), sorted({i for names in items for i in names})
-                out.append((n, n_hit, len(names), hashlib.sha256(",".join(names).encode()).hexdigest(),
-                            n_hit > 0 and 100 * n_hit >= percent * n))
-            cols = list(zip(*out)) or [()] * 5
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.string()),
-                 pa.array(cols[4], pa.bool_()), batch.column("row_hash")], _fields(_DIGEST))
+            n, hits, items = _lists(batch)
+            yield _digest_batch(percent, batch, n, map(chain.from_iterable, hits), map(chain.from_iterable, items))
+
+    return run
+
+
+def _scan_digests(shared, percent: int):
+    """The results of a benchmark of one block, in the worker that scans: a
+    second Python step in one stage would have a worker of its own, which
+    stays with what it holds."""
+    scan = _scan(shared, True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in scan(batches):
+            yield _digest_batch(percent, found, *_lists(found))
 
     return run
 
@@ -268,19 +292,20 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, perce
     ``percent`` or more), row_hash (of the text)."""
     context = docs.sparkSession.sparkContext
     texts, rows, others = _texts(docs), None, None
-    for _, k, index in _blocks(benchmark, window, block_bytes):
+    for n, k, index in _blocks(benchmark, window, block_bytes):
+        if n == 1:
+            return texts.mapInArrow(_scan_digests(context.broadcast(index), percent), _DIGEST)
         found = texts.mapInArrow(_scan(context.broadcast(index), k == 0), _HITS)
         if k == 0:
             rows = found
         else:
             others = found if others is None else others.unionByName(found)
-    lists = [F.array("hits").alias("hits"), F.array("items").alias("items")]
-    if others is not None:
-        # one row for each text that another block hits; repeated rows are equal, a set drops them
-        more = others.groupBy(F.coalesce("doc_id", F.lit(tb.NULL_ID)).alias("_id"), F.col("row_hash").alias("_hash")).agg(
-            F.collect_set("hits").alias("_hits"), F.collect_set("items").alias("_items"))
-        rows = rows.join(more, (F.coalesce("doc_id", F.lit(tb.NULL_ID)) == F.col("_id")) & (F.col("row_hash") == F.col("_hash")), "left")
-        lists = [F.concat(F.array(c), F.coalesce(f"_{c}", F.array())).alias(c) for c in ("hits", "items")]
+    # one row for each text that another block hits; repeated rows are equal, a set drops them
+    more = others.groupBy(F.coalesce("doc_id", F.lit(tb.NULL_ID)).alias("_id"), F.col("row_hash").alias("_hash")).agg(
+        F.collect_set("hits").alias("_hits"), F.collect_set("items").alias("_items"))
+    # by shuffle (no texts in it), so that scan and results are stages with one Python worker a task each
+    rows = rows.join(more.hint("merge"), (F.coalesce("doc_id", F.lit(tb.NULL_ID)) == F.col("_id")) & (F.col("row_hash") == F.col("_hash")), "left")
+    lists = [F.concat(F.array(c), F.coalesce(f"_{c}", F.array())).alias(c) for c in ("hits", "items")]
     return rows.select("doc_id", "row_hash", "n_words", *lists).mapInArrow(_digests(percent), _DIGEST)
 
 

@@ -363,9 +363,11 @@ def _send_pieces(length: int, buckets: int):
                 t2, g2, base = np.repeat(t2, n2), np.repeat(g2, n2), np.repeat(s2, n2)
                 s2 = base + np.arange(len(base)) - np.repeat(np.cumsum(n2) - n2, n2)
                 if len(s2):  # the group of a window: its bytes' hash, so that equal ones meet and others part
-                    raw = tb.gather(data, offsets[t2] + s2, np.full(len(s2), length)).reshape(-1, length)
-                    ends = np.arange(1, len(s2) + 1) * length
-                    g2 = g2 ^ tb.span_hashes(raw.ravel(), ends - length, ends)
+                    at = offsets[t2] + s2
+                    up = np.argsort(at, kind="stable")
+                    hashes = np.empty(len(at), np.uint64)
+                    hashes[up] = tb.span_hashes(data, at[up], at[up] + length)
+                    g2 = g2 ^ hashes
                     by, head, later = _not_first((ids[lo + t2], keys[lo + t2], s2), (g2,))
                     gone = by[later]
                     at, a, b = _ranges((t2[gone],), s2[gone], s2[gone] + length)
