@@ -208,6 +208,78 @@ def test_repeat_classes_are_equal_prefixes():
             assert len({v for s in by_class.values() for v in s}) == len(by_class)
 
 
+def test_suffix_array_sorts_suffixes():
+    rng = np.random.default_rng(7)
+    for k in range(120):
+        sizes = rng.integers(0, 60, rng.integers(1, 7))
+        codes = np.concatenate([np.append(rng.integers(9, 9 + rng.integers(1, 4), n), i) for i, n in enumerate(sizes)])
+        if k % 3 == 1:  # periodic, and letters that occur once
+            codes = np.concatenate([np.tile([20, 30], 25), rng.permutation([40, 1, 7, 50]), np.tile([20, 30], 25), [60]])
+        if k % 3 == 2:
+            codes = codes * 10**9
+        assert suffix.suffix_array(codes).tolist() == sorted(range(len(codes)), key=lambda i: codes[i:].tolist())
+    assert not len(suffix.suffix_array(np.empty(0, np.int64)))
+
+
+def _sharing_little(length, gram):
+    """Texts that have a string of over ``gram`` bytes in common, and pairs that
+    share ``length`` bytes at any place of a window."""
+    rng = np.random.default_rng(13)
+    prose = lambda n: rng.integers(97, 123, n, dtype=np.uint8).tobytes().decode()
+    common = prose(length // 2)
+    alone = [prose(150) + common + prose(150) for _ in range(60)]
+    pairs = []
+    for k in range(length - len(common) + 1):
+        shared = prose(k) + common + prose(length - len(common) - k)
+        pairs += [prose(40) + shared + prose(40) for _ in range(2)]
+    return alone, pairs
+
+
+@pytest.mark.parametrize("length,gram", [(100, 32), (101, 32), (40, 8)])
+def test_only_runs_that_may_share_a_window_are_compared(spark, length, gram):
+    import pyarrow as pa
+
+    alone, pairs = _sharing_little(length, gram)
+    wanted = {}
+    for texts in (alone, alone + pairs):
+        ids = pa.array(range(len(texts)), pa.int64())
+        batch = pa.RecordBatch.from_arrays([ids, ids, pa.array(texts)], ["id", "key", "text"])
+        marks = pa.Table.from_batches(list(suffix._compare_runs(length, 4_000)(suffix._send_runs(length, gram, 4)(iter([batch])))))
+        wanted[len(texts)] = {m["id"] for m in marks.to_pylist() if m["kind"]}
+    assert not wanted[60]  # one string of a window's half in 60 texts: no window of them repeats
+    assert wanted[60 + len(pairs)] >= set(range(60, 60 + len(pairs)))
+    docs = spark.createDataFrame(list(enumerate(alone + pairs)), "doc_id long, text string")
+    want = H.removals([(k, t.encode()) for k, t in enumerate(alone + pairs)], length)
+    got = {r.doc_id: tuple(r)[1:] for r in suffix.removal_digests(docs, length, gram=gram).collect()}
+    assert got == want and sum(v[1] > 0 for v in want.values()) == len(pairs) // 2
+
+
+@pytest.mark.parametrize("alphabet", [2, 26])
+def test_runs_of_equal_windows_share_a_core(alphabet):
+    """Whatever the text, its bounds and the anchor's place: two runs that have
+    one window in common have one core, or one of them has no known cores."""
+    rng = np.random.default_rng(17)
+    for length, gram in ((40, 8), (23, 8), (12, 12)):
+        parts = [rng.integers(97, 97 + alphabet, rng.integers(length, 60), dtype=np.uint8) for _ in range(12)]
+        texts = [np.concatenate([parts[i] for i in rng.integers(0, 12, 4)]) for _ in range(40)]
+        data, offsets = np.concatenate(texts), np.cumsum([0] + [len(t) for t in texts])
+        text, start, count, anchor, _, own, cores = suffix.anchored_runs(data, offsets, length, gram)
+        assert cores.shape == (len(text), suffix._CORES)
+        assert (cores[own] == suffix._ANY_CORE).all()
+        at = {}
+        for k in range(len(text)):
+            for w in range(start[k], start[k] + count[k]):
+                at.setdefault(texts[text[k]][w:w + length].tobytes(), []).append(k)
+        known = [{(j, c) for j, c in enumerate(r.tolist()) if c > suffix._ANY_CORE} for r in cores]
+        assert any(len(set(v)) > 1 for v in at.values())
+        for same in at.values():
+            assert len({int(anchor[k]) for k in same}) == 1
+            if same.count(same[0]) > 1:
+                assert own[same[0]]
+            if all(known[k] for k in same):
+                assert set.intersection(*(known[k] for k in same))
+
+
 @pytest.mark.parametrize("length,gram,heavy", [(100, 32, 4_000), (100, 32, 1), (20, 8, 2)])
 def test_suffix_dedup(spark, docs, length, gram, heavy):
     keyed = suffix._keyed(docs).collect()

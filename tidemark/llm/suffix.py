@@ -14,8 +14,13 @@ least hash of its ``gram``-byte strings, which depends on nothing else. A text
 is a sequence of runs of windows with one anchor. Runs that are equal byte for
 byte count once (the earliest stays, within a task before the shuffle and by
 anchor after it); only anchors that have different runs, or one that repeats
-within itself, go to the suffix array, where their windows are compared. An
-anchor with over ``heavy`` different runs (the edge of a passage that very many
+within itself, go to the suffix array, where their windows are compared. Of
+these, a run goes only if it may share a window with another: windows of one
+anchor at one place of them have the same bytes around it, so runs carry a hash
+of the bytes that all windows of a quarter of the places have (a *core*), and
+one that shares no core shares no window. In a large corpus most different runs
+of an anchor share little more than its string. An
+anchor with over ``heavy`` such runs (the edge of a passage that very many
 texts share) is dealt out by whole windows instead of whole runs.
 
 Order is by (doc_id, hash of the text, byte). Defined results: a null or short
@@ -47,7 +52,14 @@ _BLOCK_ROWS = 400_000
 #: Bytes of runs in one suffix array (a larger anchor has one for itself).
 _BATCH_BYTES = 1 << 19
 
-_RUN = np.dtype([("anchor", "<u4"), ("hash", "<u8"), ("start", "<u4"), ("n", "<u2"), ("text", "<u4"), ("own", "?")])
+#: Classes of the anchor's place in a window, each with a core.
+_CORES = 4
+#: Core of a class in which the run has no window; of a run in which the
+#: anchor's string occurs more than once (its windows have no one place).
+_NO_CORE, _ANY_CORE = 0, 1
+
+_RUN = np.dtype([("anchor", "<u4"), ("hash", "<u8"), ("start", "<u4"), ("n", "<u2"), ("text", "<u4"), ("own", "?"),
+                 ("cores", "<u4", (_CORES,))])
 _TEXT = np.dtype([("id", "<i8"), ("key", "<i8")])
 _PIECE = np.dtype([("group", "<u8"), ("id", "<i8"), ("key", "<i8"), ("start", "<u4"), ("size", "<u4")])
 _MARKS = "kind int, id long, key long, start int, stop int, anchor long"
@@ -55,28 +67,65 @@ _MARKS = "kind int, id long, key long, start int, stop int, anchor long"
 
 # -- the method ------------------------------------------------------------
 
+def _sorted_with(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of keys of so many bits, and the keys in it. With the index in
+    their free bits, numbers are sorted instead of indices."""
+    room = len(key).bit_length()
+    if bits + room > 63:
+        by = np.argsort(key)
+        return by, key[by]
+    key = np.sort(key << room | np.arange(len(key)))
+    return key & ((1 << room) - 1), key >> room
+
+
 def suffix_array(codes: np.ndarray) -> np.ndarray:
     """Order of all suffixes by prefix doubling; unique separators end all
-    comparisons."""
+    comparisons.
+
+    The first round compares as many symbols as a number holds, the later ones
+    only suffixes that are still equal to another. The least codes count as
+    separators where each occurs once and they ascend: suffixes that are equal
+    up to one are in order of their positions."""
     n = len(codes)
-    padded = np.zeros(n + 2, np.int64)
-    padded[:n] = codes + 1
-    if n and padded.max() < 1 << 21:
-        key = padded[:n] << 42 | padded[1:n + 1] << 21 | padded[2:]
-        width = 3
-    else:
-        key, width = padded[:n], 1
-    while True:
-        order = np.argsort(key)
-        ranked = key[order]
-        rank = np.empty(n, np.int64)
-        new = np.concatenate([[0], np.cumsum(ranked[1:] != ranked[:-1])])
-        rank[order] = new
-        if not n or new[-1] == n - 1:
-            return order
-        key = rank << 32
-        key[:n - width] |= rank[width:] + 1
+    if not n:
+        return np.empty(0, np.int64)
+    if codes.max() > 4 * n + 1024:
+        codes = np.unique(codes, return_inverse=True)[1]
+    counts, place = np.bincount(codes), np.empty(int(codes.max()) + 1, np.int64)
+    place[codes] = np.arange(n)
+    there = np.flatnonzero(counts)
+    ends = counts[there] == 1
+    ends[1:] &= np.diff(place[there]) > 0
+    letters = there[len(there) if ends.all() else np.argmin(ends):]
+    symbol = np.zeros(len(counts), np.int64)
+    symbol[letters] = np.arange(1, len(letters) + 1)
+    bits, index = max(1, len(letters).bit_length()), n.bit_length()
+    width = min(n, max(1, (63 - index) // bits))
+    x = symbol[codes]
+    left = np.where(x == 0, np.arange(n), n)
+    left = np.minimum.accumulate(left[::-1])[::-1] - np.arange(n)  # symbols before the next separator
+    key = np.zeros(n, np.int64)
+    for k in range(width):
+        key[:n - k] |= x[k:] << bits * (width - 1 - k)
+    past = bits * (width - np.minimum(left, width))
+    order, key = _sorted_with(key >> past << past, bits * width)
+    rank = np.empty(n, np.int64)  # of a suffix: the first row of those that are equal to it so far
+    new = np.ones(n + 1, bool)
+    new[1:n] = key[1:] != key[:-1]
+    rank[order] = np.flatnonzero(new[:n])[np.cumsum(new[:n]) - 1]
+    rows = np.flatnonzero(~(new[:-1] & new[1:]))
+    while len(rows):
+        at = order[rows]
+        then = np.where(left[at] < width, at, rank[np.minimum(at + width, n - 1)])
+        by, key = _sorted_with(rank[at] << index | then, 2 * index)
+        at = at[by]
+        order[rows] = at
+        new = np.ones(len(rows) + 1, bool)
+        new[1:-1] = key[1:] != key[:-1]
+        rank[at] = rows[np.flatnonzero(new[:-1])[np.cumsum(new[:-1]) - 1]]
+        rows = rows[~(new[:-1] & new[1:])]
         width *= 2
+    return order
 
 
 def repeat_classes(codes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -127,12 +176,13 @@ def _slide(x: np.ndarray, width: int, take) -> np.ndarray:
 
 def anchored_runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     """Runs of windows of one anchor: text, first byte (in the text), number of
-    windows, anchor, hash of the bytes, and whether the anchor's string occurs
-    twice in the run (only then can two windows of it be equal)."""
+    windows, anchor, hash of the bytes, whether the anchor's string occurs
+    twice in the run (only then can two windows of it be equal), and cores."""
     n, width = len(data), length - gram + 1
     none = np.empty(0, np.int64)
     if n < length:
-        return none, none, none, none.astype(np.uint64), none.astype(np.uint64), none.astype(bool)
+        return (none, none, none, none.astype(np.uint64), none.astype(np.uint64), none.astype(bool),
+                np.empty((0, _CORES), np.uint32))
     up, down = tb._Pow.get(n + 1)
     with np.errstate(over="ignore"):
         c = np.empty(n + 1, np.uint64)
@@ -145,17 +195,20 @@ def anchored_runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int)
     np.add.at(across, np.minimum(np.maximum(inner - length + 1, 0), len(least)), 1)
     np.add.at(across, np.minimum(inner, len(least)), -1)
     valid = np.cumsum(across[:-1]) == 0
-    change = np.ones(len(least), bool)
-    change[1:] = (least[1:] != least[:-1]) | (valid[1:] != valid[:-1])
+    other = np.ones(len(least), bool)
+    other[1:] = least[1:] != least[:-1]
+    change = other.copy()
+    change[1:] |= valid[1:] != valid[:-1]
     starts = np.flatnonzero(change)
     count = np.diff(np.append(starts, len(least)))
+    turn = np.cumsum(other[starts]) - 1  # of the least value, whatever the texts
     good = valid[starts]
-    starts, count = starts[good], count[good]
+    starts, count, turn = starts[good], count[good], turn[good]
     parts = -(-count // _LONGEST_RUN)
     if len(parts) and parts.max() > 1:
         k = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
         count = np.minimum(np.repeat(count, parts) - k * _LONGEST_RUN, _LONGEST_RUN)
-        starts = np.repeat(starts, parts) + k * _LONGEST_RUN
+        starts, turn = np.repeat(starts, parts) + k * _LONGEST_RUN, np.repeat(turn, parts)
     text = np.searchsorted(offsets, starts, "right") - 1
     hashes = tb.span_hashes(data, starts, starts + count + length - 1)
     # positions that are the least of some window; equal neighbours make a run repeat
@@ -167,7 +220,31 @@ def anchored_runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int)
     if len(at) and len(starts):
         limit = offsets[np.searchsorted(offsets, at, "right")] - length
         own[np.maximum(np.searchsorted(starts, np.minimum(at, limit), "right") - 1, 0)] = True
-    return text, starts - offsets[text], count, least[starts], hashes, own
+    # the least value moves on where its place does, so its turns and the places of one value correspond
+    first = np.ones(len(chosen), bool)
+    first[1:] = g[chosen[1:]] != g[chosen[:-1]]
+    first = np.flatnonzero(first)
+    single = (np.diff(np.append(first, len(chosen))) == 1)[turn]
+    own &= ~single
+    cores = _cores(c, down, starts, count, chosen[first[turn]], single, length, gram)
+    return text, starts - offsets[text], count, least[starts], hashes, own, cores
+
+
+def _cores(c: np.ndarray, down: np.ndarray, starts: np.ndarray, count: np.ndarray, place: np.ndarray, single: np.ndarray,
+           length: int, gram: int) -> np.ndarray:
+    """Per run and class of places a hash of the bytes that all windows of the
+    class have. ``c``: sums of the bytes' polynomial; ``place`` of the anchor's
+    string, if it is the single one. Equal bytes have equal hashes, others may."""
+    cores = np.full((len(starts), _CORES), _NO_CORE, np.uint32)
+    free = length - gram + 1
+    for k in range(_CORES):
+        lo, hi = k * free // _CORES, (k + 1) * free // _CORES  # bytes of a window before its anchor's string
+        has = single & (np.maximum(lo, place - starts - count + 1) <= np.minimum(hi - 1, place - starts))
+        a, b = place[has] - lo, place[has] + length - hi + 1
+        with np.errstate(over="ignore"):
+            cores[has, k] = np.maximum(tb.mix((c[b] - c[a]) * down[a]) >> np.uint64(32), np.uint64(_ANY_CORE + 1))
+    cores[~single] = _ANY_CORE
+    return cores
 
 
 def _ranges(order_keys: tuple[np.ndarray, ...], start: np.ndarray, stop: np.ndarray):
@@ -214,8 +291,8 @@ class _Block:
         self.parts: list[tuple] = []
         self.n_texts = self.rows = 0
 
-    def add(self, ids, keys, text, start, count, anchor, hashes, own):
-        self.parts.append((text + self.n_texts, start, count, anchor, hashes, own))
+    def add(self, ids, keys, text, *runs):
+        self.parts.append((text + self.n_texts, *runs))
         self.texts.append((ids, keys))
         self.n_texts += len(ids)
         self.rows += len(text)
@@ -223,7 +300,7 @@ class _Block:
     def emit(self) -> Iterator[tuple[int, bytes]]:
         if not self.rows:
             return self.clear()
-        text, start, count, anchor, hashes, own = (np.concatenate(x) for x in zip(*self.parts))
+        text, start, count, anchor, hashes, own, cores = (np.concatenate(x) for x in zip(*self.parts))
         ids, keys = (np.concatenate(x) for x in zip(*self.texts))
         self.clear()
         by, head, later = _not_first((ids[text], keys[text], start), (hashes, anchor))
@@ -245,7 +322,7 @@ class _Block:
             table["id"], table["key"] = ids[local], keys[local]
             r = np.empty(len(rows), _RUN)
             r["anchor"], r["hash"], r["start"], r["n"] = anchor[rows] & np.uint64(0xFFFFFFFF), hashes[rows], start[rows], count[rows]
-            r["text"], r["own"] = index, own[rows]
+            r["text"], r["own"], r["cores"] = index, own[rows], cores[rows]
             yield (int(anchor[rows[0]] >> np.uint64(32)) % self.buckets,
                    np.uint32(len(local)).tobytes() + table.tobytes() + r.tobytes())
 
@@ -293,6 +370,20 @@ def _passed_marks(payload: bytes) -> pa.RecordBatch:
                        np.zeros(len(m), np.int64))
 
 
+def _sharing(group: np.ndarray, cores: np.ndarray) -> np.ndarray:
+    """Which of the groups' different runs may share a window with another: those
+    with a core of another in their group, and all of a group in which a run's
+    cores aren't known."""
+    shared = (np.bincount(group, cores[:, 0] == _ANY_CORE) > 0)[group]
+    for k in range(_CORES):
+        has = np.flatnonzero(cores[:, k] > _ANY_CORE)
+        key = group[has] << 32 | cores[has, k]
+        by = np.argsort(key)
+        twice = np.flatnonzero(key[by[1:]] == key[by[:-1]])
+        shared[has[by[twice]]] = shared[has[by[twice + 1]]] = True
+    return shared
+
+
 def _compare_runs(length: int, heavy: int):
     """Of each bucket's runs: marks of equal ones that come later (kind 0) and
     the runs whose windows have to be compared (kind 1, heavy: 2)."""
@@ -324,11 +415,13 @@ def _compare_runs(length: int, heavy: int):
         kept = by[head]
         new = np.ones(len(kept), bool)
         new[1:] = group[kept][1:] != group[kept][:-1]
-        sizes = np.diff(np.append(np.flatnonzero(new), len(kept)))
-        own = np.logical_or.reduceat(r["own"][kept], np.flatnonzero(new))
-        want = np.repeat((sizes > 1) | own, sizes)
-        kind = np.repeat(np.where(sizes > heavy, 2, 1), sizes)[want]
-        kept = kept[want]
+        of = np.cumsum(new) - 1
+        own = np.bincount(of, r["own"][kept]) > 0
+        want = ((np.bincount(of) > 1) | own)[of]
+        kept, of = kept[want], of[want]
+        want = own[of] | _sharing(of, r["cores"][kept])
+        kept, of = kept[want], of[want]
+        kind = np.where(np.bincount(of)[of] > heavy, 2, 1)
         for k in (1, 2):
             w = kept[kind == k]
             yield _mark_batch(k, ids[w], keys[w], start[w], start[w] + count[w] + length - 1, group[w])
