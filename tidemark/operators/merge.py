@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +32,10 @@ GOLD_ONLY = "gold_only"
 ACTION = "_action"
 
 DEFAULT_BROADCAST_BYTES = 256 << 20
+#: A broadcast source stands on the driver several times over (as collected, in
+#: up to three hashed relations, as the blocks that are sent), so its measured
+#: bytes may be this part of the driver's heap.
+_HEAP_PART = 16
 
 _TYPE_BYTES = {
     T.StringType: 48, T.DateType: 4, T.TimestampType: 8, T.TimestampNTZType: 8,
@@ -55,12 +59,17 @@ def measure_bytes(source: DataFrame) -> tuple[int, int]:
     return n, n * fixed + int(row["b"] or 0)
 
 
+def broadcast_limit(spark: SparkSession, broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> int:
+    """``broadcast_bytes``, or what the driver has room for if that is less."""
+    return min(broadcast_bytes, spark._jvm.java.lang.Runtime.getRuntime().maxMemory() // _HEAP_PART)
+
+
 def choose_strategy(source: DataFrame, strategy: str = "auto",
                     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
                     source_rows: int | None = None) -> str:
     """Every broadcast is size-checked: ``auto`` and ``broadcast`` both give
     ``broadcast`` only when rows × row width of the source is under the
-    limit, ``shuffle`` otherwise. Rows and string bytes are measured (one
+    limit (and fits the driver), ``shuffle`` otherwise. Rows and string bytes are measured (one
     aggregation over the source, which callers materialise first), never
     guessed from file sizes."""
     if strategy == "shuffle":
@@ -71,7 +80,7 @@ def choose_strategy(source: DataFrame, strategy: str = "auto",
         n, size = measure_bytes(source)
     else:
         n, size = source_rows, source_rows * estimate_row_bytes(source.schema)
-    chosen = "broadcast" if size <= broadcast_bytes else "shuffle"
+    chosen = "broadcast" if size <= broadcast_limit(source.sparkSession, broadcast_bytes) else "shuffle"
     log.info("merge source %d rows ≈ %d bytes → %s", n, size, chosen)
     return chosen
 

@@ -19,7 +19,7 @@ from tidemark.operators.deadletter import (
 )
 from tidemark.operators.dedup import latest_for_spec
 from tidemark.operators.merge import (
-    DEFAULT_BROADCAST_BYTES, measure_bytes, merge_insert_only,
+    DEFAULT_BROADCAST_BYTES, broadcast_limit, measure_bytes, merge_insert_only,
 )
 from tidemark.operators.quality import key_gate, release_checked, split_rejects
 from tidemark.operators.route import TAG_DEAD, UNKNOWN, UNKNOWN_FOLDER_ERROR, registry_frame
@@ -235,7 +235,7 @@ def _merge_with(spark, cfg: PipelineConfig, spec: FolderSpec, src: DataFrame, go
             return {"folder": spec.folder, "source_rows": 0, "strategy": "none",
                     "version": gold_store.current_version(spark)}
         strategy = ("shuffle" if cfg.merge_strategy == "shuffle"
-                    else "broadcast" if size <= cfg.broadcast_bytes else "shuffle")
+                    else "broadcast" if size <= broadcast_limit(spark, cfg.broadcast_bytes) else "shuffle")
         done = gold_store.upsert(spark, src, strategy == "broadcast", cfg.lake_root)
         gold_store.vacuum(spark, keep=cfg.keep_versions)
         return {"folder": spec.folder, "source_rows": n, "source_bytes": size,

@@ -225,7 +225,8 @@ def stream_objects(spark: SparkSession, root: str, max_files_per_trigger: int |
 
     The file source remembers paths in its checkpoint; an object overwritten
     under the same name is not seen again (the daily re-read covers it). The
-    driver lists and remembers all objects; ``new_objects`` does so by tasks."""
+    driver lists and remembers all objects, and lists them here already, to
+    learn the columns; ``new_objects`` does so by tasks."""
     r = (
         spark.readStream.format("binaryFile")
         .schema(BINARY_FILE_SCHEMA)

@@ -154,11 +154,14 @@ def stream_ingest(spark: SparkSession, cfg: PipelineConfig, checkpoint_location:
     finalize notifications under ``notifications_path`` (S1)."""
     apply_session_conf(spark)  # UTC dates for p_date
     if source == "objects":
-        stream = stream_objects(spark, cfg.objects_root, max_files_per_trigger)  # refuses a root that isn't there
-        body = object_batch_writer(spark, cfg, now_fn, checkpoint_location)
         if lists_by_tasks(spark, cfg, checkpoint_location, max_files_per_trigger):
+            if not path_exists(spark, cfg.objects_root):
+                stream_objects(spark, cfg.objects_root)  # refuses a root that isn't there; of one that is, the driver would hold the listing
             stream = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", "1").option("numPartitions", "1").load()
             body = listed_batch_writer(spark, cfg, now_fn, checkpoint_location)
+        else:
+            stream = stream_objects(spark, cfg.objects_root, max_files_per_trigger)
+            body = object_batch_writer(spark, cfg, now_fn, checkpoint_location)
     elif source == "notifications":
         if not notifications_path:
             raise ValueError("notifications_path is required for source='notifications'")
